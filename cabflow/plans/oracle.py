@@ -86,7 +86,7 @@ s AS (SELECT *, coalesce(sum(stop) OVER (PARTITION BY user_id ORDER BY ts, event
                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS seg FROM b),
 g AS (SELECT user_id, CAST(seg AS BIGINT) AS segment,
              CAST(count(*) FILTER (WHERE stop = 0) AS INTEGER) AS length,
-             min(epoch_ms(ts)) FILTER (WHERE stop = 0) AS startTime,
+             min((epoch_us(ts) // 1000)) FILTER (WHERE stop = 0) AS startTime,
              CAST(max(value) FILTER (WHERE stop = 0) AS REAL) AS max_speed,
              CAST(stddev_pop(value) FILTER (WHERE stop = 0) AS REAL) AS err
       FROM s GROUP BY user_id, seg
@@ -158,7 +158,7 @@ ORACLE: dict[str, str] = {
         CAST(sum({CENTS}) AS DOUBLE) / 100.0 AS tips FROM events GROUP BY 1""",
     "session_stats": _sessions(
         "make_timestamp(ss) AS session_start, make_timestamp(max(e)) AS session_end, "
-        "CAST(count(*) AS INTEGER) AS length, min(epoch_ms(ts)) AS startTime, max(value) AS maxSpeed, "
+        "CAST(count(*) AS INTEGER) AS length, min((epoch_us(ts) // 1000)) AS startTime, max(value) AS maxSpeed, "
         f"round(stddev_pop(value), 4) AS erraticness, {_label('stddev_pop(value)')} AS label",
         str(SESSION_GAP_US)),
     "session_dynamic": _sessions(
@@ -227,10 +227,10 @@ GROUP BY ws, event_type""",
         CAST(0.0 AS REAL) AS tolls, CAST(o_totalprice AS REAL) AS totalFare
         FROM orders WHERE o_orderstatus <> 'P'""",
     "parse_cars": f"""SELECT CAST(event_id AS VARCHAR) AS id, 'car' || CAST(user_id AS VARCHAR) AS carId,
-        date_trunc('second', ts) AS ts, epoch_ms(date_trunc('second', ts)) AS timestamp,
+        date_trunc('second', ts) AS ts, (epoch_us(date_trunc('second', ts)) // 1000) AS timestamp,
         {_coord(LON_BASE, LON_MOD)} AS longitude, {_coord(LAT_BASE, LAT_MOD)} AS latitude,
         CAST(value AS REAL) AS consumption, CAST(value AS REAL) AS speed, CAST(value AS REAL) AS throttle,
         CAST(1.5 AS REAL) AS engineload FROM events""",
-    "parse_key_ts": """SELECT CAST(user_id AS VARCHAR) AS key, make_timestamp(epoch_ms(ts) * 1000) AS ts,
-        epoch_ms(ts) AS ts_ms FROM events""",
+    "parse_key_ts": """SELECT CAST(user_id AS VARCHAR) AS key, make_timestamp((epoch_us(ts) // 1000) * 1000) AS ts,
+        (epoch_us(ts) // 1000) AS ts_ms FROM events""",
 }
