@@ -43,6 +43,17 @@ def _ts(tok: Column, fmt: str = TIME_FORMAT) -> Column:
     return F.try_to_timestamp(tok, F.lit(fmt))
 
 
+def _tokens(lines: DataFrame, line_col: str, split) -> DataFrame:
+    """(line, _t) with the token array computed once per line.
+
+    The one-element ``explode`` is a plan barrier: without it the optimizer
+    inlines the split into every token reference (and into the pushed-down
+    validity filter), re-splitting each line once per field.
+    """
+    return lines.select(F.col(line_col).alias("line"),
+                        F.explode(F.array(split(F.col(line_col)))).alias("_t"))
+
+
 def _finish(parsed: DataFrame, cols: list[str], mode: str) -> tuple[DataFrame, DataFrame]:
     bad = parsed.where(F.col("reason").isNotNull()).select("line", "reason")
     if mode == "fail":
@@ -64,7 +75,7 @@ def _first_reason(checks: list[tuple[str, Column]]) -> Column:
 
 def parse_rides(lines: DataFrame, mode: str = "quarantine", line_col: str = "line"):
     """11-field ride CSV.  START: field 2 = start, 3 = end; END: swapped."""
-    df = lines.select(F.col(line_col).alias("line"), java_split(F.col(line_col), ",").alias("_t"))
+    df = _tokens(lines, line_col, lambda c: java_split(c, ","))
     t = F.col("_t")
     tok = lambda i: F.try_element_at(t, F.lit(i + 1))
     flag = tok(1)
@@ -97,8 +108,7 @@ def parse_rides(lines: DataFrame, mode: str = "quarantine", line_col: str = "lin
 
 def parse_fares(lines: DataFrame, mode: str = "quarantine", line_col: str = "line"):
     """8-field fare CSV: rideId, taxiId, driverId, startTime, paymentType, tip, tolls, totalFare."""
-    t = java_split(F.col(line_col), ",")
-    df = lines.select(F.col(line_col).alias("line"), t.alias("_t"))
+    df = _tokens(lines, line_col, lambda c: java_split(c, ","))
     tok = lambda i: F.try_element_at(F.col("_t"), F.lit(i + 1))
     parsed = df.select(
         "line", F.size("_t").alias("_n"),
@@ -118,8 +128,7 @@ def parse_fares(lines: DataFrame, mode: str = "quarantine", line_col: str = "lin
 
 def parse_car_events(lines: DataFrame, mode: str = "quarantine", line_col: str = "line"):
     """23 tokens split by ``(,|;)\\s*``; keeps carId, id, timestamp and six measures."""
-    t = java_split(F.col(line_col), CAR_SPLIT)
-    df = lines.select(F.col(line_col).alias("line"), t.alias("_t"))
+    df = _tokens(lines, line_col, lambda c: java_split(c, CAR_SPLIT))
     tok = lambda i: F.try_element_at(F.col("_t"), F.lit(i + 1))
     ts = _ts(tok(22), CAR_TIME_FORMAT)
     parsed = df.select(
@@ -143,8 +152,7 @@ def parse_car_events(lines: DataFrame, mode: str = "quarantine", line_col: str =
 
 def parse_key_ts(lines: DataFrame, mode: str = "quarantine", line_col: str = "line"):
     """``key,epochMillis`` -> (key string, ts timestamp, ts_ms long)."""
-    t = F.split(F.col(line_col), ",", -1)
-    df = lines.select(F.col(line_col).alias("line"), t.alias("_t"))
+    df = _tokens(lines, line_col, lambda c: F.split(c, ",", -1))
     ms = _long(F.try_element_at(F.col("_t"), F.lit(2)))
     parsed = df.select("line", F.size("_t").alias("_n"),
                        F.try_element_at(F.col("_t"), F.lit(1)).alias("key"), ms.alias("ts_ms"))
