@@ -28,6 +28,7 @@ MINUTE_US = 60_000_000
 LATE_DELAY_US = HOUR_US            # out-of-order tolerance for the sorter
 WINDOW_LATE_DELAY_US = 10 * MINUTE_US
 WALLCLOCK_DELAY_US = 30 * MINUTE_US
+ALLOWED_LATENESS_US = 20 * MINUTE_US
 SESSION_GAP_US = 12 * HOUR_US
 IDLE_GAP_US = 6 * HOUR_US
 MARKER_TYPE = "signup"
@@ -217,6 +218,13 @@ def q_late_window(spark, d):
                    .select(as_ntz("window_start").alias("window_start"), "event_type", "n"))
 
 
+def q_late_window_allowed(spark, d):
+    on_time, _ = ev.window_late_split(_arrivals(spark, d, "event_type"), "ts", "arr", "event_id",
+                                      "1 hour", WINDOW_LATE_DELAY_US, ALLOWED_LATENESS_US)
+    return (on_time.groupBy("window_start", "event_type").agg(F.count(F.lit(1)).alias("n"))
+                   .select(as_ntz("window_start").alias("window_start"), "event_type", "n"))
+
+
 def q_late_window_side(spark, d):
     _, late = ev.window_late_split(_arrivals(spark, d, "event_type"), "ts", "arr", "event_id",
                                    "1 hour", WINDOW_LATE_DELAY_US)
@@ -324,6 +332,12 @@ def q_parse_rides_bad(spark, d):
     return bad.select(F.split("line", ",").getItem(0).cast("long").alias("rideId"), "reason")
 
 
+def q_ride_count(spark, d):
+    """Rides per driver after parsing and the NYC filter (final running count)."""
+    good, _ = parse_rides(_ride_lines(spark, d))
+    return rides.ride_counts(rides.filter_nyc(good))
+
+
 def q_cell_longest(spark, d):
     """Flagship (a): lines -> parse -> NYC filter -> grid -> END durations -> longest per cell."""
     enriched, _ = rides.cleanse(_ride_lines(spark, d))
@@ -377,6 +391,7 @@ def q_parse_key_ts(spark, d):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cell_longest": q_cell_longest,
+    "ride_count": q_ride_count,
     "hourly_tips": q_hourly_tips,
     "hourly_top": q_hourly_top,
     "keyed_count": q_keyed_count,
@@ -402,6 +417,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "late_marker": q_late_marker,
     "late_window": q_late_window,
     "late_window_side": q_late_window_side,
+    "late_window_allowed": q_late_window_allowed,
     "late_wallclock": q_late_wallclock,
     "idle_count": q_idle_count,
     "pair_join": q_pair_join,

@@ -7,7 +7,7 @@ it checks the distributed Spark plans rather than restating them.
 
 from __future__ import annotations
 
-from cabflow.plans.driver import (COUNT_WINDOW, HOUR_US, IDLE_GAP_US, LATE_DELAY_US, MARKER_TYPE, MINUTE_US,
+from cabflow.plans.driver import (ALLOWED_LATENESS_US, COUNT_WINDOW, HOUR_US, IDLE_GAP_US, LATE_DELAY_US, MARKER_TYPE, MINUTE_US,
                                   SESSION_GAP_US, WALLCLOCK_DELAY_US, WINDOW_LATE_DELAY_US)
 from cabflow.sources.tables import (ARRIVAL_MOD_MINUTES, ARRIVAL_MULT, COORD_STEP, END_LAT_MOD, END_LON_MOD,
                                     LAT_BASE, LAT_MOD, LON_BASE, LON_MOD)
@@ -69,9 +69,9 @@ w AS (SELECT *, max({wm_src}) OVER (ORDER BY arr, event_id
 SELECT {select} FROM w WHERE {cond}"""
 
 
-def _late_window(late: bool) -> str:
-    cond = ("epoch_us(window_start) + 3600000000 <= wm" if late
-            else "(wm IS NULL OR epoch_us(window_start) + 3600000000 > wm)")
+def _late_window(late: bool, allowed_us: int = 0) -> str:
+    end = f"epoch_us(window_start) + {HOUR_US + allowed_us}"
+    cond = f"{end} <= wm" if late else f"(wm IS NULL OR {end} > wm)"
     return f"""
 WITH b AS (SELECT event_id, ts, event_type, {ARR} AS arr, date_trunc('hour', ts) AS window_start FROM events),
 w AS (SELECT *, max(epoch_us(ts)) OVER (ORDER BY arr, event_id
@@ -180,6 +180,8 @@ ORACLE: dict[str, str] = {
     "late_marker": _late(f"CASE WHEN event_type = '{MARKER_TYPE}' THEN epoch_us(ts) END", LATE_DELAY_US,
                          "event_id, user_id, ts, arr"),
     "late_window": f"SELECT window_start, event_type, count(*) AS n FROM ({_late_window(False)}) GROUP BY 1, 2",
+    "late_window_allowed": f"""SELECT window_start, event_type, count(*) AS n
+        FROM ({_late_window(False, ALLOWED_LATENESS_US)}) GROUP BY 1, 2""",
     "late_window_side": f"SELECT event_id, event_type, window_start FROM ({_late_window(True)})",
     "late_wallclock": f"""
 WITH b AS (SELECT event_type, epoch_us(ts) AS t, epoch_us({ARR}) AS a FROM events),
@@ -212,6 +214,9 @@ GROUP BY ws, event_type""",
              ELSE date_trunc('second', arr) END AS endTime,
         slon AS startLon, slat AS startLat, elon AS endLon, elat AS endLat,
         CAST(event_id % 6 + 1 AS SMALLINT) AS passengerCnt, user_id AS taxiId, user_id AS driverId FROM r""",
+    "ride_count": _RIDES + f"""
+        SELECT user_id AS driverId, count(*) AS rides FROM r
+        WHERE {_inside('slon', 'slat')} AND {_inside('elon', 'elat')} GROUP BY user_id""",
     "parse_rides_bad": "SELECT event_id AS rideId, 'flag' AS reason FROM events WHERE event_type = 'error'",
     "cell_longest": _RIDES + f""",
         d AS (SELECT {_cell('slon', 'slat')} AS startCell, user_id AS driverId,

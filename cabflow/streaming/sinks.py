@@ -72,3 +72,27 @@ def fare_text() -> F.Column:
 
 def enriched_ride_text() -> F.Column:
     return F.concat_ws(",", ride_text(), F.col("startCell").cast("string"), F.col("endCell").cast("string"))
+
+
+def car_event_text() -> F.Column:
+    """``ConnectedCarEvent{id='..', carId='..', timestamp=.., longitude=.., ...}``."""
+    c = F.col
+    parts = [F.lit("ConnectedCarEvent{id='"), c("id"), F.lit("', carId='"), c("carId"),
+             F.lit("', timestamp="), c("timestamp").cast("string")]
+    for name in ("longitude", "latitude", "consumption", "speed", "throttle", "engineload"):
+        parts += [F.lit(f", {name}="), c(name).cast("string")]
+    return F.concat(*parts, F.lit("}"))
+
+
+def pair_text(ride: str = "ride", fare: str = "fare") -> F.Column:
+    """``(<ride csv>,<fare csv>)`` for a struct<ride, fare> pair row."""
+    r = F.col(ride)
+    f = F.col(fare)
+    ride_csv = F.concat_ws(",", r["rideId"].cast("string"), F.when(r["isStart"], "START").otherwise("END"),
+                           F.date_format(r["startTime"], TIME_FMT), F.date_format(r["endTime"], TIME_FMT),
+                           *[r[x].cast("string") for x in ("startLon", "startLat", "endLon", "endLat",
+                                                            "passengerCnt", "taxiId", "driverId")])
+    fare_csv = F.concat_ws(",", f["rideId"].cast("string"), f["taxiId"].cast("string"), f["driverId"].cast("string"),
+                           F.date_format(f["startTime"], TIME_FMT), f["paymentType"],
+                           *[f[x].cast("string") for x in ("tip", "tolls", "totalFare")])
+    return F.concat(F.lit("("), ride_csv, F.lit(","), fare_csv, F.lit(")"))
