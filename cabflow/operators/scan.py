@@ -135,15 +135,17 @@ def _make_local_scan(keys: list[str], aggs: list[Agg], out_types: dict):
                     v = pd.Series(np.ones(n, dtype=np.int64))
                 else:
                     v = pdf[a.col]
+                    if a.op in ("max", "min", "last") and pd.api.types.is_integer_dtype(v.dtype):
+                        v = v.astype("Int64")  # nullable: no float round trip above 2**53
                 if a.op == "sum":
                     if isinstance(out_types[a.out], T.LongType):
                         v = v.fillna(0).astype(np.int64)
                     else:
                         v = v.astype(np.float64).fillna(0.0)
                 if cont:
-                    v = pd.concat([pd.Series([state[a.out]], dtype=v.dtype
-                                             if state[a.out] is not None else object), v],
-                                  ignore_index=True)
+                    head = pd.Series([state[a.out]], dtype=v.dtype if state[a.out] is not None
+                                     or isinstance(v.dtype, pd.api.extensions.ExtensionDtype) else object)
+                    v = pd.concat([head, v], ignore_index=True)
                     if v.dtype == object and a.op in ("count", "sum", "max", "min"):
                         v = pd.to_numeric(v)
                 g = v.groupby(ext_gid)
@@ -167,7 +169,7 @@ def _make_local_scan(keys: list[str], aggs: list[Agg], out_types: dict):
                     state[a.out] = None if pd.isna(tail) else tail
                 if isinstance(out_types[a.out], T.LongType) and a.op in ("count", "sum"):
                     res = res.astype(np.int64)
-                out[_local_name(a)] = res.to_numpy()
+                out[_local_name(a)] = res.array
             prev_key = tuple(pdf[k].iloc[-1] for k in keys)
             yield out
 

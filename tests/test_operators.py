@@ -164,3 +164,13 @@ def test_keyed_scan_matches_window_with_hot_key(spark):
         b = running_window(df, keys, ["t", "id"], aggs).select("id", *[x.out for x in aggs])
         assert a.count() == 3000
         assert a.subtract(b).count() == 0 and b.subtract(a).count() == 0
+
+
+def test_keyed_scan_large_longs_exact(spark):
+    big = 2 ** 60
+    rows = [(i, i % 3, big + i) for i in range(600)]
+    df = spark.createDataFrame(rows, "id long, k long, v long")
+    aggs = [Agg("m", "max", "v"), Agg("p", "last", "v"), Agg("mx", "max", "v", inclusive=False)]
+    a = keyed_scan(df, ["k"], ["id"], aggs, partitions=7).select("id", "m", "p", "mx")
+    b = running_window(df, ["k"], ["id"], aggs).select("id", "m", "p", "mx")
+    assert a.subtract(b).count() == 0 and b.subtract(a).count() == 0

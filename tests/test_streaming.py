@@ -94,3 +94,53 @@ def test_word_count_stream_and_batched_sink(spark):
     q.stop()
     back = spark.read.parquet(target)
     assert back.count() == 45 and back.agg(F.sum("x")).first()[0] == sum(range(45))
+
+
+def test_hourly_tips_chained_windows(spark):
+    t = dt.datetime(2024, 1, 1)
+    rows = [(1, t, 5.0), (1, t + dt.timedelta(minutes=10), 2.0), (2, t + dt.timedelta(minutes=20), 6.0),
+            (3, t + dt.timedelta(hours=1, minutes=5), 1.0), (9, dt.datetime(2030, 1, 1), 0.0)]
+    pdf = pd.DataFrame(rows, columns=["driverId", "startTime", "tip"])
+    src = _stream(spark, pdf, "driverId long, startTime timestamp, tip double", chunks=2)
+    per, top = jobs.hourly_tips(src, delay="0 seconds")
+    out = _run(spark, top, "top_hourly")
+    got = sorted((r.window_start, r.driverId, r.tips) for r in out.collect())
+    assert got[:2] == [(t, 1, 7.0), (t + dt.timedelta(hours=1), 3, 1.0)]
+
+
+def test_gap_sessions_stream(spark):
+    t = dt.datetime(2024, 1, 1)
+    secs = [0, 15, 40, 54, 10_000]
+    pdf = pd.DataFrame({"carId": "c", "ts": [t + dt.timedelta(seconds=s) for s in secs],
+                        "speed": 1.0, "throttle": 1.0})
+    src = _stream(spark, pdf, "carId string, ts timestamp, speed double, throttle double", chunks=2)
+    out = _run(spark, jobs.gap_sessions(src, "ts", "carId", "15 seconds", delay="0 seconds"), "gaps")
+    assert sorted(r.length for r in out.collect()) == [2, 2]
+
+
+def test_rides_join_fares_stream(spark):
+    t = dt.datetime(2024, 1, 1)
+    rides = pd.DataFrame({"rideId": [1, 1, 2], "isStart": [True, False, True],
+                          "startTime": [t, t, t + dt.timedelta(minutes=5)]})
+    fares = pd.DataFrame({"rideId": [1, 2, 3], "startTime": [t, t + dt.timedelta(minutes=5), t],
+                          "tip": [1.0, 2.0, 3.0]})
+    r = _stream(spark, rides, "rideId long, isStart boolean, startTime timestamp")
+    f = _stream(spark, fares, "rideId long, startTime timestamp, tip double")
+    out = _run(spark, jobs.rides_join_fares(r, f), "ride_fare")
+    assert sorted((x.ride.rideId, x.fare.tip) for x in out.collect()) == [(1, 1.0), (2, 2.0)]
+
+
+def test_idle_counter_processing_time(spark):
+    import time
+    d = tempfile.mkdtemp(prefix="cabflow-idle-")
+    spark.createDataFrame([("w",), ("w",), ("w",), ("v",)], "word string").write.mode("append").parquet(d)
+    src = spark.readStream.schema("word string").parquet(d)
+    q = sinks.to_memory(jobs.idle_counts(src, gap_ms=1000), "idle", tempfile.mkdtemp(prefix="cabflow-ck-"),
+                        mode="update", trigger={"processingTime": "500 milliseconds"})
+    deadline = time.time() + 60
+    got = {}
+    while time.time() < deadline and len(got) < 2:
+        time.sleep(1)
+        got = {r.key: r.n for r in spark.table("idle").collect()}
+    q.stop()
+    assert got == {"w": 3, "v": 1}
