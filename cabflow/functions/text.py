@@ -30,11 +30,19 @@ def tokenize(line) -> Column:
     ``"A b  "`` -> ``a, b``; ``" a  b"`` -> ``"", a, "", b``; ``""`` -> ``""``;
     ``"   "`` -> no tokens.
     """
-    return java_split(F.lower(_c(line)), " ")
+    s = F.lower(_c(line))
+    stripped = F.rtrim(s)            # trailing spaces only, no regex
+    return (F.when(s == "", F.array(F.lit("")))
+             .when(stripped == "", F.array().cast("array<string>"))
+             .otherwise(F.split(stripped, " ", -1)))
 
 
 def text_lines(text) -> Column:
     """Split a text into lines the way a line source does: one final line
     terminator does not start an extra empty line; ``\\r\\n`` counts as one."""
-    t = F.regexp_replace(_c(text), "\\r?\\n\\z", "")
-    return F.transform(F.split(t, "\\n", -1), lambda x: F.regexp_replace(x, "\\r\\z", ""))
+    t = _c(text)
+    t = (F.when(t.endswith("\r\n"), t.substr(F.lit(1), F.length(t) - 2))
+          .when(t.endswith("\n"), t.substr(F.lit(1), F.length(t) - 1))
+          .otherwise(t))
+    return F.transform(F.split(t, "\n", -1),
+                       lambda x: F.when(x.endswith("\r"), x.substr(F.lit(1), F.length(x) - 1)).otherwise(x))

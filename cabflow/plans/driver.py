@@ -19,6 +19,7 @@ from cabflow.functions.text import text_lines, tokenize
 from cabflow.functions.timecols import as_ntz, micros, whole_minutes
 from cabflow.operators import aggregates, events as ev, joins, keyed, rides, segments, windows
 from cabflow.operators.ingest import parse_car_events, parse_fares, parse_key_ts, parse_rides
+from cabflow.session import spread
 from cabflow.sources.tables import (END_LAT_MOD, END_LON_MOD, LAT_BASE, LAT_MOD, LON_BASE, LON_MOD,
                                     arrival, coord, table)
 
@@ -280,7 +281,7 @@ def q_pair_unmatched(spark, d):
 # ---------------------------------------------------------------- text / geo
 
 def q_word_count(spark, d):
-    docs = table(spark, d, "documents").select("text")
+    docs = spread(table(spark, d, "documents").select("text"))
     lines = docs.select(F.explode(text_lines("text")).alias("line"))
     words = lines.select(F.explode(tokenize("line")).alias("word"))
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))

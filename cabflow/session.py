@@ -90,3 +90,15 @@ def local_test_session(cores: int = 8) -> SparkSession:
         extra={"spark.driver.memory": os.environ.get("CABFLOW_DRIVER_MEM", "8g"),
                "spark.sql.adaptive.coalescePartitions.enabled": "true"},
     )
+
+
+def spread(df, factor: int = 2):
+    """Round-robin a DataFrame over the cluster's cores when it arrives in
+    fewer partitions than there are cores (a few large files or row groups
+    before CPU-heavy per-row work).  At scale the input already has far more
+    splits than cores, so this adds no shuffle there."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores * factor)

@@ -55,3 +55,30 @@ def test_gzip_lines_batch_and_stream(spark):
     assert sorted(r.isStart for r in rows) == [False, True]
     from cabflow.operators import rides
     assert {r.startCell for r in rows} == {r.startCell for r in rides.enrich(rides.filter_nyc(good)).collect()}
+
+
+def test_stop_segments_stream_equals_batch(spark):
+    from cabflow.operators import segments
+    ev = (spark.read.parquet(f"{SF}/events.parquet")
+          .select(F.col("user_id").cast("string").alias("carId"), F.col("event_id").alias("id"),
+                  F.col("ts").cast("timestamp").alias("ts"),
+                  F.when(F.col("event_type") == "error", F.lit(0.0)).otherwise(F.col("value")).cast("float")
+                  .alias("speed"),
+                  F.col("value").cast("float").alias("throttle")))
+    batch = segments.stop_segments(ev, "carId", "ts", "id", F.col("speed") == 0)
+    want = {(r.carId, r.startTime, r.length, round(r.erraticness, 3)) for r in batch.collect()}
+    src = tempfile.mkdtemp(prefix="cabflow-stop-")
+    rows = ev.withColumn("timestamp", F.unix_millis("ts")).withColumn("seq", F.col("id"))
+    rows.drop("ts").repartition(3).write.mode("overwrite").parquet(src + "/a")
+    sentinel = (ev.select("carId").distinct()
+                .select("carId", F.lit(10 ** 9).cast("long").alias("id"), F.lit(1.0).cast("float").alias("speed"),
+                        F.lit(1.0).cast("float").alias("throttle"), F.lit(4_102_444_800_000).alias("timestamp"),
+                        F.lit(10 ** 9).cast("long").alias("seq")))
+    sentinel.write.mode("overwrite").parquet(src + "/b")
+    schema = "carId string, id long, speed float, throttle float, timestamp long, seq long"
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(src + "/*")
+    q = sinks.to_memory(jobs.stop_segments(stream, delay_ms=10 * 365 * 86_400_000), "par_stop", tempfile.mkdtemp(prefix="cabflow-ck-"))
+    q.processAllAvailable()
+    q.stop()
+    got = {(r.key, r.startTime, r.length, round(r.erraticness, 3)) for r in spark.table("par_stop").collect()}
+    assert got == want and len(want) > 50
