@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cabflow.session import default_parallelism, ensure_checkpoint_dir
+from cabflow.session import ensure_checkpoint_dir, scan_partitions
 
 PID = "_scan_pid"
 FIRST = "_scan_first"
@@ -176,6 +176,39 @@ def _make_local_scan(keys: list[str], aggs: list[Agg], out_types: dict):
     return scan
 
 
+def _ranged_local(df: DataFrame, keys: list[str], order: list[str], local_fn,
+                  extra: list[T.StructField], partitions: int | None) -> DataFrame:
+    """Range-partition on (keys, order), sort, run the partition-local pass
+    and checkpoint the result (columns of ``df`` + PID + FIRST + ``extra``)."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    n = partitions or scan_partitions(spark)
+    sort_cols = [F.col(c).asc_nulls_first() for c in [*keys, *order]]
+    ranged = (df.repartitionByRange(n, *sort_cols)
+                .sortWithinPartitions(*sort_cols)
+                .withColumn(PID, F.spark_partition_id()))
+    local_schema = T.StructType(list(ranged.schema.fields)
+                                + [T.StructField(FIRST, T.BooleanType(), False)] + extra)
+    local = ranged.mapInPandas(local_fn, local_schema)
+    # One physical layout for every branch below; lineage cut on shared storage.
+    return local.checkpoint(eager=True)
+
+
+def _attach(local: DataFrame, keys: list[str], carry: DataFrame) -> DataFrame:
+    """Left-join the carry table (at most one row per partition) on (PID, keys)."""
+    carry = carry.select(*[F.col(c).alias(f"_scan_k_{c}") if c in keys or c == PID else F.col(c)
+                           for c in carry.columns])
+    cond = F.col(PID) == F.col(f"_scan_k_{PID}")
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_scan_k_{k}"))
+    return local.join(F.broadcast(carry), cond, "left")
+
+
+def _windows(keys: list[str]):
+    w_all = Window.partitionBy(*keys).orderBy(PID) if keys else Window.orderBy(PID)
+    return w_all, w_all.rowsBetween(Window.unboundedPreceding, -1)
+
+
 def keyed_scan(df: DataFrame, keys: list[str], order: list[str], aggs: list[Agg],
                partitions: int | None = None) -> DataFrame:
     """Add one column per ``Agg``: its running value per key in ``order``.
@@ -183,25 +216,11 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], aggs: list[Agg]
     ``keys`` may be empty (one global order).  Returns every input row with
     the extra columns; nothing is dropped, capped or sampled.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = partitions or default_parallelism(spark)
     schema = df.schema
     out_types = {a.out: _out_type(a, schema) for a in aggs}
-
-    sort_cols = [F.col(c).asc_nulls_first() for c in [*keys, *order]]
-    ranged = (df.repartitionByRange(n, *sort_cols)
-                .sortWithinPartitions(*sort_cols)
-                .withColumn(PID, F.spark_partition_id()))
-
-    local_schema = T.StructType(
-        list(ranged.schema.fields)
-        + [T.StructField(FIRST, T.BooleanType(), False)]
-        + [T.StructField(_local_name(a), out_types[a.out], True) for a in aggs]
-    )
-    local = ranged.mapInPandas(_make_local_scan(keys, aggs, out_types), local_schema)
-    # One physical layout for both branches below; lineage cut on shared storage.
-    local = local.checkpoint(eager=True)
+    local = _ranged_local(df, keys, order, _make_local_scan(keys, aggs, out_types),
+                          [T.StructField(_local_name(a), out_types[a.out], True) for a in aggs],
+                          partitions)
 
     # Per (partition, key) totals -> combined over earlier partitions of the key.
     parts = []
@@ -218,8 +237,7 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], aggs: list[Agg]
             parts.append(F.max_by(F.col(a.col), F.struct(*order)).alias(a.out))
     summary = local.groupBy(PID, *keys).agg(*parts)
 
-    w_all = Window.partitionBy(*keys).orderBy(PID) if keys else Window.orderBy(PID)
-    w_prev = w_all.rowsBetween(Window.unboundedPreceding, -1)
+    w_all, w_prev = _windows(keys)
     carry_cols = [F.col(PID)] + [F.col(k) for k in keys]
     for a in aggs:
         c = F.col(a.out)
@@ -233,17 +251,11 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], aggs: list[Agg]
             e = F.lag(c, 1).over(w_all)
         carry_cols.append(e.alias(_carry_name(a)))
     carry_cols.append(F.count(F.lit(1)).over(w_prev).alias("_scan_prev_parts"))
+    # At most one row per partition (only a partition's first key continues).
     carry = (summary.select(*carry_cols)
              .where(F.col("_scan_prev_parts") > 0)
              .drop("_scan_prev_parts"))
-    # At most one row per partition (only a partition's first key continues).
-    carry = carry.select(*[F.col(c).alias(f"_scan_k_{c}") if c in keys or c == PID else F.col(c)
-                           for c in carry.columns])
-
-    cond = F.col(PID) == F.col(f"_scan_k_{PID}")
-    for k in keys:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"_scan_k_{k}"))
-    joined = local.join(F.broadcast(carry), cond, "left")
+    joined = _attach(local, keys, carry)
 
     finals = []
     for a in aggs:
@@ -257,9 +269,90 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], aggs: list[Agg]
         else:
             e = F.when(F.col(FIRST), car).otherwise(loc)
         finals.append(e.cast(out_types[a.out]).alias(a.out))
+    return joined.select(*[F.col(c) for c in df.columns], *finals)
+
+
+SESS_START = "_sess_l_start"
+
 
-    keep = [c for c in df.columns]
-    return joined.select(*[F.col(c) for c in keep], *finals)
+def _make_session_scan(keys: list[str], t_col: str, end_col: str):
+    """Partition-local sessions: a row opens a session when its time is beyond
+    the running max of earlier row ends of its key; each row gets the time of
+    the latest opening row.  State carries across Arrow batches."""
+
+    def scan(batches):
+        prev_key, st_end, st_start = None, None, None
+        for pdf in batches:
+            n = len(pdf)
+            if n == 0:
+                continue
+            pdf = pdf.reset_index(drop=True)
+            new = _boundaries(pdf, keys)
+            first_key = tuple(pdf[k].iloc[0] for k in keys)
+            cont = prev_key is not None and (not keys or _same_key(first_key, prev_key))
+            gid = np.cumsum(new) - 1
+            first = new.copy()
+            t = pdf[t_col].to_numpy(dtype=np.int64)
+            e = pd.Series(pdf[end_col].to_numpy(dtype=np.int64))
+            if cont:
+                first[0] = False
+                ext_gid = np.concatenate([[0], gid])
+                e = pd.concat([pd.Series([st_end], dtype=np.int64), e], ignore_index=True)
+            else:
+                ext_gid = gid
+            inc_end = e.groupby(ext_gid).cummax()
+            prev_end = inc_end.groupby(ext_gid).shift(1)
+            if cont:
+                prev_end = prev_end.iloc[1:].reset_index(drop=True)
+            pe = prev_end.to_numpy(dtype=np.float64, na_value=np.nan)
+            opens = np.isnan(pe) | (t > pe)
+            if cont:
+                opens[0] = t[0] > st_end
+            starts = pd.Series(pd.arrays.IntegerArray(t.copy(), ~opens))
+            if cont:
+                starts = pd.concat([pd.Series([st_start], dtype="Int64"), starts], ignore_index=True)
+            cur = starts.groupby(ext_gid).ffill()
+            if cont:
+                cur = cur.iloc[1:].reset_index(drop=True)
+            out = pdf.copy()
+            out[FIRST] = first
+            out[SESS_START] = cur.array
+            st_end = int(inc_end.iloc[-1])
+            st_start = int(cur.iloc[-1])
+            prev_key = tuple(pdf[k].iloc[-1] for k in keys)
+            yield out
+
+    return scan
+
+
+def session_scan(df: DataFrame, keys: list[str], t_col: str, end_col: str, tie: str,
+                 out: str = "session_start_us", partitions: int | None = None) -> DataFrame:
+    """Session start (epoch micros) of every row in one skew-proof pass.
+
+    ``t_col`` / ``end_col`` are epoch-micro longs (row time, row time + gap).
+    A row opens a session iff ``t > max(end of earlier rows of its key)``
+    (touching sessions merge, as ``session_window`` does).  Across partitions:
+    a continuing run keeps the carried session until its first local opening
+    row whose time is beyond the carried max end – so one pass suffices.
+    """
+    local = _ranged_local(df, keys, [t_col, tie], _make_session_scan(keys, t_col, end_col),
+                          [T.StructField(SESS_START, T.LongType(), True)], partitions)
+    summary = local.groupBy(PID, *keys).agg(F.max(end_col).alias("_run_end"),
+                                            F.max(SESS_START).alias("_run_start"))
+    w_all, w_prev = _windows(keys)
+    step = summary.select(PID, *keys, "_run_start",
+                          F.max("_run_end").over(w_prev).alias("_c_end"),
+                          F.count(F.lit(1)).over(w_prev).alias("_prev_parts"))
+    # A run's own last start is global iff it lies beyond the carried max end.
+    step = step.withColumn("_cand", F.when(F.col("_c_end").isNull() | (F.col("_run_start") > F.col("_c_end")),
+                                           F.col("_run_start")))
+    carry = (step.select(PID, *keys, "_c_end", "_prev_parts",
+                         F.last("_cand", ignorenulls=True).over(w_prev).alias("_c_start"))
+                 .where(F.col("_prev_parts") > 0).drop("_prev_parts"))
+    joined = _attach(local, keys, carry)
+    loc = F.col(SESS_START)
+    start = F.when(F.col("_c_end").isNull() | (loc > F.col("_c_end")), loc).otherwise(F.col("_c_start"))
+    return joined.select(*[F.col(c) for c in df.columns], start.alias(out))
 
 
 def running_window(df: DataFrame, keys: list[str], order: list[str], aggs: list[Agg]) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cabflow.functions.timecols import micros
-from cabflow.operators.scan import Agg, keyed_scan
+from cabflow.operators.scan import Agg, keyed_scan, session_scan
 
 
 def _c(c) -> Column:
@@ -61,17 +61,13 @@ def sessionize(df: DataFrame, keys: list[str], ts: str, tie: str, gap_us: Column
     ``max(previous time + previous gap)`` of its key; touching sessions merge.
 
     ``gap_us`` is a literal number of microseconds or a per-row Column.
-    Two skew-proof scans: the running max of row ends, then the latest
-    session start.  Rows keep their columns plus ``out`` and ``_end_us``.
+    One skew-proof scan (``session_scan``).  Rows keep their columns plus
+    ``out`` and ``_end_us``.
     """
     gap = F.lit(gap_us) if isinstance(gap_us, int) else gap_us
     base = df.withColumns({"_t_us": micros(ts), "_end_us": micros(ts) + gap.cast("long")})
-    s1 = keyed_scan(base, keys, ["_t_us", tie], [Agg("_prev_end", "max", "_end_us", inclusive=False)])
-    starts = s1.withColumn("_start_us", F.when(F.col("_prev_end").isNull()
-                                               | (F.col("_t_us") > F.col("_prev_end")), F.col("_t_us")))
-    s2 = keyed_scan(starts, keys, ["_t_us", tie], [Agg("_sess_us", "max", "_start_us")])
-    return (s2.withColumn(out, F.timestamp_micros(F.col("_sess_us")))
-              .drop("_prev_end", "_start_us", "_sess_us", "_t_us"))
+    s = session_scan(base, keys, "_t_us", "_end_us", tie, out="_sess_us")
+    return s.withColumn(out, F.timestamp_micros(F.col("_sess_us"))).drop("_sess_us", "_t_us")
 
 
 def sessions(df: DataFrame, keys: list[str], ts: str, tie: str, gap_us: Column | int,

@@ -72,14 +72,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def default_parallelism(spark: SparkSession) -> int:
-    """Number of range partitions for scans: the shuffle-partition setting,
-    which a cluster sizes to its data volume."""
-    try:
-        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    except Exception:  # pragma: no cover - conf always has a default
-        n = 200
-    return max(1, n)
+def scan_partitions(spark: SparkSession) -> int:
+    """Number of range partitions for ordered scans.
+
+    ``cabflow.scan.partitions`` if set, else ``spark.sql.shuffle.partitions``.
+    Size it so one partition of the scanned (narrow) columns fits an
+    executor task comfortably, e.g. projected bytes / 256 MB on a cluster.
+    """
+    v = spark.conf.get("cabflow.scan.partitions", None) or spark.conf.get("spark.sql.shuffle.partitions")
+    return max(1, int(v))
 
 
 def local_test_session(cores: int = 8) -> SparkSession:

@@ -174,3 +174,22 @@ def test_keyed_scan_large_longs_exact(spark):
     a = keyed_scan(df, ["k"], ["id"], aggs, partitions=7).select("id", "m", "p", "mx")
     b = running_window(df, ["k"], ["id"], aggs).select("id", "m", "p", "mx")
     assert a.subtract(b).count() == 0 and b.subtract(a).count() == 0
+
+
+def test_session_scan_matches_brute_force(spark):
+    from pyspark.sql import Window
+    from cabflow.operators.scan import session_scan
+    random.seed(11)
+    rows = []
+    for i in range(4000):
+        k = 0 if random.random() < 0.4 else random.randint(1, 25)
+        t = random.randint(0, 200_000)
+        rows.append((i, k, t, t + random.choice([50, 400, 3000])))
+    df = spark.createDataFrame(rows, "id long, k long, t long, e long")
+    got = session_scan(df, ["k"], "t", "e", "id", out="s", partitions=13).select("id", "s")
+    w = Window.partitionBy("k").orderBy("t", "id")
+    pe = F.max("e").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    b = df.withColumn("st", F.when(pe.isNull() | (F.col("t") > pe), F.col("t")))
+    want = b.select("id", F.max("st").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("s"))
+    assert got.count() == 4000
+    assert got.subtract(want).count() == 0 and want.subtract(got).count() == 0
