@@ -10,8 +10,8 @@ Three forms (SURVEY JOI1):
    the other side pairs with it and clears it; an arrival of the same side
    overwrites it.  Closed form: a new *island* starts whenever a row has the
    same side as the previous row of its key; inside an island sides
-   alternate and rows (1,2), (3,4), ... are the pairs.  Both steps are
-   skew-proof scans, so a hot key never lands in one task.
+   alternate and rows (1,2), (3,4), ... are the pairs.  One skew-proof
+   scan (``pair_scan``), so a hot key never lands in one task.
 3. ``unmatched`` – rows without a partner on the other side (anti joins).
 """
 
@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cabflow.operators.scan import Agg, keyed_scan
+from cabflow.operators.scan import pair_scan
 
 
 def equi_pairs(left: DataFrame, right: DataFrame, key: str, right_key: str | None = None) -> DataFrame:
@@ -45,17 +45,7 @@ def pair_first_come(left: DataFrame, right: DataFrame, key: str, time: str, iden
               .unionByName(right.select(F.col(key).alias("k"), F.col(rt).cast("timestamp").alias("t"),
                                         F.col(ri).cast("long").alias("i"), F.lit(1).alias("side"))))
     tagged = tagged.withColumn("t_us", F.unix_micros("t"))
-    order = ["t_us", "side", "i"]
-    s1 = keyed_scan(tagged, ["k"], order, [Agg("rn", "count"), Agg("prev_side", "last", "side"),
-                                           Agg("prev_i", "last", "i"), Agg("prev_t", "last", "t_us")])
-    starts = s1.withColumn(
-        "start_code",
-        F.when(F.col("prev_side").isNull() | (F.col("prev_side") == F.col("side")),
-               F.col("rn") * 2 + F.col("side")))
-    s2 = keyed_scan(starts, ["k"], order, [Agg("island", "max", "start_code")])
-    island_rn = F.floor(F.col("island") / 2)
-    closer = ((F.col("rn") - island_rn) % 2) == 1
-    pairs = s2.where(closer)
+    pairs = pair_scan(tagged, ["k"]).where(F.col("closer"))
     lid = F.when(F.col("side") == 1, F.col("prev_i")).otherwise(F.col("i"))
     rid = F.when(F.col("side") == 1, F.col("i")).otherwise(F.col("prev_i"))
     ltm = F.when(F.col("side") == 1, F.col("prev_t")).otherwise(F.col("t_us"))

@@ -355,6 +355,109 @@ def session_scan(df: DataFrame, keys: list[str], t_col: str, end_col: str, tie:
     return joined.select(*[F.col(c) for c in df.columns], start.alias(out))
 
 
+def _make_pair_scan(keys: list[str]):
+    """Partition-local pairing islands over rows sorted by (keys, t, side, i).
+
+    Per row: its position ``rn`` in the key run, the previous row (side, i,
+    t), the side of the run's first row, and ``start2`` – the latest position
+    >= 2 whose side equals its predecessor's (an island start that does not
+    depend on earlier partitions)."""
+
+    def scan(batches):
+        prev_key, st = None, None
+        for pdf in batches:
+            n = len(pdf)
+            if n == 0:
+                continue
+            pdf = pdf.reset_index(drop=True)
+            new = _boundaries(pdf, keys)
+            first_key = tuple(pdf[k].iloc[0] for k in keys)
+            cont = prev_key is not None and (not keys or _same_key(first_key, prev_key))
+            gid = np.cumsum(new) - 1
+            first = new.copy()
+            side = pdf["side"].to_numpy(dtype=np.int64)
+            ident = pdf["i"].to_numpy(dtype=np.int64)
+            t = pdf["t_us"].to_numpy(dtype=np.int64)
+            rn = pd.Series(np.ones(n, dtype=np.int64)).groupby(gid).cumsum().to_numpy()
+            lag = lambda a: pd.Series(a).groupby(gid).shift(1).to_numpy(dtype=np.float64, na_value=np.nan)
+            ps, pi, pt = lag(side), lag(ident), lag(t)
+            fs = pd.Series(side).groupby(gid).transform("first").to_numpy()
+            if cont:
+                first[0] = False
+                rn[gid == 0] += st["rn"]
+                ps[0], pi[0], pt[0] = st["side"], st["i"], st["t"]
+                fs[gid == 0] = st["first_side"]
+            has_prev = ~np.isnan(ps)
+            opens = has_prev & (ps == side)
+            starts = pd.Series(pd.arrays.IntegerArray(rn.copy(), ~opens))
+            ext_gid = gid
+            if cont:
+                starts = pd.concat([pd.Series([st["start2"]], dtype="Int64"), starts], ignore_index=True)
+                ext_gid = np.concatenate([[0], gid])
+            start2 = starts.groupby(ext_gid).ffill()
+            if cont:
+                start2 = start2.iloc[1:].reset_index(drop=True)
+            out = pdf.copy()
+            out[FIRST] = first
+            out["_p_rn"] = rn
+            out["_p_prev_side"] = pd.arrays.IntegerArray(np.where(has_prev, ps, 0).astype(np.int64), ~has_prev)
+            out["_p_prev_i"] = pd.arrays.IntegerArray(np.where(has_prev, pi, 0).astype(np.int64), ~has_prev)
+            out["_p_prev_t"] = pd.arrays.IntegerArray(np.where(has_prev, pt, 0).astype(np.int64), ~has_prev)
+            out["_p_first_side"] = fs.astype(np.int64)
+            out["_p_start2"] = start2.array
+            last2 = start2.iloc[-1]
+            st = {"rn": int(rn[-1]), "side": int(side[-1]), "i": int(ident[-1]), "t": int(t[-1]),
+                  "first_side": int(fs[-1]), "start2": None if pd.isna(last2) else int(last2)}
+            prev_key = tuple(pdf[k].iloc[-1] for k in keys)
+            yield out
+
+    return scan
+
+
+def pair_scan(df: DataFrame, keys: list[str], partitions: int | None = None) -> DataFrame:
+    """One-pass first-come pairing over a tagged union with columns
+    ``side`` (int 0/1), ``i`` (long id) and ``t_us`` (long arrival time).
+
+    Island rule: a row starts an island when it has the same side as the
+    previous row of its key; the 2nd, 4th, ... rows of an island close a pair
+    with their predecessor.  Adds ``closer``, ``prev_i`` and ``prev_t``.
+    """
+    L = T.LongType()
+    local = _ranged_local(df, keys, ["t_us", "side", "i"], _make_pair_scan(keys),
+                          [T.StructField("_p_rn", L, False), T.StructField("_p_prev_side", L, True),
+                           T.StructField("_p_prev_i", L, True), T.StructField("_p_prev_t", L, True),
+                           T.StructField("_p_first_side", L, False), T.StructField("_p_start2", L, True)],
+                          partitions)
+    order = F.struct("t_us", "side", "i")
+    summary = local.groupBy(PID, *keys).agg(
+        F.count(F.lit(1)).alias("_cnt"), F.max_by("side", order).alias("_last_side"),
+        F.max_by("i", order).alias("_last_i"), F.max_by("t_us", order).alias("_last_t"),
+        F.min_by("side", order).alias("_first_side"), F.max("_p_start2").alias("_start2"))
+    w_all, w_prev = _windows(keys)
+    step = summary.select(
+        PID, *keys, "_first_side", "_start2",
+        F.coalesce(F.sum("_cnt").over(w_prev), F.lit(0)).alias("_c_cnt"),
+        F.lag("_last_side").over(w_all).alias("_c_side"), F.lag("_last_i").over(w_all).alias("_c_i"),
+        F.lag("_last_t").over(w_all).alias("_c_t"), F.count(F.lit(1)).over(w_prev).alias("_prev_parts"))
+    first_opens = F.col("_c_side").isNull() | (F.col("_c_side") == F.col("_first_side"))
+    step = step.withColumn("_cand", F.when(F.col("_start2").isNotNull(), F.col("_c_cnt") + F.col("_start2"))
+                                     .when(first_opens, F.col("_c_cnt") + 1))
+    carry = (step.select(PID, *keys, "_c_cnt", "_c_side", "_c_i", "_c_t", "_prev_parts",
+                         F.last("_cand", ignorenulls=True).over(w_prev).alias("_c_island"))
+                 .where(F.col("_prev_parts") > 0).drop("_prev_parts"))
+    j = _attach(local, keys, carry)
+    c0 = F.coalesce(F.col("_c_cnt"), F.lit(0))
+    rn = F.col("_p_rn") + c0
+    row_first_opens = F.col("_c_side").isNull() | (F.col("_c_side") == F.col("_p_first_side"))
+    island = (F.when(F.col("_p_start2").isNotNull(), c0 + F.col("_p_start2"))
+               .when(row_first_opens, c0 + 1).otherwise(F.col("_c_island")))
+    first = F.col(FIRST) & F.col("_c_cnt").isNotNull()
+    return j.select(*[F.col(c) for c in df.columns],
+                    (((rn - island) % 2) == 1).alias("closer"),
+                    F.when(first, F.col("_c_i")).otherwise(F.col("_p_prev_i")).alias("prev_i"),
+                    F.when(first, F.col("_c_t")).otherwise(F.col("_p_prev_t")).alias("prev_t"))
+
+
 def running_window(df: DataFrame, keys: list[str], order: list[str], aggs: list[Agg]) -> DataFrame:
     """Reference implementation with one ordered window per key.
 

@@ -193,3 +193,22 @@ def test_session_scan_matches_brute_force(spark):
     want = b.select("id", F.max("st").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("s"))
     assert got.count() == 4000
     assert got.subtract(want).count() == 0 and want.subtract(got).count() == 0
+
+
+def test_pair_scan_many_partitions(spark):
+    random.seed(21)
+    events = []
+    for n in range(3000):
+        k = 5 if random.random() < 0.35 else random.randint(6, 60)
+        events.append((k, random.randint(0, 1), n))
+    df = spark.createDataFrame([(k, s, i, T0 + dt.timedelta(seconds=i // 3)) for k, s, i in events],
+                               "k long, side int, i long, t timestamp")
+    spark.conf.set("cabflow.scan.partitions", "17")
+    try:
+        p = joins.pair_first_come(df.where("side = 0"), df.where("side = 1"), "k", "t", "i")
+        got = sorted((r.k, r.left_id, r.right_id) for r in p.collect())
+    finally:
+        spark.conf.unset("cabflow.scan.partitions")
+    # arrival order = (t, side, i), as in pair_first_come
+    ordered = sorted(events, key=lambda e: (e[2] // 3, e[1], e[2]))
+    assert got == _state_machine(ordered)
