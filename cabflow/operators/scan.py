@@ -40,6 +40,7 @@ from cabflow.session import ensure_checkpoint_dir, scan_partitions
 
 PID = "_scan_pid"
 FIRST = "_scan_first"
+ROWNO = "_scan_rowno"      # position of a row inside its range partition
 
 
 @dataclass(frozen=True)
@@ -115,6 +116,7 @@ def _make_local_scan(keys: list[str], aggs: list[Agg], out_types: dict):
     def scan(batches):
         prev_key = None           # key tuple of the last row seen
         state: dict = {}          # per agg: inclusive value (or last value) of prev run
+        seen = 0                  # rows of this partition before the batch
         for pdf in batches:
             n = len(pdf)
             if n == 0:
@@ -129,6 +131,8 @@ def _make_local_scan(keys: list[str], aggs: list[Agg], out_types: dict):
                 first[0] = False
             out = pdf.copy()
             out[FIRST] = first
+            out[ROWNO] = np.arange(seen, seen + n, dtype=np.int64)
+            seen += n
             ext_gid = np.concatenate([[0], gid]) if cont else gid
             for a in aggs:
                 if a.op == "count":
@@ -219,7 +223,8 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], aggs: list[Agg]
     schema = df.schema
     out_types = {a.out: _out_type(a, schema) for a in aggs}
     local = _ranged_local(df, keys, order, _make_local_scan(keys, aggs, out_types),
-                          [T.StructField(_local_name(a), out_types[a.out], True) for a in aggs],
+                          [T.StructField(ROWNO, T.LongType(), False)]
+                          + [T.StructField(_local_name(a), out_types[a.out], True) for a in aggs],
                           partitions)
 
     # Per (partition, key) totals -> combined over earlier partitions of the key.
@@ -234,7 +239,7 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], aggs: list[Agg]
         elif a.op == "min":
             parts.append(F.min(a.col).alias(a.out))
         else:
-            parts.append(F.max_by(F.col(a.col), F.struct(*order)).alias(a.out))
+            parts.append(F.max_by(F.col(a.col), F.col(ROWNO)).alias(a.out))
     summary = local.groupBy(PID, *keys).agg(*parts)
 
     w_all, w_prev = _windows(keys)
@@ -428,11 +433,13 @@ def pair_scan(df: DataFrame, keys: list[str], partitions: int | None = None) ->
                            T.StructField("_p_prev_i", L, True), T.StructField("_p_prev_t", L, True),
                            T.StructField("_p_first_side", L, False), T.StructField("_p_start2", L, True)],
                           partitions)
-    order = F.struct("t_us", "side", "i")
+    # Rows of a (partition, key) run are numbered by _p_rn, so "last row"
+    # aggregates order by a long and stay hash aggregates.
+    rn_order = F.col("_p_rn")
     summary = local.groupBy(PID, *keys).agg(
-        F.count(F.lit(1)).alias("_cnt"), F.max_by("side", order).alias("_last_side"),
-        F.max_by("i", order).alias("_last_i"), F.max_by("t_us", order).alias("_last_t"),
-        F.min_by("side", order).alias("_first_side"), F.max("_p_start2").alias("_start2"))
+        F.count(F.lit(1)).alias("_cnt"), F.max_by("side", rn_order).alias("_last_side"),
+        F.max_by("i", rn_order).alias("_last_i"), F.max_by("t_us", rn_order).alias("_last_t"),
+        F.max("_p_first_side").alias("_first_side"), F.max("_p_start2").alias("_start2"))
     w_all, w_prev = _windows(keys)
     step = summary.select(
         PID, *keys, "_first_side", "_start2",
