@@ -1,7 +1,8 @@
 """Typed ingestion of text lines: rides, fares, connected-car events, key/time.
 
 Each parser takes a DataFrame with a string ``line`` column and returns
-``(good, bad)``.  ``bad`` keeps the raw line and a ``reason``; with
+``(good, bad)``; columns named in ``keep`` (e.g. an arrival sequence) are
+carried through to both.  ``bad`` keeps the raw line and a ``reason``; with
 ``mode="fail"`` the good frame raises on the first invalid line instead (the
 reference kills the job).  All work is column expressions, so the same code
 serves ``read`` and ``readStream`` and stays inside whole-stage codegen.
@@ -43,19 +44,20 @@ def _ts(tok: Column, fmt: str = TIME_FORMAT) -> Column:
     return F.try_to_timestamp(tok, F.lit(fmt))
 
 
-def _tokens(lines: DataFrame, line_col: str, split) -> DataFrame:
+def _tokens(lines: DataFrame, line_col: str, split, keep=()) -> DataFrame:
     """(line, _t) with the token array computed once per line.
 
     The one-element ``explode`` is a plan barrier: without it the optimizer
     inlines the split into every token reference (and into the pushed-down
     validity filter), re-splitting each line once per field.
     """
-    return lines.select(F.col(line_col).alias("line"),
+    return lines.select(F.col(line_col).alias("line"), *keep,
                         F.explode(F.array(split(F.col(line_col)))).alias("_t"))
 
 
-def _finish(parsed: DataFrame, cols: list[str], mode: str) -> tuple[DataFrame, DataFrame]:
-    bad = parsed.where(F.col("reason").isNotNull()).select("line", "reason")
+def _finish(parsed: DataFrame, cols: list[str], mode: str, keep=()) -> tuple[DataFrame, DataFrame]:
+    cols = [*cols, *keep]
+    bad = parsed.where(F.col("reason").isNotNull()).select("line", "reason", *keep)
     if mode == "fail":
         good = parsed.where(F.when(F.col("reason").isNull(), F.lit(True))
                             .otherwise(F.raise_error(F.concat(F.lit("Invalid record: "), F.col("line")))))
@@ -73,16 +75,16 @@ def _first_reason(checks: list[tuple[str, Column]]) -> Column:
     return e
 
 
-def parse_rides(lines: DataFrame, mode: str = "quarantine", line_col: str = "line"):
+def parse_rides(lines: DataFrame, mode: str = "quarantine", line_col: str = "line", keep=()):
     """11-field ride CSV.  START: field 2 = start, 3 = end; END: swapped."""
-    df = _tokens(lines, line_col, lambda c: java_split(c, ","))
+    df = _tokens(lines, line_col, lambda c: java_split(c, ","), keep)
     t = F.col("_t")
     tok = lambda i: F.try_element_at(t, F.lit(i + 1))
     flag = tok(1)
     is_start = flag == "START"
     a, b = _ts(tok(2)), _ts(tok(3))
     parsed = df.select(
-        "line",
+        "line", *keep,
         F.size(t).alias("_n"),
         _long(tok(0)).alias("rideId"),
         is_start.alias("isStart"),
@@ -103,15 +105,15 @@ def parse_rides(lines: DataFrame, mode: str = "quarantine", line_col: str = "lin
     ]))
     cols = ["rideId", "isStart", "startTime", "endTime", "startLon", "startLat", "endLon",
             "endLat", "passengerCnt", "taxiId", "driverId"]
-    return _finish(parsed, cols, mode)
+    return _finish(parsed, cols, mode, keep)
 
 
-def parse_fares(lines: DataFrame, mode: str = "quarantine", line_col: str = "line"):
+def parse_fares(lines: DataFrame, mode: str = "quarantine", line_col: str = "line", keep=()):
     """8-field fare CSV: rideId, taxiId, driverId, startTime, paymentType, tip, tolls, totalFare."""
-    df = _tokens(lines, line_col, lambda c: java_split(c, ","))
+    df = _tokens(lines, line_col, lambda c: java_split(c, ","), keep)
     tok = lambda i: F.try_element_at(F.col("_t"), F.lit(i + 1))
     parsed = df.select(
-        "line", F.size("_t").alias("_n"),
+        "line", *keep, F.size("_t").alias("_n"),
         _long(tok(0)).alias("rideId"), _long(tok(1)).alias("taxiId"), _long(tok(2)).alias("driverId"),
         _ts(tok(3)).alias("startTime"), tok(4).alias("paymentType"),
         _float0(tok(5)).alias("tip"), _float0(tok(6)).alias("tolls"), _float0(tok(7)).alias("totalFare"),
@@ -123,16 +125,16 @@ def parse_fares(lines: DataFrame, mode: str = "quarantine", line_col: str = "lin
         ("number", F.least(*[F.col(c).isNotNull() for c in nums])),
     ]))
     cols = ["rideId", "taxiId", "driverId", "startTime", "paymentType", "tip", "tolls", "totalFare"]
-    return _finish(parsed, cols, mode)
+    return _finish(parsed, cols, mode, keep)
 
 
-def parse_car_events(lines: DataFrame, mode: str = "quarantine", line_col: str = "line"):
+def parse_car_events(lines: DataFrame, mode: str = "quarantine", line_col: str = "line", keep=()):
     """23 tokens split by ``(,|;)\\s*``; keeps carId, id, timestamp and six measures."""
-    df = _tokens(lines, line_col, lambda c: java_split(c, CAR_SPLIT))
+    df = _tokens(lines, line_col, lambda c: java_split(c, CAR_SPLIT), keep)
     tok = lambda i: F.try_element_at(F.col("_t"), F.lit(i + 1))
     ts = _ts(tok(22), CAR_TIME_FORMAT)
     parsed = df.select(
-        "line", F.size("_t").alias("_n"),
+        "line", *keep, F.size("_t").alias("_n"),
         tok(1).alias("id"), tok(0).alias("carId"),
         ts.alias("ts"), F.unix_millis(ts).alias("timestamp"),
         _float0(tok(20)).alias("longitude"), _float0(tok(21)).alias("latitude"),
@@ -147,16 +149,16 @@ def parse_car_events(lines: DataFrame, mode: str = "quarantine", line_col: str =
     ]))
     cols = ["id", "carId", "ts", "timestamp", "longitude", "latitude", "consumption", "speed",
             "throttle", "engineload"]
-    return _finish(parsed, cols, mode)
+    return _finish(parsed, cols, mode, keep)
 
 
-def parse_key_ts(lines: DataFrame, mode: str = "quarantine", line_col: str = "line"):
+def parse_key_ts(lines: DataFrame, mode: str = "quarantine", line_col: str = "line", keep=()):
     """``key,epochMillis`` -> (key string, ts timestamp, ts_ms long)."""
-    df = _tokens(lines, line_col, lambda c: F.split(c, ",", -1))
+    df = _tokens(lines, line_col, lambda c: F.split(c, ",", -1), keep)
     ms = _long(F.try_element_at(F.col("_t"), F.lit(2)))
-    parsed = df.select("line", F.size("_t").alias("_n"),
+    parsed = df.select("line", *keep, F.size("_t").alias("_n"),
                        F.try_element_at(F.col("_t"), F.lit(1)).alias("key"), ms.alias("ts_ms"))
     parsed = (parsed.withColumn("ts", F.timestamp_millis(F.col("ts_ms")))
                     .withColumn("reason", _first_reason([("field_count", F.col("_n") >= 2),
                                                          ("number", F.col("ts_ms").isNotNull())])))
-    return _finish(parsed, ["key", "ts", "ts_ms"], mode)
+    return _finish(parsed, ["key", "ts", "ts_ms"], mode, keep)

@@ -363,12 +363,13 @@ def q_parse_fares(spark, d):
 
 
 def _car_lines(spark, d):
-    e = _events(spark, d, "event_id", "user_id", "ts", "value")
+    e = _events(spark, d, "event_id", "user_id", "ts", "value", "event_type")
     v = F.col("value").cast("string")
+    speed = F.when(F.col("event_type") == "error", F.lit("0")).otherwise(v)   # errors are stops
     z = F.when(F.col("event_id") % 2 == 0, F.lit("Z")).otherwise(F.lit("+0000"))
     stamp = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), z)
     toks = [F.concat(F.lit("car"), F.col("user_id").cast("string")), F.col("event_id").cast("string")]
-    toks += [F.lit("x")] * 5 + [v, F.lit("x"), v, F.lit(""), F.lit("x"), v] + [F.lit("x")] * 6
+    toks += [F.lit("x")] * 5 + [v, F.lit("x"), speed, F.lit(""), F.lit("x"), v] + [F.lit("x")] * 6
     toks += [F.lit("1.5"), coord("event_id", LON_BASE, LON_MOD).cast("string"),
              coord("event_id", LAT_BASE, LAT_MOD).cast("string"), stamp]
     # Mixed separators: "," and "; " as in the reference's regex (,|;)\s*

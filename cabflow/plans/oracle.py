@@ -234,7 +234,9 @@ GROUP BY ws, event_type""",
     "parse_cars": f"""SELECT CAST(event_id AS VARCHAR) AS id, 'car' || CAST(user_id AS VARCHAR) AS carId,
         date_trunc('second', ts) AS ts, (epoch_us(date_trunc('second', ts)) // 1000) AS timestamp,
         {_coord(LON_BASE, LON_MOD)} AS longitude, {_coord(LAT_BASE, LAT_MOD)} AS latitude,
-        CAST(value AS REAL) AS consumption, CAST(value AS REAL) AS speed, CAST(value AS REAL) AS throttle,
+        CAST(value AS REAL) AS consumption,
+        CASE WHEN event_type = 'error' THEN CAST(0 AS REAL) ELSE CAST(value AS REAL) END AS speed,
+        CAST(value AS REAL) AS throttle,
         CAST(1.5 AS REAL) AS engineload FROM events""",
     "parse_key_ts": """SELECT CAST(user_id AS VARCHAR) AS key, make_timestamp((epoch_us(ts) // 1000) * 1000) AS ts,
         (epoch_us(ts) // 1000) AS ts_ms FROM events""",
