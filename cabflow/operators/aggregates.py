@@ -39,3 +39,23 @@ def max_by_key(df: DataFrame, keys: list[str], value: str, payload: list[str], o
 
 def _numeric(df: DataFrame, c: str) -> bool:
     return df.schema[c].dataType.typeName() in ("long", "integer", "short", "byte", "double", "float")
+
+
+def top_n(df: DataFrame, groups: list[str], order: list, n: int, salt_col: str | None = None,
+          buckets: int = 64, out: str = "rank") -> DataFrame:
+    """Top ``n`` rows per group by ``order`` (Columns, first = most important),
+    with a 1-based ``rank``.
+
+    Two phases so a group with very many rows is never ranked in one task:
+    rank inside (group, hash(salt) % buckets) sub-groups, keep each one's
+    top n, then rank the at most ``buckets * n`` survivors per group.
+    Exact: every true top-n row is in its sub-group's top n.
+    """
+    from pyspark.sql import Window
+
+    salt = F.pmod(F.hash(F.col(salt_col)), F.lit(buckets)) if salt_col else F.lit(0)
+    pre = (df.withColumn("_salt", salt)
+             .withColumn("_r1", F.row_number().over(Window.partitionBy(*groups, "_salt").orderBy(*order)))
+             .where(F.col("_r1") <= n).drop("_r1", "_salt"))
+    return (pre.withColumn(out, F.row_number().over(Window.partitionBy(*groups).orderBy(*order)))
+               .where(F.col(out) <= n))

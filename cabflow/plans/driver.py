@@ -69,6 +69,15 @@ def q_hourly_top(spark, d):
                       (F.col("t.cents") / 100.0).alias("tips"))
 
 
+def q_hourly_top3(spark, d):
+    """Top 3 users by tips in every hour (ties: smaller user id first)."""
+    e = _events(spark, d, "ts", "user_id", "value").withColumn("cents", _cents())
+    h = windows.time_window(e, "ts", "1 hour", ["user_id"], {"cents": F.sum("cents")})
+    t = aggregates.top_n(h, ["window_start"], [F.col("cents").desc(), F.col("user_id")], 3, salt_col="user_id")
+    return t.select(as_ntz("window_start").alias("window_start"), "user_id", (F.col("cents") / 100.0).alias("tips"),
+                    F.col("rank").cast("long").alias("rank"))
+
+
 def q_keyed_count(spark, d):
     return aggregates.keyed_count(_events(spark, d, "user_id"), ["user_id"])
 
@@ -396,6 +405,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ride_count": q_ride_count,
     "hourly_tips": q_hourly_tips,
     "hourly_top": q_hourly_top,
+    "hourly_top3": q_hourly_top3,
     "keyed_count": q_keyed_count,
     "running_count": q_running_count,
     "running_max": q_running_max,

@@ -129,6 +129,10 @@ ORACLE: dict[str, str] = {
         CAST(sum({CENTS}) AS BIGINT) AS cents FROM events GROUP BY 1, 2)
         SELECT window_start, user_id, CAST(cents AS DOUBLE) / 100.0 AS tips FROM h
         QUALIFY row_number() OVER (PARTITION BY window_start ORDER BY cents DESC, user_id) = 1""",
+    "hourly_top3": f"""WITH h AS (SELECT date_trunc('hour', ts) AS window_start, user_id,
+        CAST(sum({CENTS}) AS BIGINT) AS cents FROM events GROUP BY 1, 2),
+        r AS (SELECT *, row_number() OVER (PARTITION BY window_start ORDER BY cents DESC, user_id) AS rank FROM h)
+        SELECT window_start, user_id, CAST(cents AS DOUBLE) / 100.0 AS tips, rank FROM r WHERE rank <= 3""",
     "keyed_count": "SELECT user_id, count(*) AS n FROM events GROUP BY user_id",
     "running_count": f"SELECT user_id, event_id, count(*) OVER (PARTITION BY user_id {W_UE}) AS n FROM events",
     "running_max": f"SELECT user_id, event_id, max(value) OVER (PARTITION BY user_id {W_UE}) AS max_value FROM events",

@@ -212,3 +212,16 @@ def test_pair_scan_many_partitions(spark):
     # arrival order = (t, side, i), as in pair_first_come
     ordered = sorted(events, key=lambda e: (e[2] // 3, e[1], e[2]))
     assert got == _state_machine(ordered)
+
+
+def test_top_n_salted_matches_brute_force(spark):
+    from pyspark.sql import Window
+    random.seed(5)
+    rows = [(("hot" if random.random() < 0.6 else f"g{random.randint(0, 9)}"), i, random.randint(0, 50))
+            for i in range(3000)]
+    df = spark.createDataFrame(rows, "g string, id long, v long")
+    order = [F.col("v").desc(), F.col("id")]
+    got = aggregates.top_n(df, ["g"], order, 4, salt_col="id", buckets=16)
+    want = (df.withColumn("rank", F.row_number().over(Window.partitionBy("g").orderBy(*order)))
+              .where("rank <= 4"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
