@@ -188,7 +188,10 @@ def _ranged_local(df: DataFrame, keys: list[str], order: list[str], local_fn,
     ensure_checkpoint_dir(spark)
     n = partitions or scan_partitions(spark)
     sort_cols = [F.col(c).asc_nulls_first() for c in [*keys, *order]]
-    ranged = (df.repartitionByRange(n, *sort_cols)
+    # Without an explicit count AQE may coalesce adjacent range partitions
+    # (still contiguous ranges, so the scan stays exact).
+    ranged = (df.repartitionByRange(n, *sort_cols) if n else df.repartitionByRange(*sort_cols))
+    ranged = (ranged
                 .sortWithinPartitions(*sort_cols)
                 .withColumn(PID, F.spark_partition_id()))
     local_schema = T.StructType(list(ranged.schema.fields)

@@ -74,15 +74,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def scan_partitions(spark: SparkSession) -> int:
-    """Number of range partitions for ordered scans.
+def scan_partitions(spark: SparkSession) -> int | None:
+    """Explicit number of range partitions for ordered scans, or None.
 
-    ``cabflow.scan.partitions`` if set, else ``spark.sql.shuffle.partitions``.
-    Size it so one partition of the scanned (narrow) columns fits an
-    executor task comfortably, e.g. projected bytes / 256 MB on a cluster.
+    ``cabflow.scan.partitions`` if set; otherwise None, and the scan's range
+    repartition uses ``spark.sql.shuffle.partitions`` with AQE free to merge
+    small adjacent partitions.  On a cluster size the shuffle partitions so a
+    partition of the scanned (narrow) columns is ~128-256 MB.
     """
-    v = spark.conf.get("cabflow.scan.partitions", None) or spark.conf.get("spark.sql.shuffle.partitions")
-    return max(1, int(v))
+    v = spark.conf.get("cabflow.scan.partitions", None)
+    return max(1, int(v)) if v else None
 
 
 def local_test_session(cores: int = 8) -> SparkSession:
