@@ -142,5 +142,9 @@ def test_idle_counter_processing_time(spark):
     while time.time() < deadline and len(got) < 2:
         time.sleep(1)
         got = {r.key: r.n for r in spark.table("idle").collect()}
+    for _ in range(50):                      # stop between micro-batches
+        if not q.status["isTriggerActive"]:
+            break
+        time.sleep(0.1)
     q.stop()
     assert got == {"w": 3, "v": 1}
