@@ -56,9 +56,12 @@ def get_session(master: str | None = None, app: str = "cabflow",
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared checkpoint folder the cluster names, if any."""
-    d = spark.sparkContext.getCheckpointDir()
-    if d:
-        return d
+    try:
+        d = spark.sparkContext.getCheckpointDir()
+        if d:
+            return d
+    except Exception:  # no SparkContext handle (e.g. a remote session)
+        pass
     return spark.conf.get("spark.checkpoint.dir", None)
 
 
@@ -69,8 +72,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = tempfile.mkdtemp(prefix="cabflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(d)
+    try:
+        if not spark.sparkContext.getCheckpointDir():
+            spark.sparkContext.setCheckpointDir(d)
+    except Exception:  # remote sessions read spark.checkpoint.dir themselves
+        pass
     return d
 
 
@@ -102,7 +108,10 @@ def spread(df, factor: int = 2):
     before CPU-heavy per-row work).  At scale the input already has far more
     splits than cores, so this adds no shuffle there."""
     spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= cores:
+            return df
+    except Exception:  # no RDD view (remote session): leave the layout to Spark
         return df
     return df.repartition(cores * factor)
