@@ -16,10 +16,6 @@ from cabflow.functions.timecols import micros
 from cabflow.operators.scan import Agg, keyed_scan, session_scan
 
 
-def _c(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
 def time_window(df: DataFrame, ts: str, size: str, keys: list[str], aggs: dict[str, Column],
                 slide: str | None = None, offset: str | None = None) -> DataFrame:
     """Aggregate per (window, keys).  ``slide`` None -> tumbling.  Output has

@@ -13,7 +13,7 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabflow.functions.text import text_lines, tokenize
+from cabflow.functions.text import tokenize
 from cabflow.operators import aggregates, events, joins, keyed, rides, segments, windows
 from cabflow.operators.ingest import parse_car_events, parse_fares, parse_key_ts, parse_rides
 from cabflow.sources.lines import read_lines
@@ -137,4 +137,4 @@ if __name__ == "__main__":
     main(sys.argv)
 
 
-__all__ = list(JOBS) + ["stateful_demo", "text_lines"]
+__all__ = [*JOBS, "stateful_demo"]

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from cabflow.functions.text import text_lines, tokenize
 from cabflow.operators import rides as ride_ops
-from cabflow.operators.ingest import parse_fares, parse_rides
 from cabflow.streaming.processors import (AVERAGE_SCHEMA, CONCAT_SCHEMA, IDLE_SCHEMA, PAIR_SCHEMA, SEGMENT_SCHEMA,
                                           SORTED_SCHEMA, SUM_SCHEMA, CountAverage, EventSorter, FirstComePairing,
                                           IdleCounter, RunningConcat, RunningSum, StopSegmenter)
@@ -137,5 +136,4 @@ def idle_counts(words: DataFrame, gap_ms: int = 5_000) -> DataFrame:
 
 
 __all__ = ["start", "cleanse", "word_counts", "hourly_tips", "windowed_counts", "gap_sessions", "sort_events",
-           "stop_segments", "pair_rides_fares", "rides_join_fares", "keyed_state", "idle_counts",
-           "parse_rides", "parse_fares"]
+           "stop_segments", "pair_rides_fares", "rides_join_fares", "keyed_state", "idle_counts"]

@@ -20,8 +20,7 @@ batch's watermark before a processor could route them to a side output.
 
 from __future__ import annotations
 
-import math
-
+import numpy as np
 import pandas as pd
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -64,28 +63,32 @@ class EventSorter(StatefulProcessor):
         if pdf.empty:
             return
         k = _key(key)
-        mx = self.max_ts.get()[0] if self.max_ts.exists() else None
-        buf = [(int(r[0]), int(r[1])) for r in self.buf.get()] if self.buf.exists() else []
-        late, out = [], []
-        for i, t in zip(pdf["id"].tolist(), pdf["ts_ms"].tolist()):
-            wm = None if mx is None else mx - self.delay
-            if wm is not None and t <= wm:
-                late.append((k, i, t, "late"))
-            else:
-                buf.append((i, t))
-            mx = t if mx is None else max(mx, t)
-        wm = mx - self.delay
-        buf.sort(key=lambda x: (x[1], x[0]))
-        ready = [b for b in buf if b[1] <= wm]
-        keep = [b for b in buf if b[1] > wm]
-        out = [(k, i, t, "sorted") for i, t in ready] + late
+        ts = pdf["ts_ms"].to_numpy(dtype=np.int64)
+        ids = pdf["id"].to_numpy(dtype=np.int64)
+        prior = self.max_ts.get()[0] if self.max_ts.exists() else None
+        # watermark each row sees: max event time of earlier rows - delay
+        seen = np.maximum.accumulate(ts)
+        before = np.concatenate([[np.iinfo(np.int64).min if prior is None else prior], seen[:-1]])
+        if prior is not None:
+            before = np.maximum(before, prior)
+        late = (before != np.iinfo(np.int64).min) & (ts <= before - self.delay)
+        mx = int(seen[-1]) if prior is None else max(prior, int(seen[-1]))
+        old = pd.DataFrame([tuple(r) for r in self.buf.get()] if self.buf.exists() else [],
+                           columns=["id", "ts_ms"], dtype=np.int64)
+        buf = pd.concat([old, pd.DataFrame({"id": ids[~late], "ts_ms": ts[~late]})], ignore_index=True)
+        buf = buf.sort_values(["ts_ms", "id"], kind="stable")
+        ready = buf[buf["ts_ms"] <= mx - self.delay]
+        keep = buf[buf["ts_ms"] > mx - self.delay]
         self.max_ts.update((mx,))
-        if keep:
-            self.buf.put([tuple(b) for b in keep])
+        if len(keep):
+            self.buf.put(list(keep.itertuples(index=False, name=None)))
         else:
             self.buf.clear()
-        if out:
-            yield pd.DataFrame(out, columns=["key", "id", "ts_ms", "kind"])
+        out = pd.concat([pd.DataFrame({"key": k, "id": ready["id"], "ts_ms": ready["ts_ms"], "kind": "sorted"}),
+                         pd.DataFrame({"key": k, "id": ids[late], "ts_ms": ts[late], "kind": "late"})],
+                        ignore_index=True)
+        if len(out):
+            yield out
 
     def close(self) -> None:
         pass
@@ -113,32 +116,35 @@ class StopSegmenter(StatefulProcessor):
         if pdf.empty:
             return
         k = _key(key)
-        mx = self.max_ts.get()[0] if self.max_ts.exists() else None
-        buf = [tuple(r) for r in self.buf.get()] if self.buf.exists() else []
-        for r in pdf[["id", "ts_ms", "speed", "throttle"]].itertuples(index=False):
-            buf.append((int(r[0]), int(r[1]), float(r[2]), float(r[3])))
-            mx = int(r[1]) if mx is None else max(mx, int(r[1]))
+        cols = ["id", "ts_ms", "speed", "throttle"]
+        prior = self.max_ts.get()[0] if self.max_ts.exists() else None
+        old = pd.DataFrame([tuple(r) for r in self.buf.get()] if self.buf.exists() else [], columns=cols)
+        buf = pd.concat([old, pdf[cols]], ignore_index=True).astype(
+            {"id": np.int64, "ts_ms": np.int64, "speed": np.float64, "throttle": np.float64})
+        buf = buf.sort_values(["ts_ms", "id"], kind="stable").reset_index(drop=True)
+        mx = int(pdf["ts_ms"].max()) if prior is None else max(prior, int(pdf["ts_ms"].max()))
         wm = mx - self.delay
-        buf.sort(key=lambda e: (e[1], e[0]))
-        out = []
-        while True:
-            stop = next((e for e in buf if e[2] == 0.0 and e[1] <= wm), None)
-            if stop is None:
-                break
-            seg = [e for e in buf if (e[1], e[0]) < (stop[1], stop[0]) and e[2] != 0.0]
-            buf = [e for e in buf if (e[1], e[0]) > (stop[1], stop[0])]
-            if seg:
-                th = [e[3] for e in seg]
-                mean = sum(th) / len(th)
-                sd = math.sqrt(sum((x - mean) ** 2 for x in th) / len(th))
-                out.append((k, min(e[1] for e in seg), len(seg), max(e[2] for e in seg), sd, _style(sd)))
+        stop = (buf["speed"] == 0.0).to_numpy()
+        fire = np.flatnonzero(stop & (buf["ts_ms"].to_numpy() <= wm))
         self.max_ts.update((mx,))
-        if buf:
-            self.buf.put([tuple(b) for b in buf])
+        if len(fire) == 0:
+            self.buf.put(list(buf.itertuples(index=False, name=None)))
+            return
+        cut = int(fire[-1])                     # everything up to the last ready stop is evicted
+        done, rest = buf.iloc[:cut + 1], buf.iloc[cut + 1:]
+        seg = np.cumsum(stop[:cut + 1]) - stop[:cut + 1]   # stops strictly before each row
+        moving = done[~stop[:cut + 1]].assign(seg=seg[~stop[:cut + 1]])
+        if len(rest):
+            self.buf.put(list(rest.itertuples(index=False, name=None)))
         else:
             self.buf.clear()
-        if out:
-            yield pd.DataFrame(out, columns=["key", "startTime", "length", "maxSpeed", "erraticness", "label"])
+        if len(moving):
+            g = moving.groupby("seg")
+            stats = pd.DataFrame({"startTime": g["ts_ms"].min(), "length": g.size().astype(np.int32),
+                                  "maxSpeed": g["speed"].max(), "erraticness": g["throttle"].std(ddof=0)})
+            stats["label"] = [_style(x) for x in stats["erraticness"]]
+            yield stats.reset_index(drop=True).assign(key=k)[
+                ["key", "startTime", "length", "maxSpeed", "erraticness", "label"]]
 
     def close(self) -> None:
         pass
@@ -159,21 +165,27 @@ class FirstComePairing(StatefulProcessor):
         if pdf.empty:
             return
         k = _key(key)
-        w = tuple(self.waiting.get()) if self.waiting.exists() else None
-        out = []
-        for s, i, t in zip(pdf["side"].tolist(), pdf["id"].tolist(), pdf["ts_ms"].tolist()):
-            if w is not None and w[0] != s:
-                left, right = (w, (s, i, t)) if w[0] == 0 else ((s, i, t), w)
-                out.append((k, left[1], right[1], left[2], right[2]))
-                w = None
-            else:
-                w = (int(s), int(i), int(t))
-        if w is None:
-            self.waiting.clear()
+        ev = pdf[["side", "id", "ts_ms"]].astype(np.int64)
+        if self.waiting.exists():
+            ev = pd.concat([pd.DataFrame([tuple(self.waiting.get())], columns=["side", "id", "ts_ms"]), ev],
+                           ignore_index=True).astype(np.int64)
+        side = ev["side"].to_numpy()
+        pos = np.arange(len(ev))
+        # island rule: a row with the same side as its predecessor starts over
+        starts = np.concatenate([[True], side[1:] == side[:-1]])
+        island = np.maximum.accumulate(np.where(starts, pos, 0))
+        closer = (pos - island) % 2 == 1
+        j = np.flatnonzero(closer)
+        if (len(ev) - 1 - island[-1]) % 2 == 0:          # last row is unpaired: it waits
+            self.waiting.update(tuple(int(x) for x in ev.iloc[-1]))
         else:
-            self.waiting.update(w)
-        if out:
-            yield pd.DataFrame(out, columns=["key", "left_id", "right_id", "left_ms", "right_ms"])
+            self.waiting.clear()
+        if len(j):
+            a, b = ev.iloc[j - 1].reset_index(drop=True), ev.iloc[j].reset_index(drop=True)
+            left = a.where(a["side"] == 0, b)
+            right = b.where(b["side"] == 1, a)
+            yield pd.DataFrame({"key": k, "left_id": left["id"], "right_id": right["id"],
+                                "left_ms": left["ts_ms"], "right_ms": right["ts_ms"]})
 
     def close(self) -> None:
         pass

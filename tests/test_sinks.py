@@ -1,5 +1,4 @@
 """Record text formats and the Kafka value format."""
-import datetime as dt
 
 from pyspark.sql import functions as F
 

@@ -4,7 +4,6 @@ import os
 import tempfile
 
 import pandas as pd
-import pytest
 
 from cabflow.streaming import jobs, sinks
 
@@ -148,3 +147,23 @@ def test_idle_counter_processing_time(spark):
         time.sleep(0.1)
     q.stop()
     assert got == {"w": 3, "v": 1}
+
+
+def test_first_come_pairing_random_matches_state_machine(spark):
+    import random
+    from cabflow.streaming.processors import PAIR_SCHEMA, FirstComePairing
+    random.seed(9)
+    ev = [(random.randint(1, 6), random.randint(0, 1), n) for n in range(300)]
+    pdf = pd.DataFrame(ev, columns=["key", "side", "id"]).assign(ts_ms=lambda d: d["id"] * 1000, seq=lambda d: d["id"])
+    src = _stream(spark, pdf, "key long, side int, id long, ts_ms long, seq long", chunks=4)
+    out = _run(spark, src.groupBy("key").transformWithStateInPandas(FirstComePairing(), PAIR_SCHEMA, "append", "None"),
+               "pairs_random")
+    waiting, want = {}, []
+    for k, s, i in ev:
+        w = waiting.get(k)
+        if w is not None and w[0] != s:
+            want.append((k, w[1], i) if w[0] == 0 else (k, i, w[1]))
+            del waiting[k]
+        else:
+            waiting[k] = (s, i)
+    assert sorted((r.key, r.left_id, r.right_id) for r in out.collect()) == sorted(want)
