@@ -10,10 +10,11 @@ reducing and aggregating state).  The streaming twins are processors in
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cabflow.operators.aggregates import running_sum as _running_sum
+from cabflow.operators.scan import Agg, keyed_scan
 from cabflow.operators.windows import count_tumbling, sessions
 
 # Fixed text of the aggregating-state demo.
@@ -34,11 +35,13 @@ def running_concat(df: DataFrame, key: str, order: list[str], value: str) -> Dat
     """Per input row: ``contains:`` + all values of the key so far joined by `` and ``.
 
     The output of row i has i items, so the result is quadratic in a key's
-    length whatever the plan; the ordered window computes it directly.
+    length whatever the plan; the skew-proof scan at least spreads a hot key
+    over many tasks instead of one ordered window.
     """
-    w = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    items = F.collect_list(F.col(value).cast("string")).over(w)
-    return df.withColumn("contains", F.concat(F.lit(CONTAINS_PREFIX), F.array_join(items, CONTAINS_SEP)))
+    s = keyed_scan(df.withColumn("_cat_v", F.col(value).cast("string")), [key], order,
+                   [Agg("_cat", "concat", "_cat_v", sep=CONTAINS_SEP)])
+    return (s.withColumn("contains", F.concat(F.lit(CONTAINS_PREFIX), F.coalesce(F.col("_cat"), F.lit(""))))
+             .drop("_cat_v", "_cat"))
 
 
 def idle_count(df: DataFrame, key: str, arrival: str, tie: str, gap_us: int) -> DataFrame:

@@ -22,7 +22,9 @@ prefix scan instead:
 4. ``carry ⊕ local`` gives the global value for every row.
 
 Supported ops: ``count``, ``sum``, ``max``, ``min`` (inclusive or exclusive
-of the current row) and ``last`` (the previous row's value, exclusive).
+of the current row), ``last`` (the previous row's value, exclusive) and
+``concat`` (running string join; its output is quadratic in a key's length by
+nature, and its carry strings are joined without a broadcast hint).
 ``order`` must make the order total within a key (add a unique id).
 """
 
@@ -48,12 +50,13 @@ class Agg:
     """One running aggregate: ``out`` = op(col) over the ordered prefix."""
 
     out: str
-    op: str                      # count | sum | max | min | last
+    op: str                      # count | sum | max | min | last | concat
     col: str | None = None
     inclusive: bool = True       # include the current row (``last`` is always exclusive)
+    sep: str = ","               # separator of ``concat`` (string column, nulls skipped)
 
     def __post_init__(self):
-        if self.op not in ("count", "sum", "max", "min", "last"):
+        if self.op not in ("count", "sum", "max", "min", "last", "concat"):
             raise ValueError(f"unsupported scan op {self.op!r}")
         if self.op != "count" and self.col is None:
             raise ValueError(f"op {self.op!r} needs a column")
@@ -135,6 +138,18 @@ def _make_local_scan(keys: list[str], aggs: list[Agg], out_types: dict):
             seen += n
             ext_gid = np.concatenate([[0], gid]) if cont else gid
             for a in aggs:
+                if a.op == "concat":
+                    acc = state.get(a.out) if cont else None
+                    res = []
+                    for pos, val in enumerate(pdf[a.col].tolist()):
+                        if new[pos] and not (cont and pos == 0):
+                            acc = None
+                        if val is not None:
+                            acc = val if acc is None else acc + a.sep + val
+                        res.append(acc)
+                    state[a.out] = acc
+                    out[_local_name(a)] = pd.Series(res, dtype=object)
+                    continue
                 if a.op == "count":
                     v = pd.Series(np.ones(n, dtype=np.int64))
                 else:
@@ -201,14 +216,14 @@ def _ranged_local(df: DataFrame, keys: list[str], order: list[str], local_fn,
     return local.checkpoint(eager=True)
 
 
-def _attach(local: DataFrame, keys: list[str], carry: DataFrame) -> DataFrame:
+def _attach(local: DataFrame, keys: list[str], carry: DataFrame, broadcast: bool = True) -> DataFrame:
     """Left-join the carry table (at most one row per partition) on (PID, keys)."""
     carry = carry.select(*[F.col(c).alias(f"_scan_k_{c}") if c in keys or c == PID else F.col(c)
                            for c in carry.columns])
     cond = F.col(PID) == F.col(f"_scan_k_{PID}")
     for k in keys:
         cond = cond & F.col(k).eqNullSafe(F.col(f"_scan_k_{k}"))
-    return local.join(F.broadcast(carry), cond, "left")
+    return local.join(F.broadcast(carry) if broadcast else carry, cond, "left")
 
 
 def _windows(keys: list[str]):
@@ -241,6 +256,8 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], aggs: list[Agg]
             parts.append(F.max(a.col).alias(a.out))
         elif a.op == "min":
             parts.append(F.min(a.col).alias(a.out))
+        elif a.op == "concat":
+            parts.append(F.max_by(F.col(_local_name(a)), F.col(ROWNO)).alias(a.out))
         else:
             parts.append(F.max_by(F.col(a.col), F.col(ROWNO)).alias(a.out))
     summary = local.groupBy(PID, *keys).agg(*parts)
@@ -255,6 +272,9 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], aggs: list[Agg]
             e = F.max(c).over(w_prev)
         elif a.op == "min":
             e = F.min(c).over(w_prev)
+        elif a.op == "concat":
+            parts_before = F.collect_list(c).over(w_prev)
+            e = F.when(F.size(parts_before) > 0, F.array_join(parts_before, a.sep))
         else:
             e = F.lag(c, 1).over(w_all)
         carry_cols.append(e.alias(_carry_name(a)))
@@ -263,7 +283,9 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], aggs: list[Agg]
     carry = (summary.select(*carry_cols)
              .where(F.col("_scan_prev_parts") > 0)
              .drop("_scan_prev_parts"))
-    joined = _attach(local, keys, carry)
+    # Numeric carries are one row per partition -> broadcast; string carries
+    # can be long, so their join is left to AQE's runtime size check.
+    joined = _attach(local, keys, carry, broadcast=not any(a.op == "concat" for a in aggs))
 
     finals = []
     for a in aggs:
@@ -274,6 +296,9 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], aggs: list[Agg]
             e = F.greatest(loc, car)
         elif a.op == "min":
             e = F.least(loc, car)
+        elif a.op == "concat":
+            e = (F.when(car.isNull(), loc).when(loc.isNull(), car)
+                  .otherwise(F.concat(car, F.lit(a.sep), loc)))
         else:
             e = F.when(F.col(FIRST), car).otherwise(loc)
         finals.append(e.cast(out_types[a.out]).alias(a.out))
@@ -490,6 +515,9 @@ def running_window(df: DataFrame, keys: list[str], order: list[str], aggs: list[
             e = F.max(a.col).over(frame)
         elif a.op == "min":
             e = F.min(a.col).over(frame)
+        elif a.op == "concat":
+            items = F.collect_list(a.col).over(frame)
+            e = F.when(F.size(items) > 0, F.array_join(items, a.sep))
         else:
             e = F.lag(a.col, 1).over(w)
         cols.append(e.cast(t).alias(a.out))

@@ -225,3 +225,14 @@ def test_top_n_salted_matches_brute_force(spark):
     want = (df.withColumn("rank", F.row_number().over(Window.partitionBy("g").orderBy(*order)))
               .where("rank <= 4"))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_concat_scan_hot_key(spark):
+    random.seed(13)
+    rows = [(i, 0 if random.random() < 0.5 else random.randint(1, 5), random.randint(0, 99),
+             random.choice([None, "a", "bb", "c"])) for i in range(800)]
+    df = spark.createDataFrame(rows, "id long, k long, t long, s string")
+    aggs = [Agg("cat", "concat", "s", sep=" and ")]
+    a = keyed_scan(df, ["k"], ["t", "id"], aggs, partitions=9).select("id", "cat")
+    b = running_window(df, ["k"], ["t", "id"], aggs).select("id", "cat")
+    assert a.subtract(b).count() == 0 and b.subtract(a).count() == 0
