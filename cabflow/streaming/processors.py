@@ -10,6 +10,7 @@ on the checkpoint location, and replays it after a failure.
 * ``CountAverage``      – average of every n values (value / list / map state, AGG5)
 * ``RunningSum``        – reducing state (AGG6);  ``RunningConcat`` – aggregating state (AGG7)
 * ``IdleCounter``       – count until a processing-time timeout (STA6)
+* ``KeyedReduce``       – generic accumulator from init / add / emit functions (STA4, STA5)
 
 Rows of one micro-batch for a key arrive together; processors that depend
 on arrival order sort them by a sequence column first (``seq``).  The
@@ -320,3 +321,39 @@ class IdleCounter(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class KeyedReduce(StatefulProcessor):
+    """Generic keyed accumulator (the reducing / aggregating state pattern).
+
+    ``init() -> acc``, ``add(acc, value) -> acc`` and ``emit(key, acc, value)
+    -> tuple | None`` are plain functions on tuples; ``acc_schema`` is the DDL
+    of the accumulator stored in a ValueState.  Rows of a micro-batch are
+    folded in ``seq`` order.  Input: key, value, seq.
+    """
+
+    def __init__(self, init, add, emit, acc_schema: str, out_columns: list[str]):
+        self.init_fn, self.add, self.emit = init, add, emit
+        self.acc_schema, self.out_columns = acc_schema, out_columns
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.acc = handle.getValueState("acc", self.acc_schema)
+
+    def handleInputRows(self, key, rows, timerValues):
+        pdf = _rows(rows, ["seq"])
+        if pdf.empty:
+            return
+        k = _key(key)
+        acc = tuple(self.acc.get()) if self.acc.exists() else self.init_fn()
+        out = []
+        for v in pdf["value"].tolist():
+            acc = self.add(acc, v)
+            row = self.emit(k, acc, v)
+            if row is not None:
+                out.append(row)
+        self.acc.update(tuple(acc))
+        if out:
+            yield pd.DataFrame(out, columns=self.out_columns)
+
+    def close(self) -> None:
+        pass

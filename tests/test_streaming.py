@@ -167,3 +167,16 @@ def test_first_come_pairing_random_matches_state_machine(spark):
         else:
             waiting[k] = (s, i)
     assert sorted((r.key, r.left_id, r.right_id) for r in out.collect()) == sorted(want)
+
+
+def test_keyed_reduce_generic(spark):
+    from cabflow.streaming.processors import KeyedReduce
+    kv = pd.DataFrame({"key": [1, 1, 1, 2, 2, 2], "value": [3, 5, 7, 4, 2, 5], "seq": range(6)})
+    src = _stream(spark, kv, "key long, value long, seq long", chunks=3)
+    proc = KeyedReduce(init=lambda: (0, 0), add=lambda acc, v: (acc[0] + 1, max(acc[1], v)),
+                       emit=lambda k, acc, v: (k, acc[0], acc[1]), acc_schema="n long, mx long",
+                       out_columns=["key", "n", "running_max"])
+    df = src.groupBy("key").transformWithStateInPandas(proc, "key long, n long, running_max long", "append", "None")
+    out = _run(spark, df, "kreduce")
+    assert sorted((r.key, r.n, r.running_max) for r in out.collect()) == [
+        (1, 1, 3), (1, 2, 5), (1, 3, 7), (2, 1, 4), (2, 2, 4), (2, 3, 5)]
