@@ -21,6 +21,10 @@ prefix scan instead:
    which is why it is broadcast.
 4. ``carry ⊕ local`` gives the global value for every row.
 
+The scan costs a vectorised Python pass and a checkpoint, so it is used
+where it matters: ``use_scan`` counts rows per key first and keeps plain
+ordered windows (all JVM) when no key exceeds a row budget.
+
 Supported ops: ``count``, ``sum``, ``max``, ``min`` (inclusive or exclusive
 of the current row), ``last`` (the previous row's value, exclusive) and
 ``concat`` (running string join; its output is quadratic in a key's length by
@@ -38,7 +42,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cabflow.session import ensure_checkpoint_dir, scan_partitions
+from cabflow.session import prepare, scan_partitions
 
 PID = "_scan_pid"
 FIRST = "_scan_first"
@@ -200,7 +204,7 @@ def _ranged_local(df: DataFrame, keys: list[str], order: list[str], local_fn,
     """Range-partition on (keys, order), sort, run the partition-local pass
     and checkpoint the result (columns of ``df`` + PID + FIRST + ``extra``)."""
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
+    prepare(spark)
     n = partitions or scan_partitions(spark)
     sort_cols = [F.col(c).asc_nulls_first() for c in [*keys, *order]]
     # Without an explicit count AQE may coalesce adjacent range partitions
@@ -231,13 +235,42 @@ def _windows(keys: list[str]):
     return w_all, w_all.rowsBetween(Window.unboundedPreceding, -1)
 
 
+HOT_KEY_ROWS = 1_000_000   # default row budget of one key in one ordered-window task
+
+
+def use_scan(df: DataFrame, keys: list[str], strategy: str | None = None) -> bool:
+    """Pick the plan for an ordered per-key computation.
+
+    ``scan``: the skew-proof range scan.  ``window``: one ordered window per
+    key (all JVM; a key is one task).  ``auto`` (default, or the session's
+    ``cabflow.scan.strategy``): count rows per key - one partial aggregate,
+    a single number returned to the driver - and scan only when some key
+    exceeds ``cabflow.scan.hotKeyRows``.  A global order (no key) is one
+    group, so it always scans.
+    """
+    spark = df.sparkSession
+    strategy = strategy or spark.conf.get("cabflow.scan.strategy", "auto")
+    if strategy not in ("auto", "scan", "window"):
+        raise ValueError(f"unknown scan strategy {strategy!r}")
+    if not keys or strategy == "scan":
+        return True
+    if strategy == "window":
+        return False
+    limit = int(spark.conf.get("cabflow.scan.hotKeyRows", str(HOT_KEY_ROWS)))
+    biggest = df.groupBy(*keys).count().agg(F.max("count")).first()[0]
+    return biggest is not None and biggest > limit
+
+
 def keyed_scan(df: DataFrame, keys: list[str], order: list[str], aggs: list[Agg],
-               partitions: int | None = None) -> DataFrame:
+               partitions: int | None = None, strategy: str | None = None) -> DataFrame:
     """Add one column per ``Agg``: its running value per key in ``order``.
 
     ``keys`` may be empty (one global order).  Returns every input row with
-    the extra columns; nothing is dropped, capped or sampled.
+    the extra columns; nothing is dropped, capped or sampled.  Hot keys (see
+    ``use_scan``) go through the range scan, small ones through a window.
     """
+    if not use_scan(df, keys, strategy):
+        return running_window(df, keys, order, aggs)
     schema = df.schema
     out_types = {a.out: _out_type(a, schema) for a in aggs}
     local = _ranged_local(df, keys, order, _make_local_scan(keys, aggs, out_types),
@@ -358,8 +391,20 @@ def _make_session_scan(keys: list[str], t_col: str, end_col: str):
     return scan
 
 
+def session_window_form(df: DataFrame, keys: list[str], t_col: str, end_col: str, tie: str,
+                        out: str = "session_start_us") -> DataFrame:
+    """``session_scan`` with ordered windows per key (same result; a key is one task)."""
+    w = Window.partitionBy(*keys).orderBy(t_col, tie) if keys else Window.orderBy(t_col, tie)
+    prev_end = F.max(end_col).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.when(prev_end.isNull() | (F.col(t_col) > prev_end), F.col(t_col))
+    return (df.withColumn("_sess_open", opens)
+              .withColumn(out, F.max("_sess_open").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+              .drop("_sess_open"))
+
+
 def session_scan(df: DataFrame, keys: list[str], t_col: str, end_col: str, tie: str,
-                 out: str = "session_start_us", partitions: int | None = None) -> DataFrame:
+                 out: str = "session_start_us", partitions: int | None = None,
+                 strategy: str | None = None) -> DataFrame:
     """Session start (epoch micros) of every row in one skew-proof pass.
 
     ``t_col`` / ``end_col`` are epoch-micro longs (row time, row time + gap).
@@ -368,6 +413,8 @@ def session_scan(df: DataFrame, keys: list[str], t_col: str, end_col: str, tie:
     a continuing run keeps the carried session until its first local opening
     row whose time is beyond the carried max end – so one pass suffices.
     """
+    if not use_scan(df, keys, strategy):
+        return session_window_form(df, keys, t_col, end_col, tie, out)
     local = _ranged_local(df, keys, [t_col, tie], _make_session_scan(keys, t_col, end_col),
                           [T.StructField(SESS_START, T.LongType(), True)], partitions)
     summary = local.groupBy(PID, *keys).agg(F.max(end_col).alias("_run_end"),
@@ -447,7 +494,21 @@ def _make_pair_scan(keys: list[str]):
     return scan
 
 
-def pair_scan(df: DataFrame, keys: list[str], partitions: int | None = None) -> DataFrame:
+def pair_window_form(df: DataFrame, keys: list[str]) -> DataFrame:
+    """``pair_scan`` with ordered windows per key (same result; a key is one task)."""
+    w = (Window.partitionBy(*keys) if keys else Window).orderBy("t_us", "side", "i")
+    rn = F.row_number().over(w)
+    prev_side = F.lag("side").over(w)
+    d = df.withColumns({"_pw_rn": rn, "_pw_ps": prev_side, "prev_i": F.lag("i").over(w),
+                        "prev_t": F.lag("t_us").over(w)})
+    opens = F.when(F.col("_pw_ps").isNull() | (F.col("_pw_ps") == F.col("side")), F.col("_pw_rn"))
+    d = d.withColumn("_pw_island", F.max(opens).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    return (d.withColumn("closer", ((F.col("_pw_rn") - F.col("_pw_island")) % 2) == 1)
+             .select(*df.columns, "closer", "prev_i", "prev_t"))
+
+
+def pair_scan(df: DataFrame, keys: list[str], partitions: int | None = None,
+              strategy: str | None = None) -> DataFrame:
     """One-pass first-come pairing over a tagged union with columns
     ``side`` (int 0/1), ``i`` (long id) and ``t_us`` (long arrival time).
 
@@ -455,6 +516,8 @@ def pair_scan(df: DataFrame, keys: list[str], partitions: int | None = None) ->
     previous row of its key; the 2nd, 4th, ... rows of an island close a pair
     with their predecessor.  Adds ``closer``, ``prev_i`` and ``prev_t``.
     """
+    if not use_scan(df, keys, strategy):
+        return pair_window_form(df, keys)
     L = T.LongType()
     local = _ranged_local(df, keys, ["t_us", "side", "i"], _make_pair_scan(keys),
                           [T.StructField("_p_rn", L, False), T.StructField("_p_prev_side", L, True),

@@ -115,3 +115,37 @@ def spread(df, factor: int = 2):
     except Exception:  # no RDD view (remote session): leave the layout to Spark
         return df
     return df.repartition(cores * factor)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``cabflow`` importable by Python workers (what ``--py-files``
+    does): zip the package once per application and ``addPyFile`` it.
+    Operators that run pandas code on executors call this, so the library
+    works wherever the driver imported it from."""
+    try:
+        sc = spark.sparkContext
+        app = sc.applicationId
+    except Exception:  # remote session: the package must be installed on the cluster
+        return
+    if app in _SHIPPED:
+        return
+    import zipfile
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="cabflow-pkg-"), "cabflow.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    _SHIPPED.add(app)
+
+
+def prepare(spark: SparkSession) -> str:
+    """Checkpoint folder + package shipped to executors; returns the folder."""
+    ship_package(spark)
+    return ensure_checkpoint_dir(spark)

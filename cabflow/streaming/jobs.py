@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from cabflow.functions.text import text_lines, tokenize
 from cabflow.operators import rides as ride_ops
+from cabflow.session import prepare
 from cabflow.streaming.processors import (AVERAGE_SCHEMA, CONCAT_SCHEMA, IDLE_SCHEMA, PAIR_SCHEMA, SEGMENT_SCHEMA,
                                           SORTED_SCHEMA, SUM_SCHEMA, CountAverage, EventSorter, FirstComePairing,
                                           IdleCounter, RunningConcat, RunningSum, StopSegmenter)
@@ -78,7 +79,9 @@ def gap_sessions(events: DataFrame, ts: str, key: str, gap: str, delay: str = "3
 
 def _seq(df: DataFrame, fallback: str = "ts_ms") -> DataFrame:
     """Arrival order inside a micro-batch: an explicit ``seq`` column (source
-    offset, Kafka timestamp, ...) if present, else the event time."""
+    offset, Kafka timestamp, ...) if present, else the event time.  Also ships
+    the package to the Python workers that run the processors."""
+    prepare(df.sparkSession)
     return df if "seq" in df.columns else df.withColumn("seq", F.col(fallback))
 
 
@@ -131,6 +134,7 @@ def keyed_state(df: DataFrame, kind: str, n: int = 3, layout: str = "value") ->
 
 
 def idle_counts(words: DataFrame, gap_ms: int = 5_000) -> DataFrame:
+    prepare(words.sparkSession)
     return (words.select(F.col("word").alias("key")).groupBy("key")
             .transformWithStateInPandas(IdleCounter(gap_ms), IDLE_SCHEMA, "update", "ProcessingTime"))
 

@@ -160,7 +160,7 @@ def test_keyed_scan_matches_window_with_hot_key(spark):
     aggs = [Agg("n", "count"), Agg("s", "sum", "v"), Agg("sx", "sum", "id", inclusive=False),
             Agg("m", "max", "t"), Agg("mx", "min", "t", inclusive=False), Agg("prev", "last", "side")]
     for keys in (["k"], []):
-        a = keyed_scan(df, keys, ["t", "id"], aggs, partitions=11).select("id", *[x.out for x in aggs])
+        a = keyed_scan(df, keys, ["t", "id"], aggs, partitions=11, strategy="scan").select("id", *[x.out for x in aggs])
         b = running_window(df, keys, ["t", "id"], aggs).select("id", *[x.out for x in aggs])
         assert a.count() == 3000
         assert a.subtract(b).count() == 0 and b.subtract(a).count() == 0
@@ -171,7 +171,7 @@ def test_keyed_scan_large_longs_exact(spark):
     rows = [(i, i % 3, big + i) for i in range(600)]
     df = spark.createDataFrame(rows, "id long, k long, v long")
     aggs = [Agg("m", "max", "v"), Agg("p", "last", "v"), Agg("mx", "max", "v", inclusive=False)]
-    a = keyed_scan(df, ["k"], ["id"], aggs, partitions=7).select("id", "m", "p", "mx")
+    a = keyed_scan(df, ["k"], ["id"], aggs, partitions=7, strategy="scan").select("id", "m", "p", "mx")
     b = running_window(df, ["k"], ["id"], aggs).select("id", "m", "p", "mx")
     assert a.subtract(b).count() == 0 and b.subtract(a).count() == 0
 
@@ -186,13 +186,15 @@ def test_session_scan_matches_brute_force(spark):
         t = random.randint(0, 200_000)
         rows.append((i, k, t, t + random.choice([50, 400, 3000])))
     df = spark.createDataFrame(rows, "id long, k long, t long, e long")
-    got = session_scan(df, ["k"], "t", "e", "id", out="s", partitions=13).select("id", "s")
+    got = session_scan(df, ["k"], "t", "e", "id", out="s", partitions=13, strategy="scan").select("id", "s")
     w = Window.partitionBy("k").orderBy("t", "id")
     pe = F.max("e").over(w.rowsBetween(Window.unboundedPreceding, -1))
     b = df.withColumn("st", F.when(pe.isNull() | (F.col("t") > pe), F.col("t")))
     want = b.select("id", F.max("st").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("s"))
     assert got.count() == 4000
     assert got.subtract(want).count() == 0 and want.subtract(got).count() == 0
+    win = session_scan(df, ["k"], "t", "e", "id", out="s", strategy="window").select("id", "s")
+    assert win.subtract(want).count() == 0 and want.subtract(win).count() == 0
 
 
 def test_pair_scan_many_partitions(spark):
@@ -203,15 +205,17 @@ def test_pair_scan_many_partitions(spark):
         events.append((k, random.randint(0, 1), n))
     df = spark.createDataFrame([(k, s, i, T0 + dt.timedelta(seconds=i // 3)) for k, s, i in events],
                                "k long, side int, i long, t timestamp")
-    spark.conf.set("cabflow.scan.partitions", "17")
-    try:
-        p = joins.pair_first_come(df.where("side = 0"), df.where("side = 1"), "k", "t", "i")
-        got = sorted((r.k, r.left_id, r.right_id) for r in p.collect())
-    finally:
-        spark.conf.unset("cabflow.scan.partitions")
-    # arrival order = (t, side, i), as in pair_first_come
-    ordered = sorted(events, key=lambda e: (e[2] // 3, e[1], e[2]))
-    assert got == _state_machine(ordered)
+    ordered = sorted(events, key=lambda e: (e[2] // 3, e[1], e[2]))   # arrival order (t, side, i)
+    for strategy in ("scan", "window"):
+        spark.conf.set("cabflow.scan.partitions", "17")
+        spark.conf.set("cabflow.scan.strategy", strategy)
+        try:
+            p = joins.pair_first_come(df.where("side = 0"), df.where("side = 1"), "k", "t", "i")
+            got = sorted((r.k, r.left_id, r.right_id) for r in p.collect())
+        finally:
+            spark.conf.unset("cabflow.scan.partitions")
+            spark.conf.unset("cabflow.scan.strategy")
+        assert got == _state_machine(ordered), strategy
 
 
 def test_top_n_salted_matches_brute_force(spark):
@@ -233,6 +237,18 @@ def test_concat_scan_hot_key(spark):
              random.choice([None, "a", "bb", "c"])) for i in range(800)]
     df = spark.createDataFrame(rows, "id long, k long, t long, s string")
     aggs = [Agg("cat", "concat", "s", sep=" and ")]
-    a = keyed_scan(df, ["k"], ["t", "id"], aggs, partitions=9).select("id", "cat")
+    a = keyed_scan(df, ["k"], ["t", "id"], aggs, partitions=9, strategy="scan").select("id", "cat")
     b = running_window(df, ["k"], ["t", "id"], aggs).select("id", "cat")
     assert a.subtract(b).count() == 0 and b.subtract(a).count() == 0
+
+
+def test_auto_strategy_picks_scan_only_for_hot_keys(spark):
+    from cabflow.operators.scan import use_scan
+    df = spark.createDataFrame([(i % 4, i) for i in range(100)], "k long, i long")
+    assert not use_scan(df, ["k"])
+    spark.conf.set("cabflow.scan.hotKeyRows", "10")
+    try:
+        assert use_scan(df, ["k"])
+    finally:
+        spark.conf.unset("cabflow.scan.hotKeyRows")
+    assert use_scan(df, [])              # one global order is one group

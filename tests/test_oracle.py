@@ -16,10 +16,15 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
+@pytest.mark.parametrize("strategy", ["auto", "scan"])
 @pytest.mark.parametrize("name", sorted(ent.oracle_sql()))
-def test_query_matches_oracle(spark, name):
-    df = ent.queries()[name](spark, SF)
-    rows = [tuple(r) for r in df.collect()]
+def test_query_matches_oracle(spark, name, strategy):
+    spark.conf.set("cabflow.scan.strategy", strategy)
+    try:
+        df = ent.queries()[name](spark, SF)
+        rows = [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.unset("cabflow.scan.strategy")
     ocols, orows = oracle_rows(SF, ent.oracle_sql()[name])
     assert sorted(df.columns) == sorted(ocols)
     assert len(rows) == len(orows)
