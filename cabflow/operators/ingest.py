@@ -22,6 +22,7 @@ CAR_FIELDS = 23
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 CAR_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[XXX][XX]"
 CAR_SPLIT = "(,|;)\\s*"
+CAR_SPLIT_TAIL = ",; \t\n\x0b\f\r"   # characters a CAR_SPLIT match can end with
 
 _INT_RE = "^[+-]?[0-9]+$"
 
@@ -130,7 +131,7 @@ def parse_fares(lines: DataFrame, mode: str = "quarantine", line_col: str = "lin
 
 def parse_car_events(lines: DataFrame, mode: str = "quarantine", line_col: str = "line", keep=()):
     """23 tokens split by ``(,|;)\\s*``; keeps carId, id, timestamp and six measures."""
-    df = _tokens(lines, line_col, lambda c: java_split(c, CAR_SPLIT), keep)
+    df = _tokens(lines, line_col, lambda c: java_split(c, CAR_SPLIT, CAR_SPLIT_TAIL), keep)
     tok = lambda i: F.try_element_at(F.col("_t"), F.lit(i + 1))
     ts = _ts(tok(22), CAR_TIME_FORMAT)
     parsed = df.select(

@@ -97,3 +97,14 @@ def test_parse_key_ts(spark):
     r = good.first()
     assert r.key == "a" and r.ts_ms == 1700000000000
     assert good.select(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).first()[0] == "2023-11-14 22:13:20"
+
+
+def test_java_split_fast_paths_agree(spark):
+    from cabflow.operators.ingest import CAR_SPLIT, CAR_SPLIT_TAIL
+    rows = [("a, b;c; ",), ("x,,y,,",), ("a ",), ("",), (",;  ",), ("a;b\t",), ("p,q",)]
+    df = spark.createDataFrame(rows, "s string")
+    slow = [r[0] for r in df.select(java_split("s", CAR_SPLIT)).collect()]
+    fast = [r[0] for r in df.select(java_split("s", CAR_SPLIT, CAR_SPLIT_TAIL)).collect()]
+    assert slow == fast
+    comma = [r[0] for r in df.select(java_split("s", ",")).collect()]
+    assert comma[1] == ["x", "", "y"] and comma[3] == [""] and comma[6] == ["p", "q"]
