@@ -235,7 +235,8 @@ def _windows(keys: list[str]):
     return w_all, w_all.rowsBetween(Window.unboundedPreceding, -1)
 
 
-HOT_KEY_ROWS = 1_000_000   # default row budget of one key in one ordered-window task
+HOT_KEY_ROWS = 1_000_000   # floor of the row budget of one key in one ordered-window task
+SCAN_COST_FACTOR = 4       # a scan costs ~3x a window pass: scan only beyond 4 fair shares
 
 
 def use_scan(df: DataFrame, keys: list[str], strategy: str | None = None) -> bool:
@@ -243,10 +244,11 @@ def use_scan(df: DataFrame, keys: list[str], strategy: str | None = None) -> boo
 
     ``scan``: the skew-proof range scan.  ``window``: one ordered window per
     key (all JVM; a key is one task).  ``auto`` (default, or the session's
-    ``cabflow.scan.strategy``): count rows per key - one partial aggregate,
-    a single number returned to the driver - and scan only when some key
-    exceeds ``cabflow.scan.hotKeyRows``.  A global order (no key) is one
-    group, so it always scans.
+    ``cabflow.scan.strategy``): one partial aggregate counts rows per key and
+    returns two numbers to the driver; the scan is used when the biggest key
+    would be a straggler, i.e. holds more than both ``cabflow.scan.hotKeyRows``
+    and ``SCAN_COST_FACTOR`` x (rows / cores) - a fair share of the cluster.
+    A global order (no key) is one group, so it always scans.
     """
     spark = df.sparkSession
     strategy = strategy or spark.conf.get("cabflow.scan.strategy", "auto")
@@ -256,9 +258,15 @@ def use_scan(df: DataFrame, keys: list[str], strategy: str | None = None) -> boo
         return True
     if strategy == "window":
         return False
-    limit = int(spark.conf.get("cabflow.scan.hotKeyRows", str(HOT_KEY_ROWS)))
-    biggest = df.groupBy(*keys).count().agg(F.max("count")).first()[0]
-    return biggest is not None and biggest > limit
+    floor = int(spark.conf.get("cabflow.scan.hotKeyRows", str(HOT_KEY_ROWS)))
+    stats = df.groupBy(*keys).count().agg(F.max("count").alias("mx"), F.sum("count").alias("n")).first()
+    if stats["mx"] is None:
+        return False
+    try:
+        cores = spark.sparkContext.defaultParallelism
+    except Exception:  # remote session: size by the shuffle partitions instead
+        cores = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return stats["mx"] > max(floor, SCAN_COST_FACTOR * stats["n"] / max(1, cores))
 
 
 def keyed_scan(df: DataFrame, keys: list[str], order: list[str], aggs: list[Agg],

@@ -244,11 +244,13 @@ def test_concat_scan_hot_key(spark):
 
 def test_auto_strategy_picks_scan_only_for_hot_keys(spark):
     from cabflow.operators.scan import use_scan
-    df = spark.createDataFrame([(i % 4, i) for i in range(100)], "k long, i long")
-    assert not use_scan(df, ["k"])
+    even = spark.createDataFrame([(i % 50, i) for i in range(5000)], "k long, i long")
+    hot = spark.createDataFrame([(0 if i % 2 else i % 50, i) for i in range(5000)], "k long, i long")
+    assert not use_scan(even, ["k"]) and not use_scan(hot, ["k"])     # under the row floor
     spark.conf.set("cabflow.scan.hotKeyRows", "10")
     try:
-        assert use_scan(df, ["k"])
+        assert not use_scan(even, ["k"])      # 100 rows per key: below 4 fair shares of 8 cores
+        assert use_scan(hot, ["k"])           # one key holds half of all rows
     finally:
         spark.conf.unset("cabflow.scan.hotKeyRows")
-    assert use_scan(df, [])              # one global order is one group
+    assert use_scan(even, [])            # one global order is one group
