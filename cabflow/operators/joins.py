@@ -12,7 +12,7 @@ Three forms (SURVEY JOI1):
    same side as the previous row of its key; inside an island sides
    alternate and rows (1,2), (3,4), ... are the pairs.  One skew-proof
    scan (``pair_scan``), so a hot key never lands in one task.
-3. ``unmatched`` – rows without a partner on the other side (anti joins).
+3. ``unmatched`` – keys without a partner on the other side (one grouped union).
 """
 
 from __future__ import annotations
@@ -56,10 +56,17 @@ def pair_first_come(left: DataFrame, right: DataFrame, key: str, time: str, iden
 
 
 def unmatched(left: DataFrame, right: DataFrame, key: str, right_key: str | None = None) -> DataFrame:
-    """Keys present on one side only, tagged with the side that has them."""
+    """Keys present on one side only, tagged with the side that has them.
+
+    One tagged union grouped by key: a single shuffle, with map-side partial
+    aggregation collapsing repeated keys (instead of two distincts and two
+    anti joins).
+    """
     rk = right_key or key
-    lk = left.select(F.col(key).alias("k")).distinct()
-    rkeys = right.select(F.col(rk).alias("k")).distinct()
-    return (lk.join(rkeys, "k", "left_anti").withColumn("side", F.lit("left"))
-            .unionByName(rkeys.join(lk, "k", "left_anti").withColumn("side", F.lit("right")))
-            .withColumnRenamed("k", key))
+    tagged = (left.select(F.col(key).alias("k"), F.lit(1).alias("l"), F.lit(0).alias("r"))
+              .unionByName(right.select(F.col(rk).alias("k"), F.lit(0).alias("l"), F.lit(1).alias("r"))))
+    # A null key never matches the other side: keep the two sides' nulls apart.
+    null_side = F.when(F.col("k").isNull(), F.col("l"))
+    sides = tagged.groupBy("k", null_side.alias("_ns")).agg(F.max("l").alias("l"), F.max("r").alias("r"))
+    return (sides.where(F.col("l") != F.col("r"))
+                 .select(F.col("k").alias(key), F.when(F.col("l") == 1, "left").otherwise("right").alias("side")))

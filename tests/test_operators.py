@@ -125,10 +125,10 @@ def test_pair_first_come_golden_and_random(spark):
 
 
 def test_unmatched(spark):
-    left = spark.createDataFrame([(1,), (2,)], "k long")
-    right = spark.createDataFrame([(2,), (3,)], "k long")
-    got = sorted((r.k, r.side) for r in joins.unmatched(left, right, "k").collect())
-    assert got == [(1, "left"), (3, "right")]
+    left = spark.createDataFrame([(1,), (2,), (2,), (None,)], "k long")
+    right = spark.createDataFrame([(2,), (3,), (3,), (None,)], "k long")
+    got = sorted((r.k if r.k is not None else -1, r.side) for r in joins.unmatched(left, right, "k").collect())
+    assert got == [(-1, "left"), (-1, "right"), (1, "left"), (3, "right")]
 
 
 def test_hourly_top_tie_smallest_driver(spark):
