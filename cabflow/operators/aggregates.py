@@ -46,16 +46,20 @@ def top_n(df: DataFrame, groups: list[str], order: list, n: int, salt_col: str |
     """Top ``n`` rows per group by ``order`` (Columns, first = most important),
     with a 1-based ``rank``.
 
-    Two phases so a group with very many rows is never ranked in one task:
-    rank inside (group, hash(salt) % buckets) sub-groups, keep each one's
-    top n, then rank the at most ``buckets * n`` survivors per group.
-    Exact: every true top-n row is in its sub-group's top n.
+    A group with very many rows is never ranked whole in one task: for ``n``
+    up to ``spark.sql.optimizer.windowGroupLimitThreshold`` Spark limits every
+    group to ``n`` rows per input partition before the shuffle
+    (``WindowGroupLimit``).  Beyond it, rank first inside (group,
+    hash(salt) % buckets) sub-groups, keep each one's top n, then rank the at
+    most ``buckets * n`` survivors.  Exact either way.
     """
     from pyspark.sql import Window
 
-    salt = F.pmod(F.hash(F.col(salt_col)), F.lit(buckets)) if salt_col else F.lit(0)
-    pre = (df.withColumn("_salt", salt)
-             .withColumn("_r1", F.row_number().over(Window.partitionBy(*groups, "_salt").orderBy(*order)))
-             .where(F.col("_r1") <= n).drop("_r1", "_salt"))
-    return (pre.withColumn(out, F.row_number().over(Window.partitionBy(*groups).orderBy(*order)))
-               .where(F.col(out) <= n))
+    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if salt_col and n > limit:
+        salt = F.pmod(F.hash(F.col(salt_col)), F.lit(buckets))
+        df = (df.withColumn("_salt", salt)
+                .withColumn("_r1", F.row_number().over(Window.partitionBy(*groups, "_salt").orderBy(*order)))
+                .where(F.col("_r1") <= n).drop("_r1", "_salt"))
+    return (df.withColumn(out, F.row_number().over(Window.partitionBy(*groups).orderBy(*order)))
+              .where(F.col(out) <= n))

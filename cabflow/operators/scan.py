@@ -248,17 +248,18 @@ def use_scan(df: DataFrame, keys: list[str], strategy: str | None = None) -> boo
     returns two numbers to the driver; the scan is used when the biggest key
     would be a straggler, i.e. holds more than both ``cabflow.scan.hotKeyRows``
     and ``SCAN_COST_FACTOR`` x (rows / cores) - a fair share of the cluster.
-    A global order (no key) is one group, so it always scans.
+    A global order (no key) is one group: it is a single window only while
+    the whole input is within the row floor, otherwise it scans.
     """
     spark = df.sparkSession
     strategy = strategy or spark.conf.get("cabflow.scan.strategy", "auto")
     if strategy not in ("auto", "scan", "window"):
         raise ValueError(f"unknown scan strategy {strategy!r}")
-    if not keys or strategy == "scan":
-        return True
-    if strategy == "window":
-        return False
+    if strategy != "auto":
+        return strategy == "scan"
     floor = int(spark.conf.get("cabflow.scan.hotKeyRows", str(HOT_KEY_ROWS)))
+    if not keys:
+        return df.count() > floor
     stats = df.groupBy(*keys).count().agg(F.max("count").alias("mx"), F.sum("count").alias("n")).first()
     if stats["mx"] is None:
         return False

@@ -225,10 +225,16 @@ def test_top_n_salted_matches_brute_force(spark):
             for i in range(3000)]
     df = spark.createDataFrame(rows, "g string, id long, v long")
     order = [F.col("v").desc(), F.col("id")]
-    got = aggregates.top_n(df, ["g"], order, 4, salt_col="id", buckets=16)
     want = (df.withColumn("rank", F.row_number().over(Window.partitionBy("g").orderBy(*order)))
               .where("rank <= 4"))
+    got = aggregates.top_n(df, ["g"], order, 4, salt_col="id", buckets=16)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "2")   # force the salted phase
+    try:
+        got = aggregates.top_n(df, ["g"], order, 4, salt_col="id", buckets=16)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    finally:
+        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
 
 
 def test_concat_scan_hot_key(spark):
@@ -253,4 +259,9 @@ def test_auto_strategy_picks_scan_only_for_hot_keys(spark):
         assert use_scan(hot, ["k"])           # one key holds half of all rows
     finally:
         spark.conf.unset("cabflow.scan.hotKeyRows")
-    assert use_scan(even, [])            # one global order is one group
+    assert not use_scan(even, [])        # a global order within the row floor: one window
+    spark.conf.set("cabflow.scan.hotKeyRows", "10")
+    try:
+        assert use_scan(even, [])        # beyond it: the global scan
+    finally:
+        spark.conf.unset("cabflow.scan.hotKeyRows")
