@@ -23,7 +23,8 @@ prefix scan instead:
 
 The scan costs a vectorised Python pass and a checkpoint, so it is used
 where it matters: ``use_scan`` counts rows per key first and keeps plain
-ordered windows (all JVM) when no key exceeds a row budget.
+ordered windows (all JVM) unless a key would be a straggler.  Every scan
+(``keyed_scan``, ``session_scan``, ``pair_scan``) has its window form.
 
 Supported ops: ``count``, ``sum``, ``max``, ``min`` (inclusive or exclusive
 of the current row), ``last`` (the previous row's value, exclusive) and
@@ -566,10 +567,10 @@ def pair_scan(df: DataFrame, keys: list[str], partitions: int | None = None,
 
 
 def running_window(df: DataFrame, keys: list[str], order: list[str], aggs: list[Agg]) -> DataFrame:
-    """Reference implementation with one ordered window per key.
-
-    Same output as ``keyed_scan``; all rows of a key go to one task, so it is
-    only used as a brute-force check in tests.
+    """The window form of ``keyed_scan``: one ordered window per key (all JVM,
+    whole-stage codegen).  Same output; all rows of a key go to one task, so
+    ``use_scan`` picks it only when no key is hot.  Also the brute force the
+    scan is tested against.
     """
     w = Window.partitionBy(*keys).orderBy(*order) if keys else Window.orderBy(*order)
     inc = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
