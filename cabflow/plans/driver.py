@@ -316,7 +316,7 @@ def q_grid_cell(spark, d):
 def _ride_lines(spark, d):
     """Ride text lines derived from events: purchase/click = END, view/signup =
     START, error = an invalid flag; signup rows have an empty start latitude."""
-    e = _events(spark, d, "event_id", "user_id", "ts", "event_type").withColumn("arr", arrival())
+    e = spread(_events(spark, d, "event_id", "user_id", "ts", "event_type")).withColumn("arr", arrival())
     fmt = "yyyy-MM-dd HH:mm:ss"
     is_end = F.col("event_type").isin("purchase", "click")
     flag = F.when(is_end, "END").when(F.col("event_type") == "error", "STOP").otherwise("START")
@@ -355,7 +355,8 @@ def q_cell_longest(spark, d):
 
 
 def _fare_lines(spark, d):
-    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", "o_totalprice")
+    o = spread(table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus",
+                                                "o_totalprice"))
     tip = F.when(F.col("o_orderstatus") == "F", F.lit("")).otherwise(
         (F.col("o_orderkey") % 20).cast("string"))
     total = F.when(F.col("o_orderstatus") == "P", F.lit("")).otherwise(F.col("o_totalprice").cast("string"))
@@ -372,7 +373,7 @@ def q_parse_fares(spark, d):
 
 
 def _car_lines(spark, d):
-    e = _events(spark, d, "event_id", "user_id", "ts", "value", "event_type")
+    e = spread(_events(spark, d, "event_id", "user_id", "ts", "value", "event_type"))
     v = F.col("value").cast("string")
     speed = F.when(F.col("event_type") == "error", F.lit("0")).otherwise(v)   # errors are stops
     z = F.when(F.col("event_id") % 2 == 0, F.lit("Z")).otherwise(F.lit("+0000"))
