@@ -25,6 +25,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from cabflow.functions.labels import STYLE_BAND, STYLE_LABELS
+from cabflow.operators.keyed import CONTAINS_PREFIX, CONTAINS_SEP
+
 SORTED_SCHEMA = "key string, id long, ts_ms long, kind string"
 SEGMENT_SCHEMA = ("key string, startTime long, length int, maxSpeed float, erraticness float, "
                   "label string")
@@ -96,8 +99,8 @@ class EventSorter(StatefulProcessor):
 
 
 def _style(x: float) -> str:
-    band = int(x / 2.5)
-    return "calm" if band == 0 else ("busy" if band == 1 else "crazy")
+    band = int(x / STYLE_BAND)
+    return STYLE_LABELS[min(band, 2)] if band >= 0 else STYLE_LABELS[2]
 
 
 class StopSegmenter(StatefulProcessor):
@@ -272,7 +275,7 @@ class RunningSum(StatefulProcessor):
 class RunningConcat(StatefulProcessor):
     """Aggregating state: ``contains:a and b and ...`` per input row."""
 
-    PREFIX, SEP = "contains:", " and "
+    PREFIX, SEP = CONTAINS_PREFIX, CONTAINS_SEP
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.acc = handle.getValueState("acc", "v string")
