@@ -100,10 +100,11 @@ def stop_segments(cars: DataFrame, delay_ms: int = 30_000) -> DataFrame:
 
 def pair_rides_fares(rides: DataFrame, fares: DataFrame, ttl_ms: int | None = None) -> DataFrame:
     """Reference-faithful pairing: tagged union keyed by rideId, one waiting element."""
+    keep = ["seq"] if "seq" in rides.columns and "seq" in fares.columns else []
     r = rides.select(F.col("rideId").alias("key"), F.lit(0).alias("side"), F.col("rideId").alias("id"),
-                     F.unix_millis("startTime").alias("ts_ms"))
+                     F.unix_millis("startTime").alias("ts_ms"), *keep)
     f = fares.select(F.col("rideId").alias("key"), F.lit(1).alias("side"), F.col("rideId").alias("id"),
-                     F.unix_millis("startTime").alias("ts_ms"))
+                     F.unix_millis("startTime").alias("ts_ms"), *keep)
     u = _seq(r.unionByName(f))
     return u.groupBy("key").transformWithStateInPandas(FirstComePairing(ttl_ms), PAIR_SCHEMA, "append", "None")
 

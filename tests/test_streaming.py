@@ -180,3 +180,15 @@ def test_keyed_reduce_generic(spark):
     out = _run(spark, df, "kreduce")
     assert sorted((r.key, r.n, r.running_max) for r in out.collect()) == [
         (1, 1, 3), (1, 2, 5), (1, 3, 7), (2, 1, 4), (2, 2, 4), (2, 3, 5)]
+
+
+def test_pair_rides_fares_job(spark):
+    t = dt.datetime(2024, 1, 1)
+    # ride START then END, fare in between -> (START, fare); END waits
+    rides = pd.DataFrame({"rideId": [1, 1, 2], "isStart": [True, False, True],
+                          "startTime": [t, t, t], "seq": [0, 2, 3]})
+    fares = pd.DataFrame({"rideId": [1, 2], "startTime": [t, t], "seq": [1, 4]})
+    r = _stream(spark, rides, "rideId long, isStart boolean, startTime timestamp, seq long", chunks=2)
+    f = _stream(spark, fares, "rideId long, startTime timestamp, seq long")
+    out = _run(spark, jobs.pair_rides_fares(r.drop("isStart"), f), "pair_job")
+    assert sorted(r.key for r in out.collect()) == [1, 2]
