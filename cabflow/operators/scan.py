@@ -236,8 +236,9 @@ def _windows(keys: list[str]):
     return w_all, w_all.rowsBetween(Window.unboundedPreceding, -1)
 
 
-HOT_KEY_ROWS = 1_000_000   # floor of the row budget of one key in one ordered-window task
-SCAN_COST_FACTOR = 4       # a scan costs ~3x a window pass: scan only beyond 4 fair shares
+HOT_KEY_ROWS = 1_000_000      # below this a key always stays in one ordered-window task
+MAX_KEY_ROWS = 50_000_000     # above this a key never does, whatever the cluster size
+SCAN_COST_FACTOR = 4          # a scan costs ~3x a window pass: scan only beyond 4 fair shares
 
 
 def use_scan(df: DataFrame, keys: list[str], strategy: str | None = None) -> bool:
@@ -247,8 +248,9 @@ def use_scan(df: DataFrame, keys: list[str], strategy: str | None = None) -> boo
     key (all JVM; a key is one task).  ``auto`` (default, or the session's
     ``cabflow.scan.strategy``): one partial aggregate counts rows per key and
     returns two numbers to the driver; the scan is used when the biggest key
-    would be a straggler, i.e. holds more than both ``cabflow.scan.hotKeyRows``
-    and ``SCAN_COST_FACTOR`` x (rows / cores) - a fair share of the cluster.
+    holds more than ``cabflow.scan.hotKeyRows`` and either would be a
+    straggler (over ``SCAN_COST_FACTOR`` fair shares, rows / cores) or is over
+    ``cabflow.scan.maxKeyRows`` (a bound on one task's group).
     A global order (no key) is one group: it is a single window only while
     the whole input is within the row floor, otherwise it scans.
     """
@@ -268,7 +270,9 @@ def use_scan(df: DataFrame, keys: list[str], strategy: str | None = None) -> boo
         cores = spark.sparkContext.defaultParallelism
     except Exception:  # remote session: size by the shuffle partitions instead
         cores = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return stats["mx"] > max(floor, SCAN_COST_FACTOR * stats["n"] / max(1, cores))
+    cap = int(spark.conf.get("cabflow.scan.maxKeyRows", str(MAX_KEY_ROWS)))
+    biggest = stats["mx"]
+    return biggest > floor and (biggest > SCAN_COST_FACTOR * stats["n"] / max(1, cores) or biggest > cap)
 
 
 def keyed_scan(df: DataFrame, keys: list[str], order: list[str], aggs: list[Agg],

@@ -257,6 +257,9 @@ def test_auto_strategy_picks_scan_only_for_hot_keys(spark):
     try:
         assert not use_scan(even, ["k"])      # 100 rows per key: below 4 fair shares of 8 cores
         assert use_scan(hot, ["k"])           # one key holds half of all rows
+        spark.conf.set("cabflow.scan.maxKeyRows", "50")
+        assert use_scan(even, ["k"])          # over the absolute per-task bound
+        spark.conf.unset("cabflow.scan.maxKeyRows")
     finally:
         spark.conf.unset("cabflow.scan.hotKeyRows")
     assert not use_scan(even, [])        # a global order within the row floor: one window
