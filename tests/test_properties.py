@@ -2,6 +2,7 @@
 each because every example runs Spark jobs."""
 import datetime as dt
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -16,6 +17,13 @@ rows_st = st.lists(st.tuples(st.integers(0, 4), st.integers(0, 600), st.integers
                    min_size=1, max_size=120)
 
 
+@pytest.fixture(params=["auto", "scan"])
+def strategy(request, spark):
+    spark.conf.set("cabflow.scan.strategy", request.param)
+    yield request.param
+    spark.conf.unset("cabflow.scan.strategy")
+
+
 def _df(spark, rows):
     data = [(i, k, T0 + dt.timedelta(seconds=t), T0 + dt.timedelta(seconds=t + lag), v)
             for i, (k, t, lag, v) in enumerate(rows)]
@@ -24,7 +32,7 @@ def _df(spark, rows):
 
 @SETTINGS
 @given(rows=rows_st)
-def test_late_plus_on_time_is_input(spark, rows):
+def test_late_plus_on_time_is_input(spark, strategy, rows):
     df = _df(spark, rows)
     on_time, late = ev.late_split(df, "ts", "arr", "id", 60_000_000)
     ids = sorted(r.id for r in on_time.select("id").union(late.select("id")).collect())
@@ -33,7 +41,7 @@ def test_late_plus_on_time_is_input(spark, rows):
 
 @SETTINGS
 @given(rows=rows_st)
-def test_stop_segments_cover_moving_events_once(spark, rows):
+def test_stop_segments_cover_moving_events_once(spark, strategy, rows):
     df = _df(spark, rows)
     segs = segments.stop_segments(df, "k", "ts", "id", F.col("v") == 0, speed="v", throttle="v")
     covered = segs.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
@@ -52,7 +60,7 @@ def test_stop_segments_cover_moving_events_once(spark, rows):
 
 @SETTINGS
 @given(rows=rows_st)
-def test_count_windows_emit_floor_n_over_3(spark, rows):
+def test_count_windows_emit_floor_n_over_3(spark, strategy, rows):
     df = _df(spark, rows)
     out = windows.count_tumbling(df, ["k"], ["ts", "id"], 3, [F.count(F.lit(1)).alias("n")])
     got = {r.k: r.c for r in out.groupBy("k").agg(F.count(F.lit(1)).alias("c")).collect()}
@@ -64,7 +72,7 @@ def test_count_windows_emit_floor_n_over_3(spark, rows):
 
 @SETTINGS
 @given(rows=rows_st, seed=st.integers(0, 10))
-def test_sessions_invariant_under_shuffle(spark, rows, seed):
+def test_sessions_invariant_under_shuffle(spark, strategy, rows, seed):
     df = _df(spark, rows)
     agg = [F.count(F.lit(1)).alias("n")]
     a = windows.sessions(df, ["k"], "ts", "id", 30_000_000, agg)
