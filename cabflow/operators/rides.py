@@ -33,12 +33,21 @@ def cleanse(lines: DataFrame, mode: str = "quarantine") -> tuple[DataFrame, Data
 
 
 def durations(enriched: DataFrame) -> DataFrame:
-    """END events only: (startCell, whole minutes end - start, driverId, rideId)."""
-    return (enriched.where(~F.col("isStart"))
+    """END events only: (startCell, whole minutes end - start, driverId, rideId).
+
+    A ride that ends before it starts is invalid (the interval cannot be
+    built) and is left out here; ``invalid_durations`` returns those rows.
+    """
+    return (enriched.where(~F.col("isStart") & (F.col("endTime") >= F.col("startTime")))
             .select("startCell", whole_minutes("startTime", "endTime").alias("minutes"),
                     "driverId", "rideId"))
 
 
+def invalid_durations(enriched: DataFrame) -> DataFrame:
+    """END events whose end time precedes their start time (quarantine)."""
+    return enriched.where(~F.col("isStart") & (F.col("endTime") < F.col("startTime")))
+
+
 def longest_per_cell(durs: DataFrame, key: str = "startCell") -> DataFrame:
     """Longest ride per cell and the driver of it (smallest driver id on ties).
 

@@ -268,3 +268,14 @@ def test_auto_strategy_picks_scan_only_for_hot_keys(spark):
         assert use_scan(even, [])        # beyond it: the global scan
     finally:
         spark.conf.unset("cabflow.scan.hotKeyRows")
+
+
+def test_durations_quarantine_negative(spark):
+    from cabflow.operators import rides
+    from cabflow.sources.lines import from_rows
+    lines = from_rows(spark, [
+        "1,END,2013-01-01 00:12:59,2013-01-01 00:00:00,-73.9,40.75,-73.95,40.76,1,1,1",
+        "2,END,2013-01-01 00:00:00,2013-01-01 00:12:59,-73.9,40.75,-73.95,40.76,1,1,1"])
+    enriched, _ = rides.cleanse(lines)
+    assert [(r.rideId, r.minutes) for r in rides.durations(enriched).collect()] == [(1, 12)]
+    assert [r.rideId for r in rides.invalid_durations(enriched).collect()] == [2]
