@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from cabflow.functions.text import tokenize
 from cabflow.operators import aggregates, events, joins, keyed, rides, segments, windows
 from cabflow.operators.ingest import parse_car_events, parse_fares, parse_key_ts, parse_rides
+from cabflow.session import spread
 from cabflow.sources.lines import read_lines
 
 # Parameters of the reference jobs (fixed values).
@@ -25,7 +26,9 @@ COUNT_WINDOW = 3
 
 
 def _lines(spark, path):
-    return read_lines(spark, path, repartition=spark.sparkContext.defaultParallelism)
+    """Lines of ``path``; spread over the cores only when there are fewer
+    input splits than cores (e.g. a few unsplittable gzip files)."""
+    return spread(read_lines(spark, path))
 
 
 def ride_cleansing(spark: SparkSession, rides_path: str) -> DataFrame:
@@ -60,8 +63,7 @@ def hourly_tips(spark: SparkSession, fares_path: str) -> tuple[DataFrame, DataFr
 def _cars(spark, path):
     """Car events with ``seq`` = line order of the input (assigned at the
     scan, before any shuffle), then spread for parsing."""
-    lines = read_lines(spark, path).withColumn("seq", F.monotonically_increasing_id())
-    lines = lines.repartition(spark.sparkContext.defaultParallelism)
+    lines = spread(read_lines(spark, path).withColumn("seq", F.monotonically_increasing_id()))
     good, _ = parse_car_events(lines, keep=["seq"])
     return good
 
