@@ -23,20 +23,27 @@ from cabflow.operators.scan import Agg, keyed_scan
 
 
 def with_watermark(df: DataFrame, ts: str, arrival: str, tie: str, delay_us: int,
-                   advance_when: Column | None = None, out: str = "wm_us") -> DataFrame:
-    """Add the watermark (epoch micros) each row sees when it arrives."""
+                   advance_when: Column | None = None, out: str = "wm_us",
+                   keys: list[str] | None = None) -> DataFrame:
+    """Add the watermark (epoch micros) each row sees when it arrives.
+
+    ``keys`` empty (default): one watermark over the whole stream; with keys,
+    one per key (what the streaming sorter keeps in its state).
+    """
     t = micros(ts)
     src = F.when(advance_when, t) if advance_when is not None else t
     base = df.withColumns({"_wm_src": src, "_arr_us": micros(arrival)})
-    s = keyed_scan(base, [], ["_arr_us", tie], [Agg("_prev_max", "max", "_wm_src", inclusive=False)])
+    s = keyed_scan(base, list(keys or []), ["_arr_us", tie],
+                   [Agg("_prev_max", "max", "_wm_src", inclusive=False)])
     return (s.withColumn(out, F.col("_prev_max") - F.lit(delay_us))
              .drop("_wm_src", "_arr_us", "_prev_max"))
 
 
 def late_split(df: DataFrame, ts: str, arrival: str, tie: str, delay_us: int,
-               advance_when: Column | None = None) -> tuple[DataFrame, DataFrame]:
+               advance_when: Column | None = None,
+               keys: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """(on_time, late).  Together they are exactly the input rows."""
-    w = with_watermark(df, ts, arrival, tie, delay_us, advance_when)
+    w = with_watermark(df, ts, arrival, tie, delay_us, advance_when, keys=keys)
     is_late = F.coalesce(micros(ts) <= F.col("wm_us"), F.lit(False))
     flagged = w.withColumn("is_late", is_late)
     return flagged.where(~F.col("is_late")), flagged.where(F.col("is_late"))
