@@ -18,7 +18,8 @@ from cabflow.operators import rides as ride_ops
 from cabflow.session import prepare
 from cabflow.streaming.processors import (AVERAGE_SCHEMA, CONCAT_SCHEMA, IDLE_SCHEMA, PAIR_SCHEMA, SEGMENT_SCHEMA,
                                           SORTED_SCHEMA, SUM_SCHEMA, CountAverage, EventSorter, FirstComePairing,
-                                          IdleCounter, RunningConcat, RunningSum, StopSegmenter)
+                                          IdleCounter, RunningConcat, RunningSum, StopSegmenter,
+                                          WINDOW_LATE_SCHEMA, WindowCountWithLate)
 
 DEFAULT_TRIGGER = {"processingTime": "10 seconds"}
 
@@ -134,6 +135,14 @@ def keyed_state(df: DataFrame, kind: str, n: int = 3, layout: str = "value") ->
     raise ValueError(kind)
 
 
+def window_counts_with_late(events: DataFrame, size_ms: int, delay_ms: int) -> DataFrame:
+    """Tumbling window counts per key plus late rows as a side output
+    (``kind`` = 'window' | 'late').  Input columns: key, ts_ms[, seq]."""
+    src = _seq(events)
+    return src.groupBy("key").transformWithStateInPandas(
+        WindowCountWithLate(size_ms, delay_ms), WINDOW_LATE_SCHEMA, "append", "None")
+
+
 def idle_counts(words: DataFrame, gap_ms: int = 5_000) -> DataFrame:
     prepare(words.sparkSession)
     return (words.select(F.col("word").alias("key")).groupBy("key")
@@ -141,4 +150,5 @@ def idle_counts(words: DataFrame, gap_ms: int = 5_000) -> DataFrame:
 
 
 __all__ = ["start", "cleanse", "word_counts", "hourly_tips", "windowed_counts", "gap_sessions", "sort_events",
-           "stop_segments", "pair_rides_fares", "rides_join_fares", "keyed_state", "idle_counts"]
+           "stop_segments", "pair_rides_fares", "rides_join_fares", "keyed_state", "idle_counts",
+           "window_counts_with_late"]

@@ -11,6 +11,7 @@ on the checkpoint location, and replays it after a failure.
 * ``RunningSum``        – reducing state (AGG6);  ``RunningConcat`` – aggregating state (AGG7)
 * ``IdleCounter``       – count until a processing-time timeout (STA6)
 * ``KeyedReduce``       – generic accumulator from init / add / emit functions (STA4, STA5)
+* ``WindowCountWithLate`` – window counts with a late-data side output (LATE1)
 
 Rows of one micro-batch for a key arrive together; processors that depend
 on arrival order sort them by a sequence column first (``seq``).  The
@@ -360,3 +361,55 @@ class KeyedReduce(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+WINDOW_LATE_SCHEMA = "key string, window_start_ms long, n long, late_ts_ms long, kind string"
+
+
+class WindowCountWithLate(StatefulProcessor):
+    """Tumbling event-time window counts per key with a late-data side output.
+
+    Watermark per key = max event time seen before the row - ``delay_ms``.  A
+    row whose window has already ended (end <= watermark) is emitted as
+    ``kind='late'``; others add to their window's count (MapState).  A window
+    is emitted once (``kind='window'``) when the watermark passes its end.
+    Input: key, ts_ms, seq.
+    """
+
+    def __init__(self, size_ms: int, delay_ms: int):
+        self.size, self.delay = size_ms, delay_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.max_ts = handle.getValueState("max_ts", "v long")
+        self.counts = handle.getMapState("counts", "start long", "n long")
+
+    def handleInputRows(self, key, rows, timerValues):
+        pdf = _rows(rows, ["seq"])
+        if pdf.empty:
+            return
+        k = _key(key)
+        ts = pdf["ts_ms"].to_numpy(dtype=np.int64)
+        prior = self.max_ts.get()[0] if self.max_ts.exists() else None
+        lowest = np.iinfo(np.int64).min
+        before = np.concatenate([[lowest if prior is None else prior], np.maximum.accumulate(ts)[:-1]])
+        if prior is not None:
+            before = np.maximum(before, prior)
+        starts = ts - np.mod(ts, self.size)
+        late = (before != lowest) & (starts + self.size <= before - self.delay)
+        for start, n in pd.Series(starts[~late]).value_counts().items():
+            key_t = (int(start),)
+            old = self.counts.getValue(key_t)[0] if self.counts.containsKey(key_t) else 0
+            self.counts.updateValue(key_t, (old + int(n),))
+        mx = int(ts.max()) if prior is None else max(prior, int(ts.max()))
+        self.max_ts.update((mx,))
+        wm = mx - self.delay
+        ready = [(int(kt[0]), int(v[0])) for kt, v in self.counts.iterator() if kt[0] + self.size <= wm]
+        for start, _ in ready:
+            self.counts.removeKey((start,))
+        out = [(k, s, n, None, "window") for s, n in sorted(ready)]
+        out += [(k, None, None, int(t), "late") for t in ts[late]]
+        if out:
+            yield pd.DataFrame(out, columns=["key", "window_start_ms", "n", "late_ts_ms", "kind"])
+
+    def close(self) -> None:
+        pass

@@ -192,3 +192,24 @@ def test_pair_rides_fares_job(spark):
     f = _stream(spark, fares, "rideId long, startTime timestamp, seq long")
     out = _run(spark, jobs.pair_rides_fares(r.drop("isStart"), f), "pair_job")
     assert sorted(r.key for r in out.collect()) == [1, 2]
+
+
+def test_window_counts_with_late_matches_batch(spark):
+    from pyspark.sql import functions as F
+    from cabflow.operators import events as ev
+    secs = [1, 2, 7, 1, 4, 20]              # the second 1 arrives after 7: its window [0,3) is closed
+    pdf = pd.DataFrame({"key": "a", "ts_ms": [s * 1000 for s in secs], "seq": range(len(secs))})
+    src = _stream(spark, pdf, "key string, ts_ms long, seq long", chunks=3)
+    out = _run(spark, jobs.window_counts_with_late(src, size_ms=3000, delay_ms=2000), "wlate")
+    rows = out.collect()
+    windows = sorted((r.window_start_ms, r.n) for r in rows if r.kind == "window")
+    late = sorted(r.late_ts_ms for r in rows if r.kind == "late")
+    assert windows == [(0, 2), (3000, 1), (6000, 1)] and late == [1000]
+    # same rows through the batch operator (one key: per-key = global watermark)
+    t0 = dt.datetime(1970, 1, 1)
+    bdf = spark.createDataFrame([(i, t0 + dt.timedelta(seconds=s), t0 + dt.timedelta(hours=1, seconds=i))
+                                 for i, s in enumerate(secs)], "id long, ts timestamp, arr timestamp")
+    on_time, blate = ev.window_late_split(bdf, "ts", "arr", "id", "3 seconds", 2_000_000)
+    assert [r.id for r in blate.collect()] == [3]
+    counts = sorted((r.window_start.second, r["count"]) for r in on_time.groupBy("window_start").count().collect())
+    assert counts[:3] == [(0, 2), (3, 1), (6, 1)]
