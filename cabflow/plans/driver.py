@@ -296,6 +296,18 @@ def q_word_count(spark, d):
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
+def q_word_running_count(spark, d):
+    """Running count per word, one row per token, in (document, line, position)
+    order - the streaming word count's output as a table."""
+    docs = spread(table(spark, d, "documents").select("doc_id", "text"))
+    lines = docs.select("doc_id", F.posexplode(text_lines("text")).alias("line_no", "line"))
+    words = lines.select("doc_id", (F.col("line_no") + 1).alias("line_no"),
+                         F.posexplode(tokenize("line")).alias("pos", "word"))
+    words = words.withColumn("pos", F.col("pos") + 1)
+    return (aggregates.running_count(words, ["word"], ["doc_id", "line_no", "pos"])
+            .select("doc_id", "line_no", "pos", "word", "n"))
+
+
 def _coords(spark, d):
     return _events(spark, d, "event_id").select(
         "event_id", coord("event_id", LON_BASE, LON_MOD).alias("lon"),
@@ -437,6 +449,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pair_first_come": q_pair_first_come,
     "pair_unmatched": q_pair_unmatched,
     "word_count": q_word_count,
+    "word_running_count": q_word_running_count,
     "bbox_filter": q_bbox_filter,
     "grid_cell": q_grid_cell,
     "parse_rides": q_parse_rides,

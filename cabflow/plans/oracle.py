@@ -122,6 +122,19 @@ t AS (SELECT CASE WHEN line = '' THEN [''] WHEN regexp_replace(line, '( )+\\z',
                   ELSE string_split(regexp_replace(line, '( )+\\z', ''), ' ') END AS arr FROM l2)
 SELECT w AS word, count(*) AS n FROM (SELECT unnest(arr) AS w FROM t) GROUP BY w"""
 
+_WORDS_RUNNING = """
+WITH d AS (SELECT doc_id, string_split(regexp_replace(text, '\\r?\\n\\z', ''), chr(10)) AS lines FROM documents),
+l AS (SELECT doc_id, unnest(lines) AS raw, generate_subscripts(lines, 1) AS line_no FROM d),
+l2 AS (SELECT doc_id, line_no, lower(regexp_replace(raw, '\\r\\z', '')) AS line FROM l),
+t AS (SELECT doc_id, line_no, CASE WHEN line = '' THEN [''] WHEN regexp_replace(line, '( )+\\z', '') = ''
+             THEN CAST([] AS VARCHAR[]) ELSE string_split(regexp_replace(line, '( )+\\z', ''), ' ') END AS arr
+      FROM l2),
+w AS (SELECT doc_id, line_no, unnest(arr) AS word, generate_subscripts(arr, 1) AS pos FROM t)
+SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, CAST(pos AS INTEGER) AS pos, word,
+       count(*) OVER (PARTITION BY word ORDER BY doc_id, line_no, pos
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS n
+FROM w"""
+
 ORACLE: dict[str, str] = {
     "hourly_tips": f"""SELECT date_trunc('hour', ts) AS window_start, user_id,
         CAST(sum({CENTS}) AS DOUBLE) / 100.0 AS tips FROM events GROUP BY 1, 2""",
@@ -206,6 +219,7 @@ GROUP BY ws, event_type""",
         SELECT DISTINCT l_orderkey AS orderkey, 'right' AS side FROM lineitem l
         WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey)""",
     "word_count": _WORDS,
+    "word_running_count": _WORDS_RUNNING,
     "bbox_filter": f"""SELECT * FROM (SELECT event_id, {_coord(LON_BASE, LON_MOD)} AS lon,
         {_coord(LAT_BASE, LAT_MOD)} AS lat FROM events) WHERE {_inside('lon', 'lat')}""",
     "grid_cell": f"""SELECT event_id, {_cell('lon', 'lat')} AS cell FROM (SELECT event_id,

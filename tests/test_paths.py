@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.01"
 ORDERED = ["running_count", "running_max", "running_sum", "running_concat", "count_window_avg",
            "count_window_sum", "count_accumulating", "session_stats", "session_dynamic", "stop_segments",
            "late_events", "event_sort", "late_marker", "late_window", "late_window_side",
-           "late_window_allowed", "idle_count", "pair_first_come"]
+           "late_window_allowed", "idle_count", "pair_first_come", "word_running_count"]
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
 
 
