@@ -18,21 +18,20 @@ def _c(c) -> Column:
 def java_split(s, delim_regex: str, tail_chars: str | None = None) -> Column:
     """Tokens of ``s`` split by ``delim_regex`` as Java's ``String.split`` returns them.
 
-    Trailing delimiters are stripped before a single split.  A one-character
-    literal delimiter is stripped with ``rtrim`` (no regex); otherwise the
-    stripping regex runs only for lines whose last character is one of
-    ``tail_chars`` (the characters a delimiter match can end with).
+    Trailing delimiters are stripped before a single split; the stripping
+    regex runs only for lines whose last character is one of ``tail_chars``
+    (the characters a delimiter match can end with; for a literal
+    one-character delimiter, itself).
     """
     s = _c(s)
     if len(delim_regex) == 1 and delim_regex not in ".$|()[]{}^?*+\\":
-        stripped = F.rtrim(s, F.lit(delim_regex))
+        tail_chars = delim_regex          # a literal one-char delimiter ends with itself
+    regex_strip = F.regexp_replace(s, f"(?:{delim_regex})+\\z", "")
+    if tail_chars:
+        last = F.substring(s, -1, 1)
+        stripped = F.when(last.isin(*list(tail_chars)), regex_strip).otherwise(s)
     else:
-        regex_strip = F.regexp_replace(s, f"(?:{delim_regex})+\\z", "")
-        if tail_chars:
-            last = F.substring(s, -1, 1)
-            stripped = F.when(last.isin(*list(tail_chars)), regex_strip).otherwise(s)
-        else:
-            stripped = regex_strip
+        stripped = regex_strip
     return (F.when(s == "", F.array(F.lit("")))
              .when(stripped == "", F.array().cast("array<string>"))
              .otherwise(F.split(stripped, delim_regex, -1)))
