@@ -61,12 +61,24 @@ def hourly_tips(fares: DataFrame, delay: str = "10 seconds") -> tuple[DataFrame,
 
 
 def windowed_counts(events: DataFrame, ts: str, key: str, size: str, slide: str | None = None,
-                    delay: str = "10 seconds") -> DataFrame:
+                    delay: str = "10 seconds", offset: str | None = None) -> DataFrame:
+    """Tumbling / sliding (optionally offset) event-time window counts per key, append mode."""
     return (events.withWatermark(ts, delay)
-            .groupBy(F.window(ts, size, slide or size).alias("w"), key).agg(F.count(F.lit(1)).alias("n"))
+            .groupBy(F.window(ts, size, slide or size, offset or "0 seconds").alias("w"), key)
+            .agg(F.count(F.lit(1)).alias("n"))
             .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), key, "n"))
 
 
+def window_contents(events: DataFrame, ts: str, key: str, item, size: str,
+                    delay: str = "10 seconds", sep: str = ", ") -> DataFrame:
+    """Each closed window's items as one text, sorted by event time (append mode)."""
+    pairs = F.sort_array(F.collect_list(F.struct(F.col(ts).alias("o"), item.alias("v"))))
+    return (events.withWatermark(ts, delay)
+            .groupBy(F.window(ts, size).alias("w"), key)
+            .agg(F.array_join(F.transform(pairs, lambda x: x["v"]), sep).alias("items"))
+            .select(F.col("w.start").alias("window_start"), key, "items"))
+
+
 def gap_sessions(events: DataFrame, ts: str, key: str, gap: str, delay: str = "30 seconds") -> DataFrame:
     """Event-time sessions per car (native ``session_window``, append mode)."""
     return (events.withWatermark(ts, delay)
@@ -151,4 +163,4 @@ def idle_counts(words: DataFrame, gap_ms: int = 5_000) -> DataFrame:
 
 __all__ = ["start", "cleanse", "word_counts", "hourly_tips", "windowed_counts", "gap_sessions", "sort_events",
            "stop_segments", "pair_rides_fares", "rides_join_fares", "keyed_state", "idle_counts",
-           "window_counts_with_late"]
+           "window_counts_with_late", "window_contents"]

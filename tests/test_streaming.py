@@ -213,3 +213,20 @@ def test_window_counts_with_late_matches_batch(spark):
     assert [r.id for r in blate.collect()] == [3]
     counts = sorted((r.window_start.second, r["count"]) for r in on_time.groupBy("window_start").count().collect())
     assert counts[:3] == [(0, 2), (3, 1), (6, 1)]
+
+
+def test_window_contents_and_offset_windows_stream(spark):
+    from pyspark.sql import functions as F
+    t = dt.datetime(2024, 1, 1)
+    secs = [1, 2, 4, 3, 10_000]             # the last row moves the watermark past every window
+    pdf = pd.DataFrame({"key": "k", "ts": [t + dt.timedelta(seconds=s) for s in secs], "id": range(len(secs))})
+    src = _stream(spark, pdf, "key string, ts timestamp, id long", chunks=2)
+    item = F.concat(F.col("id").cast("string"), F.lit("|"), F.date_format("ts", "HH:mm:ss"))
+    out = _run(spark, jobs.window_contents(src, "ts", "key", item, "3 seconds", delay="0 seconds"), "wcontents")
+    got = sorted((r.window_start.second, r["items"]) for r in out.collect())
+    assert got[:2] == [(0, "0|00:00:01, 1|00:00:02"), (3, "3|00:00:03, 2|00:00:04")]
+    src2 = _stream(spark, pdf, "key string, ts timestamp, id long", chunks=2)
+    out2 = _run(spark, jobs.windowed_counts(src2, "ts", "key", "3 seconds", delay="0 seconds",
+                                            offset="1 second"), "woffset")
+    got2 = sorted((r.window_start.second, r.n) for r in out2.collect())
+    assert got2[:1] == [(1, 3)]             # [1s, 4s) holds 1, 2, 3
