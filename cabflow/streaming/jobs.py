@@ -19,7 +19,7 @@ from cabflow.session import prepare
 from cabflow.streaming.processors import (AVERAGE_SCHEMA, CONCAT_SCHEMA, IDLE_SCHEMA, PAIR_SCHEMA, SEGMENT_SCHEMA,
                                           SORTED_SCHEMA, SUM_SCHEMA, CountAverage, EventSorter, FirstComePairing,
                                           IdleCounter, RunningConcat, RunningSum, StopSegmenter,
-                                          WINDOW_LATE_SCHEMA, WindowCountWithLate)
+                                          WINDOW_LATE_SCHEMA, KeyedReduce, WindowCountWithLate)
 
 DEFAULT_TRIGGER = {"processingTime": "10 seconds"}
 
@@ -155,6 +155,26 @@ def window_counts_with_late(events: DataFrame, size_ms: int, delay_ms: int) -> D
         WindowCountWithLate(size_ms, delay_ms), WINDOW_LATE_SCHEMA, "append", "None")
 
 
+def _count_add(n: int, accumulate: bool):
+    def add(acc, v):
+        cnt, total = acc
+        if not accumulate and cnt == n:       # the previous window fired: purge
+            cnt, total = 0, 0
+        return (cnt + 1, total + int(v))
+    return add
+
+
+def count_windows(df: DataFrame, n: int = 3, accumulate: bool = False) -> DataFrame:
+    """Count windows of ``n`` rows per key over (key, value[, seq]) rows:
+    tumbling (fire and purge every n rows) or accumulating (fire at n, 2n, ...
+    with the running total).  Output: key, n_rows, total."""
+    proc = KeyedReduce(init=lambda: (0, 0), add=_count_add(n, accumulate),
+                       emit=lambda k, acc, v: (k, acc[0], acc[1]) if acc[0] % n == 0 else None,
+                       acc_schema="cnt long, total long", out_columns=["key", "n_rows", "total"])
+    return _seq(df, "value").groupBy("key").transformWithStateInPandas(
+        proc, "key string, n_rows long, total long", "append", "None")
+
+
 def idle_counts(words: DataFrame, gap_ms: int = 5_000) -> DataFrame:
     prepare(words.sparkSession)
     return (words.select(F.col("word").alias("key")).groupBy("key")
@@ -163,4 +183,4 @@ def idle_counts(words: DataFrame, gap_ms: int = 5_000) -> DataFrame:
 
 __all__ = ["start", "cleanse", "word_counts", "hourly_tips", "windowed_counts", "gap_sessions", "sort_events",
            "stop_segments", "pair_rides_fares", "rides_join_fares", "keyed_state", "idle_counts",
-           "window_counts_with_late", "window_contents"]
+           "window_counts_with_late", "window_contents", "count_windows"]

@@ -230,3 +230,13 @@ def test_window_contents_and_offset_windows_stream(spark):
                                             offset="1 second"), "woffset")
     got2 = sorted((r.window_start.second, r.n) for r in out2.collect())
     assert got2[:1] == [(1, 3)]             # [1s, 4s) holds 1, 2, 3
+
+
+def test_count_windows_stream(spark):
+    pdf = pd.DataFrame({"key": "w", "value": [1] * 7, "seq": range(7)})
+    tumbling = _run(spark, jobs.count_windows(_stream(spark, pdf, "key string, value long, seq long", chunks=3), 3),
+                    "cw_tumble")
+    assert sorted(r.total for r in tumbling.collect()) == [3, 3]
+    acc = _run(spark, jobs.count_windows(_stream(spark, pdf, "key string, value long, seq long", chunks=3), 3,
+                                         accumulate=True), "cw_acc")
+    assert sorted(r.total for r in acc.collect()) == [3, 6]
