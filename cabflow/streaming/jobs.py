@@ -88,6 +88,14 @@ def gap_sessions(events: DataFrame, ts: str, key: str, gap: str, delay: str = "3
             .select(key, F.col("s.start").alias("session_start"), "length", "startTime", "maxSpeed", "erraticness"))
 
 
+def session_counts(events: DataFrame, ts: str, key: str, gap, delay: str = "10 seconds") -> DataFrame:
+    """Rows per session window per key; ``gap`` is a duration string or a
+    per-row Column (dynamic gap).  Append mode."""
+    return (events.withWatermark(ts, delay)
+            .groupBy(F.session_window(ts, gap).alias("s"), key).agg(F.count(F.lit(1)).alias("n"))
+            .select(key, F.col("s.start").alias("session_start"), F.col("s.end").alias("session_end"), "n"))
+
+
 # ----------------------------------------------------------- keyed state
 
 def _seq(df: DataFrame, fallback: str = "ts_ms") -> DataFrame:
@@ -183,4 +191,4 @@ def idle_counts(words: DataFrame, gap_ms: int = 5_000) -> DataFrame:
 
 __all__ = ["start", "cleanse", "word_counts", "hourly_tips", "windowed_counts", "gap_sessions", "sort_events",
            "stop_segments", "pair_rides_fares", "rides_join_fares", "keyed_state", "idle_counts",
-           "window_counts_with_late", "window_contents", "count_windows"]
+           "window_counts_with_late", "window_contents", "count_windows", "session_counts"]

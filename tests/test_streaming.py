@@ -240,3 +240,16 @@ def test_count_windows_stream(spark):
     acc = _run(spark, jobs.count_windows(_stream(spark, pdf, "key string, value long, seq long", chunks=3), 3,
                                          accumulate=True), "cw_acc")
     assert sorted(r.total for r in acc.collect()) == [3, 6]
+
+
+def test_dynamic_gap_sessions_stream(spark):
+    from pyspark.sql import functions as F
+    t = dt.datetime(2024, 1, 1)
+    rows = [("this", 0), ("this", 9), ("is", 0), ("is", 19), ("a", 0), ("a", 6), ("zz", 100_000)]
+    pdf = pd.DataFrame({"word": [w for w, _ in rows], "ts": [t + dt.timedelta(seconds=s) for _, s in rows]})
+    src = _stream(spark, pdf, "word string, ts timestamp", chunks=2)
+    gap = (F.when(F.col("word") == "this", F.lit("10 seconds")).when(F.col("word") == "is", F.lit("20 seconds"))
+           .otherwise(F.lit("5 seconds")))
+    out = _run(spark, jobs.session_counts(src, "ts", "word", gap, delay="0 seconds"), "dyn_sessions")
+    got = sorted((r.word, r.n) for r in out.collect() if r.word != "zz")
+    assert got == [("a", 1), ("a", 1), ("is", 2), ("this", 2)]
