@@ -142,6 +142,30 @@ def rides_join_fares(rides: DataFrame, fares: DataFrame, bound: str = "2 hours",
     return r.join(f, cond, "inner").select(F.struct("r.*").alias("ride"), F.struct("f.*").alias("fare"))
 
 
+def rides_with_fares_to_files(ride_lines: DataFrame, fare_lines: DataFrame, path: str, checkpoint: str,
+                              threshold: int = 20, ttl_ms: int | None = None, trigger: dict | None = None):
+    """End-to-end durable job: ride and fare line streams -> typed records ->
+    consume-on-match pairing (state in RocksDB under ``checkpoint``) -> files
+    of at most ``threshold`` pairs per micro-batch (idempotent per batch id).
+    Returns the started query."""
+    from cabflow.operators.ingest import parse_fares, parse_rides
+    from cabflow.streaming.sinks import batched
+    rides, _ = parse_rides(ride_lines)
+    fares, _ = parse_fares(fare_lines)
+    pairs = pair_rides_fares(rides, fares, ttl_ms)
+    return batched(pairs, path, checkpoint, threshold=threshold, trigger=trigger or DEFAULT_TRIGGER)
+
+
+def driving_segments_text(car_lines: DataFrame, delay_ms: int = 30_000) -> DataFrame:
+    """Car event lines -> typed events -> stop segments -> segment text lines."""
+    from cabflow.functions.labels import segment_line
+    from cabflow.operators.ingest import parse_car_events
+    cars, _ = parse_car_events(car_lines)
+    segs = stop_segments(cars, delay_ms)
+    return segs.select("key", "startTime",
+                       segment_line("key", "startTime", "length", "maxSpeed", "label").alias("line"))
+
+
 def keyed_state(df: DataFrame, kind: str, n: int = 3, layout: str = "value") -> DataFrame:
     """The keyed-state demos over (key, value[, seq]) rows: 'average', 'sum', 'concat'."""
     src = _seq(df, "value")
@@ -191,4 +215,5 @@ def idle_counts(words: DataFrame, gap_ms: int = 5_000) -> DataFrame:
 
 __all__ = ["start", "cleanse", "word_counts", "hourly_tips", "windowed_counts", "gap_sessions", "sort_events",
            "stop_segments", "pair_rides_fares", "rides_join_fares", "keyed_state", "idle_counts",
-           "window_counts_with_late", "window_contents", "count_windows", "session_counts"]
+           "window_counts_with_late", "window_contents", "count_windows", "session_counts",
+           "rides_with_fares_to_files", "driving_segments_text"]

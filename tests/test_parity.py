@@ -112,3 +112,38 @@ def test_event_sorter_stream_equals_batch_per_key(spark):
     # every on-time row is either released in order or still buffered
     released = {r.id for r in out.where("kind = 'sorted'").collect()}
     assert released <= {r.id for r in on_time.collect()}
+
+
+def test_rides_with_fares_end_to_end(spark):
+    from cabflow.plans import driver as D
+    from cabflow.sources.lines import read_lines
+    rides_dir, fares_dir = tempfile.mkdtemp(prefix="cabflow-r-"), tempfile.mkdtemp(prefix="cabflow-f-")
+    D._ride_lines(spark, SF).coalesce(2).write.mode("overwrite").text(rides_dir + "/x")
+    D._fare_lines(spark, SF).coalesce(2).write.mode("overwrite").text(fares_dir + "/x")
+    out = tempfile.mkdtemp(prefix="cabflow-pairs-")
+    q = jobs.rides_with_fares_to_files(read_lines(spark, rides_dir + "/x", streaming=True),
+                                       read_lines(spark, fares_dir + "/x", streaming=True),
+                                       out, tempfile.mkdtemp(prefix="cabflow-ck-"), threshold=20,
+                                       trigger={"availableNow": True})
+    q.awaitTermination(300)
+    pairs = spark.read.parquet(out)
+    n = pairs.count()
+    assert n > 0 and pairs.select("key").distinct().count() == n      # at most one pair per ride id
+    ride_ids = {r.rideId for r in D.q_parse_rides(spark, SF).select("rideId").collect()}
+    fare_ids = {r.rideId for r in D.q_parse_fares(spark, SF).select("rideId").collect()}
+    assert {r.key for r in pairs.select("key").collect()} == ride_ids & fare_ids
+
+
+def test_driving_segments_stream_subset_of_batch(spark):
+    from cabflow.plans import driver as D
+    from cabflow.plans import jobs as batch_jobs
+    from cabflow.sources.lines import read_lines
+    d = tempfile.mkdtemp(prefix="cabflow-cars-")
+    D._car_lines(spark, SF).coalesce(1).write.mode("overwrite").text(d + "/x")
+    q = sinks.to_memory(jobs.driving_segments_text(read_lines(spark, d + "/x", streaming=True)), "seg_text",
+                        tempfile.mkdtemp(prefix="cabflow-ck-"))
+    q.processAllAvailable()
+    q.stop()
+    got = {r.line for r in spark.table("seg_text").collect()}
+    want = {r.line for r in batch_jobs.driving_segments(spark, d + "/x").collect()}
+    assert got and got <= want
