@@ -147,3 +147,32 @@ def test_driving_segments_stream_subset_of_batch(spark):
     got = {r.line for r in spark.table("seg_text").collect()}
     want = {r.line for r in batch_jobs.driving_segments(spark, d + "/x").collect()}
     assert got and got <= want
+
+
+def test_rides_with_fares_restart_from_checkpoint(spark):
+    from cabflow.plans import driver as D
+    from cabflow.sources.lines import read_lines
+    rides = D._ride_lines(spark, SF).withColumn("h", F.abs(F.hash("line")) % 2)
+    fares = D._fare_lines(spark, SF).withColumn("h", F.abs(F.hash("line")) % 2)
+    r_dir, f_dir = tempfile.mkdtemp(prefix="cabflow-r-"), tempfile.mkdtemp(prefix="cabflow-f-")
+    out, ck = tempfile.mkdtemp(prefix="cabflow-out-"), tempfile.mkdtemp(prefix="cabflow-ck-")
+
+    def run():
+        q = jobs.rides_with_fares_to_files(read_lines(spark, r_dir, streaming=True),
+                                           read_lines(spark, f_dir, streaming=True),
+                                           out, ck, trigger={"availableNow": True})
+        q.awaitTermination(300)
+
+    # first half of both inputs, stop, then the rest: state and offsets resume
+    rides.where("h = 0").select("line").coalesce(1).write.mode("append").text(r_dir)
+    fares.where("h = 0").select("line").coalesce(1).write.mode("append").text(f_dir)
+    run()
+    rides.where("h = 1").select("line").coalesce(1).write.mode("append").text(r_dir)
+    fares.where("h = 1").select("line").coalesce(1).write.mode("append").text(f_dir)
+    run()
+    got = spark.read.parquet(out)
+    keys = [r.key for r in got.select("key").collect()]
+    assert len(keys) == len(set(keys))                         # no pair twice
+    ride_ids = {r.rideId for r in D.q_parse_rides(spark, SF).select("rideId").collect()}
+    fare_ids = {r.rideId for r in D.q_parse_fares(spark, SF).select("rideId").collect()}
+    assert set(keys) == ride_ids & fare_ids                    # waiting halves were kept in state
