@@ -279,3 +279,23 @@ def test_durations_quarantine_negative(spark):
     enriched, _ = rides.cleanse(lines)
     assert [(r.rideId, r.minutes) for r in rides.durations(enriched).collect()] == [(1, 12)]
     assert [r.rideId for r in rides.invalid_durations(enriched).collect()] == [2]
+
+
+def test_bucketed_tables_join_without_shuffle(spark, tmpdir_path):
+    import contextlib
+    import io
+    from cabflow.sources.tables import save_bucketed, table
+    o = table(spark, "/root/testdata/sf0.001", "orders").select("o_orderkey", "o_totalprice")
+    li = table(spark, "/root/testdata/sf0.001", "lineitem").select("l_orderkey", "l_extendedprice")
+    bo = save_bucketed(o, "b_orders", "o_orderkey", 8, tmpdir_path + "/o")
+    bl = save_bucketed(li, "b_items", "l_orderkey", 8, tmpdir_path + "/l")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = joins.equi_pairs(bo, bl, "o_orderkey", "l_orderkey")
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            j.explain()
+        assert "Exchange" not in buf.getvalue() and "SortMergeJoin" in buf.getvalue()
+        assert j.count() == li.join(o, li.l_orderkey == o.o_orderkey).count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
