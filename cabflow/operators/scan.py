@@ -429,6 +429,9 @@ def session_scan(df: DataFrame, keys: list[str], t_col: str, end_col: str, tie:
     """
     if not use_scan(df, keys, strategy):
         return session_window_form(df, keys, t_col, end_col, tie, out)
+    # Rows without a time belong to no session; they bypass the scan.
+    timeless = df.where(F.col(t_col).isNull() | F.col(end_col).isNull()).withColumn(out, F.lit(None).cast("long"))
+    df = df.where(F.col(t_col).isNotNull() & F.col(end_col).isNotNull())
     local = _ranged_local(df, keys, [t_col, tie], _make_session_scan(keys, t_col, end_col),
                           [T.StructField(SESS_START, T.LongType(), True)], partitions)
     summary = local.groupBy(PID, *keys).agg(F.max(end_col).alias("_run_end"),
@@ -446,7 +449,7 @@ def session_scan(df: DataFrame, keys: list[str], t_col: str, end_col: str, tie:
     joined = _attach(local, keys, carry)
     loc = F.col(SESS_START)
     start = F.when(F.col("_c_end").isNull() | (loc > F.col("_c_end")), loc).otherwise(F.col("_c_start"))
-    return joined.select(*[F.col(c) for c in df.columns], start.alias(out))
+    return joined.select(*[F.col(c) for c in df.columns], start.alias(out)).unionByName(timeless)
 
 
 def _make_pair_scan(keys: list[str]):
@@ -532,6 +535,11 @@ def pair_scan(df: DataFrame, keys: list[str], partitions: int | None = None,
     """
     if not use_scan(df, keys, strategy):
         return pair_window_form(df, keys)
+    # Rows without an arrival time cannot take part in the arrival order.
+    timeless = (df.where(F.col("t_us").isNull())
+                  .withColumns({"closer": F.lit(False), "prev_i": F.lit(None).cast("long"),
+                                "prev_t": F.lit(None).cast("long")}))
+    df = df.where(F.col("t_us").isNotNull())
     L = T.LongType()
     local = _ranged_local(df, keys, ["t_us", "side", "i"], _make_pair_scan(keys),
                           [T.StructField("_p_rn", L, False), T.StructField("_p_prev_side", L, True),
@@ -567,7 +575,8 @@ def pair_scan(df: DataFrame, keys: list[str], partitions: int | None = None,
     return j.select(*[F.col(c) for c in df.columns],
                     (((rn - island) % 2) == 1).alias("closer"),
                     F.when(first, F.col("_c_i")).otherwise(F.col("_p_prev_i")).alias("prev_i"),
-                    F.when(first, F.col("_c_t")).otherwise(F.col("_p_prev_t")).alias("prev_t"))
+                    F.when(first, F.col("_c_t")).otherwise(F.col("_p_prev_t")).alias("prev_t")
+                    ).unionByName(timeless)
 
 
 def running_window(df: DataFrame, keys: list[str], order: list[str], aggs: list[Agg]) -> DataFrame:

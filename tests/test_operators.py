@@ -299,3 +299,11 @@ def test_bucketed_tables_join_without_shuffle(spark, tmpdir_path):
         assert j.count() == li.join(o, li.l_orderkey == o.o_orderkey).count()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_session_scan_tolerates_null_times(spark):
+    from cabflow.operators.scan import session_scan
+    rows = [(1, 1, 10, 20), (2, 1, None, None), (3, 1, 15, 25), (4, 1, 40, 50)]
+    df = spark.createDataFrame(rows, "id long, k long, t long, e long")
+    got = {r.id: r.s for r in session_scan(df, ["k"], "t", "e", "id", out="s", strategy="scan").collect()}
+    assert got == {1: 10, 2: None, 3: 10, 4: 40}
