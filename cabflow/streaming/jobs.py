@@ -13,9 +13,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cabflow.functions.labels import segment_line
 from cabflow.functions.text import text_lines, tokenize
 from cabflow.operators import rides as ride_ops
+from cabflow.operators.ingest import parse_car_events, parse_fares, parse_rides
 from cabflow.session import prepare
+from cabflow.streaming.sinks import batched
 from cabflow.streaming.processors import (AVERAGE_SCHEMA, CONCAT_SCHEMA, IDLE_SCHEMA, PAIR_SCHEMA, SEGMENT_SCHEMA,
                                           SORTED_SCHEMA, SUM_SCHEMA, CountAverage, EventSorter, FirstComePairing,
                                           IdleCounter, RunningConcat, RunningSum, StopSegmenter,
@@ -26,6 +29,8 @@ DEFAULT_TRIGGER = {"processingTime": "10 seconds"}
 
 def start(df: DataFrame, sink: str, checkpoint: str, mode: str = "append", trigger: dict | None = None,
           **options):
+    """Start a streaming query on ``sink`` with its checkpoint location (offsets
+    and state on shared storage) and a 10-second trigger unless given."""
     w = df.writeStream.format(sink).outputMode(mode).option("checkpointLocation", checkpoint)
     for k, v in options.items():
         w = w.option(k, v)
@@ -148,8 +153,6 @@ def rides_with_fares_to_files(ride_lines: DataFrame, fare_lines: DataFrame, path
     consume-on-match pairing (state in RocksDB under ``checkpoint``) -> files
     of at most ``threshold`` pairs per micro-batch (idempotent per batch id).
     Returns the started query."""
-    from cabflow.operators.ingest import parse_fares, parse_rides
-    from cabflow.streaming.sinks import batched
     rides, _ = parse_rides(ride_lines)
     fares, _ = parse_fares(fare_lines)
     pairs = pair_rides_fares(rides, fares, ttl_ms)
@@ -158,8 +161,6 @@ def rides_with_fares_to_files(ride_lines: DataFrame, fare_lines: DataFrame, path
 
 def driving_segments_text(car_lines: DataFrame, delay_ms: int = 30_000) -> DataFrame:
     """Car event lines -> typed events -> stop segments -> segment text lines."""
-    from cabflow.functions.labels import segment_line
-    from cabflow.operators.ingest import parse_car_events
     cars, _ = parse_car_events(car_lines)
     segs = stop_segments(cars, delay_ms)
     return segs.select("key", "startTime",
