@@ -6,8 +6,10 @@ plus a unique tie-breaker).  The watermark a row sees on arrival is
     wm(row) = max(event time of all rows that arrived before it) - delay
 
 (punctuated, never regressing).  A row is late iff ``ts <= wm(row)``.  The
-prefix maximum runs as a skew-proof global scan (range partitions over the
-arrival order, one carry row per partition) – never one task over all rows.
+prefix maximum is an ordered computation over the whole arrival order: one
+window while the input is within the row floor, otherwise the skew-proof
+global scan (range partitions over the arrival order, one carry row per
+partition), so a large input is never one task.
 
 Variants: the watermark advanced only by marker rows, and a wall-clock
 watermark (``arrival - delay``) that needs no scan at all.
