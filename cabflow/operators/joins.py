@@ -10,8 +10,9 @@ Three forms (SURVEY JOI1):
    the other side pairs with it and clears it; an arrival of the same side
    overwrites it.  Closed form: a new *island* starts whenever a row has the
    same side as the previous row of its key; inside an island sides
-   alternate and rows (1,2), (3,4), ... are the pairs.  One skew-proof
-   scan (``pair_scan``), so a hot key never lands in one task.
+   alternate and rows (1,2), (3,4), ... are the pairs.  One ``pair_scan``
+   (a window, or the skew-proof scan when a key is hot), so a hot key never
+   lands in one task.
 3. ``unmatched`` – keys without a partner on the other side (one grouped union).
 """
 

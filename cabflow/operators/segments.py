@@ -43,7 +43,7 @@ def stop_segments(df: DataFrame, key: str, ts: str, tie: str, is_stop: Column,
                   speed: str = "speed", throttle: str = "throttle") -> DataFrame:
     """Segments delimited by stop events (disjoint; see SURVEY D3).
 
-    seg = number of stops strictly before the row (skew-proof scan).  A
+    seg = number of stops strictly before the row (``keyed_scan``).  A
     segment's group holds its moving rows and the one stop closing it; keep
     groups that have that stop and at least one moving row.
     """

@@ -30,7 +30,8 @@ def count_tumbling(df: DataFrame, keys: list[str], order: list[str], n: int,
                    aggs: list[Column]) -> DataFrame:
     """Tumbling count window of ``n`` rows per key (countWindow(n)).
 
-    The row number per key comes from a skew-proof scan; bucket =
+    The row number per key comes from ``keyed_scan`` (a window, or the
+    skew-proof scan when a key is hot); bucket =
     (rn - 1) div n.  Only full buckets are emitted (a partial group never
     fires), so the output is exactly floor(count / n) rows per key.
     """
@@ -57,7 +58,8 @@ def sessionize(df: DataFrame, keys: list[str], ts: str, tie: str, gap_us: Column
     ``max(previous time + previous gap)`` of its key; touching sessions merge.
 
     ``gap_us`` is a literal number of microseconds or a per-row Column.
-    One skew-proof scan (``session_scan``).  Rows keep their columns plus
+    One ``session_scan`` (a window, or one skew-proof pass for hot keys).
+    Rows keep their columns plus
     ``out`` and ``_end_us``.
     """
     gap = F.lit(gap_us) if isinstance(gap_us, int) else gap_us
