@@ -379,6 +379,17 @@ def _fare_lines(spark, d):
     return o.select(line.alias("line"))
 
 
+def q_fare_hourly_top(spark, d):
+    """The hourly-tips job end to end: fare lines -> typed fares -> tip sum per
+    driver per hour -> top driver of every hour (ties: smallest driver id)."""
+    fares, _ = parse_fares(_fare_lines(spark, d))
+    per = windows.time_window(fares, "startTime", "1 hour", ["driverId"], {"tips": F.sum("tip")})
+    top = (per.groupBy("window_start")
+              .agg(F.max_by(F.struct("driverId", "tips"), F.struct(F.col("tips"), -F.col("driverId"))).alias("t")))
+    return top.select(as_ntz("window_start").alias("window_start"), F.col("t.driverId").alias("driverId"),
+                      F.col("t.tips").alias("tips"))
+
+
 def q_parse_fares(spark, d):
     good, _ = parse_fares(_fare_lines(spark, d))
     return good.withColumn("startTime", as_ntz("startTime"))
@@ -455,6 +466,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_rides": q_parse_rides,
     "parse_rides_bad": q_parse_rides_bad,
     "parse_fares": q_parse_fares,
+    "fare_hourly_top": q_fare_hourly_top,
     "parse_cars": q_parse_cars,
     "parse_key_ts": q_parse_key_ts,
 }

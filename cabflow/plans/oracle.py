@@ -249,6 +249,12 @@ GROUP BY ws, event_type""",
         CASE WHEN o_orderstatus = 'F' THEN CAST(0.0 AS REAL) ELSE CAST(o_orderkey % 20 AS REAL) END AS tip,
         CAST(0.0 AS REAL) AS tolls, CAST(o_totalprice AS REAL) AS totalFare
         FROM orders WHERE o_orderstatus <> 'P'""",
+    "fare_hourly_top": """WITH f AS (SELECT o_custkey AS driverId, date_trunc('hour', o_orderdate) AS window_start,
+             CASE WHEN o_orderstatus = 'F' THEN CAST(0.0 AS REAL) ELSE CAST(o_orderkey % 20 AS REAL) END AS tip
+             FROM orders WHERE o_orderstatus <> 'P'),
+        h AS (SELECT window_start, driverId, sum(tip) AS tips FROM f GROUP BY 1, 2)
+        SELECT window_start, driverId, tips FROM h
+        QUALIFY row_number() OVER (PARTITION BY window_start ORDER BY tips DESC, driverId) = 1""",
     "parse_cars": f"""SELECT CAST(event_id AS VARCHAR) AS id, 'car' || CAST(user_id AS VARCHAR) AS carId,
         date_trunc('second', ts) AS ts, (epoch_us(date_trunc('second', ts)) // 1000) AS timestamp,
         {_coord(LON_BASE, LON_MOD)} AS longitude, {_coord(LAT_BASE, LAT_MOD)} AS latitude,
