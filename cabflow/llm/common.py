@@ -68,3 +68,62 @@ def blocked(df: DataFrame, keys: list[str], row: str, rows_per_block: int) -> Da
     d = d.withColumn("__o", F.explode(F.sequence(F.lit(0), F.col("__b") - 1)))
     return (d.withColumn("cell_i", F.least("block", "__o")).withColumn("cell_j", F.greatest("block", "__o"))
              .drop("__n", "__b", "__o"))
+
+
+def map_groups(df: DataFrame, keys: list[str], fn, schema: str, then: list[str] | None = None) -> DataFrame:
+    """Call ``fn(table)`` with the rows of each group as one pyarrow table
+    (sorted by ``then``) and return the record batches it yields.
+
+    For very many small groups: rows are hashed and sorted by ``keys`` and
+    streamed, so a group costs one slice instead of a Python call with its own
+    pandas frame.  Groups must be bounded by the caller (see ``blocked``).
+    """
+    spark = df.sparkSession
+    prepare(spark)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    names = df.columns
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        rest = None
+        for batch in batches:
+            t = pa.Table.from_batches([batch])
+            t = t if rest is None else pa.concat_tables([rest, t]).combine_chunks()
+            if not t.num_rows:
+                continue
+            change = np.zeros(t.num_rows, bool)
+            for k in keys:
+                c = t.column(k).combine_chunks().to_numpy(zero_copy_only=False)
+                change[1:] |= c[1:] != c[:-1]
+            starts = [0, *np.nonzero(change)[0].tolist()]
+            for a, b in zip(starts, starts[1:]):
+                yield from fn(t.slice(a, b - a))
+            rest = t.slice(starts[-1])
+        if rest is not None and rest.num_rows:
+            yield from fn(rest)
+
+    return df.repartition(n, *keys).sortWithinPartitions(*keys, *(then or [])).select(*names).mapInArrow(run, schema)
+
+
+def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 60) -> DataFrame:
+    """Connected components of an edge list: id and ``component`` (smallest id).
+
+    Each round takes the least label among a node's neighbours and then the
+    label of that label, so a path of n links needs about log n rounds; every
+    round is written to the shared folder.  One number per round reaches the
+    driver.
+    """
+    e = edges.where(F.col(a) != F.col(b)).select(F.col(a).alias("u"), F.col(b).alias("v"))
+    e = stored(e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
+    labels = stored(e.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("id"), F.least("u", "m").alias("component")))
+    for _ in range(most_rounds):
+        near = (e.join(labels.withColumnRenamed("id", "v"), "v").groupBy(F.col("u").alias("id")).agg(F.min("component").alias("near")))
+        step = labels.join(near, "id").select("id", F.col("component").alias("old"), F.least("component", "near").alias("component"))
+        up = labels.select(F.col("id").alias("component"), F.col("component").alias("above"))
+        new = stored(step.join(up, "component").select("id", "old", F.least("component", "above").alias("component")))
+        changed = new.where("component < old").limit(1).count()
+        labels = new.drop("old")
+        if not changed:
+            return labels
+    raise RuntimeError(f"components did not settle in {most_rounds} rounds")

@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
-from cabflow.llm import mixing, packing, tokencount
+from pyspark.sql import functions as F
+
+from cabflow.llm import embdedup, mixing, packing, tokencount, topk, urlfilter
 from cabflow.llm.common import table
 
 
+def op1_topk(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings")
+    return topk.top_k(e, e.where(F.col("vec_id") % 50 == 0), k=5)
+
+
 def op5_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -14,9 +21,17 @@ def op7_mixing(spark, sf_dir):
     return mixing.mix_sizes(table(spark, sf_dir, "documents"))
 
 
+def op8_embedding_dedup(spark, sf_dir):
+    return embdedup.embedding_links(table(spark, sf_dir, "embeddings"))
+
+
 def op9_token_counts(spark, sf_dir):
     return tokencount.token_counts(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op5_packing, op7_mixing, op9_token_counts)}
-ORACLE = {"op7_mixing": mixing.ORACLE}
+def op10_url_filter(spark, sf_dir):
+    return urlfilter.filter_urls(table(spark, sf_dir, "pages"))
+
+
+QUERIES = {f.__name__: f for f in (op1_topk, op5_packing, op7_mixing, op8_embedding_dedup, op9_token_counts, op10_url_filter)}
+ORACLE = {"op1_topk": topk.ORACLE, "op7_mixing": mixing.ORACLE, "op8_embedding_dedup": embdedup.ORACLE}
