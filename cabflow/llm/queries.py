@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cabflow.llm import embdedup, mixing, packing, tokencount, topk, urlfilter
+from cabflow.llm import embdedup, minhash, mixing, packing, tokencount, topk, urlfilter
 from cabflow.llm.common import table
 
 
@@ -17,6 +17,10 @@ def op5_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_minhash(spark, sf_dir):
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_mixing(spark, sf_dir):
     return mixing.mix_sizes(table(spark, sf_dir, "documents"))
 
@@ -33,5 +37,5 @@ def op10_url_filter(spark, sf_dir):
     return urlfilter.filter_urls(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_topk, op5_packing, op7_mixing, op8_embedding_dedup, op9_token_counts, op10_url_filter)}
+QUERIES = {f.__name__: f for f in (op1_topk, op5_packing, op6_minhash, op7_mixing, op8_embedding_dedup, op9_token_counts, op10_url_filter)}
 ORACLE = {"op1_topk": topk.ORACLE, "op7_mixing": mixing.ORACLE, "op8_embedding_dedup": embdedup.ORACLE}
