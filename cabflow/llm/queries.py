@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cabflow.llm import embdedup, licenses, minhash, mixing, packing, tokencount, topk, urlfilter
+from cabflow.llm import embdedup, licenses, minhash, mixing, packing, pii, tokencount, topk, urlfilter
 from cabflow.llm.common import table
 
 
@@ -17,6 +17,10 @@ def op3_license_scan(spark, sf_dir):
     return licenses.digest(licenses.scan_licenses(table(spark, sf_dir, "documents")))
 
 
+def op4_pii(spark, sf_dir):
+    return pii.digest(pii.find_spans(table(spark, sf_dir, "documents")))
+
+
 def op5_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -41,5 +45,5 @@ def op10_url_filter(spark, sf_dir):
     return urlfilter.filter_urls(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_topk, op3_license_scan, op5_packing, op6_minhash, op7_mixing, op8_embedding_dedup, op9_token_counts, op10_url_filter)}
+QUERIES = {f.__name__: f for f in (op1_topk, op3_license_scan, op4_pii, op5_packing, op6_minhash, op7_mixing, op8_embedding_dedup, op9_token_counts, op10_url_filter)}
 ORACLE = {"op1_topk": topk.ORACLE, "op7_mixing": mixing.ORACLE, "op8_embedding_dedup": embdedup.ORACLE}
