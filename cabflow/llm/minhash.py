@@ -317,3 +317,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     out = classes.select("doc_id", F.col("rep").alias("exact_id"), F.coalesce("component", "rep").alias("class_id"))
     none = every.where("doc_id is null or (k1 = 0 and k2 = 0)").select("doc_id", F.col("doc_id").alias("exact_id"), F.col("doc_id").alias("class_id"))
     return out.unionByName(none).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(False)))
+
+
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents that stand for their class, with the columns they came
+    with.  Rows without words or without an id link with nothing and stay;
+    equal rows of the standing id stay once each."""
+    gone = stored(near_duplicates(docs, doc_id, text).where("doc_id <> class_id").select(F.col("doc_id").alias("gone_id")).distinct())
+    return docs.join(gone, docs[doc_id].cast("long") == gone["gone_id"], "left_anti")

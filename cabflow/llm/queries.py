@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cabflow.llm import embdedup, licenses, minhash, mixing, packing, pii, tokencount, topk, urlfilter
+from cabflow.llm import embdedup, langid, licenses, minhash, mixing, packing, pii, tokencount, topk, urlfilter
 from cabflow.llm.common import table
 
 
@@ -13,6 +13,10 @@ def op1_topk(spark, sf_dir):
     return topk.top_k(e, e.where(F.col("vec_id") % 50 == 0), k=5)
 
 
+def op2_language_id(spark, sf_dir):
+    return langid.identify_corpus(table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages"))
+
+
 def op3_license_scan(spark, sf_dir):
     return licenses.digest(licenses.scan_licenses(table(spark, sf_dir, "documents")))
 
@@ -45,5 +49,5 @@ def op10_url_filter(spark, sf_dir):
     return urlfilter.filter_urls(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_topk, op3_license_scan, op4_pii, op5_packing, op6_minhash, op7_mixing, op8_embedding_dedup, op9_token_counts, op10_url_filter)}
+QUERIES = {f.__name__: f for f in (op1_topk, op2_language_id, op3_license_scan, op4_pii, op5_packing, op6_minhash, op7_mixing, op8_embedding_dedup, op9_token_counts, op10_url_filter)}
 ORACLE = {"op1_topk": topk.ORACLE, "op7_mixing": mixing.ORACLE, "op8_embedding_dedup": embdedup.ORACLE}
