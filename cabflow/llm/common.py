@@ -109,9 +109,10 @@ def map_groups(df: DataFrame, keys: list[str], fn, schema: str, then: list[str]
 def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 60) -> DataFrame:
     """Connected components of an edge list: id and ``component`` (smallest id).
 
-    Each round takes the least label among a node's neighbours and then the
-    label of that label, so a path of n links needs about log n rounds; every
-    round is written to the shared folder.  One number per round reaches the
+    Each round a node takes the least label among its neighbours, hands it to
+    the node its own label names, and then takes the label of its label, so
+    even a long path settles in a number of rounds near its logarithm.  Every
+    round is written to the shared folder; one number per round reaches the
     driver.
     """
     e = edges.where(F.col(a) != F.col(b)).select(F.col(a).alias("u"), F.col(b).alias("v"))
@@ -119,8 +120,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int =
     labels = stored(e.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("id"), F.least("u", "m").alias("component")))
     for _ in range(most_rounds):
         near = (e.join(labels.withColumnRenamed("id", "v"), "v").groupBy(F.col("u").alias("id")).agg(F.min("component").alias("near")))
-        step = labels.join(near, "id").select("id", F.col("component").alias("old"), F.least("component", "near").alias("component"))
-        up = labels.select(F.col("id").alias("component"), F.col("component").alias("above"))
+        seen = stored(labels.join(near, "id"))
+        given = seen.groupBy(F.col("component").alias("id")).agg(F.min("near").alias("given"))
+        step = stored(seen.join(given, "id", "left").select("id", F.col("component").alias("old"), F.least("component", "near", "given").alias("component")))
+        up = step.select(F.col("id").alias("component"), F.col("component").alias("above"))
         new = stored(step.join(up, "component").select("id", "old", F.least("component", "above").alias("component")))
         changed = new.where("component < old").limit(1).count()
         labels = new.drop("old")
