@@ -98,7 +98,7 @@ class UnigramCounter:
         """(tokens, score, words between spaces and line ends)."""
         if not text:
             return 0, 0.0, 0
-        if not self.cuts or "  " in text or MARK in text:
+        if not self.cuts or "  " in text or MARK in text or text[0] == " ":
             marked = MARK + text.replace(" ", MARK)
             parts = re.findall(f"{MARK}+[^{MARK}]*|[^{MARK}]+", marked) if self.cuts else [marked]
             n, score = 0, 0.0
