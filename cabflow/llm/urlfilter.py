@@ -6,8 +6,9 @@ trust starts at hosts with allowed pages and flows along links (personalised
 PageRank); distrust starts at hosts with blocked pages and flows against the links, from a
 host to those that link to it.  Both keep the mass of their seeds,
 so ``distrust * blocked pages / pages of the host`` says how many blocked
-pages stand behind each page of a host.  A host is blocked if that is at least
-``threshold`` and more than the same for trust.
+pages stand behind each page of a host; a host's own share of blocked pages
+counts in full, however much of it flows on.  A host is blocked if that is at
+least ``threshold`` and more than the same for trust.
 
 Scale: pages are reduced to host edges with counts before any iteration; a
 hot host is one row of the host table.  Every round joins the edge
@@ -116,9 +117,9 @@ def filter_urls(pages: DataFrame, page_id: str = "page_id", url: str = "url", ht
     seeds = [hosts.where(F.col(c) > 0).select(F.lit(kind).alias("kind"), "host", (F.col(c) / F.lit(max(n, 1))).alias("seed")) for kind, c, n in kinds]
     scores = propagate(edges, seeds[0].unionByName(seeds[1]))
     one = lambda kind: scores.where(F.col("kind") == kind).select("host", F.col("score").alias(kind))
-    rate = lambda kind, n: F.coalesce(kind, F.lit(0.0)) * F.lit(float(n)) / F.col("pages")
+    rate = lambda kind, own, n: F.greatest(F.coalesce(kind, F.lit(0.0)) * F.lit(float(n)), F.col(own).cast("double")) / F.col("pages")
     ruled = stored(hosts.join(one("trust"), "host", "left").join(one("distrust"), "host", "left")
-                   .select("host", rate("trust", allowed or 0).alias("trust"), rate("distrust", blocked or 0).alias("distrust")))
+                   .select("host", rate("trust", "allowed", allowed or 0).alias("trust"), rate("distrust", "blocked", blocked or 0).alias("distrust")))
     bad = (F.col("distrust") >= threshold) & (F.col("distrust") > F.col("trust"))
     return (judged.join(ruled, "host", "left")
             .select("page_id", "host", "path", "rule", F.coalesce("by_rule", F.when(bad, F.lit("block")), F.lit("allow")).alias("verdict"),
