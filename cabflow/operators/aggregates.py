@@ -1,6 +1,6 @@
 """Keyed aggregates: running (one updated row per input) and final forms.
 
-Running forms go through ``keyed_scan`` so a hot key is spread over many
+Running forms go through ``keyed_scan``, so a hot key is spread over many
 tasks; final forms are plain hash aggregates with map-side combine.
 """
 
@@ -30,15 +30,25 @@ def running_max(df: DataFrame, keys: list[str], order: list[str], value: str, ou
     return keyed_scan(df, keys, order, [Agg(out, "max", value)])
 
 
-def max_by_key(df: DataFrame, keys: list[str], value: str, payload: list[str], out: str = "max_value") -> DataFrame:
-    """Final max per key with the payload of the maximal row (ties: smallest payload)."""
-    tie = F.struct(F.col(value), *[-F.col(p) if _numeric(df, p) else F.col(p) for p in payload])
-    return df.groupBy(*keys).agg(F.max(value).alias(out),
-                                 *[F.max_by(p, tie).alias(p) for p in payload])
+def running_max_by(df: DataFrame, keys: list[str], order: list[str], value: str, out: str = "best") -> DataFrame:
+    """Per input row, the whole row that holds the maximum of its key so far
+    (the earliest of equal ones), as a struct of the input's columns."""
+    rows = keyed_scan(df, keys, order, [Agg("_max_before", "max", value, inclusive=False), Agg("_max_n", "count")])
+    new = F.col("_max_before").isNull() & F.col(value).isNotNull() | (F.col(value) > F.col("_max_before"))
+    rows = rows.withColumn("_max_rec", F.when(new, F.struct(F.col("_max_n").alias("n"), F.struct(*df.columns).alias("r"))))
+    # Positions grow, so the largest record is the newest maximum.
+    rows = keyed_scan(rows, keys, order, [Agg("_max_now", "max", "_max_rec")])
+    return rows.select(*df.columns, F.col("_max_now.r").alias(out))
 
 
-def _numeric(df: DataFrame, c: str) -> bool:
-    return df.schema[c].dataType.typeName() in ("long", "integer", "short", "byte", "double", "float")
+def max_by_key(df: DataFrame, keys: list[str], value: str, ident: str, out: str = "max_value", out_id: str | None = None) -> DataFrame:
+    """Final maximum per key and the smallest ``ident`` that holds it.
+
+    Two hash aggregates: the smallest id of every (key, value), then the id of
+    the largest value.  A single ``max_by`` over a struct would sort the input.
+    """
+    least = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.min(ident).alias("_id"))
+    return least.groupBy(*keys).agg(F.max(value).alias(out), F.max_by("_id", value).alias(out_id or ident))
 
 
 def top_n(df: DataFrame, groups: list[str], order: list, n: int, salt_col: str | None = None,

@@ -6,10 +6,9 @@ plus a unique tie-breaker).  The watermark a row sees on arrival is
     wm(row) = max(event time of all rows that arrived before it) - delay
 
 (punctuated, never regressing).  A row is late iff ``ts <= wm(row)``.  The
-prefix maximum is an ordered computation over the whole arrival order: one
-window while the input is within the row floor, otherwise the skew-proof
-global scan (range partitions over the arrival order, one carry row per
-partition), so a large input is never one task.
+prefix maximum over the whole arrival order is a two-level scan: a maximum
+inside every hour of arrival, then one over the hours' maxima, so only one
+row per hour ever meets in a single task.
 
 Variants: the watermark advanced only by marker rows, and a wall-clock
 watermark (``arrival - delay``) that needs no scan at all.
@@ -21,27 +20,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cabflow.functions.timecols import micros
-from cabflow.operators.scan import Agg, keyed_scan
+from cabflow.operators.scan import HOUR_US, Agg, keyed_scan
 
 
-def with_watermark(df: DataFrame, ts: str, arrival: str, tie: str, delay_us: int,
+def with_watermark(df: DataFrame, ts: str, arrival: str | None, tie: str, delay_us: int,
                    advance_when: Column | None = None, out: str = "wm_us",
                    keys: list[str] | None = None) -> DataFrame:
     """Add the watermark (epoch micros) each row sees when it arrives.
 
     ``keys`` empty (default): one watermark over the whole stream; with keys,
-    one per key (what the streaming sorter keeps in its state).
+    one per key (what the streaming sorter keeps in its state).  ``arrival``
+    None: ``tie`` alone is the arrival order (such as ``seq`` of a line source).
     """
     t = micros(ts)
     src = F.when(advance_when, t) if advance_when is not None else t
-    base = df.withColumns({"_wm_src": src, "_arr_us": micros(arrival)})
-    s = keyed_scan(base, list(keys or []), ["_arr_us", tie],
-                   [Agg("_prev_max", "max", "_wm_src", inclusive=False)])
+    base = df.withColumn("_wm_src", src)
+    order, width = [tie], None
+    if arrival is not None:
+        base, order, width = base.withColumn("_arr_us", micros(arrival)), ["_arr_us", tie], HOUR_US
+    s = keyed_scan(base, list(keys or []), order, [Agg("_prev_max", "max", "_wm_src", inclusive=False)], width)
     return (s.withColumn(out, F.col("_prev_max") - F.lit(delay_us))
              .drop("_wm_src", "_arr_us", "_prev_max"))
 
 
-def late_split(df: DataFrame, ts: str, arrival: str, tie: str, delay_us: int,
+def late_split(df: DataFrame, ts: str, arrival: str | None, tie: str, delay_us: int,
                advance_when: Column | None = None,
                keys: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """(on_time, late).  Together they are exactly the input rows."""
@@ -51,8 +53,9 @@ def late_split(df: DataFrame, ts: str, arrival: str, tie: str, delay_us: int,
     return flagged.where(~F.col("is_late")), flagged.where(F.col("is_late"))
 
 
-def late_wallclock(df: DataFrame, ts: str, arrival: str, delay_us: int) -> Column:
-    """Late flag against a wall-clock watermark ``arrival - delay``."""
+def late_wallclock(ts: str | Column, arrival: str, delay_us: int) -> Column:
+    """Late flag of a time (an event's, or the end of its window) against a
+    wall-clock watermark ``arrival - delay``."""
     return micros(ts) <= micros(arrival) - F.lit(delay_us)
 
 
@@ -62,12 +65,10 @@ def sort_by_event_time(on_time: DataFrame, keys: list[str], ts: str, tie: str,
 
     The reference buffers rows in a priority queue until the watermark
     passes; with all rows at hand the released sequence is the rows sorted by
-    (ts, tie) per key.  ``pos`` (1-based) makes that order part of the data;
-    the result is range-partitioned and sorted by (keys, ts, tie), so a
-    writer keeps the order inside every output file.
+    (ts, tie) per key.  ``pos`` (1-based) makes that order part of the data.
     """
     base = on_time.withColumn("_t_us", micros(ts))
-    s = keyed_scan(base, keys, ["_t_us", tie], [Agg(out, "count")])
+    s = keyed_scan(base, keys, ["_t_us", tie], [Agg(out, "count")], width=HOUR_US)
     return s.drop("_t_us")
 
 

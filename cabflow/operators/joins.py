@@ -10,9 +10,8 @@ Three forms (SURVEY JOI1):
    the other side pairs with it and clears it; an arrival of the same side
    overwrites it.  Closed form: a new *island* starts whenever a row has the
    same side as the previous row of its key; inside an island sides
-   alternate and rows (1,2), (3,4), ... are the pairs.  One ``pair_scan``
-   (a window, or the skew-proof scan when a key is hot), so a hot key never
-   lands in one task.
+   alternate and rows (1,2), (3,4), ... are the pairs.  ``pair_scan`` is a
+   two-level scan, so a hot key never lands in one task.
 3. ``unmatched`` – keys without a partner on the other side (one grouped union).
 """
 
@@ -20,6 +19,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cabflow.operators.scan import pair_scan
 
@@ -34,26 +34,29 @@ def equi_pairs(left: DataFrame, right: DataFrame, key: str, right_key: str | Non
 def pair_first_come(left: DataFrame, right: DataFrame, key: str, time: str, ident: str,
                     left_time: str | None = None, right_time: str | None = None,
                     left_id: str | None = None, right_id: str | None = None) -> DataFrame:
-    """Pairs (key, left id, right id, left time, right time) in arrival order.
+    """Pairs in arrival order: key, left_id, right_id, left_time, right_time
+    and the records themselves as structs ``left`` and ``right``.
 
     ``time`` then side ('L' before 'R') then ``ident`` break ties, so the
     arrival order is total.
     """
     lt, rt = left_time or time, right_time or time
     li, ri = left_id or ident, right_id or ident
-    tagged = (left.select(F.col(key).alias("k"), F.col(lt).cast("timestamp").alias("t"),
-                          F.col(li).cast("long").alias("i"), F.lit(0).alias("side"))
-              .unionByName(right.select(F.col(key).alias("k"), F.col(rt).cast("timestamp").alias("t"),
-                                        F.col(ri).cast("long").alias("i"), F.lit(1).alias("side"))))
-    tagged = tagged.withColumn("t_us", F.unix_micros("t"))
-    pairs = pair_scan(tagged, ["k"]).where(F.col("closer"))
-    lid = F.when(F.col("side") == 1, F.col("prev_i")).otherwise(F.col("i"))
-    rid = F.when(F.col("side") == 1, F.col("i")).otherwise(F.col("prev_i"))
-    ltm = F.when(F.col("side") == 1, F.col("prev_t")).otherwise(F.col("t_us"))
-    rtm = F.when(F.col("side") == 1, F.col("t_us")).otherwise(F.col("prev_t"))
-    return pairs.select(F.col("k").alias(key), lid.alias("left_id"), rid.alias("right_id"),
-                        F.timestamp_micros(ltm).alias("left_time"),
-                        F.timestamp_micros(rtm).alias("right_time"))
+
+    def tagged(d, t, i, side, other):
+        none = F.lit(None).cast(T.StructType([T.StructField(f.name, f.dataType, True) for f in other.schema.fields]))
+        own = F.struct(*d.columns)
+        return d.select(F.col(key).alias("k"), F.unix_micros(F.col(t).cast("timestamp")).alias("t_us"), F.col(i).alias("i"), F.lit(side).alias("side"),
+                        F.struct(F.col(i).alias("i"), F.col(t).cast("timestamp").alias("t"),
+                                 (own if side == 0 else none).alias("left"), (own if side == 1 else none).alias("right")).alias("rec"))
+
+    rows = tagged(left, lt, li, 0, right).unionByName(tagged(right, rt, ri, 1, left))
+    pairs = pair_scan(rows, ["k"], "rec").where(F.col("closer"))
+    first = lambda f: F.when(F.col("side") == 0, F.col(f"rec.{f}")).otherwise(F.col(f"prev.{f}"))
+    second = lambda f: F.when(F.col("side") == 1, F.col(f"rec.{f}")).otherwise(F.col(f"prev.{f}"))
+    return pairs.select(F.col("k").alias(key), first("i").alias("left_id"), second("i").alias("right_id"),
+                        first("t").alias("left_time"), second("t").alias("right_time"),
+                        first("left").alias("left"), second("right").alias("right"))
 
 
 def unmatched(left: DataFrame, right: DataFrame, key: str, right_key: str | None = None) -> DataFrame:

@@ -10,7 +10,7 @@ reducing and aggregating state).  The streaming twins are processors in
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cabflow.operators.aggregates import running_sum as _running_sum
@@ -31,17 +31,24 @@ def running_sum(df: DataFrame, key: str, order: list[str], value: str) -> DataFr
     return _running_sum(df, [key], order, value, out="running_sum")
 
 
+def running_increments(df: DataFrame, key: str, order: list[str], value: str) -> DataFrame:
+    """The running concatenation as increments: each row's position in its key
+    and the item it adds.  Linear in the input; ``concat_text`` prints it."""
+    return keyed_scan(df.withColumn("item", F.col(value).cast("string")), [key], order, [Agg("pos", "count")])
+
+
+def concat_text(increments: DataFrame, key: str) -> DataFrame:
+    """Per row ``contains:`` + all items of the key so far joined by `` and ``.
+
+    The text of row i has i items, so this is quadratic in a key's length by
+    nature; use it where keys are known to be short."""
+    w = Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return increments.withColumn("contains", F.concat(F.lit(CONTAINS_PREFIX), F.array_join(F.collect_list("item").over(w), CONTAINS_SEP)))
+
+
 def running_concat(df: DataFrame, key: str, order: list[str], value: str) -> DataFrame:
-    """Per input row: ``contains:`` + all values of the key so far joined by `` and ``.
-
-    The output of row i has i items, so the result is quadratic in a key's
-    length whatever the plan; the skew-proof scan at least spreads a hot key
-    over many tasks instead of one ordered window.
-    """
-    s = keyed_scan(df.withColumn("_cat_v", F.col(value).cast("string")), [key], order,
-                   [Agg("_cat", "concat", "_cat_v", sep=CONTAINS_SEP)])
-    return (s.withColumn("contains", F.concat(F.lit(CONTAINS_PREFIX), F.coalesce(F.col("_cat"), F.lit(""))))
-             .drop("_cat_v", "_cat"))
+    """``running_increments`` printed by ``concat_text``."""
+    return concat_text(running_increments(df, key, order, value), key).drop("item", "pos")
 
 
 def idle_count(df: DataFrame, key: str, arrival: str, tie: str, gap_us: int) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from cabflow.functions.geo import grid_cell, in_nyc
 from cabflow.functions.timecols import whole_minutes
+from cabflow.operators.aggregates import max_by_key
 from cabflow.operators.ingest import parse_rides
 
 
@@ -49,14 +50,9 @@ def invalid_durations(enriched: DataFrame) -> DataFrame:
 
 
 def longest_per_cell(durs: DataFrame, key: str = "startCell") -> DataFrame:
-    """Longest ride per cell and the driver of it (smallest driver id on ties).
-
-    One hash aggregate with a map-side partial step: a hot cell is combined
-    per input partition before the shuffle.
-    """
-    return (durs.groupBy(key)
-            .agg(F.max("minutes").alias("max_minutes"),
-                 F.max_by("driverId", F.struct(F.col("minutes"), -F.col("driverId"))).alias("driverId")))
+    """Longest ride per cell and the driver of it (smallest driver id on ties):
+    two hash aggregates, each combined per input partition before its shuffle."""
+    return max_by_key(durs, [key], "minutes", "driverId", "max_minutes")
 
 
 def ride_counts(rides: DataFrame) -> DataFrame:

@@ -1,53 +1,42 @@
-"""Skew-proof ordered scans: running aggregates per key in a given order.
+"""Ordered scans per key that no hot key can stall: a two-level prefix scan.
 
-The reference keeps running state per key (running count/sum/max, the
+The reference keeps running state per key (running count, sum, maximum, the
 previous element, the watermark).  ``Window.partitionBy(key).orderBy(...)``
-expresses that directly, but Spark then puts every row of one key into one
-task – a key holding a third of all rows becomes one task over a third of
-the data.  ``keyed_scan`` computes the same values as a two-level parallel
-prefix scan instead:
-
-1. ``repartitionByRange`` over ``(keys..., order...)`` – Spark samples the
-   composite key, so partitions hold equal row counts and a hot key simply
-   spans many consecutive partitions.  Each partition is sorted locally and
-   scanned with a vectorised numpy/pandas pass (``mapInPandas``; no shuffle).
-2. The scanned rows are checkpointed to the cluster's shared checkpoint
-   folder, so the partition layout used by both branches below is the same
-   physical data, and a lost executor never forces a different layout.
-3. Per ``(partition, key)`` totals (one row per key per partition after the
-   map-side partial aggregate) are combined over earlier partitions.  Only
-   the *first* key of a partition can continue from an earlier partition,
-   so the carry table has at most one row per partition – a proven bound,
-   which is why it is broadcast.
-4. ``carry ⊕ local`` gives the global value for every row.
-
-The scan costs a vectorised Python pass and a checkpoint, so it is used
-where it matters: ``use_scan`` counts rows per key first and keeps plain
-ordered windows (all JVM) unless a key would be a straggler.  Every scan
-(``keyed_scan``, ``session_scan``, ``pair_scan``) has its window form.
-
-Supported ops: ``count``, ``sum``, ``max``, ``min`` (inclusive or exclusive
-of the current row), ``last`` (the previous row's value, exclusive) and
-``concat`` (running string join; its output is quadratic in a key's length by
-nature, and its carry strings are joined without a broadcast hint).
-``order`` must make the order total within a key (add a unique id).
+says that directly, but puts every row of a key into one task.  ``keyed_scan``
+computes the same values in two levels, all in Spark expressions:
+
+1. A *slot* is a range of the first order column (an hour of time, a block of
+   ids): a function of the row alone.  A window per (keys, slot) computes the
+   prefix inside the slot, so a hot key spreads over its slots.
+2. The last row of every (keys, slot) holds the slot's total.  A window per key over these
+   totals gives what earlier slots carry in, and a join on (keys,
+   slot) adds it to the rows.
+
+There is one path whatever the size; no job runs while the query is built,
+nothing is sampled or checkpointed, and the columns an operator carries are
+never touched.  Without keys (one global order, such as a watermark) the only
+single task is the one over the slots' totals.
+
+The slot width (``width``; for times ``cabflow.scan.slotMicros``, for whole
+numbers ``cabflow.scan.slotNumbers``) changes the layout, not the result; only a
+running sum of floating-point numbers may differ in its last digits, as its
+terms are added in another grouping.  ``order`` must be total within a key
+(add a unique id); nulls come first.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cabflow.session import prepare, scan_partitions
+from cabflow.functions.timecols import micros
 
-PID = "_scan_pid"
-FIRST = "_scan_first"
-ROWNO = "_scan_rowno"      # position of a row inside its range partition
+SLOT, ENDS = "_scan_slot", "_scan_ends"
+HOUR_US = 3_600_000_000
+NUMBERS = 65_536
 
 
 @dataclass(frozen=True)
@@ -55,556 +44,154 @@ class Agg:
     """One running aggregate: ``out`` = op(col) over the ordered prefix."""
 
     out: str
-    op: str                      # count | sum | max | min | last | concat
+    op: str                      # count | sum | max | min | last
     col: str | None = None
     inclusive: bool = True       # include the current row (``last`` is always exclusive)
-    sep: str = ","               # separator of ``concat`` (string column, nulls skipped)
 
     def __post_init__(self):
-        if self.op not in ("count", "sum", "max", "min", "last", "concat"):
+        if self.op not in ("count", "sum", "max", "min", "last"):
             raise ValueError(f"unsupported scan op {self.op!r}")
         if self.op != "count" and self.col is None:
             raise ValueError(f"op {self.op!r} needs a column")
 
 
-def _local_name(a: Agg) -> str:
-    return f"_scan_l_{a.out}"
-
-
-def _carry_name(a: Agg) -> str:
-    return f"_scan_c_{a.out}"
-
-
 def _out_type(a: Agg, schema: T.StructType) -> T.DataType:
     if a.op == "count":
         return T.LongType()
     src = schema[a.col].dataType
     if a.op == "sum":
-        if isinstance(src, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType)):
-            return T.LongType()
-        return T.DoubleType()
+        return T.LongType() if isinstance(src, (T.IntegralType, T.BooleanType)) else T.DoubleType()
     return src
 
 
-def _boundaries(pdf: pd.DataFrame, keys: list[str]) -> np.ndarray:
-    """True where a row starts a new key run (rows are sorted by key)."""
-    n = len(pdf)
-    new = np.zeros(n, dtype=bool)
-    if n == 0:
-        return new
-    new[0] = True
-    for k in keys:
-        s = pdf[k]
-        cur = s.iloc[1:].reset_index(drop=True)
-        prev = s.iloc[:-1].reset_index(drop=True)
-        both_null = cur.isna() & prev.isna()
-        differs = ~((cur == prev).fillna(False) | both_null)
-        new[1:] |= differs.to_numpy(dtype=bool)
-    return new
-
-
-def _same_key(a, b) -> bool:
-    if a is None or b is None:
-        return False
-    for x, y in zip(a, b):
-        if pd.isna(x) and pd.isna(y):
-            continue
-        if pd.isna(x) or pd.isna(y) or x != y:
-            return False
-    return True
-
-
-def _make_local_scan(keys: list[str], aggs: list[Agg], out_types: dict):
-    """Vectorised partition-local scan; carries state across Arrow batches.
-
-    A run that continues from the previous batch is handled by prepending
-    the carried value as a synthetic first row of that run.
-    """
-
-    def scan(batches):
-        prev_key = None           # key tuple of the last row seen
-        state: dict = {}          # per agg: inclusive value (or last value) of prev run
-        seen = 0                  # rows of this partition before the batch
-        for pdf in batches:
-            n = len(pdf)
-            if n == 0:
-                continue
-            pdf = pdf.reset_index(drop=True)
-            new = _boundaries(pdf, keys)
-            first_key = tuple(pdf[k].iloc[0] for k in keys)
-            cont = prev_key is not None and (not keys or _same_key(first_key, prev_key))
-            gid = np.cumsum(new) - 1
-            first = new.copy()
-            if cont:
-                first[0] = False
-            out = pdf.copy()
-            out[FIRST] = first
-            out[ROWNO] = np.arange(seen, seen + n, dtype=np.int64)
-            seen += n
-            ext_gid = np.concatenate([[0], gid]) if cont else gid
-            for a in aggs:
-                if a.op == "concat":
-                    acc = state.get(a.out) if cont else None
-                    res = []
-                    for pos, val in enumerate(pdf[a.col].tolist()):
-                        if new[pos] and not (cont and pos == 0):
-                            acc = None
-                        if val is not None:
-                            acc = val if acc is None else acc + a.sep + val
-                        res.append(acc)
-                    state[a.out] = acc
-                    out[_local_name(a)] = pd.Series(res, dtype=object)
-                    continue
-                if a.op == "count":
-                    v = pd.Series(np.ones(n, dtype=np.int64))
-                else:
-                    v = pdf[a.col]
-                    if a.op in ("max", "min", "last") and pd.api.types.is_integer_dtype(v.dtype):
-                        v = v.astype("Int64")  # nullable: no float round trip above 2**53
-                if a.op == "sum":
-                    if isinstance(out_types[a.out], T.LongType):
-                        v = v.fillna(0).astype(np.int64)
-                    else:
-                        v = v.astype(np.float64).fillna(0.0)
-                if cont:
-                    head = pd.Series([state[a.out]], dtype=v.dtype if state[a.out] is not None
-                                     or isinstance(v.dtype, pd.api.extensions.ExtensionDtype) else object)
-                    v = pd.concat([head, v], ignore_index=True)
-                    if v.dtype == object and a.op in ("count", "sum", "max", "min"):
-                        v = pd.to_numeric(v)
-                g = v.groupby(ext_gid)
-                if a.op in ("count", "sum"):
-                    inc = g.cumsum()
-                    exc = (inc - v)
-                elif a.op in ("max", "min"):
-                    inc = g.cummax() if a.op == "max" else g.cummin()
-                    inc = inc.groupby(ext_gid).ffill()
-                    exc = inc.groupby(ext_gid).shift(1)
-                else:
-                    inc = v
-                    exc = g.shift(1)
-                res = inc if (a.inclusive and a.op != "last") else exc
-                if cont:
-                    res = res.iloc[1:].reset_index(drop=True)
-                if a.op == "last":
-                    state[a.out] = v.iloc[-1]
-                else:
-                    tail = inc.iloc[-1]
-                    state[a.out] = None if pd.isna(tail) else tail
-                if isinstance(out_types[a.out], T.LongType) and a.op in ("count", "sum"):
-                    res = res.astype(np.int64)
-                out[_local_name(a)] = res.array
-            prev_key = tuple(pdf[k].iloc[-1] for k in keys)
-            yield out
-
-    return scan
-
-
-def _ranged_local(df: DataFrame, keys: list[str], order: list[str], local_fn,
-                  extra: list[T.StructField], partitions: int | None) -> DataFrame:
-    """Range-partition on (keys, order), sort, run the partition-local pass
-    and checkpoint the result (columns of ``df`` + PID + FIRST + ``extra``)."""
-    spark = df.sparkSession
-    prepare(spark)
-    n = partitions or scan_partitions(spark)
-    sort_cols = [F.col(c).asc_nulls_first() for c in [*keys, *order]]
-    # Without an explicit count AQE may coalesce adjacent range partitions
-    # (still contiguous ranges, so the scan stays exact).
-    ranged = (df.repartitionByRange(n, *sort_cols) if n else df.repartitionByRange(*sort_cols))
-    ranged = (ranged
-                .sortWithinPartitions(*sort_cols)
-                .withColumn(PID, F.spark_partition_id()))
-    local_schema = T.StructType(list(ranged.schema.fields)
-                                + [T.StructField(FIRST, T.BooleanType(), False)] + extra)
-    local = ranged.mapInPandas(local_fn, local_schema)
-    # One physical layout for every branch below; lineage cut on shared storage.
-    return local.checkpoint(eager=True)
-
-
-def _attach(local: DataFrame, keys: list[str], carry: DataFrame, broadcast: bool = True) -> DataFrame:
-    """Left-join the carry table (at most one row per partition) on (PID, keys)."""
-    carry = carry.select(*[F.col(c).alias(f"_scan_k_{c}") if c in keys or c == PID else F.col(c)
-                           for c in carry.columns])
-    cond = F.col(PID) == F.col(f"_scan_k_{PID}")
-    for k in keys:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"_scan_k_{k}"))
-    return local.join(F.broadcast(carry) if broadcast else carry, cond, "left")
-
-
-def _windows(keys: list[str]):
-    w_all = Window.partitionBy(*keys).orderBy(PID) if keys else Window.orderBy(PID)
-    return w_all, w_all.rowsBetween(Window.unboundedPreceding, -1)
-
-
-HOT_KEY_ROWS = 1_000_000      # below this a key always stays in one ordered-window task
-MAX_KEY_ROWS = 50_000_000     # above this a key never does, whatever the cluster size
-SCAN_COST_FACTOR = 4          # a scan costs ~3x a window pass: scan only beyond 4 fair shares
-
-
-def use_scan(df: DataFrame, keys: list[str], strategy: str | None = None) -> bool:
-    """Pick the plan for an ordered per-key computation.
-
-    ``scan``: the skew-proof range scan.  ``window``: one ordered window per
-    key (all JVM; a key is one task).  ``auto`` (default, or the session's
-    ``cabflow.scan.strategy``): one partial aggregate counts rows per key and
-    returns two numbers to the driver; the scan is used when the biggest key
-    holds more than ``cabflow.scan.hotKeyRows`` and either would be a
-    straggler (over ``SCAN_COST_FACTOR`` fair shares, rows / cores) or is over
-    ``cabflow.scan.maxKeyRows`` (a bound on one task's group).
-    A global order (no key) is one group: it is a single window only while
-    the whole input is within the row floor, otherwise it scans.
-    """
-    spark = df.sparkSession
-    strategy = strategy or spark.conf.get("cabflow.scan.strategy", "auto")
-    if strategy not in ("auto", "scan", "window"):
-        raise ValueError(f"unknown scan strategy {strategy!r}")
-    if strategy != "auto":
-        return strategy == "scan"
-    floor = int(spark.conf.get("cabflow.scan.hotKeyRows", str(HOT_KEY_ROWS)))
-    if not keys:
-        return df.count() > floor
-    stats = df.groupBy(*keys).count().agg(F.max("count").alias("mx"), F.sum("count").alias("n")).first()
-    if stats["mx"] is None:
-        return False
-    try:
-        cores = spark.sparkContext.defaultParallelism
-    except Exception:  # remote session: size by the shuffle partitions instead
-        cores = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cap = int(spark.conf.get("cabflow.scan.maxKeyRows", str(MAX_KEY_ROWS)))
-    biggest = stats["mx"]
-    return biggest > floor and (biggest > SCAN_COST_FACTOR * stats["n"] / max(1, cores) or biggest > cap)
-
-
-def keyed_scan(df: DataFrame, keys: list[str], order: list[str], aggs: list[Agg],
-               partitions: int | None = None, strategy: str | None = None) -> DataFrame:
+def slot(df: DataFrame, column: str, width: int | None = None) -> Column:
+    """The slot of a row: ascending with ``column``, null for null.  A type
+    without an obvious range (such as a struct) is one slot."""
+    kind, conf = df.schema[column].dataType, df.sparkSession.conf
+    c = F.col(column)
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.floor(micros(column) / F.lit(width or int(conf.get("cabflow.scan.slotMicros", str(HOUR_US))))).cast("long")
+    if isinstance(kind, T.IntegralType):
+        return F.floor(c / F.lit(width or int(conf.get("cabflow.scan.slotNumbers", str(NUMBERS))))).cast("long")
+    if isinstance(kind, T.FractionalType) or isinstance(kind, T.DecimalType):
+        return F.floor(c / F.lit(width or 1)).cast("double")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(c).cast("long")
+    if isinstance(kind, T.StringType):
+        # All but the last 5 characters: an arrival order ends in a zero-padded row number.
+        return F.when(F.length(c) > 5, F.expr(f"left(`{column}`, length(`{column}`) - 5)")).otherwise(F.lit(""))
+    return F.lit(0).cast("long")
+
+
+def keyed_scan(df: DataFrame, keys: list[str], order: list[str], aggs: list[Agg], width: int | None = None) -> DataFrame:
     """Add one column per ``Agg``: its running value per key in ``order``.
 
-    ``keys`` may be empty (one global order).  Returns every input row with
-    the extra columns; nothing is dropped, capped or sampled.  Hot keys (see
-    ``use_scan``) go through the range scan, small ones through a window.
+    ``keys`` may be empty (one global order).  Every input row comes back with
+    its columns as they were; nothing is dropped, capped or sampled.
     """
-    if not use_scan(df, keys, strategy):
-        return running_window(df, keys, order, aggs)
-    schema = df.schema
-    out_types = {a.out: _out_type(a, schema) for a in aggs}
-    local = _ranged_local(df, keys, order, _make_local_scan(keys, aggs, out_types),
-                          [T.StructField(ROWNO, T.LongType(), False)]
-                          + [T.StructField(_local_name(a), out_types[a.out], True) for a in aggs],
-                          partitions)
-
-    # Per (partition, key) totals -> combined over earlier partitions of the key.
-    parts = []
-    for a in aggs:
+    types = {a.out: _out_type(a, df.schema) for a in aggs}
+    inside = Window.partitionBy(*keys, SLOT).orderBy(*order)
+    upto, before = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow), inside.rowsBetween(Window.unboundedPreceding, -1)
+    held = {a.out: (f"_scan_all_{a.out}", f"_scan_own_{a.out}", f"_scan_in_{a.out}") for a in aggs}
+
+    def over(a: Agg, frame) -> Column:
         if a.op == "count":
-            parts.append(F.count(F.lit(1)).alias(a.out))
-        elif a.op == "sum":
-            parts.append(F.sum(F.col(a.col).cast(out_types[a.out])).alias(a.out))
-        elif a.op == "max":
-            parts.append(F.max(a.col).alias(a.out))
-        elif a.op == "min":
-            parts.append(F.min(a.col).alias(a.out))
-        elif a.op == "concat":
-            parts.append(F.max_by(F.col(_local_name(a)), F.col(ROWNO)).alias(a.out))
+            return F.count(F.lit(1)).over(frame)
+        if a.op == "sum":
+            return F.coalesce(F.sum(F.col(a.col).cast(types[a.out])).over(frame), F.lit(0).cast(types[a.out]))
+        return (F.max if a.op == "max" else F.min)(a.col).over(frame)
+
+    columns = []
+    for a in aggs:
+        total, own, _ = held[a.out]
+        if a.op == "last":
+            columns += [F.col(a.col).alias(total), F.lag(a.col, 1).over(inside).alias(own), F.lag(F.lit(True), 1).over(inside).alias(own + "_there")]
         else:
-            parts.append(F.max_by(F.col(a.col), F.col(ROWNO)).alias(a.out))
-    summary = local.groupBy(PID, *keys).agg(*parts)
+            columns += [over(a, upto).alias(total)] + ([] if a.inclusive else [over(a, before).alias(own)])
+    rows = df.withColumn(SLOT, slot(df, order[0], width)).select("*", *columns, F.lead(F.lit(True)).over(inside).isNull().alias(ENDS))
 
-    w_all, w_prev = _windows(keys)
-    carry_cols = [F.col(PID)] + [F.col(k) for k in keys]
+    earlier = (Window.partitionBy(*keys) if keys else Window).orderBy(SLOT)
+    so_far = earlier.rowsBetween(Window.unboundedPreceding, -1)
+    names = {k: f"_scan_key_{i}" for i, k in enumerate([*keys, SLOT])}
+    carried = []
     for a in aggs:
-        c = F.col(a.out)
+        total, _, into = held[a.out]
         if a.op in ("count", "sum"):
-            e = F.sum(c).over(w_prev)
-        elif a.op == "max":
-            e = F.max(c).over(w_prev)
-        elif a.op == "min":
-            e = F.min(c).over(w_prev)
-        elif a.op == "concat":
-            parts_before = F.collect_list(c).over(w_prev)
-            e = F.when(F.size(parts_before) > 0, F.array_join(parts_before, a.sep))
+            carried.append(F.coalesce(F.sum(total).over(so_far), F.lit(0).cast(types[a.out])).alias(into))
+        elif a.op == "last":
+            carried.append(F.lag(total, 1).over(earlier).alias(into))
         else:
-            e = F.lag(c, 1).over(w_all)
-        carry_cols.append(e.alias(_carry_name(a)))
-    carry_cols.append(F.count(F.lit(1)).over(w_prev).alias("_scan_prev_parts"))
-    # At most one row per partition (only a partition's first key continues).
-    carry = (summary.select(*carry_cols)
-             .where(F.col("_scan_prev_parts") > 0)
-             .drop("_scan_prev_parts"))
-    # Numeric carries are one row per partition -> broadcast; string carries
-    # can be long, so their join is left to AQE's runtime size check.
-    joined = _attach(local, keys, carry, broadcast=not any(a.op == "concat" for a in aggs))
+            carried.append((F.max if a.op == "max" else F.min)(total).over(so_far).alias(into))
+    carry = rows.where(ENDS).select(*[F.col(k).alias(n) for k, n in names.items()], *carried)
+    on = [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()]
+    joined = rows.join(carry, on, "inner")
 
     finals = []
     for a in aggs:
-        loc, car = F.col(_local_name(a)), F.col(_carry_name(a))
+        total, own, into = held[a.out]
+        here = F.col(total if a.inclusive and a.op != "last" else own)
         if a.op in ("count", "sum"):
-            e = loc + F.coalesce(car, F.lit(0).cast(out_types[a.out]))
-        elif a.op == "max":
-            e = F.greatest(loc, car)
-        elif a.op == "min":
-            e = F.least(loc, car)
-        elif a.op == "concat":
-            e = (F.when(car.isNull(), loc).when(loc.isNull(), car)
-                  .otherwise(F.concat(car, F.lit(a.sep), loc)))
+            e = here + F.col(into)
+        elif a.op == "last":
+            e = F.when(F.col(own + "_there"), here).otherwise(F.col(into))
         else:
-            e = F.when(F.col(FIRST), car).otherwise(loc)
-        finals.append(e.cast(out_types[a.out]).alias(a.out))
-    return joined.select(*[F.col(c) for c in df.columns], *finals)
-
-
-SESS_START = "_sess_l_start"
-
-
-def _make_session_scan(keys: list[str], t_col: str, end_col: str):
-    """Partition-local sessions: a row opens a session when its time is beyond
-    the running max of earlier row ends of its key; each row gets the time of
-    the latest opening row.  State carries across Arrow batches."""
-
-    def scan(batches):
-        prev_key, st_end, st_start = None, None, None
-        for pdf in batches:
-            n = len(pdf)
-            if n == 0:
-                continue
-            pdf = pdf.reset_index(drop=True)
-            new = _boundaries(pdf, keys)
-            first_key = tuple(pdf[k].iloc[0] for k in keys)
-            cont = prev_key is not None and (not keys or _same_key(first_key, prev_key))
-            gid = np.cumsum(new) - 1
-            first = new.copy()
-            t = pdf[t_col].to_numpy(dtype=np.int64)
-            e = pd.Series(pdf[end_col].to_numpy(dtype=np.int64))
-            if cont:
-                first[0] = False
-                ext_gid = np.concatenate([[0], gid])
-                e = pd.concat([pd.Series([st_end], dtype=np.int64), e], ignore_index=True)
-            else:
-                ext_gid = gid
-            inc_end = e.groupby(ext_gid).cummax()
-            prev_end = inc_end.groupby(ext_gid).shift(1)
-            if cont:
-                prev_end = prev_end.iloc[1:].reset_index(drop=True)
-            pe = prev_end.to_numpy(dtype=np.float64, na_value=np.nan)
-            opens = np.isnan(pe) | (t > pe)
-            if cont:
-                opens[0] = t[0] > st_end
-            starts = pd.Series(pd.arrays.IntegerArray(t.copy(), ~opens))
-            if cont:
-                starts = pd.concat([pd.Series([st_start], dtype="Int64"), starts], ignore_index=True)
-            cur = starts.groupby(ext_gid).ffill()
-            if cont:
-                cur = cur.iloc[1:].reset_index(drop=True)
-            out = pdf.copy()
-            out[FIRST] = first
-            out[SESS_START] = cur.array
-            st_end = int(inc_end.iloc[-1])
-            st_start = int(cur.iloc[-1])
-            prev_key = tuple(pdf[k].iloc[-1] for k in keys)
-            yield out
-
-    return scan
-
-
-def session_window_form(df: DataFrame, keys: list[str], t_col: str, end_col: str, tie: str,
-                        out: str = "session_start_us") -> DataFrame:
-    """``session_scan`` with ordered windows per key (same result; a key is one task)."""
-    w = Window.partitionBy(*keys).orderBy(t_col, tie) if keys else Window.orderBy(t_col, tie)
-    prev_end = F.max(end_col).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    opens = F.when(prev_end.isNull() | (F.col(t_col) > prev_end), F.col(t_col))
-    return (df.withColumn("_sess_open", opens)
-              .withColumn(out, F.max("_sess_open").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-              .drop("_sess_open"))
+            e = (F.greatest if a.op == "max" else F.least)(here, F.col(into))
+        finals.append(e.cast(types[a.out]).alias(a.out))
+    return joined.select(*[F.col(c) for c in df.columns if c not in types], *finals)
 
 
 def session_scan(df: DataFrame, keys: list[str], t_col: str, end_col: str, tie: str,
-                 out: str = "session_start_us", partitions: int | None = None,
-                 strategy: str | None = None) -> DataFrame:
-    """Session start (epoch micros) of every row in one skew-proof pass.
+                 out: str = "session_start_us", width: int = HOUR_US) -> DataFrame:
+    """Session start (epoch micros) of every row.
 
     ``t_col`` / ``end_col`` are epoch-micro longs (row time, row time + gap).
     A row opens a session iff ``t > max(end of earlier rows of its key)``
-    (touching sessions merge, as ``session_window`` does).  Across partitions:
-    a continuing run keeps the carried session until its first local opening
-    row whose time is beyond the carried max end – so one pass suffices.
+    (touching sessions merge, as ``session_window`` does): a running maximum of
+    ends, then a running maximum of opening times.  Rows without a time or an
+    end belong to no session.
     """
-    if not use_scan(df, keys, strategy):
-        return session_window_form(df, keys, t_col, end_col, tie, out)
-    # Rows without a time belong to no session; they bypass the scan.
-    timeless = df.where(F.col(t_col).isNull() | F.col(end_col).isNull()).withColumn(out, F.lit(None).cast("long"))
-    df = df.where(F.col(t_col).isNotNull() & F.col(end_col).isNotNull())
-    local = _ranged_local(df, keys, [t_col, tie], _make_session_scan(keys, t_col, end_col),
-                          [T.StructField(SESS_START, T.LongType(), True)], partitions)
-    summary = local.groupBy(PID, *keys).agg(F.max(end_col).alias("_run_end"),
-                                            F.max(SESS_START).alias("_run_start"))
-    w_all, w_prev = _windows(keys)
-    step = summary.select(PID, *keys, "_run_start",
-                          F.max("_run_end").over(w_prev).alias("_c_end"),
-                          F.count(F.lit(1)).over(w_prev).alias("_prev_parts"))
-    # A run's own last start is global iff it lies beyond the carried max end.
-    step = step.withColumn("_cand", F.when(F.col("_c_end").isNull() | (F.col("_run_start") > F.col("_c_end")),
-                                           F.col("_run_start")))
-    carry = (step.select(PID, *keys, "_c_end", "_prev_parts",
-                         F.last("_cand", ignorenulls=True).over(w_prev).alias("_c_start"))
-                 .where(F.col("_prev_parts") > 0).drop("_prev_parts"))
-    joined = _attach(local, keys, carry)
-    loc = F.col(SESS_START)
-    start = F.when(F.col("_c_end").isNull() | (loc > F.col("_c_end")), loc).otherwise(F.col("_c_start"))
-    return joined.select(*[F.col(c) for c in df.columns], start.alias(out)).unionByName(timeless)
-
-
-def _make_pair_scan(keys: list[str]):
-    """Partition-local pairing islands over rows sorted by (keys, t, side, i).
-
-    Per row: its position ``rn`` in the key run, the previous row (side, i,
-    t), the side of the run's first row, and ``start2`` – the latest position
-    >= 2 whose side equals its predecessor's (an island start that does not
-    depend on earlier partitions)."""
-
-    def scan(batches):
-        prev_key, st = None, None
-        for pdf in batches:
-            n = len(pdf)
-            if n == 0:
-                continue
-            pdf = pdf.reset_index(drop=True)
-            new = _boundaries(pdf, keys)
-            first_key = tuple(pdf[k].iloc[0] for k in keys)
-            cont = prev_key is not None and (not keys or _same_key(first_key, prev_key))
-            gid = np.cumsum(new) - 1
-            first = new.copy()
-            side = pdf["side"].to_numpy(dtype=np.int64)
-            ident = pdf["i"].to_numpy(dtype=np.int64)
-            t = pdf["t_us"].to_numpy(dtype=np.int64)
-            rn = pd.Series(np.ones(n, dtype=np.int64)).groupby(gid).cumsum().to_numpy()
-            lag = lambda a: pd.Series(a).groupby(gid).shift(1).to_numpy(dtype=np.float64, na_value=np.nan)
-            ps, pi, pt = lag(side), lag(ident), lag(t)
-            fs = pd.Series(side).groupby(gid).transform("first").to_numpy()
-            if cont:
-                first[0] = False
-                rn[gid == 0] += st["rn"]
-                ps[0], pi[0], pt[0] = st["side"], st["i"], st["t"]
-                fs[gid == 0] = st["first_side"]
-            has_prev = ~np.isnan(ps)
-            opens = has_prev & (ps == side)
-            starts = pd.Series(pd.arrays.IntegerArray(rn.copy(), ~opens))
-            ext_gid = gid
-            if cont:
-                starts = pd.concat([pd.Series([st["start2"]], dtype="Int64"), starts], ignore_index=True)
-                ext_gid = np.concatenate([[0], gid])
-            start2 = starts.groupby(ext_gid).ffill()
-            if cont:
-                start2 = start2.iloc[1:].reset_index(drop=True)
-            out = pdf.copy()
-            out[FIRST] = first
-            out["_p_rn"] = rn
-            out["_p_prev_side"] = pd.arrays.IntegerArray(np.where(has_prev, ps, 0).astype(np.int64), ~has_prev)
-            out["_p_prev_i"] = pd.arrays.IntegerArray(np.where(has_prev, pi, 0).astype(np.int64), ~has_prev)
-            out["_p_prev_t"] = pd.arrays.IntegerArray(np.where(has_prev, pt, 0).astype(np.int64), ~has_prev)
-            out["_p_first_side"] = fs.astype(np.int64)
-            out["_p_start2"] = start2.array
-            last2 = start2.iloc[-1]
-            st = {"rn": int(rn[-1]), "side": int(side[-1]), "i": int(ident[-1]), "t": int(t[-1]),
-                  "first_side": int(fs[-1]), "start2": None if pd.isna(last2) else int(last2)}
-            prev_key = tuple(pdf[k].iloc[-1] for k in keys)
-            yield out
-
-    return scan
-
-
-def pair_window_form(df: DataFrame, keys: list[str]) -> DataFrame:
-    """``pair_scan`` with ordered windows per key (same result; a key is one task)."""
-    w = (Window.partitionBy(*keys) if keys else Window).orderBy("t_us", "side", "i")
-    rn = F.row_number().over(w)
-    prev_side = F.lag("side").over(w)
-    d = df.withColumns({"_pw_rn": rn, "_pw_ps": prev_side, "prev_i": F.lag("i").over(w),
-                        "prev_t": F.lag("t_us").over(w)})
-    opens = F.when(F.col("_pw_ps").isNull() | (F.col("_pw_ps") == F.col("side")), F.col("_pw_rn"))
-    d = d.withColumn("_pw_island", F.max(opens).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return (d.withColumn("closer", ((F.col("_pw_rn") - F.col("_pw_island")) % 2) == 1)
-             .select(*df.columns, "closer", "prev_i", "prev_t"))
-
-
-def pair_scan(df: DataFrame, keys: list[str], partitions: int | None = None,
-              strategy: str | None = None) -> DataFrame:
-    """One-pass first-come pairing over a tagged union with columns
-    ``side`` (int 0/1), ``i`` (long id) and ``t_us`` (long arrival time).
-
-    Island rule: a row starts an island when it has the same side as the
-    previous row of its key; the 2nd, 4th, ... rows of an island close a pair
-    with their predecessor.  Adds ``closer``, ``prev_i`` and ``prev_t``.
+    timed = F.col(t_col).isNotNull() & F.col(end_col).isNotNull()
+    d = df.withColumn("_sess_end", F.when(timed, F.col(end_col)))
+    d = keyed_scan(d, keys, [t_col, tie], [Agg("_sess_until", "max", "_sess_end", inclusive=False)], width)
+    opens = timed & (F.col("_sess_until").isNull() | (F.col(t_col) > F.col("_sess_until")))
+    d = d.withColumn("_sess_open", F.when(opens, F.col(t_col)))
+    d = keyed_scan(d, keys, [t_col, tie], [Agg("_sess_start", "max", "_sess_open")], width)
+    return d.select(*df.columns, F.when(timed, F.col("_sess_start")).alias(out))
+
+
+def pair_scan(df: DataFrame, keys: list[str], record: str, width: int = HOUR_US) -> DataFrame:
+    """First-come pairing over a tagged union with columns ``side`` (int 0/1),
+    ``i`` (id), ``t_us`` (long arrival time) and ``record`` (any type).
+
+    A row starts an island when it has the same side as the previous row of
+    its key; the 2nd, 4th, ... rows of an island close a pair with their
+    predecessor.  Adds ``closer`` and ``prev`` (the predecessor's record).
+    Rows without an arrival time close nothing.
     """
-    if not use_scan(df, keys, strategy):
-        return pair_window_form(df, keys)
-    # Rows without an arrival time cannot take part in the arrival order.
-    timeless = (df.where(F.col("t_us").isNull())
-                  .withColumns({"closer": F.lit(False), "prev_i": F.lit(None).cast("long"),
-                                "prev_t": F.lit(None).cast("long")}))
-    df = df.where(F.col("t_us").isNotNull())
-    L = T.LongType()
-    local = _ranged_local(df, keys, ["t_us", "side", "i"], _make_pair_scan(keys),
-                          [T.StructField("_p_rn", L, False), T.StructField("_p_prev_side", L, True),
-                           T.StructField("_p_prev_i", L, True), T.StructField("_p_prev_t", L, True),
-                           T.StructField("_p_first_side", L, False), T.StructField("_p_start2", L, True)],
-                          partitions)
-    # Rows of a (partition, key) run are numbered by _p_rn, so "last row"
-    # aggregates order by a long and stay hash aggregates.
-    rn_order = F.col("_p_rn")
-    summary = local.groupBy(PID, *keys).agg(
-        F.count(F.lit(1)).alias("_cnt"), F.max_by("side", rn_order).alias("_last_side"),
-        F.max_by("i", rn_order).alias("_last_i"), F.max_by("t_us", rn_order).alias("_last_t"),
-        F.max("_p_first_side").alias("_first_side"), F.max("_p_start2").alias("_start2"))
-    w_all, w_prev = _windows(keys)
-    step = summary.select(
-        PID, *keys, "_first_side", "_start2",
-        F.coalesce(F.sum("_cnt").over(w_prev), F.lit(0)).alias("_c_cnt"),
-        F.lag("_last_side").over(w_all).alias("_c_side"), F.lag("_last_i").over(w_all).alias("_c_i"),
-        F.lag("_last_t").over(w_all).alias("_c_t"), F.count(F.lit(1)).over(w_prev).alias("_prev_parts"))
-    first_opens = F.col("_c_side").isNull() | (F.col("_c_side") == F.col("_first_side"))
-    step = step.withColumn("_cand", F.when(F.col("_start2").isNotNull(), F.col("_c_cnt") + F.col("_start2"))
-                                     .when(first_opens, F.col("_c_cnt") + 1))
-    carry = (step.select(PID, *keys, "_c_cnt", "_c_side", "_c_i", "_c_t", "_prev_parts",
-                         F.last("_cand", ignorenulls=True).over(w_prev).alias("_c_island"))
-                 .where(F.col("_prev_parts") > 0).drop("_prev_parts"))
-    j = _attach(local, keys, carry)
-    c0 = F.coalesce(F.col("_c_cnt"), F.lit(0))
-    rn = F.col("_p_rn") + c0
-    row_first_opens = F.col("_c_side").isNull() | (F.col("_c_side") == F.col("_p_first_side"))
-    island = (F.when(F.col("_p_start2").isNotNull(), c0 + F.col("_p_start2"))
-               .when(row_first_opens, c0 + 1).otherwise(F.col("_c_island")))
-    first = F.col(FIRST) & F.col("_c_cnt").isNotNull()
-    return j.select(*[F.col(c) for c in df.columns],
-                    (((rn - island) % 2) == 1).alias("closer"),
-                    F.when(first, F.col("_c_i")).otherwise(F.col("_p_prev_i")).alias("prev_i"),
-                    F.when(first, F.col("_c_t")).otherwise(F.col("_p_prev_t")).alias("prev_t")
-                    ).unionByName(timeless)
+    order = ["t_us", "side", "i"]
+    timed = df.where(F.col("t_us").isNotNull())
+    d = keyed_scan(timed.withColumn("_pair_rec", F.struct(F.col("side").alias("s"), F.col(record).alias("r"))), keys, order,
+                   [Agg("_pair_n", "count"), Agg("_pair_prev", "last", "_pair_rec")], width)
+    opens = F.col("_pair_prev").isNull() | (F.col("_pair_prev.s") == F.col("side"))
+    d = keyed_scan(d.withColumn("_pair_open", F.when(opens, F.col("_pair_n"))), keys, order, [Agg("_pair_island", "max", "_pair_open")], width)
+    return d.select(*df.columns, (((F.col("_pair_n") - F.col("_pair_island")) % 2) == 1).alias("closer"), F.col("_pair_prev.r").alias("prev"))
 
 
 def running_window(df: DataFrame, keys: list[str], order: list[str], aggs: list[Agg]) -> DataFrame:
-    """The window form of ``keyed_scan``: one ordered window per key (all JVM,
-    whole-stage codegen).  Same output; all rows of a key go to one task, so
-    ``use_scan`` picks it only when no key is hot.  Also the brute force the
-    scan is tested against.
-    """
+    """The plain form of ``keyed_scan``, one ordered window per key: what the
+    two-level scan is tested against."""
     w = Window.partitionBy(*keys).orderBy(*order) if keys else Window.orderBy(*order)
-    inc = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    exc = w.rowsBetween(Window.unboundedPreceding, -1)
     cols = []
-    schema = df.schema
     for a in aggs:
-        t = _out_type(a, schema)
-        frame = inc if a.inclusive else exc
+        t = _out_type(a, df.schema)
+        frame = w.rowsBetween(Window.unboundedPreceding, Window.currentRow if a.inclusive else -1)
         if a.op == "count":
             e = F.count(F.lit(1)).over(frame)
         elif a.op == "sum":
             e = F.coalesce(F.sum(F.col(a.col).cast(t)).over(frame), F.lit(0).cast(t))
-        elif a.op == "max":
-            e = F.max(a.col).over(frame)
-        elif a.op == "min":
-            e = F.min(a.col).over(frame)
-        elif a.op == "concat":
-            items = F.collect_list(a.col).over(frame)
-            e = F.when(F.size(items) > 0, F.array_join(items, a.sep))
-        else:
+        elif a.op == "last":
             e = F.lag(a.col, 1).over(w)
+        else:
+            e = (F.max if a.op == "max" else F.min)(a.col).over(frame)
         cols.append(e.cast(t).alias(a.out))
     return df.select("*", *cols)

@@ -30,9 +30,7 @@ def count_tumbling(df: DataFrame, keys: list[str], order: list[str], n: int,
                    aggs: list[Column]) -> DataFrame:
     """Tumbling count window of ``n`` rows per key (countWindow(n)).
 
-    The row number per key comes from ``keyed_scan`` (a window, or the
-    skew-proof scan when a key is hot); bucket =
-    (rn - 1) div n.  Only full buckets are emitted (a partial group never
+    The row number per key comes from ``keyed_scan``; bucket = (rn - 1) div n.  Only full buckets are emitted (a partial group never
     fires), so the output is exactly floor(count / n) rows per key.
     """
     numbered = keyed_scan(df, keys, order, [Agg("_rn", "count")])
@@ -58,9 +56,7 @@ def sessionize(df: DataFrame, keys: list[str], ts: str, tie: str, gap_us: Column
     ``max(previous time + previous gap)`` of its key; touching sessions merge.
 
     ``gap_us`` is a literal number of microseconds or a per-row Column.
-    One ``session_scan`` (a window, or one skew-proof pass for hot keys).
-    Rows keep their columns plus
-    ``out`` and ``_end_us``.
+    Rows keep their columns plus ``out`` and ``_end_us``.
     """
     gap = F.lit(gap_us) if isinstance(gap_us, int) else gap_us
     base = df.withColumns({"_t_us": micros(ts), "_end_us": micros(ts) + gap.cast("long")})
@@ -86,12 +82,19 @@ def sessions_builtin(df: DataFrame, keys: list[str], ts: str, gap: str | Column,
               .withColumn("session_end", F.col("s.end")).drop("s"))
 
 
+def window_contents(df: DataFrame, ts: str, size: str, keys: list[str], item: Column,
+                    order: list[str], out: str = "item") -> DataFrame:
+    """The elements of every window as rows (window_start, keys, pos, item),
+    ``pos`` from 1 in the given order: a window of any size stays rows, and no
+    task holds its list."""
+    d = df.withColumns({"window_start": F.window(ts, size)["start"], out: item})
+    return keyed_scan(d, ["window_start", *keys], order, [Agg("pos", "count")]).select("window_start", *keys, "pos", out)
+
+
 def collect_window(df: DataFrame, ts: str, size: str, keys: list[str], item: Column,
-                   order: Column, sep: str = ", ", out: str = "items") -> DataFrame:
-    """Window contents as one text, items sorted by ``order`` (ProcessWindowFunction
-    that lists its elements)."""
-    w = F.window(ts, size)
-    pairs = F.sort_array(F.collect_list(F.struct(order.alias("o"), item.alias("v"))))
-    return (df.groupBy(w.alias("w"), *keys)
-              .agg(F.array_join(F.transform(pairs, lambda x: x["v"]), sep).alias(out))
-              .select(F.col("w.start").alias("window_start"), *keys, out))
+                   order: list[str], sep: str = ", ", out: str = "items") -> DataFrame:
+    """``window_contents`` printed: one text per window.  For windows that are
+    known to be small; a text is one value and must fit a task."""
+    rows = window_contents(df, ts, size, keys, item, order, "_item")
+    parts = F.sort_array(F.collect_list(F.struct("pos", "_item")))
+    return rows.groupBy("window_start", *keys).agg(F.array_join(F.transform(parts, lambda x: x["_item"]), sep).alias(out))

@@ -63,10 +63,8 @@ def q_hourly_tips(spark, d):
 def q_hourly_top(spark, d):
     e = _events(spark, d, "ts", "user_id", "value").withColumn("cents", _cents())
     h = windows.time_window(e, "ts", "1 hour", ["user_id"], {"cents": F.sum("cents")})
-    top = (h.groupBy("window_start")
-             .agg(F.max_by(F.struct("user_id", "cents"), F.struct(F.col("cents"), -F.col("user_id"))).alias("t")))
-    return top.select(as_ntz("window_start").alias("window_start"), F.col("t.user_id").alias("user_id"),
-                      (F.col("t.cents") / 100.0).alias("tips"))
+    top = aggregates.max_by_key(h, ["window_start"], "cents", "user_id", "best")
+    return top.select(as_ntz("window_start").alias("window_start"), "user_id", (F.col("best") / 100.0).alias("tips"))
 
 
 def q_hourly_top3(spark, d):
@@ -99,7 +97,7 @@ def q_running_sum(spark, d):
 
 def q_running_concat(spark, d):
     e = _events(spark, d, "user_id", "event_id", "ts")
-    return keyed.running_concat(e, "user_id", ORDER, "event_id").select("user_id", "event_id", "contains")
+    return keyed.running_increments(e, "user_id", ORDER, "event_id").select("user_id", "event_id", "pos", "item")
 
 
 def q_count_window_avg(spark, d):
@@ -193,8 +191,8 @@ def q_segment_text(spark, d):
 def q_collect_window(spark, d):
     e = _events(spark, d, "ts", "event_id", "event_type")
     item = F.concat(F.col("event_id").cast("string"), F.lit("|"), F.date_format("ts", "HH:mm:ss"))
-    w = windows.collect_window(e, "ts", "1 hour", ["event_type"], item, F.struct("ts", "event_id"))
-    return w.select(as_ntz("window_start").alias("window_start"), "event_type", "items")
+    w = windows.window_contents(e, "ts", "1 hour", ["event_type"], item, ["ts", "event_id"])
+    return w.select(as_ntz("window_start").alias("window_start"), "event_type", "pos", "item")
 
 
 # ------------------------------------------------------ event time / lateness
@@ -245,7 +243,7 @@ def q_late_wallclock(spark, d):
     a = _arrivals(spark, d, "event_type")
     w = F.window("ts", "10 minutes", "5 minutes")
     kept = (a.select("event_type", "arr", w.alias("w"))
-              .where(micros(F.col("w.end")) > micros("arr") - F.lit(WALLCLOCK_DELAY_US)))
+              .where(~ev.late_wallclock(F.col("w.end"), "arr", WALLCLOCK_DELAY_US)))
     return (kept.groupBy("w", "event_type").agg(F.count(F.lit(1)).alias("n"))
                 .select(as_ntz("w.start").alias("window_start"), as_ntz("w.end").alias("window_end"),
                         "event_type", "n"))
@@ -274,12 +272,13 @@ def q_pair_join(spark, d):
 
 def q_pair_first_come(spark, d):
     o, li = _orders_items(spark, d)
-    left = o.select(F.col("o_orderkey").alias("k"), F.col("o_orderdate").alias("t"), F.lit(0).alias("i"))
+    left = o.select(F.col("o_orderkey").alias("k"), F.col("o_orderdate").alias("t"), F.struct(F.lit(0).cast("long").alias("n"), F.col("o_totalprice").alias("price")).alias("i"), "o_totalprice")
     right = li.select(F.col("l_orderkey").alias("k"), F.col("l_shipdate").alias("t"),
-                      F.col("l_linenumber").alias("i"))
+                      F.struct(F.col("l_linenumber").cast("long").alias("n"), F.col("l_extendedprice").alias("price")).alias("i"), "l_extendedprice")
     p = joins.pair_first_come(left, right, "k", "t", "i")
-    return p.select(F.col("k").alias("orderkey"), F.col("right_id").alias("l_linenumber"),
-                    as_ntz("left_time").alias("order_time"), as_ntz("right_time").alias("item_time"))
+    return p.select(F.col("k").alias("orderkey"), F.col("right_id.n").alias("l_linenumber"),
+                    as_ntz("left_time").alias("order_time"), as_ntz("right_time").alias("item_time"),
+                    F.col("left.o_totalprice").alias("o_totalprice"), F.col("right.l_extendedprice").alias("l_extendedprice"))
 
 
 def q_pair_unmatched(spark, d):
@@ -383,11 +382,11 @@ def q_fare_hourly_top(spark, d):
     """The hourly-tips job end to end: fare lines -> typed fares -> tip sum per
     driver per hour -> top driver of every hour (ties: smallest driver id)."""
     fares, _ = parse_fares(_fare_lines(spark, d))
-    per = windows.time_window(fares, "startTime", "1 hour", ["driverId"], {"tips": F.sum("tip")})
-    top = (per.groupBy("window_start")
-              .agg(F.max_by(F.struct("driverId", "tips"), F.struct(F.col("tips"), -F.col("driverId"))).alias("t")))
-    return top.select(as_ntz("window_start").alias("window_start"), F.col("t.driverId").alias("driverId"),
-                      F.col("t.tips").alias("tips"))
+    # Whole cents: ties do not depend on the order of adding.
+    cents = {"cents": F.sum(F.round(F.col("tip").cast("double") * 100).cast("long"))}
+    per = windows.time_window(fares, "startTime", "1 hour", ["driverId"], cents)
+    top = aggregates.max_by_key(per, ["window_start"], "cents", "driverId", "best")
+    return top.select(as_ntz("window_start").alias("window_start"), "driverId", (F.col("best") / 100.0).alias("tips"))
 
 
 def q_parse_fares(spark, d):

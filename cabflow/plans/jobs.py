@@ -54,26 +54,21 @@ def hourly_tips(spark: SparkSession, fares_path: str) -> tuple[DataFrame, DataFr
     """(tips per driver per hour, top driver per hour)."""
     fares, _ = parse_fares(_lines(spark, fares_path))
     per = windows.time_window(fares, "startTime", "1 hour", ["driverId"], {"tips": F.sum("tip")})
-    top = (per.groupBy("window_start", "window_end")
-              .agg(F.max_by(F.struct("driverId", "tips"), F.struct(F.col("tips"), -F.col("driverId"))).alias("t"))
-              .select("window_start", "window_end", "t.driverId", "t.tips"))
-    return per, top
+    top = aggregates.max_by_key(per, ["window_start", "window_end"], "tips", "driverId", "best")
+    return per, top.select("window_start", "window_end", "driverId", F.col("best").alias("tips"))
 
 
 def _cars(spark, path):
-    """Car events with ``seq`` = line order of the input (assigned at the
-    scan, before any shuffle), then spread for parsing."""
-    lines = spread(read_lines(spark, path).withColumn("seq", F.monotonically_increasing_id()))
-    good, _ = parse_car_events(lines, keep=["seq"])
+    """Car events with ``seq``, the line order of the input, spread for parsing."""
+    good, _ = parse_car_events(_lines(spark, path), keep=["seq"])
     return good
 
 
 def car_event_sort(spark: SparkSession, cars_path: str) -> tuple[DataFrame, DataFrame]:
     """(events sorted per car with ``pos``, late event ids).  Arrival order is
     the line order of the input (``seq``)."""
-    cars = _cars(spark, cars_path).withColumn("arr", F.timestamp_micros(F.col("seq")))
-    on_time, late = events.late_split(cars, "ts", "arr", "id", CAR_DELAY_MS * 1000)
-    return (events.sort_by_event_time(on_time.drop("arr", "wm_us", "is_late"), ["carId"], "ts", "seq"),
+    on_time, late = events.late_split(_cars(spark, cars_path), "ts", None, "seq", CAR_DELAY_MS * 1000)
+    return (events.sort_by_event_time(on_time.drop("wm_us", "is_late"), ["carId"], "ts", "seq"),
             late.select("id"))
 
 
@@ -102,9 +97,8 @@ def word_count(spark: SparkSession, text_path: str) -> DataFrame:
 
 def count_window_word_count(spark: SparkSession, text_path: str) -> DataFrame:
     """countWindow(3).sum per word, in line order."""
-    lines = spark.read.text(text_path).withColumn("line_no", F.monotonically_increasing_id())
-    words = lines.select("line_no", F.posexplode(tokenize("value")).alias("pos", "word"))
-    return windows.count_tumbling(words, ["word"], ["line_no", "pos"], COUNT_WINDOW,
+    words = read_lines(spark, text_path).select("seq", F.posexplode(tokenize("line")).alias("pos", "word"))
+    return windows.count_tumbling(words, ["word"], ["seq", "pos"], COUNT_WINDOW,
                                   [F.count(F.lit(1)).alias("n")])
 
 

@@ -100,16 +100,18 @@ WITH r AS (SELECT event_id, user_id, event_type, ts, {ARR} AS arr,
            FROM events WHERE event_type <> 'error')"""
 
 _PAIRS = """
-WITH u AS (SELECT o_orderkey AS k, o_orderdate AS t, 0 AS side, CAST(0 AS BIGINT) AS i FROM orders
+WITH u AS (SELECT o_orderkey AS k, o_orderdate AS t, 0 AS side, CAST(0 AS BIGINT) AS i, o_totalprice AS price FROM orders
            UNION ALL
-           SELECT l_orderkey AS k, l_shipdate AS t, 1 AS side, CAST(l_linenumber AS BIGINT) AS i FROM lineitem),
-a AS (SELECT *, row_number() OVER w AS rn, lag(side) OVER w AS ps, lag(i) OVER w AS pi, lag(t) OVER w AS pt
-      FROM u WINDOW w AS (PARTITION BY k ORDER BY t, side, i)),
-b AS (SELECT *, max(CASE WHEN ps IS NULL OR ps = side THEN rn END) OVER (PARTITION BY k ORDER BY t, side, i
+           SELECT l_orderkey AS k, l_shipdate AS t, 1 AS side, CAST(l_linenumber AS BIGINT) AS i, l_extendedprice FROM lineitem),
+a AS (SELECT *, row_number() OVER w AS rn, lag(side) OVER w AS ps, lag(i) OVER w AS pi, lag(t) OVER w AS pt, lag(price) OVER w AS pp
+      FROM u WINDOW w AS (PARTITION BY k ORDER BY t, side, i, price)),
+b AS (SELECT *, max(CASE WHEN ps IS NULL OR ps = side THEN rn END) OVER (PARTITION BY k ORDER BY t, side, i, price
                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS st FROM a)
 SELECT k AS orderkey, CASE WHEN side = 1 THEN i ELSE pi END AS l_linenumber,
        CASE WHEN side = 1 THEN pt ELSE t END AS order_time,
-       CASE WHEN side = 1 THEN t ELSE pt END AS item_time
+       CASE WHEN side = 1 THEN t ELSE pt END AS item_time,
+       CASE WHEN side = 1 THEN pp ELSE price END AS o_totalprice,
+       CASE WHEN side = 1 THEN price ELSE pp END AS l_extendedprice
 FROM b WHERE (rn - st) % 2 = 1"""
 
 _DYN_GAP = (f"CASE event_type WHEN 'click' THEN {10 * HOUR_US} WHEN 'view' THEN {20 * HOUR_US} "
@@ -151,8 +153,8 @@ ORACLE: dict[str, str] = {
     "running_max": f"SELECT user_id, event_id, max(value) OVER (PARTITION BY user_id {W_UE}) AS max_value FROM events",
     "running_sum": f"""SELECT user_id, event_id,
         CAST(sum(event_id) OVER (PARTITION BY user_id {W_UE}) AS BIGINT) AS running_sum FROM events""",
-    "running_concat": f"""SELECT user_id, event_id, 'contains:' || string_agg(CAST(event_id AS VARCHAR), ' and '
-        ORDER BY ts, event_id) OVER (PARTITION BY user_id {W_UE}) AS contains FROM events""",
+    "running_concat": f"""SELECT user_id, event_id, count(*) OVER (PARTITION BY user_id {W_UE}) AS pos,
+        CAST(event_id AS VARCHAR) AS item FROM events""",
     "count_window_avg": f"""WITH r AS (SELECT user_id, event_id,
         row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events)
         SELECT user_id, CAST((rn - 1) // {COUNT_WINDOW} AS BIGINT) AS bucket, avg(event_id) AS average FROM r
@@ -188,8 +190,8 @@ ORACLE: dict[str, str] = {
         CAST(length AS VARCHAR) || ' events,' || CAST(max_speed AS VARCHAR) || ' kph,' || {_label('err')} AS line
         FROM g""",
     "collect_window": """SELECT date_trunc('hour', ts) AS window_start, event_type,
-        string_agg(CAST(event_id AS VARCHAR) || '|' || strftime(ts, '%H:%M:%S'), ', ' ORDER BY ts, event_id) AS items
-        FROM events GROUP BY 1, 2""",
+        row_number() OVER (PARTITION BY date_trunc('hour', ts), event_type ORDER BY ts, event_id) AS pos,
+        CAST(event_id AS VARCHAR) || '|' || strftime(ts, '%H:%M:%S') AS item FROM events""",
     "late_events": _late("epoch_us(ts)", LATE_DELAY_US, "event_id, user_id, ts, arr"),
     "event_sort": _late("epoch_us(ts)", LATE_DELAY_US,
                         "user_id, event_id, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pos",
@@ -252,7 +254,7 @@ GROUP BY ws, event_type""",
     "fare_hourly_top": """WITH f AS (SELECT o_custkey AS driverId, date_trunc('hour', o_orderdate) AS window_start,
              CASE WHEN o_orderstatus = 'F' THEN CAST(0.0 AS REAL) ELSE CAST(o_orderkey % 20 AS REAL) END AS tip
              FROM orders WHERE o_orderstatus <> 'P'),
-        h AS (SELECT window_start, driverId, sum(tip) AS tips FROM f GROUP BY 1, 2)
+        h AS (SELECT window_start, driverId, CAST(sum(CAST(round(CAST(tip AS DOUBLE) * 100) AS BIGINT)) AS DOUBLE) / 100.0 AS tips FROM f GROUP BY 1, 2)
         SELECT window_start, driverId, tips FROM h
         QUALIFY row_number() OVER (PARTITION BY window_start ORDER BY tips DESC, driverId) = 1""",
     "parse_cars": f"""SELECT CAST(event_id AS VARCHAR) AS id, 'car' || CAST(user_id AS VARCHAR) AS carId,

@@ -9,8 +9,11 @@ UTC-only parsers.
 from __future__ import annotations
 
 import os
+import re
+import shlex
 import tempfile
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
 # Settings every job relies on.  AQE re-plans joins/aggregates at runtime
@@ -31,6 +34,22 @@ DEFAULTS = {
 }
 
 
+def submitted() -> dict[str, str]:
+    """Settings the user gave before the session exists: those of the submit
+    command and of spark-defaults.conf."""
+    if "PYSPARK_GATEWAY_PORT" in os.environ:  # started by spark-submit: its JVM is there and knows
+        SparkContext._ensure_initialized()
+        return dict(SparkConf().getAll())
+    out = {}
+    home = os.environ.get("SPARK_CONF_DIR") or os.path.join(os.environ.get("SPARK_HOME", ""), "conf")
+    defaults = os.path.join(home, "spark-defaults.conf")
+    if os.path.isfile(defaults):
+        with open(defaults) as f:
+            out |= dict(m.groups() for m in re.finditer(r"^[ \t]*(spark\S*?)(?:[ \t]*=[ \t]*|[ \t]+)(\S.*?)[ \t]*$", f.read(), re.M))
+    args = shlex.split(os.environ.get("PYSPARK_SUBMIT_ARGS", ""))
+    return out | dict(v.split("=", 1) for k, v in zip(args, args[1:]) if k in ("--conf", "-c") and "=" in v)
+
+
 def get_session(master: str | None = None, app: str = "cabflow",
                 shuffle_partitions: int | None = None,
                 extra: dict | None = None) -> SparkSession:
@@ -42,10 +61,9 @@ def get_session(master: str | None = None, app: str = "cabflow",
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    conf = dict(DEFAULTS)
-    if shuffle_partitions:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
+    wanted = DEFAULTS | ({"spark.sql.shuffle.partitions": str(shuffle_partitions)} if shuffle_partitions else {})
+    given = submitted()
+    conf = {k: v for k, v in wanted.items() if k not in given} | (extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
@@ -66,10 +84,13 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only when it is unset
-    (local runs and tests) fall back to a fresh scratch folder."""
+    """Use the cluster's ``spark.checkpoint.dir``; a local run without one gets
+    a fresh scratch folder.  On a cluster there is no fallback: executors would
+    each write to a disk of their own."""
     d = checkpoint_dir(spark)
     if not d:
+        if not is_local(spark):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="cabflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     try:
@@ -80,16 +101,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def scan_partitions(spark: SparkSession) -> int | None:
-    """Explicit number of range partitions for ordered scans, or None.
-
-    ``cabflow.scan.partitions`` if set; otherwise None, and the scan's range
-    repartition uses ``spark.sql.shuffle.partitions`` with AQE free to merge
-    small adjacent partitions.  On a cluster size the shuffle partitions so a
-    partition of the scanned (narrow) columns is ~128-256 MB.
-    """
-    v = spark.conf.get("cabflow.scan.partitions", None)
-    return max(1, int(v)) if v else None
+def is_local(spark: SparkSession) -> bool:
+    """Do driver and executors share one machine and process?"""
+    master = spark.conf.get("spark.master", "")
+    return master.startswith("local") and not master.startswith("local-cluster")
 
 
 def local_test_session(cores: int = 8) -> SparkSession:

@@ -10,14 +10,19 @@ matching the reference's checkpoint interval.
 
 from __future__ import annotations
 
+import sys
+
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cabflow.functions.labels import segment_line
 from cabflow.functions.text import text_lines, tokenize
 from cabflow.operators import rides as ride_ops
 from cabflow.operators.ingest import parse_car_events, parse_fares, parse_rides
 from cabflow.session import prepare
+from cabflow.streaming import processors
 from cabflow.streaming.sinks import batched
 from cabflow.streaming.processors import (AVERAGE_SCHEMA, CONCAT_SCHEMA, IDLE_SCHEMA, PAIR_SCHEMA, SEGMENT_SCHEMA,
                                           SORTED_SCHEMA, SUM_SCHEMA, CountAverage, EventSorter, FirstComePairing,
@@ -65,6 +70,21 @@ def hourly_tips(fares: DataFrame, delay: str = "10 seconds") -> tuple[DataFrame,
     return per, top.select(F.col("w.start").alias("window_start"), "top.driverId", "top.tips")
 
 
+def ride_counts(ride_lines: DataFrame) -> DataFrame:
+    """Rides per driver so far (outputMode 'update')."""
+    good, _ = parse_rides(ride_lines)
+    return ride_ops.ride_counts(ride_ops.filter_nyc(good))
+
+
+def cell_driver_duration(ride_lines: DataFrame) -> DataFrame:
+    """Longest ride per start cell so far, with its driver (outputMode 'update';
+    a stream has one aggregation, so ties are broken inside it)."""
+    enriched, _ = ride_ops.cleanse(ride_lines)
+    best = F.max(F.struct(F.col("minutes"), (-F.col("driverId")).alias("d"))).alias("best")
+    longest = ride_ops.durations(enriched).groupBy("startCell").agg(best)
+    return longest.select("startCell", F.col("best.minutes").alias("max_minutes"), (-F.col("best.d")).alias("driverId"))
+
+
 def windowed_counts(events: DataFrame, ts: str, key: str, size: str, slide: str | None = None,
                     delay: str = "10 seconds", offset: str | None = None) -> DataFrame:
     """Tumbling / sliding (optionally offset) event-time window counts per key, append mode."""
@@ -103,36 +123,63 @@ def session_counts(events: DataFrame, ts: str, key: str, gap, delay: str = "10 s
 
 # ----------------------------------------------------------- keyed state
 
-def _seq(df: DataFrame, fallback: str = "ts_ms") -> DataFrame:
-    """Arrival order inside a micro-batch: an explicit ``seq`` column (source
-    offset, Kafka timestamp, ...) if present, else the event time.  Also ships
-    the package to the Python workers that run the processors."""
+# Spark builds a processor in a process of its own, which has neither this
+# driver's path nor files shipped to executors: send the code itself.
+cloudpickle.register_pickle_by_value(processors)
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+def _seq(df: DataFrame) -> DataFrame:
+    """The input, which must have ``seq``, its arrival order (the line sources
+    supply it): without it the result would depend on how Spark deals rows."""
+    if "seq" not in df.columns:
+        raise ValueError("keyed state works in arrival order: the input needs a column 'seq' (see cabflow.sources.lines)")
     prepare(df.sparkSession)
-    return df if "seq" in df.columns else df.withColumn("seq", F.col(fallback))
+    return df
+
+
+def _seq_text(df: DataFrame):
+    """``seq`` as text that sorts like it (whole numbers are padded)."""
+    c = F.col("seq").cast("string")
+    return (c if dict(df.dtypes)["seq"] == "string" else F.lpad(c, 19, "0")).alias("seq")
+
+
+def _json(*columns: str):
+    return F.to_json(F.struct(*columns))
+
+
+def _record(column: str, df: DataFrame, names: list[str]):
+    return F.from_json(column, T.StructType([T.StructField(f.name, f.dataType) for f in df.select(*names).schema.fields]))
 
 
-def sort_events(cars: DataFrame, delay_ms: int = 30_000) -> DataFrame:
-    """Per-car event-time sort with late ids as ``kind='late'`` (timeMode none: lossless)."""
-    src = _seq(cars, "timestamp").select(F.col("carId").alias("key"), F.col("id").cast("long").alias("id"),
-                                         F.col("timestamp").alias("ts_ms"), "seq")
-    return src.groupBy("key").transformWithStateInPandas(EventSorter(delay_ms), SORTED_SCHEMA, "append", "None")
+def sort_events(cars: DataFrame, delay_ms: int = 30_000, per_key: bool = True) -> DataFrame:
+    """Per-car event-time sort (timeMode none: lossless): key, id, ts_ms, kind
+    ('sorted' or 'late') and the whole event.  ``per_key`` False: one watermark
+    over the whole stream instead of one per car, as in the batch form; one
+    state group then sees every row, which is what a global order costs."""
+    src, names = _seq(cars), [c for c in cars.columns if c != "seq"]
+    rows = src.select((F.col("carId") if per_key else F.lit("")).cast("string").alias("key"), F.col("carId").cast("string").alias("car"),
+                      F.col("id").cast("string").alias("id"), F.col("timestamp").alias("ts_ms"), _json(*names).alias("event"),
+                      _seq_text(src))
+    out = rows.groupBy("key").transformWithStateInPandas(EventSorter(delay_ms), SORTED_SCHEMA, "append", "None")
+    return out.select(F.col("car").alias("key"), "id", "ts_ms", "kind", _record("event", src, names).alias("event"))
 
 
 def stop_segments(cars: DataFrame, delay_ms: int = 30_000) -> DataFrame:
-    src = _seq(cars, "timestamp").select(F.col("carId").alias("key"), F.col("id").cast("long").alias("id"),
-                                         F.col("timestamp").alias("ts_ms"), "speed", "throttle", "seq")
+    src = _seq(cars).select(F.col("carId").cast("string").alias("key"), F.col("timestamp").alias("ts_ms"), "speed", "throttle", _seq_text(cars))
     return src.groupBy("key").transformWithStateInPandas(StopSegmenter(delay_ms), SEGMENT_SCHEMA, "append", "None")
 
 
 def pair_rides_fares(rides: DataFrame, fares: DataFrame, ttl_ms: int | None = None) -> DataFrame:
-    """Reference-faithful pairing: tagged union keyed by rideId, one waiting element."""
-    keep = ["seq"] if "seq" in rides.columns and "seq" in fares.columns else []
-    r = rides.select(F.col("rideId").alias("key"), F.lit(0).alias("side"), F.col("rideId").alias("id"),
-                     F.unix_millis("startTime").alias("ts_ms"), *keep)
-    f = fares.select(F.col("rideId").alias("key"), F.lit(1).alias("side"), F.col("rideId").alias("id"),
-                     F.unix_millis("startTime").alias("ts_ms"), *keep)
-    u = _seq(r.unionByName(f))
-    return u.groupBy("key").transformWithStateInPandas(FirstComePairing(ttl_ms), PAIR_SCHEMA, "append", "None")
+    """Reference-faithful pairing: tagged union keyed by rideId, one waiting
+    element.  Emits key and the records as structs ``ride`` and ``fare``; a
+    waiting element older than ``ttl_ms`` (processing time) is forgotten."""
+    sides = [(_seq(d), [c for c in d.columns if c != "seq"]) for d in (rides, fares)]
+    r, f = (d.select(F.col("rideId").alias("key"), F.lit(side).alias("side"), F.col("rideId").alias("id"), F.unix_millis("startTime").alias("ts_ms"),
+                     _json(*names).alias("rec"), _seq_text(d))
+            for side, (d, names) in enumerate(sides))
+    pairs = r.unionByName(f).groupBy("key").transformWithStateInPandas(FirstComePairing(ttl_ms), PAIR_SCHEMA, "append", "ProcessingTime" if ttl_ms else "None")
+    return pairs.select("key", _record("left_rec", rides, sides[0][1]).alias("ride"), _record("right_rec", fares, sides[1][1]).alias("fare"))
 
 
 def rides_join_fares(rides: DataFrame, fares: DataFrame, bound: str = "2 hours",
@@ -148,28 +195,28 @@ def rides_join_fares(rides: DataFrame, fares: DataFrame, bound: str = "2 hours",
 
 
 def rides_with_fares_to_files(ride_lines: DataFrame, fare_lines: DataFrame, path: str, checkpoint: str,
-                              threshold: int = 20, ttl_ms: int | None = None, trigger: dict | None = None):
+                              threshold: int | None = None, ttl_ms: int | None = None, trigger: dict | None = None):
     """End-to-end durable job: ride and fare line streams -> typed records ->
     consume-on-match pairing (state in RocksDB under ``checkpoint``) -> files
-    of at most ``threshold`` pairs per micro-batch (idempotent per batch id).
+    (idempotent per batch id; ``threshold`` caps the records of a file).
     Returns the started query."""
-    rides, _ = parse_rides(ride_lines)
-    fares, _ = parse_fares(fare_lines)
+    rides, _ = parse_rides(ride_lines, keep=["seq"])
+    fares, _ = parse_fares(fare_lines, keep=["seq"])
     pairs = pair_rides_fares(rides, fares, ttl_ms)
     return batched(pairs, path, checkpoint, threshold=threshold, trigger=trigger or DEFAULT_TRIGGER)
 
 
 def driving_segments_text(car_lines: DataFrame, delay_ms: int = 30_000) -> DataFrame:
     """Car event lines -> typed events -> stop segments -> segment text lines."""
-    cars, _ = parse_car_events(car_lines)
+    cars, _ = parse_car_events(car_lines, keep=["seq"])
     segs = stop_segments(cars, delay_ms)
     return segs.select("key", "startTime",
                        segment_line("key", "startTime", "length", "maxSpeed", "label").alias("line"))
 
 
 def keyed_state(df: DataFrame, kind: str, n: int = 3, layout: str = "value") -> DataFrame:
-    """The keyed-state demos over (key, value[, seq]) rows: 'average', 'sum', 'concat'."""
-    src = _seq(df, "value")
+    """The keyed-state demos over (key, value, seq) rows: 'average', 'sum', 'concat'."""
+    src = _seq(df)
     g = src.groupBy("key")
     if kind == "average":
         return g.transformWithStateInPandas(CountAverage(n, layout), AVERAGE_SCHEMA, "append", "None")
@@ -182,7 +229,7 @@ def keyed_state(df: DataFrame, kind: str, n: int = 3, layout: str = "value") ->
 
 def window_counts_with_late(events: DataFrame, size_ms: int, delay_ms: int) -> DataFrame:
     """Tumbling window counts per key plus late rows as a side output
-    (``kind`` = 'window' | 'late').  Input columns: key, ts_ms[, seq]."""
+    (``kind`` = 'window' | 'late').  Input columns: key, ts_ms, seq."""
     src = _seq(events)
     return src.groupBy("key").transformWithStateInPandas(
         WindowCountWithLate(size_ms, delay_ms), WINDOW_LATE_SCHEMA, "append", "None")
@@ -198,13 +245,13 @@ def _count_add(n: int, accumulate: bool):
 
 
 def count_windows(df: DataFrame, n: int = 3, accumulate: bool = False) -> DataFrame:
-    """Count windows of ``n`` rows per key over (key, value[, seq]) rows:
+    """Count windows of ``n`` rows per key over (key, value, seq) rows:
     tumbling (fire and purge every n rows) or accumulating (fire at n, 2n, ...
     with the running total).  Output: key, n_rows, total."""
     proc = KeyedReduce(init=lambda: (0, 0), add=_count_add(n, accumulate),
                        emit=lambda k, acc, v: (k, acc[0], acc[1]) if acc[0] % n == 0 else None,
                        acc_schema="cnt long, total long", out_columns=["key", "n_rows", "total"])
-    return _seq(df, "value").groupBy("key").transformWithStateInPandas(
+    return _seq(df).groupBy("key").transformWithStateInPandas(
         proc, "key string, n_rows long, total long", "append", "None")
 
 
@@ -217,4 +264,4 @@ def idle_counts(words: DataFrame, gap_ms: int = 5_000) -> DataFrame:
 __all__ = ["start", "cleanse", "word_counts", "hourly_tips", "windowed_counts", "gap_sessions", "sort_events",
            "stop_segments", "pair_rides_fares", "rides_join_fares", "keyed_state", "idle_counts",
            "window_counts_with_late", "window_contents", "count_windows", "session_counts",
-           "rides_with_fares_to_files", "driving_segments_text"]
+           "rides_with_fares_to_files", "driving_segments_text", "ride_counts", "cell_driver_duration"]

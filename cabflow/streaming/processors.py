@@ -29,10 +29,10 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from cabflow.functions.labels import STYLE_BAND, STYLE_LABELS
 from cabflow.operators.keyed import CONTAINS_PREFIX, CONTAINS_SEP
 
-SORTED_SCHEMA = "key string, id long, ts_ms long, kind string"
+SORTED_SCHEMA = "car string, id string, ts_ms long, kind string, event string"
 SEGMENT_SCHEMA = ("key string, startTime long, length int, maxSpeed float, erraticness float, "
                   "label string")
-PAIR_SCHEMA = "key long, left_id long, right_id long, left_ms long, right_ms long"
+PAIR_SCHEMA = "key long, left_id long, right_id long, left_ms long, right_ms long, left_rec string, right_rec string"
 AVERAGE_SCHEMA = "key long, average double"
 SUM_SCHEMA = "key long, running_sum long"
 CONCAT_SCHEMA = "key long, contains string"
@@ -53,23 +53,24 @@ def _rows(rows, order: list[str]) -> pd.DataFrame:
 
 class EventSorter(StatefulProcessor):
     """Per key: a row is late iff ``ts <= max(ts seen before) - delay``; on-time
-    rows wait in a list and are released in (ts, id) order once the
-    watermark passes them.  Input columns: key, id, ts_ms, seq."""
+    rows wait in a list and are released in (ts, seq) order once the
+    watermark passes them.  Input columns: key, car, id, ts_ms, event, seq
+    (ids and the event itself are text and come back as they were)."""
 
     def __init__(self, delay_ms: int):
         self.delay = delay_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.max_ts = handle.getValueState("max_ts", "v long")
-        self.buf = handle.getListState("buffer", "id long, ts_ms long")
+        self.buf = handle.getListState("buffer", "car string, id string, ts_ms long, event string, seq string")
 
     def handleInputRows(self, key, rows, timerValues):
-        pdf = _rows(rows, ["seq", "id"])
+        pdf = _rows(rows, ["seq"])
         if pdf.empty:
             return
-        k = _key(key)
+        cols = ["car", "id", "ts_ms", "event", "seq"]
+        pdf = pdf[cols]
         ts = pdf["ts_ms"].to_numpy(dtype=np.int64)
-        ids = pdf["id"].to_numpy(dtype=np.int64)
         prior = self.max_ts.get()[0] if self.max_ts.exists() else None
         # watermark each row sees: max event time of earlier rows - delay
         seen = np.maximum.accumulate(ts)
@@ -78,10 +79,9 @@ class EventSorter(StatefulProcessor):
             before = np.maximum(before, prior)
         late = (before != np.iinfo(np.int64).min) & (ts <= before - self.delay)
         mx = int(seen[-1]) if prior is None else max(prior, int(seen[-1]))
-        old = pd.DataFrame([tuple(r) for r in self.buf.get()] if self.buf.exists() else [],
-                           columns=["id", "ts_ms"], dtype=np.int64)
-        buf = pd.concat([old, pd.DataFrame({"id": ids[~late], "ts_ms": ts[~late]})], ignore_index=True)
-        buf = buf.sort_values(["ts_ms", "id"], kind="stable")
+        old = [tuple(r) for r in self.buf.get()] if self.buf.exists() else []
+        buf = pd.concat([pd.DataFrame(old, columns=cols), pdf[~late]] if old else [pdf[~late]], ignore_index=True)
+        buf = buf.sort_values(["ts_ms", "seq"], kind="stable")
         ready = buf[buf["ts_ms"] <= mx - self.delay]
         keep = buf[buf["ts_ms"] > mx - self.delay]
         self.max_ts.update((mx,))
@@ -89,11 +89,9 @@ class EventSorter(StatefulProcessor):
             self.buf.put(list(keep.itertuples(index=False, name=None)))
         else:
             self.buf.clear()
-        out = pd.concat([pd.DataFrame({"key": k, "id": ready["id"], "ts_ms": ready["ts_ms"], "kind": "sorted"}),
-                         pd.DataFrame({"key": k, "id": ids[late], "ts_ms": ts[late], "kind": "late"})],
-                        ignore_index=True)
+        out = pd.concat([ready.assign(kind="sorted"), pdf[late].assign(kind="late")], ignore_index=True)
         if len(out):
-            yield out
+            yield out[["car", "id", "ts_ms", "kind", "event"]]
 
     def close(self) -> None:
         pass
@@ -107,26 +105,26 @@ def _style(x: float) -> str:
 class StopSegmenter(StatefulProcessor):
     """Buffer a car's events; when the watermark (max ts - delay) reaches a
     stop (speed == 0), emit the stats of the moving events before that stop
-    and evict everything up to it.  Input: key, id, ts_ms, speed, throttle, seq."""
+    and evict everything up to it.  Input: key, ts_ms, speed, throttle, seq."""
 
     def __init__(self, delay_ms: int):
         self.delay = delay_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.max_ts = handle.getValueState("max_ts", "v long")
-        self.buf = handle.getListState("events", "id long, ts_ms long, speed float, throttle float")
+        self.buf = handle.getListState("events", "seq string, ts_ms long, speed float, throttle float")
 
     def handleInputRows(self, key, rows, timerValues):
-        pdf = _rows(rows, ["seq", "id"])
+        pdf = _rows(rows, ["seq"])
         if pdf.empty:
             return
         k = _key(key)
-        cols = ["id", "ts_ms", "speed", "throttle"]
+        cols = ["seq", "ts_ms", "speed", "throttle"]
         prior = self.max_ts.get()[0] if self.max_ts.exists() else None
         old = pd.DataFrame([tuple(r) for r in self.buf.get()] if self.buf.exists() else [], columns=cols)
         buf = pd.concat([old, pdf[cols]], ignore_index=True).astype(
-            {"id": np.int64, "ts_ms": np.int64, "speed": np.float64, "throttle": np.float64})
-        buf = buf.sort_values(["ts_ms", "id"], kind="stable").reset_index(drop=True)
+            {"seq": str, "ts_ms": np.int64, "speed": np.float64, "throttle": np.float64})
+        buf = buf.sort_values(["ts_ms", "seq"], kind="stable").reset_index(drop=True)
         mx = int(pdf["ts_ms"].max()) if prior is None else max(prior, int(pdf["ts_ms"].max()))
         wm = mx - self.delay
         stop = (buf["speed"] == 0.0).to_numpy()
@@ -156,24 +154,26 @@ class StopSegmenter(StatefulProcessor):
 
 
 class FirstComePairing(StatefulProcessor):
-    """Tagged union input: key, side (0 = ride/left, 1 = fare/right), id, ts_ms, seq.
+    """Tagged union input: key, side (0 = ride/left, 1 = fare/right), id, ts_ms,
+    seq and, if it is there, rec: the record as text, given back with the pair.
     One waiting element per key (both sides can never wait at once)."""
 
     def __init__(self, ttl_ms: int | None = None):
         self.ttl = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.waiting = handle.getValueState("waiting", "side int, id long, ts_ms long", self.ttl)
+        self.waiting = handle.getValueState("waiting", "side int, id long, ts_ms long, rec string", self.ttl)
 
     def handleInputRows(self, key, rows, timerValues):
         pdf = _rows(rows, ["seq"])
         if pdf.empty:
             return
         k = _key(key)
-        ev = pdf[["side", "id", "ts_ms"]].astype(np.int64)
+        cols = ["side", "id", "ts_ms", "rec"]
+        ev = pdf.assign(rec=pdf["rec"] if "rec" in pdf else "")[cols]
         if self.waiting.exists():
-            ev = pd.concat([pd.DataFrame([tuple(self.waiting.get())], columns=["side", "id", "ts_ms"]), ev],
-                           ignore_index=True).astype(np.int64)
+            ev = pd.concat([pd.DataFrame([tuple(self.waiting.get())], columns=cols), ev], ignore_index=True)
+        ev = ev.astype({"side": np.int64, "id": np.int64, "ts_ms": np.int64})
         side = ev["side"].to_numpy()
         pos = np.arange(len(ev))
         # island rule: a row with the same side as its predecessor starts over
@@ -182,7 +182,8 @@ class FirstComePairing(StatefulProcessor):
         closer = (pos - island) % 2 == 1
         j = np.flatnonzero(closer)
         if (len(ev) - 1 - island[-1]) % 2 == 0:          # last row is unpaired: it waits
-            self.waiting.update(tuple(int(x) for x in ev.iloc[-1]))
+            last = ev.iloc[-1]
+            self.waiting.update((int(last["side"]), int(last["id"]), int(last["ts_ms"]), last["rec"]))
         else:
             self.waiting.clear()
         if len(j):
@@ -190,7 +191,8 @@ class FirstComePairing(StatefulProcessor):
             left = a.where(a["side"] == 0, b)
             right = b.where(b["side"] == 1, a)
             yield pd.DataFrame({"key": k, "left_id": left["id"], "right_id": right["id"],
-                                "left_ms": left["ts_ms"], "right_ms": right["ts_ms"]})
+                                "left_ms": left["ts_ms"], "right_ms": right["ts_ms"],
+                                "left_rec": left["rec"], "right_rec": right["rec"]})
 
     def close(self) -> None:
         pass

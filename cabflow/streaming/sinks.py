@@ -38,35 +38,42 @@ def to_kafka(df: DataFrame, servers: str, topic: str, checkpoint: str, value: F.
             .option("checkpointLocation", checkpoint).start())
 
 
-def write_batched(batch: DataFrame, batch_id: int, path: str, threshold: int) -> None:
-    """Write one micro-batch as files of at most ``threshold`` rows."""
-    (batch.write.mode("overwrite").option("maxRecordsPerFile", threshold)
-     .parquet(f"{path.rstrip('/')}/batch={batch_id}"))
+def write_batched(batch: DataFrame, batch_id: int, path: str, threshold: int | None = None) -> None:
+    """Write one micro-batch; ``threshold``, if given, caps the rows of a file."""
+    w = batch.write.mode("overwrite")
+    w = w.option("maxRecordsPerFile", threshold) if threshold else w
+    w.parquet(f"{path.rstrip('/')}/batch={batch_id}")
 
 
-def batched(df: DataFrame, path: str, checkpoint: str, threshold: int = 20, trigger: dict | None = None):
+def batched(df: DataFrame, path: str, checkpoint: str, threshold: int | None = None, trigger: dict | None = None):
     w = (df.writeStream.foreachBatch(lambda b, i: write_batched(b, i, path, threshold))
          .option("checkpointLocation", checkpoint))
     return (w.trigger(**trigger) if trigger else w).start()
 
 
 # ------------------------------------------------------------ record formats
+# Field order, separators and names of the printed records.
 TIME_FMT = "yyyy-MM-dd HH:mm:ss"
 
 
-def ride_text() -> F.Column:
-    """Ride CSV as the reference prints it: always start then end time."""
-    c = F.col
+def _fields(record: str | None):
+    return (lambda name: F.col(name)) if record is None else (lambda name: F.col(record)[name])
+
+
+def ride_text(record: str | None = None) -> F.Column:
+    """Ride CSV as the reference prints it: always start then end time.
+    ``record``: a struct column that holds the ride."""
+    c = _fields(record)
     return F.concat_ws(",", c("rideId").cast("string"), F.when(c("isStart"), "START").otherwise("END"),
-                       F.date_format("startTime", TIME_FMT), F.date_format("endTime", TIME_FMT),
+                       F.date_format(c("startTime"), TIME_FMT), F.date_format(c("endTime"), TIME_FMT),
                        *[c(x).cast("string") for x in ("startLon", "startLat", "endLon", "endLat",
                                                         "passengerCnt", "taxiId", "driverId")])
 
 
-def fare_text() -> F.Column:
-    c = F.col
+def fare_text(record: str | None = None) -> F.Column:
+    c = _fields(record)
     return F.concat_ws(",", c("rideId").cast("string"), c("taxiId").cast("string"), c("driverId").cast("string"),
-                       F.date_format("startTime", TIME_FMT), c("paymentType"),
+                       F.date_format(c("startTime"), TIME_FMT), c("paymentType"),
                        *[c(x).cast("string") for x in ("tip", "tolls", "totalFare")])
 
 
@@ -86,13 +93,4 @@ def car_event_text() -> F.Column:
 
 def pair_text(ride: str = "ride", fare: str = "fare") -> F.Column:
     """``(<ride csv>,<fare csv>)`` for a struct<ride, fare> pair row."""
-    r = F.col(ride)
-    f = F.col(fare)
-    ride_csv = F.concat_ws(",", r["rideId"].cast("string"), F.when(r["isStart"], "START").otherwise("END"),
-                           F.date_format(r["startTime"], TIME_FMT), F.date_format(r["endTime"], TIME_FMT),
-                           *[r[x].cast("string") for x in ("startLon", "startLat", "endLon", "endLat",
-                                                            "passengerCnt", "taxiId", "driverId")])
-    fare_csv = F.concat_ws(",", f["rideId"].cast("string"), f["taxiId"].cast("string"), f["driverId"].cast("string"),
-                           F.date_format(f["startTime"], TIME_FMT), f["paymentType"],
-                           *[f[x].cast("string") for x in ("tip", "tolls", "totalFare")])
-    return F.concat(F.lit("("), ride_csv, F.lit(","), fare_csv, F.lit(")"))
+    return F.concat(F.lit("("), ride_text(ride), F.lit(","), fare_text(fare), F.lit(")"))

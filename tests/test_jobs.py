@@ -67,3 +67,18 @@ def test_text_jobs(spark):
                     F.unix_millis(F.col("ts").cast("timestamp")).cast("string")).alias("l"))
     vc = jobs.value_count(spark, _write(kv, compression="none"))
     assert vc.agg(F.sum("n")).first()[0] == 2000   # every event in two sliding windows
+
+
+def test_line_order_over_files_of_different_size(spark):
+    """A small a.txt comes before a large b.txt, however Spark packs splits."""
+    from cabflow.sources.lines import read_lines
+    d = tempfile.mkdtemp(prefix="cabflow-files-")
+    with open(d + "/a.txt", "w") as f:
+        f.write("w1\n")
+    with open(d + "/b.txt", "w") as f:
+        f.write("".join(f"w{i}\n" for i in range(2, 2000)))
+    lines = read_lines(spark, d).orderBy("seq").collect()
+    assert [r.line for r in lines] == [f"w{i}" for i in range(1, 2000)]
+    with open(d + "/c.txt", "w") as f:
+        f.write("w1 w1 w1\n")
+    assert [tuple(r) for r in jobs.count_window_word_count(spark, d).where("word = 'w1'").select("bucket", "n").collect()] == [(0, 3)]

@@ -160,7 +160,7 @@ def test_keyed_scan_matches_window_with_hot_key(spark):
     aggs = [Agg("n", "count"), Agg("s", "sum", "v"), Agg("sx", "sum", "id", inclusive=False),
             Agg("m", "max", "t"), Agg("mx", "min", "t", inclusive=False), Agg("prev", "last", "side")]
     for keys in (["k"], []):
-        a = keyed_scan(df, keys, ["t", "id"], aggs, partitions=11, strategy="scan").select("id", *[x.out for x in aggs])
+        a = keyed_scan(df, keys, ["t", "id"], aggs, 13).select("id", *[x.out for x in aggs])
         b = running_window(df, keys, ["t", "id"], aggs).select("id", *[x.out for x in aggs])
         assert a.count() == 3000
         assert a.subtract(b).count() == 0 and b.subtract(a).count() == 0
@@ -171,7 +171,7 @@ def test_keyed_scan_large_longs_exact(spark):
     rows = [(i, i % 3, big + i) for i in range(600)]
     df = spark.createDataFrame(rows, "id long, k long, v long")
     aggs = [Agg("m", "max", "v"), Agg("p", "last", "v"), Agg("mx", "max", "v", inclusive=False)]
-    a = keyed_scan(df, ["k"], ["id"], aggs, partitions=7, strategy="scan").select("id", "m", "p", "mx")
+    a = keyed_scan(df, ["k"], ["id"], aggs, 5).select("id", "m", "p", "mx")
     b = running_window(df, ["k"], ["id"], aggs).select("id", "m", "p", "mx")
     assert a.subtract(b).count() == 0 and b.subtract(a).count() == 0
 
@@ -186,15 +186,13 @@ def test_session_scan_matches_brute_force(spark):
         t = random.randint(0, 200_000)
         rows.append((i, k, t, t + random.choice([50, 400, 3000])))
     df = spark.createDataFrame(rows, "id long, k long, t long, e long")
-    got = session_scan(df, ["k"], "t", "e", "id", out="s", partitions=13, strategy="scan").select("id", "s")
+    got = session_scan(df, ["k"], "t", "e", "id", out="s", width=1000).select("id", "s")
     w = Window.partitionBy("k").orderBy("t", "id")
     pe = F.max("e").over(w.rowsBetween(Window.unboundedPreceding, -1))
     b = df.withColumn("st", F.when(pe.isNull() | (F.col("t") > pe), F.col("t")))
     want = b.select("id", F.max("st").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("s"))
     assert got.count() == 4000
     assert got.subtract(want).count() == 0 and want.subtract(got).count() == 0
-    win = session_scan(df, ["k"], "t", "e", "id", out="s", strategy="window").select("id", "s")
-    assert win.subtract(want).count() == 0 and want.subtract(win).count() == 0
 
 
 def test_pair_scan_many_partitions(spark):
@@ -206,16 +204,31 @@ def test_pair_scan_many_partitions(spark):
     df = spark.createDataFrame([(k, s, i, T0 + dt.timedelta(seconds=i // 3)) for k, s, i in events],
                                "k long, side int, i long, t timestamp")
     ordered = sorted(events, key=lambda e: (e[2] // 3, e[1], e[2]))   # arrival order (t, side, i)
-    for strategy in ("scan", "window"):
-        spark.conf.set("cabflow.scan.partitions", "17")
-        spark.conf.set("cabflow.scan.strategy", strategy)
-        try:
-            p = joins.pair_first_come(df.where("side = 0"), df.where("side = 1"), "k", "t", "i")
-            got = sorted((r.k, r.left_id, r.right_id) for r in p.collect())
-        finally:
-            spark.conf.unset("cabflow.scan.partitions")
-            spark.conf.unset("cabflow.scan.strategy")
-        assert got == _state_machine(ordered), strategy
+    p = joins.pair_first_come(df.where("side = 0"), df.where("side = 1"), "k", "t", "i")
+    rows = p.collect()
+    assert sorted((r.k, r.left_id, r.right_id) for r in rows) == _state_machine(ordered)
+    assert all(r.left.i == r.left_id and r.right.i == r.right_id and r.left.side == 0 and r.right.side == 1 for r in rows)
+
+
+def test_running_max_by_carries_the_row(spark):
+    df = spark.createDataFrame([(1, "a", 3), (2, "a", 7), (3, "a", 7), (4, "a", 5), (5, "b", None), (6, "b", 1)], "seq long, k string, v long")
+    got = {r.seq: r.best and r.best.seq for r in aggregates.running_max_by(df, ["k"], ["seq"], "v").collect()}
+    assert got == {1: 1, 2: 2, 3: 2, 4: 2, 5: None, 6: 6}
+
+
+def test_max_by_key_ties_and_strings(spark):
+    df = spark.createDataFrame([("x", 5, "b"), ("x", 5, "a"), ("x", 4, "0"), ("y", None, "c"), ("z", 1, "q")], "k string, v long, who string")
+    got = sorted(map(tuple, aggregates.max_by_key(df, ["k"], "v", "who").collect()))
+    assert got == [("x", 5, "a"), ("z", 1, "q")]
+
+
+def test_window_contents_and_text(spark):
+    rows = [(i, T0 + dt.timedelta(seconds=s)) for i, s in enumerate([1, 2, 4, 3])]
+    df = spark.createDataFrame(rows, "id long, ts timestamp")
+    got = sorted((r.window_start.second, r.pos, r.item) for r in windows.window_contents(df, "ts", "3 seconds", [], F.col("id"), ["ts", "id"]).collect())
+    assert got == [(0, 1, 0), (0, 2, 1), (3, 1, 3), (3, 2, 2)]
+    text = windows.collect_window(df, "ts", "3 seconds", [], F.col("id").cast("string"), ["ts", "id"]).collect()
+    assert sorted(r["items"] for r in text) == ["0, 1", "3, 2"]
 
 
 def test_top_n_salted_matches_brute_force(spark):
@@ -237,39 +250,6 @@ def test_top_n_salted_matches_brute_force(spark):
         spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
 
 
-def test_concat_scan_hot_key(spark):
-    random.seed(13)
-    rows = [(i, 0 if random.random() < 0.5 else random.randint(1, 5), random.randint(0, 99),
-             random.choice([None, "a", "bb", "c"])) for i in range(800)]
-    df = spark.createDataFrame(rows, "id long, k long, t long, s string")
-    aggs = [Agg("cat", "concat", "s", sep=" and ")]
-    a = keyed_scan(df, ["k"], ["t", "id"], aggs, partitions=9, strategy="scan").select("id", "cat")
-    b = running_window(df, ["k"], ["t", "id"], aggs).select("id", "cat")
-    assert a.subtract(b).count() == 0 and b.subtract(a).count() == 0
-
-
-def test_auto_strategy_picks_scan_only_for_hot_keys(spark):
-    from cabflow.operators.scan import use_scan
-    even = spark.createDataFrame([(i % 50, i) for i in range(5000)], "k long, i long")
-    hot = spark.createDataFrame([(0 if i % 2 else i % 50, i) for i in range(5000)], "k long, i long")
-    assert not use_scan(even, ["k"]) and not use_scan(hot, ["k"])     # under the row floor
-    spark.conf.set("cabflow.scan.hotKeyRows", "10")
-    try:
-        assert not use_scan(even, ["k"])      # 100 rows per key: below 4 fair shares of 8 cores
-        assert use_scan(hot, ["k"])           # one key holds half of all rows
-        spark.conf.set("cabflow.scan.maxKeyRows", "50")
-        assert use_scan(even, ["k"])          # over the absolute per-task bound
-        spark.conf.unset("cabflow.scan.maxKeyRows")
-    finally:
-        spark.conf.unset("cabflow.scan.hotKeyRows")
-    assert not use_scan(even, [])        # a global order within the row floor: one window
-    spark.conf.set("cabflow.scan.hotKeyRows", "10")
-    try:
-        assert use_scan(even, [])        # beyond it: the global scan
-    finally:
-        spark.conf.unset("cabflow.scan.hotKeyRows")
-
-
 def test_durations_quarantine_negative(spark):
     from cabflow.operators import rides
     from cabflow.sources.lines import from_rows
@@ -305,5 +285,5 @@ def test_session_scan_tolerates_null_times(spark):
     from cabflow.operators.scan import session_scan
     rows = [(1, 1, 10, 20), (2, 1, None, None), (3, 1, 15, 25), (4, 1, 40, 50)]
     df = spark.createDataFrame(rows, "id long, k long, t long, e long")
-    got = {r.id: r.s for r in session_scan(df, ["k"], "t", "e", "id", out="s", strategy="scan").collect()}
+    got = {r.id: r.s for r in session_scan(df, ["k"], "t", "e", "id", out="s", width=5).collect()}
     assert got == {1: 10, 2: None, 3: 10, 4: 40}

@@ -108,9 +108,9 @@ def test_event_sorter_stream_equals_batch_per_key(spark):
     q.processAllAvailable()
     q.stop()
     out = spark.table("par_sort")
-    assert {r.id for r in out.where("kind = 'late'").collect()} == want_late
+    assert {int(r.id) for r in out.where("kind = 'late'").collect()} == want_late
     # every on-time row is either released in order or still buffered
-    released = {r.id for r in out.where("kind = 'sorted'").collect()}
+    released = {int(r.id) for r in out.where("kind = 'sorted'").collect()}
     assert released <= {r.id for r in on_time.collect()}
 
 

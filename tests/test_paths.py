@@ -1,29 +1,64 @@
-"""The skew-proof scan and the window form give identical results on the
-driver tables, with many range partitions (keys and hot runs cross partition
-boundaries)."""
+"""The slot width of the two-level scan changes the layout, never the result."""
+import datetime as dt
+import decimal
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as ent
+from cabflow.operators.scan import Agg, keyed_scan, running_window
 
-SF = "/root/testdata/sf0.01"
-ORDERED = ["running_count", "running_max", "running_sum", "running_concat", "count_window_avg",
-           "count_window_sum", "count_accumulating", "session_stats", "session_dynamic", "stop_segments",
-           "late_events", "event_sort", "late_marker", "late_window", "late_window_side",
-           "late_window_allowed", "idle_count", "pair_first_come", "word_running_count"]
-pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
+SF = "/root/testdata/sf0.001"
+ORDERED = ["running_count", "running_max", "running_sum", "count_window_avg", "session_stats", "stop_segments", "late_events",
+           "event_sort", "late_marker", "late_window_side", "idle_count", "pair_first_come", "word_running_count"]
 
 
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
 @pytest.mark.parametrize("name", ORDERED)
-def test_scan_equals_window(spark, name):
-    def run(strategy, partitions=None):
-        spark.conf.set("cabflow.scan.strategy", strategy)
-        if partitions:
-            spark.conf.set("cabflow.scan.partitions", str(partitions))
+def test_slot_width_does_not_matter(spark, name):
+    def run(micros=None, numbers=None):
+        for k, v in (("cabflow.scan.slotMicros", micros), ("cabflow.scan.slotNumbers", numbers)):
+            if v:
+                spark.conf.set(k, str(v))
         try:
             return sorted(map(tuple, ent.queries()[name](spark, SF).collect()), key=repr)
         finally:
-            spark.conf.unset("cabflow.scan.strategy")
-            spark.conf.unset("cabflow.scan.partitions")
-    assert run("scan", 32) == run("window")
+            spark.conf.unset("cabflow.scan.slotMicros")
+            spark.conf.unset("cabflow.scan.slotNumbers")
+    assert run(60_000_000, 7) == run(10 ** 15, 10 ** 9) == run()
+
+
+def test_carried_columns_keep_their_values(spark):
+    """Nullable longs above 2**53, NaN, decimals, strings, dates and far timestamps."""
+    rows = [(i, i % 3, None if i % 5 == 0 else 2 ** 53 + i, float("nan") if i % 7 == 0 else i * 0.5, decimal.Decimal(i) / 100, f"s{i % 11:02d}",
+             dt.date(2020, 1, 1) + dt.timedelta(days=i), dt.datetime(9999, 12, 31) if i % 4 == 0 else dt.datetime(2024, 1, 1)) for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, k long, big long, x double, d decimal(12,2), s string, day date, far timestamp")
+    aggs = [Agg("n", "count"), *[Agg(f"max_{c}", "max", c) for c in ("big", "x", "d", "s", "day", "far")],
+            *[Agg(f"prev_{c}", "last", c) for c in ("big", "x", "s")], Agg("min_d", "min", "d", inclusive=False), Agg("sum_id", "sum", "id")]
+    for keys in (["k"], []):
+        for order, width in ((["id"], 7), (["far", "id"], None), (["day", "id"], None), (["s", "id"], None)):
+            a, b = keyed_scan(df, keys, order, aggs, width), running_window(df, keys, order, aggs)
+            key = lambda r: repr(tuple(r))
+            assert sorted(a.select(b.columns).collect(), key=key) == sorted(b.collect(), key=key) or \
+                sorted(map(repr, a.select(b.columns).collect())) == sorted(map(repr, b.collect()))
+
+
+def test_building_a_scan_starts_no_job(spark):
+    df = spark.range(1000).select((F.col("id") % 5).alias("k"), "id")
+    spark.sparkContext.setJobGroup("build", "build")
+    keyed_scan(df, ["k"], ["id"], [Agg("n", "count")])
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("build")
+    spark.sparkContext.setJobGroup("", "")
+
+
+def test_global_order_is_single_only_over_slots(spark):
+    import contextlib
+    import io
+    df = spark.range(1000)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        keyed_scan(df, [], ["id"], [Agg("m", "max", "id")], 10).explain()
+    plan = buf.getvalue()
+    before = plan[plan.index("SinglePartition"):]
+    assert plan.count("SinglePartition") == 1 and "Filter" in before.split("Exchange")[0]  # only the last row of every slot

@@ -45,8 +45,9 @@ def test_event_sorter_lossless(spark):
     out = _run(spark, jobs.sort_events(_stream(spark, pdf, "carId string, id long, timestamp long, seq long", 5),
                                        delay_ms=30_000), "sorted")
     rows = out.collect()
-    assert sorted(r.id for r in rows if r.kind == "late") == [4, 7, 9]
-    sorted_ids = [r.id for r in sorted((r for r in rows if r.kind == "sorted"), key=lambda r: r.ts_ms)]
+    assert sorted(int(r.id) for r in rows if r.kind == "late") == [4, 7, 9]
+    assert all(r.event.id == int(r.id) and r.event.timestamp == r.ts_ms for r in rows)
+    sorted_ids = [int(r.id) for r in sorted((r for r in rows if r.kind == "sorted"), key=lambda r: r.ts_ms)]
     assert sorted_ids == [2, 1, 5, 3, 8, 6]          # id 10 still waits for the watermark
 
 
@@ -253,3 +254,80 @@ def test_dynamic_gap_sessions_stream(spark):
     out = _run(spark, jobs.session_counts(src, "ts", "word", gap, delay="0 seconds"), "dyn_sessions")
     got = sorted((r.word, r.n) for r in out.collect() if r.word != "zz")
     assert got == [("a", 1), ("a", 1), ("is", 2), ("this", 2)]
+
+
+def test_arrival_order_comes_from_the_source(spark):
+    """Lines 9,1,8,2,7,3 of one key: averages of three in line order, not by value."""
+    import pytest
+    from pyspark.sql import functions as F
+    from cabflow.sources.lines import read_lines
+    d = tempfile.mkdtemp(prefix="cabflow-order-")
+    with open(d + "/a.txt", "w") as f:
+        f.write("\n".join(f"1,{v}" for v in (9, 1, 8, 2, 7, 3)) + "\n")
+    parts = F.split("line", ",")
+    kv = read_lines(spark, d, streaming=True).select(parts[0].cast("long").alias("key"), parts[1].cast("long").alias("value"), "seq")
+    out = _run(spark, jobs.keyed_state(kv, "average"), "avg_lines")
+    assert sorted(r.average for r in out.collect()) == [4.0, 6.0]
+    with pytest.raises(ValueError, match="seq"):
+        jobs.keyed_state(kv.drop("seq"), "average")
+
+
+def test_late_rows_inside_one_batch_and_text_ids(spark):
+    rows = [("trip-1", 100), ("trip-2", 10), ("trip-3", 101)]
+    pdf = pd.DataFrame({"carId": "c", "id": [i for i, _ in rows], "timestamp": [s * 1000 for _, s in rows], "seq": range(3)})
+    out = _run(spark, jobs.sort_events(_stream(spark, pdf, "carId string, id string, timestamp long, seq long"), delay_ms=30_000), "late_one")
+    assert [r.id for r in out.where("kind = 'late'").collect()] == ["trip-2"]
+
+
+def test_pairs_hold_both_records_and_ttl_runs(spark):
+    from cabflow.sources.lines import from_rows
+    from cabflow.operators.ingest import parse_fares, parse_rides
+    d = tempfile.mkdtemp(prefix="cabflow-pair-")
+    from_rows(spark, ["1,START,2013-01-01 00:00:00,1970-01-01 00:00:00,-73.9,40.75,-73.95,40.76,1,7,8"]).select("line").write.text(d + "/r")
+    from_rows(spark, ["1,7,8,2013-01-01 00:00:00,CSH,2.5,0,10.5"]).select("line").write.text(d + "/f")
+    from cabflow.sources.lines import read_lines
+    rides, _ = parse_rides(read_lines(spark, d + "/r", streaming=True), keep=["seq"])
+    fares, _ = parse_fares(read_lines(spark, d + "/f", streaming=True), keep=["seq"])
+    pairs = jobs.pair_rides_fares(rides, fares, ttl_ms=3_600_000).select(sinks.pair_text().alias("line"))
+    # Processing-time state starts a batch whenever it can, so the query is never idle: wait for the row.
+    import time
+    q = sinks.to_memory(pairs, "pairs_ttl", d + "/ck")
+    for _ in range(120):
+        if spark.table("pairs_ttl").count() or not q.isActive:
+            break
+        time.sleep(1)
+    q.stop()
+    assert [r.line for r in spark.table("pairs_ttl").collect()] == [
+        "(1,START,2013-01-01 00:00:00,1970-01-01 00:00:00,-73.9,40.75,-73.95,40.76,1,7,8,1,7,8,2013-01-01 00:00:00,CSH,2.5,0.0,10.5)"]
+
+
+def test_processors_run_from_another_folder():
+    """The keyed-state job started by a process whose folder is not the repository."""
+    import subprocess
+    import sys
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    d = tempfile.mkdtemp(prefix="cabflow-elsewhere-")
+    code = f"""
+import sys; sys.path.insert(0, {repo!r})
+from cabflow.session import get_session
+from cabflow.streaming import jobs, sinks
+spark = get_session(master="local[2]", shuffle_partitions=2)
+spark.createDataFrame([(1, 3, 0), (1, 5, 1), (1, 7, 2)], "key long, value long, seq long").coalesce(1).write.parquet({d!r} + "/src")
+s = spark.readStream.schema("key long, value long, seq long").parquet({d!r} + "/src")
+q = sinks.to_memory(jobs.keyed_state(s, "average"), "t", {d!r} + "/ck"); q.processAllAvailable(); q.stop()
+print("GOT", [r.average for r in spark.table("t").collect()])
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    run = subprocess.run([sys.executable, "-c", code], cwd=d, env=env, capture_output=True, text=True, timeout=240)
+    assert "GOT [5.0]" in run.stdout, run.stderr[-2000:]
+
+
+def test_streaming_counts_and_longest(spark):
+    from cabflow.plans import driver as D
+    from cabflow.sources.lines import read_lines
+    d = tempfile.mkdtemp(prefix="cabflow-rides-")
+    D._ride_lines(spark, "/root/testdata/sf0.001").write.text(d + "/x")
+    got = _run(spark, jobs.cell_driver_duration(read_lines(spark, d + "/x", streaming=True)), "s_cells", mode="complete")
+    assert {tuple(r) for r in got.collect()} == {tuple(r) for r in D.q_cell_longest(spark, "/root/testdata/sf0.001").collect()}
+    got = _run(spark, jobs.ride_counts(read_lines(spark, d + "/x", streaming=True)), "s_counts", mode="complete")
+    assert {tuple(r) for r in got.collect()} == {tuple(r) for r in D.q_ride_count(spark, "/root/testdata/sf0.001").collect()}
