@@ -20,6 +20,7 @@ from cabflow.functions.timecols import as_ntz, micros, whole_minutes
 from cabflow.operators import aggregates, events as ev, joins, keyed, rides, segments, windows
 from cabflow.operators.ingest import parse_car_events, parse_fares, parse_key_ts, parse_rides
 from cabflow.session import spread
+from cabflow.streaming import sinks
 from cabflow.sources.tables import (END_LAT_MOD, END_LON_MOD, LAT_BASE, LAT_MOD, LON_BASE, LON_MOD,
                                     arrival, coord, table)
 
@@ -90,6 +91,13 @@ def q_running_max(spark, d):
     return aggregates.running_max(e, ["user_id"], ORDER, "value").select("user_id", "event_id", "max_value")
 
 
+def q_running_max_by(spark, d):
+    """The event that holds the largest value of its user so far."""
+    e = _events(spark, d, "user_id", "event_id", "ts", "value")
+    b = aggregates.running_max_by(e, ["user_id"], ORDER, "value")
+    return b.select("user_id", "event_id", F.col("best.event_id").alias("best_event"), F.col("best.value").alias("best_value"))
+
+
 def q_running_sum(spark, d):
     e = _events(spark, d, "user_id", "event_id", "ts")
     return keyed.running_sum(e, "user_id", ORDER, "event_id").select("user_id", "event_id", "running_sum")
@@ -165,6 +173,14 @@ def q_session_stats(spark, d):
                     "maxSpeed", F.round("_stddev", 4).alias("erraticness"), style_label("_stddev").alias("label"))
 
 
+def q_gap_segments(spark, d):
+    e = _events(spark, d, "user_id", "event_id", "ts", "value")
+    s = segments.gap_segments(e, "user_id", "ts", "event_id", SESSION_GAP_US, speed="value", throttle="value")
+    return s.select("user_id", as_ntz("session_start").alias("session_start"), "length", "startTime",
+                    F.col("maxSpeed").cast("double").alias("maxSpeed"),
+                    F.round(F.col("erraticness").cast("double"), 3).alias("erraticness"), "label")
+
+
 def q_session_dynamic(spark, d):
     e = _events(spark, d, "user_id", "event_id", "ts", "event_type")
     s = windows.sessions(e, ["user_id"], "ts", "event_id", _dyn_gap_us(), [F.count(F.lit(1)).alias("n")])
@@ -359,6 +375,30 @@ def q_ride_count(spark, d):
     return rides.ride_counts(rides.filter_nyc(good))
 
 
+def q_enrich_rides(spark, d):
+    """Cleansed rides with both grid cells."""
+    enriched, _ = rides.cleanse(_ride_lines(spark, d))
+    return enriched.select("rideId", "startCell", "endCell")
+
+
+def q_ride_text(spark, d):
+    """Cleansed rides printed with both cells."""
+    enriched, _ = rides.cleanse(_ride_lines(spark, d))
+    return enriched.select("rideId", sinks.enriched_ride_text().alias("line"))
+
+
+def q_fare_text(spark, d):
+    good, _ = parse_fares(_fare_lines(spark, d))
+    # Whole units: engines do not print every other float alike.
+    good = good.withColumn("totalFare", F.floor("totalFare").cast("float"))
+    return good.select("rideId", sinks.fare_text().alias("line"))
+
+
+def q_car_text(spark, d):
+    good, _ = parse_car_events(_car_lines(spark, d))
+    return good.select("id", sinks.car_event_text().alias("line"))
+
+
 def q_cell_longest(spark, d):
     """Flagship (a): lines -> parse -> NYC filter -> grid -> END durations -> longest per cell."""
     enriched, _ = rides.cleanse(_ride_lines(spark, d))
@@ -425,6 +465,12 @@ def q_parse_key_ts(spark, d):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cell_longest": q_cell_longest,
+    "enrich_rides": q_enrich_rides,
+    "ride_text": q_ride_text,
+    "fare_text": q_fare_text,
+    "car_text": q_car_text,
+    "gap_segments": q_gap_segments,
+    "running_max_by": q_running_max_by,
     "ride_count": q_ride_count,
     "hourly_tips": q_hourly_tips,
     "hourly_top": q_hourly_top,

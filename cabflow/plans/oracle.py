@@ -237,6 +237,33 @@ GROUP BY ws, event_type""",
     "ride_count": _RIDES + f"""
         SELECT user_id AS driverId, count(*) AS rides FROM r
         WHERE {_inside('slon', 'slat')} AND {_inside('elon', 'elat')} GROUP BY user_id""",
+    "enrich_rides": _RIDES + f"""
+        SELECT event_id AS rideId, {_cell('slon', 'slat')} AS startCell, {_cell('elon', 'elat')} AS endCell FROM r
+        WHERE {_inside('slon', 'slat')} AND {_inside('elon', 'elat')}""",
+    "ride_text": _RIDES + f"""
+        SELECT event_id AS rideId, concat_ws(',', event_id, CASE WHEN event_type IN ('view', 'signup') THEN 'START' ELSE 'END' END,
+        strftime(ts, '%Y-%m-%d %H:%M:%S'), CASE WHEN event_type IN ('view', 'signup') THEN '1970-01-01 00:00:00'
+        ELSE strftime(arr, '%Y-%m-%d %H:%M:%S') END, slon, slat, elon, elat, event_id % 6 + 1, user_id, user_id,
+        {_cell('slon', 'slat')}, {_cell('elon', 'elat')}) AS line FROM r
+        WHERE {_inside('slon', 'slat')} AND {_inside('elon', 'elat')}""",
+    "fare_text": """SELECT o_orderkey AS rideId, concat_ws(',', o_orderkey, o_custkey, o_custkey,
+        strftime(o_orderdate, '%Y-%m-%d %H:%M:%S'), CASE WHEN o_orderkey % 2 = 0 THEN 'CRD' ELSE 'CSH' END,
+        CASE WHEN o_orderstatus = 'F' THEN CAST(0.0 AS REAL) ELSE CAST(o_orderkey % 20 AS REAL) END, CAST(0.0 AS REAL),
+        CAST(floor(CAST(o_totalprice AS REAL)) AS REAL)) AS line FROM orders WHERE o_orderstatus <> 'P'""",
+    "car_text": f"""SELECT CAST(event_id AS VARCHAR) AS id, concat('ConnectedCarEvent{{id=', chr(39), event_id, chr(39), ', carId=', chr(39), 'car',
+        user_id, chr(39), ', timestamp=', epoch_us(date_trunc('second', ts)) // 1000, ', longitude=', {_coord(LON_BASE, LON_MOD)},
+        ', latitude=', {_coord(LAT_BASE, LAT_MOD)}, ', consumption=', CAST(value AS REAL), ', speed=',
+        CASE WHEN event_type = 'error' THEN CAST(0 AS REAL) ELSE CAST(value AS REAL) END, ', throttle=', CAST(value AS REAL),
+        ', engineload=', CAST(1.5 AS REAL), '}}') AS line FROM events""",
+    "gap_segments": f"""SELECT user_id, session_start, length, startTime, maxSpeed, round(CAST(err AS DOUBLE), 3) AS erraticness,
+        {_label('err')} AS label FROM (""" + _sessions(
+        "make_timestamp(ss) AS session_start, CAST(count(*) AS INTEGER) AS length, min((epoch_us(ts) // 1000)) AS startTime, "
+        "CAST(CAST(max(value) AS REAL) AS DOUBLE) AS maxSpeed, CAST(stddev_pop(value) AS REAL) AS err", str(SESSION_GAP_US)) + ")",
+    "running_max_by": """WITH r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn,
+             max(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pm FROM events),
+        b AS (SELECT *, max(CASE WHEN pm IS NULL OR value > pm THEN rn END) OVER (PARTITION BY user_id ORDER BY ts, event_id
+             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS brn FROM r)
+        SELECT b.user_id, b.event_id, m.event_id AS best_event, m.value AS best_value FROM b JOIN r m ON m.user_id = b.user_id AND m.rn = b.brn""",
     "parse_rides_bad": "SELECT event_id AS rideId, 'flag' AS reason FROM events WHERE event_type = 'error'",
     "cell_longest": _RIDES + f""",
         d AS (SELECT {_cell('slon', 'slat')} AS startCell, user_id AS driverId,
