@@ -24,16 +24,7 @@ def micros(c) -> Column:
     return F.unix_micros(as_ts(c))
 
 
-def millis(c) -> Column:
-    return F.unix_millis(as_ts(c))
-
-
 def whole_minutes(start, end) -> Column:
     """Whole minutes from ``start`` to ``end`` (truncated toward zero)."""
     d = micros(end) - micros(start)
     return F.when(d >= 0, F.floor(d / F.lit(60_000_000))).otherwise(F.ceil(d / F.lit(60_000_000))).cast("long")
-
-
-def plus_minutes(c, minutes) -> Column:
-    m = _c(minutes) if not isinstance(minutes, int) else F.lit(minutes)
-    return _c(c) + F.make_dt_interval(F.lit(0), F.lit(0), m.cast("int"))

@@ -44,11 +44,6 @@ def coord(event_id, base: float, mod: int):
     return (F.lit(base) + (F.col(event_id) % F.lit(mod)).cast("double") * F.lit(COORD_STEP)).cast("float")
 
 
-def events(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
-    df = table(spark, sf_dir, "events")
-    return df.select(*cols) if cols else df
-
-
 def save_bucketed(df: DataFrame, name: str, key: str, buckets: int, path: str) -> DataFrame:
     """Write ``df`` as an external table bucketed and sorted by ``key`` and
     return it.  Two tables bucketed the same way on the join key (e.g. rides

@@ -223,34 +223,29 @@ class CountAverage(StatefulProcessor):
         pdf = _rows(rows, ["seq"])
         if pdf.empty:
             return
-        k = _key(key)
-        out = []
+        new = pdf["value"].to_numpy(dtype=np.int64)
         if self.layout == "value":
             cnt, total = (tuple(self.st.get()) if self.st.exists() else (0, 0))
-            for v in pdf["value"].tolist():
-                cnt, total = cnt + 1, total + int(v)
-                if cnt >= self.n:
-                    out.append((k, total / cnt))
-                    cnt, total = 0, 0
-            if cnt:
-                self.st.update((cnt, total))
+            # The kept sum stands for the first cnt values of the open group.
+            values = np.concatenate([[total], np.zeros(cnt - 1, np.int64), new]) if cnt else new
+        else:
+            values = np.concatenate([np.array(self._load(), np.int64), new])
+        groups = len(values) // self.n
+        sums, rest = values[:groups * self.n].reshape(groups, self.n).sum(1), values[groups * self.n:].tolist()
+        if self.layout == "value":
+            if rest:
+                self.st.update((len(rest), sum(rest)))
             else:
                 self.st.clear()
         else:
-            vals = self._load()
-            for v in pdf["value"].tolist():
-                vals.append(int(v))
-                if len(vals) >= self.n:
-                    out.append((k, sum(vals) / len(vals)))
-                    vals = []
             self.st.clear()
-            if self.layout == "list" and vals:
-                self.st.put([(v,) for v in vals])
-            elif vals:
-                for slot, v in enumerate(vals):
+            if self.layout == "list" and rest:
+                self.st.put([(v,) for v in rest])
+            elif rest:
+                for slot, v in enumerate(rest):
                     self.st.updateValue((slot,), (v,))
-        if out:
-            yield pd.DataFrame(out, columns=["key", "average"])
+        if groups:
+            yield pd.DataFrame({"key": _key(key), "average": sums / self.n})
 
     def close(self) -> None:
         pass
