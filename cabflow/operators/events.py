@@ -73,18 +73,21 @@ def sort_by_event_time(on_time: DataFrame, keys: list[str], ts: str, tie: str,
 
 
 def window_late_split(df: DataFrame, ts: str, arrival: str, tie: str, size: str,
-                      delay_us: int, allowed_lateness_us: int = 0) -> tuple[DataFrame, DataFrame]:
+                      delay_us: int, allowed_lateness_us: int = 0,
+                      edge_us: int = 0) -> tuple[DataFrame, DataFrame]:
     """Rows of a tumbling window whose end (+ allowed lateness) is already
     behind the watermark at arrival go to the side output
     (sideOutputLateData); others are kept with their ``window_start`` /
     ``window_end``.  With allowed lateness a window re-fires for rows that
     arrive after its end but within the allowance; the final counts are the
-    same as counting every accepted row once."""
+    same as counting every accepted row once.  A row is late at ``end <=
+    watermark``; ``edge_us`` moves that edge (1000: ``end - 1 ms``, a window's
+    last millisecond, as the source API counts)."""
     w = with_watermark(df, ts, arrival, tie, delay_us)
     win = F.window(ts, size)
     flagged = (w.withColumn("_w", win)
                 .withColumn("window_start", F.col("_w.start"))
                 .withColumn("window_end", F.col("_w.end")).drop("_w")
-                .withColumn("is_late", F.coalesce(micros("window_end") + F.lit(allowed_lateness_us)
+                .withColumn("is_late", F.coalesce(micros("window_end") + F.lit(allowed_lateness_us - edge_us)
                                                   <= F.col("wm_us"), F.lit(False))))
     return flagged.where(~F.col("is_late")), flagged.where(F.col("is_late"))
