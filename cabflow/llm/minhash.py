@@ -17,11 +17,15 @@ Linking, without all pairs of a group:
 
 1. Texts with the same words are one class from the start (a 128-bit key).
 2. Every class of a bucket is verified, on its shingles, against the bucket's
-   smallest; verified links are joined to components.
-3. In buckets that still hold several components, classes of different
-   components are compared by signature in cells of bounded size; those
-   whose signatures agree in ``LEAST_AGREE`` of the slots (6 standard
-   deviations below the threshold) are verified on their shingles too.
+   centre: the class whose buckets are the largest, which in a group of edited
+   copies is the text they were made from.  Verified links are joined to
+   components.
+3. In buckets that still hold several components, classes are dealt over cells of
+   bounded size.  Pairs of different components whose signatures agree in
+   ``LEAST_AGREE`` of the slots (5 standard deviations below the threshold) are
+   verified on their shingles inside the cell, in the first band the pair
+   shares; a link found joins two components at once, and only links leave a
+   cell, fewer than it has rows.
 
 So a pair of classes that shares a bucket is verified or already in one
 component.  With ``BANDS`` bands of ``ROWS`` slots a pair at the threshold shares
@@ -47,7 +51,7 @@ from cabflow.llm.common import blocked, components, map_groups, prepare, require
 WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS = 24, 4
 SLOTS = BANDS * ROWS
-LEAST_AGREE, CELL = 0.55, 512
+LEAST_AGREE, CELL = 0.6, 512
 
 _M1, _M2, _GOLD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 _BASE = np.uint64(0x5851F42D4C957F2D)
@@ -236,7 +240,7 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
             keep = []
             for i, (x, y) in enumerate(zip(t.column("sa"), t.column("sb"))):
                 p, q = (np.frombuffer(v.as_buffer(), kind) for v in (x, y))
-                if min(len(p), len(q)) >= 0.1 * max(len(p), len(q)) and similarity((p["h"], p["w"]), (q["h"], q["w"])) >= threshold:
+                if similarity((p["h"], p["w"]), (q["h"], q["w"])) >= threshold:
                     keep.append(i)
             yield t.select(["a", "b"]).take(pa.array(keep, pa.int64()))
 
@@ -262,6 +266,39 @@ def shingle_sets(docs: DataFrame, words: int = WORDS) -> DataFrame:
     return docs.mapInArrow(run, "rep long, sh binary")
 
 
+def _linker(threshold: float):
+    """Links between different components of one cell."""
+    kind = np.dtype([("h", "<u8"), ("w", "<u4")])
+
+    def cell(t):
+        import pyarrow as pa
+        n = t.num_rows
+        if n < 2:
+            return
+        ids, part, block = (t.column(c).to_numpy() for c in ("rep", "part", "block"))
+        part = part.copy()
+        slots = np.frombuffer(b"".join(t.column("slots").to_pylist()), np.uint32).reshape(n, -1)
+        bands = t.column("bands").combine_chunks().flatten().to_numpy().reshape(n, -1)
+        sets = [np.frombuffer(v.as_buffer(), kind) for v in t.column("sh").combine_chunks()]
+        i, j, band = (t.column(c)[0].as_py() for c in ("cell_i", "cell_j", "band"))
+        right = np.nonzero(block == j)[0]
+        links = []
+        for x in np.nonzero(block == i)[0]:
+            y = right[right > x] if i == j else right
+            y = y[part[y] != part[x]]
+            y = y[(slots[y] == slots[x]).mean(1) >= LEAST_AGREE]
+            y = y[~(bands[y, :band] == bands[x, :band]).any(1)]
+            for k in y:
+                if part[k] != part[x] and similarity((sets[x]["h"], sets[x]["w"]), (sets[k]["h"], sets[k]["w"])) >= threshold:
+                    links.append((ids[x], ids[k]))
+                    part[part == part[k]] = part[x]
+        if links:
+            a, b = zip(*links)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return cell
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, words: int = WORDS) -> DataFrame:
     """One row per row of ``docs``: doc_id, exact_id (smallest id with the
     same words), class_id (smallest id of the near-duplicate class) and kept."""
@@ -273,10 +310,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     members = stored(some.select("doc_id", "k1", "k2").join(firsts, ["k1", "k2"]))
     reps = some.join(firsts, ["k1", "k2"]).where("doc_id = rep").dropDuplicates(["k1", "k2"])
     bands = reps.select("rep", F.posexplode("bands").alias("band", "key"))
-    shared = (bands.groupBy("band", "key").agg(F.min("rep").alias("least"), F.max("rep").alias("most")).where("least < most"))
-    in_bucket = stored(bands.join(shared.select("band", "key", "least"), ["band", "key"]))
-    stars = in_bucket.where("rep <> least").select(F.col("least").alias("a"), F.col("rep").alias("b")).distinct()
-    stars = stored(stars)
+    shared = (bands.groupBy("band", "key").agg(F.min("rep").alias("least"), F.max("rep").alias("most"), F.count(F.lit(1)).alias("n")).where("least < most"))
+    in_bucket = stored(bands.join(shared.select("band", "key", "n"), ["band", "key"]))
+    weights = in_bucket.groupBy("rep").agg(F.sum("n").alias("weight"))
+    weighed = in_bucket.join(weights, "rep")
+    centres = (weighed.groupBy("band", "key").agg(F.max(F.struct("weight", (-F.col("rep")).alias("minus"))).alias("top"))
+               .select("band", "key", (-F.col("top.minus")).alias("a")))
+    stars = stored(in_bucket.join(centres, ["band", "key"]).where("rep <> a").select("a", F.col("rep").alias("b")).distinct())
     wanted = in_bucket.select("rep").distinct()
     texts = docs.select(F.col(doc_id).cast("long").alias("rep"), F.col(text).cast("string").alias("text")).join(wanted, "rep", "left_semi")
     sets = stored(shingle_sets(texts, words))
@@ -285,33 +325,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     # Buckets that still hold several components.
     tagged = in_bucket.select("band", "key", "rep").join(first.withColumnRenamed("id", "rep"), "rep", "left").withColumn("part", F.coalesce("component", "rep")).drop("component")
     open_ = tagged.groupBy("band", "key").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi").select("band", "key")
-    rest = tagged.join(open_, ["band", "key"]).join(reps.select("rep", "slots"), "rep")
+    rest = (tagged.join(open_, ["band", "key"]).join(reps.select("rep", "slots", "bands"), "rep").join(sets.dropDuplicates(["rep"]), "rep"))
     cells = blocked(rest, ["band", "key"], "rep", CELL)
     keys = ["band", "key", "cell_i", "cell_j"]
-
-    def cell(t):
-        import pyarrow as pa
-        n = t.num_rows
-        if n < 2:
-            return
-        ids, part, block = (t.column(c).to_numpy() for c in ("rep", "part", "block"))
-        slots = np.frombuffer(b"".join(t.column("slots").to_pylist()), np.uint32).reshape(n, -1)
-        i, j = t.column("cell_i")[0].as_py(), t.column("cell_j")[0].as_py()
-        right = np.nonzero(block == j)[0]
-        found_a, found_b = [], []
-        for x in np.nonzero(block == i)[0]:
-            y = right[(right > x) if i == j else slice(None)]
-            y = y[part[y] != part[x]]
-            y = y[(slots[y] == slots[x]).mean(1) >= LEAST_AGREE]
-            found_a.append(np.minimum(ids[x], ids[y]))
-            found_b.append(np.maximum(ids[x], ids[y]))
-        a, b = np.concatenate(found_a), np.concatenate(found_b)
-        if len(a):
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-
-    more = map_groups(cells.select(*keys, "block", "rep", "part", "slots"), keys, cell, "a long, b long").distinct()
-    more = stored(more.join(stars, ["a", "b"], "left_anti"))
-    again = verified(more, sets, threshold)
+    again = stored(map_groups(cells.select(*keys, "block", "rep", "part", "slots", "bands", "sh"), keys, _linker(threshold), "a long, b long").distinct())
     parts = components(links.unionByName(again))
     classes = members.select("doc_id", "rep").join(parts.withColumnRenamed("id", "rep"), "rep", "left")
     out = classes.select("doc_id", F.col("rep").alias("exact_id"), F.coalesce("component", "rep").alias("class_id"))
