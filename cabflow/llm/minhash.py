@@ -228,20 +228,32 @@ def signed(docs: DataFrame, doc_id: str, text: str, words: int = WORDS) -> DataF
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, _SIGNED)
 
 
+def pack_set(h: np.ndarray, w: np.ndarray) -> bytes:
+    """A shingle set as bytes: 48 bits of each hash (two shingles of a pair of
+    texts meet by chance about once in 10**9 pairs), and counts only if one is over 1."""
+    once = bool((w == 1).all())
+    low = np.ascontiguousarray(h.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :6]
+    return bytes([once]) + low.tobytes() + (b"" if once else w.astype("<u4").tobytes())
+
+
+def unpack_set(data) -> tuple[np.ndarray, np.ndarray]:
+    raw = np.frombuffer(data, np.uint8)
+    n = (len(raw) - 1) // (6 if raw[0] else 10)
+    h = np.zeros((n, 8), np.uint8)
+    h[:, :6] = raw[1:1 + 6 * n].reshape(n, 6)
+    return h.view("<u8").ravel(), np.ones(n, np.uint32) if raw[0] else np.frombuffer(raw[1 + 6 * n:].tobytes(), "<u4")
+
+
 def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """Those of ``pairs`` (a, b) whose shingle sets (rep, sh) are similar enough."""
     sides = (pairs.join(sets.select(F.col("rep").alias("a"), F.col("sh").alias("sa")), "a")
              .join(sets.select(F.col("rep").alias("b"), F.col("sh").alias("sb")), "b").select("a", "b", "sa", "sb"))
-    kind = np.dtype([("h", "<u8"), ("w", "<u4")])
 
     def run(batches):
         import pyarrow as pa
         for t in batches:
-            keep = []
-            for i, (x, y) in enumerate(zip(t.column("sa"), t.column("sb"))):
-                p, q = (np.frombuffer(v.as_buffer(), kind) for v in (x, y))
-                if similarity((p["h"], p["w"]), (q["h"], q["w"])) >= threshold:
-                    keep.append(i)
+            sets = zip(t.column("sa"), t.column("sb"))
+            keep = [i for i, (x, y) in enumerate(sets) if similarity(unpack_set(x.as_buffer()), unpack_set(y.as_buffer())) >= threshold]
             yield t.select(["a", "b"]).take(pa.array(keep, pa.int64()))
 
     return sides.mapInArrow(run, "a long, b long")
@@ -249,7 +261,6 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
 
 def shingle_sets(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """rep and its distinct shingles with counts, as packed binary."""
-    kind = np.dtype([("h", "<u8"), ("w", "<u4")])
 
     def run(batches):
         import pyarrow as pa
@@ -257,10 +268,8 @@ def shingle_sets(docs: DataFrame, words: int = WORDS) -> DataFrame:
             texts = b.column("text").to_pylist()
             for s, e in small_batches(texts, 1_000_000):
                 h, w, owner, _ = shingles(texts[s:e], words)
-                rows = np.empty(len(h), kind)
-                rows["h"], rows["w"] = h, w
                 cuts = np.searchsorted(owner, np.arange(e - s + 1))
-                yield pa.RecordBatch.from_arrays([b.column("rep").slice(s, e - s), pa.array([rows[x:y].tobytes() for x, y in zip(cuts, cuts[1:])], pa.binary())],
+                yield pa.RecordBatch.from_arrays([b.column("rep").slice(s, e - s), pa.array([pack_set(h[x:y], w[x:y]) for x, y in zip(cuts, cuts[1:])], pa.binary())],
                                                  names=["rep", "sh"])
 
     return docs.mapInArrow(run, "rep long, sh binary")
@@ -268,7 +277,6 @@ def shingle_sets(docs: DataFrame, words: int = WORDS) -> DataFrame:
 
 def _linker(threshold: float):
     """Links between different components of one cell."""
-    kind = np.dtype([("h", "<u8"), ("w", "<u4")])
 
     def cell(t):
         import pyarrow as pa
@@ -279,7 +287,7 @@ def _linker(threshold: float):
         part = part.copy()
         slots = np.frombuffer(b"".join(t.column("slots").to_pylist()), np.uint32).reshape(n, -1)
         bands = t.column("bands").combine_chunks().flatten().to_numpy().reshape(n, -1)
-        sets = [np.frombuffer(v.as_buffer(), kind) for v in t.column("sh").combine_chunks()]
+        sets = [unpack_set(v.as_buffer()) for v in t.column("sh").combine_chunks()]
         i, j, band = (t.column(c)[0].as_py() for c in ("cell_i", "cell_j", "band"))
         right = np.nonzero(block == j)[0]
         links = []
@@ -289,7 +297,7 @@ def _linker(threshold: float):
             y = y[(slots[y] == slots[x]).mean(1) >= LEAST_AGREE]
             y = y[~(bands[y, :band] == bands[x, :band]).any(1)]
             for k in y:
-                if part[k] != part[x] and similarity((sets[x]["h"], sets[x]["w"]), (sets[k]["h"], sets[k]["w"])) >= threshold:
+                if part[k] != part[x] and similarity(sets[x], sets[k]) >= threshold:
                     links.append((ids[x], ids[k]))
                     part[part == part[k]] = part[x]
         if links:
