@@ -1,4 +1,5 @@
 """Each operator against a brute-force version, a library, or held-out rows."""
+import base64
 import collections
 import os
 import random
@@ -330,6 +331,20 @@ def test_language_accuracy_on_held_out_documents(spark):
     assert np.mean([r.language == r.lang for r in out]) > 0.98 and np.mean([r.accepted for r in out]) > 0.98
 
 
+@have
+def test_noise_and_unseen_scripts_are_rejected(spark):
+    """Texts in no known language go, clean ones stay, also from the host of clean ones."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rng = np.random.default_rng(11)
+    noise = ["Съешь же ещё этих мягких французских булок, да выпей же чаю", "Η γρήγορη καφετιά αλεπού πηδά πάνω από τον τεμπέλη σκύλο", "いろはにほへと ちりぬるを わかよたれそ つねならむ",
+             base64.b64encode(rng.bytes(2000)).decode(), "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz "), 1500)), "xq zvkj wqx"]
+    host = docs.where("lang = 'en'").first().source
+    extra = spark.createDataFrame([(10_000_000 + i, t * k, None, host, len(t) * k) for k in (1, 5) for i, t in enumerate(noise, 100 * k)], docs.schema)
+    want = {r.doc_id for r in docs.where("text rlike '[a-z]'").collect()}
+    got = {r.doc_id for r in langid.keep_identified(docs.unionByName(extra)).collect()}
+    assert got == {r.doc_id for r in docs.where(r"text rlike '\\p{L}'").collect()}
+
+
 def test_evidence_is_fused(spark):
     """Host, suffix and declaration decide where the text cannot."""
     a, b = "aba bab abba baab " * 6, "xyx yxy xyyx yxxy " * 6
