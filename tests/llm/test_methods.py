@@ -345,6 +345,23 @@ def test_noise_and_unseen_scripts_are_rejected(spark):
     assert got == {r.doc_id for r in docs.where(r"text rlike '\\p{L}'").collect()}
 
 
+def test_rare_languages_have_a_model(spark, monkeypatch):
+    """Sampled by language: neither many rows nor copies of one text crowd out a rare one; labels past the most frequent are other."""
+    rng = random.Random(12)
+    word = lambda letters: "".join(rng.choice(letters) for _ in range(4))
+    text = lambda letters: " ".join(word(letters) for _ in range(60))
+    rows = [(text("abcd"), "aa") for _ in range(600)] + [(text("efgh"), "bb") for _ in range(3)] + [(text("ijkl"), "cc")] * 300 + [(text("mnop"), "dd") for _ in range(2)] + [("12 34", "ee")]
+    docs = spark.createDataFrame(rows, "text string, lang string").repartition(4)
+    tests = spark.createDataFrame([("aa", text("abcd")), ("bb", text("efgh")), ("cc", rows[603][0]), ("dd", text("mnop"))], "id string, text string").withColumns(
+        {"declared": F.lit(None).cast("string"), "host": F.lit(None).cast("string")})
+    answer = lambda m: {r.id: (r.language, r.accepted) for r in langid.identify(tests, m).collect()}
+    model = langid.fit(docs, "text", "lang", sample=20)
+    assert model[0] == ["aa", "bb", "cc", "dd"] and (model[1].max(0) > model[1].min(0)).all()
+    assert answer(model) == {x: (x, True) for x in model[0]}
+    monkeypatch.setattr(langid, "LANGUAGES", 2)
+    assert answer(langid.fit(docs, "text", "lang", sample=20)) == {"aa": ("aa", True), "bb": ("bb", True), "cc": ("other", True), "dd": ("other", True)}
+
+
 def test_evidence_is_fused(spark):
     """Host, suffix and declaration decide where the text cannot."""
     a, b = "aba bab abba baab " * 6, "xyx yxy xyyx yxxy " * 6
