@@ -3,12 +3,14 @@
 Rules name a host and a path prefix; a rule fits its host and all subdomains,
 and the longest one wins.  Pages without a rule are judged by their host:
 trust starts at hosts with allowed pages and flows along links (personalised
-PageRank); distrust starts at hosts with blocked pages and flows against the links, from a
-host to those that link to it.  Both keep the mass of their seeds,
-so ``distrust * blocked pages / pages of the host`` says how many blocked
-pages stand behind each page of a host; a host's own share of blocked pages
-counts in full, however much of it flows on.  A host is blocked if that is at
-least ``threshold`` and more than the same for trust.
+PageRank); ``trust * allowed pages / pages of the host`` says how many allowed
+pages stand behind each page of a host, and a host's own share counts in full.
+Distrust flows against the links, from a host to those that link to it: it is
+the share of random walks from the host's pages, going on over a link with
+``DAMPING``, that come to a blocked page.  Each linker takes it by its own links,
+so the verdict of a host does not depend on how many others link to the same
+place.  A host is blocked if its distrust is at least ``threshold`` and more
+than its trust.
 
 Scale: pages are reduced to host edges with counts before any iteration; a
 hot host is one row of the host table.  Every round joins the edge
@@ -98,6 +100,33 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, roun
     return now.select("kind", "host", "score")
 
 
+def reach(links: DataFrame, own: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+    """Share of random walks from each host that come to a marked page.
+
+    ``links``: src, dst, links; ``own``: host and its share of marked pages.  A
+    walk that is not on a marked page goes on over a link of the host with
+    probability ``damping``; a host outside ``own`` has no pages to come to.
+    Returns host, score.
+    """
+    out = links.groupBy("src").agg(F.sum("links").alias("all"))
+    weights = stored(links.join(out, "src").select("src", "dst", (F.col("links") / F.col("all")).alias("w")))
+    now = own.select("host", "own", F.col("own").cast("double").alias("score"))
+    for r in range(1, rounds + 1):
+        flow = (weights.join(now.select(F.col("host").alias("dst"), "score"), "dst")
+                .groupBy(F.col("src").alias("host")).agg(F.sum(F.col("score") * F.col("w")).alias("flow")))
+        new = F.col("own") + (1 - F.col("own")) * F.lit(damping) * F.coalesce("flow", F.lit(0.0))
+        now = now.withColumnRenamed("score", "before").join(flow, "host", "left").select("host", "own", "before", new.alias("score"))
+        if r % CHECK_EVERY == 0 or r == rounds:
+            now = stored(now)
+            moved = now.agg(F.max(F.abs(F.col("score") - F.col("before")))).first()[0] or 0.0
+            now = now.drop("before")
+            if moved < TOLERANCE:
+                break
+        else:
+            now = now.drop("before")
+    return now.select("host", "score")
+
+
 def filter_urls(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", rules=RULES,
                 threshold: float = THRESHOLD) -> DataFrame:
     """page_id, host, path, rule, verdict, and the host's distrust and trust."""
@@ -110,16 +139,12 @@ def filter_urls(pages: DataFrame, page_id: str = "page_id", url: str = "url", ht
         F.count(F.lit(1)).alias("pages"), F.count(F.when(F.col("by_rule") == "allow", 1)).alias("allowed"),
         F.count(F.when(F.col("by_rule") == "block", 1)).alias("blocked")))
     links = stored(host_edges(pages, url, html))
-    edges = (links.select(F.lit("trust").alias("kind"), "src", "dst", "links")
-             .unionByName(links.select(F.lit("distrust").alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"), "links")))
-    allowed, blocked = hosts.agg(F.sum("allowed"), F.sum("blocked")).first()
-    kinds = (("trust", "allowed", allowed or 0), ("distrust", "blocked", blocked or 0))
-    seeds = [hosts.where(F.col(c) > 0).select(F.lit(kind).alias("kind"), "host", (F.col(c) / F.lit(max(n, 1))).alias("seed")) for kind, c, n in kinds]
-    scores = propagate(edges, seeds[0].unionByName(seeds[1]))
-    one = lambda kind: scores.where(F.col("kind") == kind).select("host", F.col("score").alias(kind))
-    rate = lambda kind, own, n: F.greatest(F.coalesce(kind, F.lit(0.0)) * F.lit(float(n)), F.col(own).cast("double")) / F.col("pages")
-    ruled = stored(hosts.join(one("trust"), "host", "left").join(one("distrust"), "host", "left")
-                   .select("host", rate("trust", "allowed", allowed or 0).alias("trust"), rate("distrust", "blocked", blocked or 0).alias("distrust")))
+    allowed = hosts.agg(F.sum("allowed")).first()[0] or 0
+    seeds = hosts.where("allowed > 0").select(F.lit("trust").alias("kind"), "host", (F.col("allowed") / F.lit(max(allowed, 1))).alias("seed"))
+    trust = propagate(links.select(F.lit("trust").alias("kind"), "src", "dst", "links"), seeds).select("host", F.col("score").alias("trust"))
+    distrust = reach(links, hosts.select("host", (F.col("blocked") / F.col("pages")).alias("own"))).select("host", F.col("score").alias("distrust"))
+    rate = F.greatest(F.coalesce("trust", F.lit(0.0)) * F.lit(float(allowed)), F.col("allowed").cast("double")) / F.col("pages")
+    ruled = stored(hosts.join(trust, "host", "left").join(distrust, "host", "left").select("host", rate.alias("trust"), "distrust"))
     bad = (F.col("distrust") >= threshold) & (F.col("distrust") > F.col("trust"))
     return (judged.join(ruled, "host", "left")
             .select("page_id", "host", "path", "rule", F.coalesce("by_rule", F.when(bad, F.lit("block")), F.lit("allow")).alias("verdict"),

@@ -301,6 +301,18 @@ def test_links_carry_trust_and_distrust(spark):
     assert out[30].verdict == "block" and out[20].verdict == "block" and out[20].rule == "net/es/"
 
 
+@pytest.mark.parametrize("linkers", [1, 20, 1000])
+def test_distrust_is_not_diluted_by_linkers(spark, linkers):
+    link = lambda h: f'<a href="https://{h}/x">l</a>'
+    rows = [(i, f"http://bad.net/es/{i}", None) for i in range(8)]
+    rows += [(100 + i, f"http://farm{i}.org/1", link("bad.net") * 5) for i in range(linkers)]
+    rows += [(5000, "http://next.org/", link("farm0.org")), (5001, "http://list.org/", link("bad.net") + "".join(link(f"site{i}.org") for i in range(9)))]
+    out = {r.page_id: r for r in urlfilter.filter_urls(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(out[100 + i].verdict == "block" and abs(out[100 + i].distrust - 0.85) < 1e-6 for i in range(linkers))
+    assert out[5000].verdict == "block" and abs(out[5000].distrust - 0.85 ** 2) < 1e-6
+    assert out[5001].verdict == "allow" and abs(out[5001].distrust - 0.085) < 1e-6
+
+
 def test_pagerank_equals_dense_iteration(spark):
     rng = random.Random(9)
     links = {(rng.randint(0, 7), rng.randint(0, 7)): rng.randint(1, 4) for _ in range(25)}
