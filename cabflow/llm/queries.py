@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cabflow.llm import embdedup, langid, licenses, minhash, mixing, packing, pii, tokencount, topk, urlfilter
+from cabflow.llm import embdedup, langid, licenses, minhash, mixing, packing, pii, spelling, substrings, tokencount, topk, urlfilter
 from cabflow.llm.common import table
 
 
@@ -49,5 +49,14 @@ def op10_url_filter(spark, sf_dir):
     return urlfilter.filter_urls(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_topk, op2_language_id, op3_license_scan, op4_pii, op5_packing, op6_minhash, op7_mixing, op8_embedding_dedup, op9_token_counts, op10_url_filter)}
-ORACLE = {"op1_topk": topk.ORACLE, "op7_mixing": mixing.ORACLE, "op8_embedding_dedup": embdedup.ORACLE}
+def op11_spelling(spark, sf_dir):
+    return spelling.variants(spelling.noised_words(table(spark, sf_dir, "documents")))
+
+
+def op12_substrings(spark, sf_dir):
+    return substrings.digest(substrings.remove_repeats(table(spark, sf_dir, "documents")))
+
+
+QUERIES = {f.__name__: f for f in (op1_topk, op2_language_id, op3_license_scan, op4_pii, op5_packing, op6_minhash, op7_mixing, op8_embedding_dedup, op9_token_counts, op10_url_filter, op11_spelling, op12_substrings)}
+ORACLE = {"op1_topk": topk.ORACLE, "op7_mixing": mixing.ORACLE, "op8_embedding_dedup": embdedup.ORACLE, "op11_spelling": spelling.ORACLE,
+          "op12_substrings": substrings.ORACLE}
