@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cabflow.llm import embdedup, langid, licenses, minhash, mixing, packing, pii, spelling, substrings, tokencount, topk, urlfilter
+from cabflow.llm import convtrie, embdedup, langid, licenses, minhash, mixing, packing, pii, spelling, substrings, tokencount, topk, urlfilter
 from cabflow.llm.common import table
 
 
@@ -57,6 +57,11 @@ def op12_substrings(spark, sf_dir):
     return substrings.digest(substrings.remove_repeats(table(spark, sf_dir, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op1_topk, op2_language_id, op3_license_scan, op4_pii, op5_packing, op6_minhash, op7_mixing, op8_embedding_dedup, op9_token_counts, op10_url_filter, op11_spelling, op12_substrings)}
+def op13_conversation_trie(spark, sf_dir):
+    return convtrie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+QUERIES = {f.__name__: f for f in (op1_topk, op2_language_id, op3_license_scan, op4_pii, op5_packing, op6_minhash, op7_mixing, op8_embedding_dedup, op9_token_counts, op10_url_filter, op11_spelling, op12_substrings,
+                                    op13_conversation_trie)}
 ORACLE = {"op1_topk": topk.ORACLE, "op7_mixing": mixing.ORACLE, "op8_embedding_dedup": embdedup.ORACLE, "op11_spelling": spelling.ORACLE,
-          "op12_substrings": substrings.ORACLE}
+          "op12_substrings": substrings.ORACLE, "op13_conversation_trie": convtrie.ORACLE}
