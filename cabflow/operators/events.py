@@ -6,9 +6,9 @@ plus a unique tie-breaker).  The watermark a row sees on arrival is
     wm(row) = max(event time of all rows that arrived before it) - delay
 
 (punctuated, never regressing).  A row is late iff ``ts <= wm(row)``.  The
-prefix maximum over the whole arrival order is a two-level scan: a maximum
-inside every hour of arrival, then one over the hours' maxima, so only one
-row per hour ever meets in a single task.
+prefix maximum over the whole arrival order is a scan over slots: a maximum
+inside every slot of arrival, then one over the slots' maxima, so only one
+row per slot ever meets in a single task.
 
 Variants: the watermark advanced only by marker rows, and a wall-clock
 watermark (``arrival - delay``) that needs no scan at all.
@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cabflow.functions.timecols import micros
-from cabflow.operators.scan import HOUR_US, Agg, keyed_scan
+from cabflow.operators.scan import Agg, keyed_scan
 
 
 def with_watermark(df: DataFrame, ts: str, arrival: str | None, tie: str, delay_us: int,
@@ -35,10 +35,10 @@ def with_watermark(df: DataFrame, ts: str, arrival: str | None, tie: str, delay_
     t = micros(ts)
     src = F.when(advance_when, t) if advance_when is not None else t
     base = df.withColumn("_wm_src", src)
-    order, width = [tie], None
+    order = [tie]
     if arrival is not None:
-        base, order, width = base.withColumn("_arr_us", micros(arrival)), ["_arr_us", tie], HOUR_US
-    s = keyed_scan(base, list(keys or []), order, [Agg("_prev_max", "max", "_wm_src", inclusive=False)], width)
+        base, order = base.withColumn("_arr_us", micros(arrival)), ["_arr_us", tie]
+    s = keyed_scan(base, list(keys or []), order, [Agg("_prev_max", "max", "_wm_src", inclusive=False)], time=arrival is not None)
     return (s.withColumn(out, F.col("_prev_max") - F.lit(delay_us))
              .drop("_wm_src", "_arr_us", "_prev_max"))
 
@@ -68,7 +68,7 @@ def sort_by_event_time(on_time: DataFrame, keys: list[str], ts: str, tie: str,
     (ts, tie) per key.  ``pos`` (1-based) makes that order part of the data.
     """
     base = on_time.withColumn("_t_us", micros(ts))
-    s = keyed_scan(base, keys, ["_t_us", tie], [Agg(out, "count")], width=HOUR_US)
+    s = keyed_scan(base, keys, ["_t_us", tie], [Agg(out, "count")], time=True)
     return s.drop("_t_us")
 
 

@@ -1,24 +1,32 @@
-"""Ordered scans per key that no hot key can stall: a two-level prefix scan.
+"""Ordered scans per key that no hot key, hour or instant can stall.
 
 The reference keeps running state per key (running count, sum, maximum, the
 previous element, the watermark).  ``Window.partitionBy(key).orderBy(...)``
 says that directly, but puts every row of a key into one task.  ``keyed_scan``
-computes the same values in two levels, all in Spark expressions:
-
-1. A *slot* is a range of the first order column (an hour of time, a block of
-   ids): a function of the row alone.  A window per (keys, slot) computes the
-   prefix inside the slot, so a hot key spreads over its slots.
-2. The last row of every (keys, slot) holds the slot's total.  A window per key over these
-   totals gives what earlier slots carry in, and a join on (keys,
-   slot) adds it to the rows.
-
-There is one path whatever the size; no job runs while the query is built,
-nothing is sampled or checkpointed, and the columns an operator carries are
-never touched.  Without keys (one global order, such as a watermark) the only
-single task is the one over the slots' totals.
-
-The slot width (``width``; for times ``cabflow.scan.slotMicros``, for whole
-numbers ``cabflow.scan.slotNumbers``) changes the layout, not the result; only a
+computes the same values over *slots*, ranges of (keys, order) that follow the
+data, all in Spark expressions:
+
+1. A row's slot starts as a range of the first order column (an hour of time, a
+   block of ids).  Where a slot of a key holds many more than ``slotRows`` rows, it
+   is cut at row boundaries of its own: a sample chosen by the hash of (keys,
+   order) is sorted per slot, every ``slotRows``-th place of it is a boundary, and
+   a row finds its part by binary search over whole order tuples.  A third of all
+   rows in one hour, or at one instant, is cut like any other.  Boundaries are
+   broadcast: one for every ``slotRows`` rows of hot slots (16 MB at 10^11 rows).
+2. A partial aggregate gives every slot's totals without moving a row; a window per
+   key over the totals gives what earlier slots carry in.
+3. Rows meet the carry of their slot, and one window per slot adds the prefix.
+   Join and window share one partitioning, so the rows are shuffled once.
+
+``session_scan`` and ``pair_scan`` need the slot's own prefix before they can sum it
+up; they shuffle the few columns that takes.
+
+There is one path whatever the size; no job runs while the query is built, and
+the columns an operator carries are never touched.  Without keys (one global
+order, such as a watermark) the only single task is the one over the slots' totals.
+
+Settings change the layout, not the result: ``cabflow.scan.slotMicros`` (times),
+``cabflow.scan.slotNumbers`` (whole numbers), ``cabflow.scan.slotRows``.  Only a
 running sum of floating-point numbers may differ in its last digits, as its
 terms are added in another grouping.  ``order`` must be total within a key
 (add a unique id); nulls come first.
@@ -34,9 +42,11 @@ from pyspark.sql import types as T
 
 from cabflow.functions.timecols import micros
 
-SLOT, ENDS = "_scan_slot", "_scan_ends"
 HOUR_US = 3_600_000_000
 NUMBERS = 65_536
+ROWS = 1_000_000
+#: Sampled rows behind every boundary.
+SAMPLES = 16
 
 
 @dataclass(frozen=True)
@@ -64,15 +74,20 @@ def _out_type(a: Agg, schema: T.StructType) -> T.DataType:
     return src
 
 
-def slot(df: DataFrame, column: str, width: int | None = None) -> Column:
-    """The slot of a row: ascending with ``column``, null for null.  A type
-    without an obvious range (such as a struct) is one slot."""
-    kind, conf = df.schema[column].dataType, df.sparkSession.conf
-    c = F.col(column)
+def _setting(df: DataFrame, name: str, default: int) -> int:
+    return int(df.sparkSession.conf.get(f"cabflow.scan.{name}", str(default)))
+
+
+def slot(df: DataFrame, column: str, width: int | None = None, time: bool = False) -> Column:
+    """The slot of a row before any is cut: ascending with ``column``, null for
+    null.  ``time``: a whole number of microseconds.  A type without an obvious
+    range (such as a struct) is one slot."""
+    kind, c = df.schema[column].dataType, F.col(column)
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.floor(micros(column) / F.lit(width or int(conf.get("cabflow.scan.slotMicros", str(HOUR_US))))).cast("long")
+        return F.floor(micros(column) / F.lit(width or _setting(df, "slotMicros", HOUR_US))).cast("long")
     if isinstance(kind, T.IntegralType):
-        return F.floor(c / F.lit(width or int(conf.get("cabflow.scan.slotNumbers", str(NUMBERS))))).cast("long")
+        width = width or (_setting(df, "slotMicros", HOUR_US) if time else _setting(df, "slotNumbers", NUMBERS))
+        return F.floor(c / F.lit(width)).cast("long")
     if isinstance(kind, T.FractionalType) or isinstance(kind, T.DecimalType):
         return F.floor(c / F.lit(width or 1)).cast("double")
     if isinstance(kind, T.DateType):
@@ -83,83 +98,143 @@ def slot(df: DataFrame, column: str, width: int | None = None) -> Column:
     return F.lit(0).cast("long")
 
 
-def keyed_scan(df: DataFrame, keys: list[str], order: list[str], aggs: list[Agg], width: int | None = None) -> DataFrame:
+def _filled(c: Column, kind: T.DataType) -> Column:
+    """``c`` without nulls (a flag column tells them apart)."""
+    for types, value in ((T.BooleanType, F.lit(False)), ((T.NumericType, T.StringType), F.lit(0 if isinstance(kind, T.NumericType) else "").cast(kind)),
+                         (T.DateType, F.lit("1970-01-01").cast(kind)), ((T.TimestampType, T.TimestampNTZType), F.lit("1970-01-01 00:00:00").cast(kind))):
+        if isinstance(kind, types):
+            return F.coalesce(c, value)
+    return F.struct(c)
+
+
+@dataclass(frozen=True)
+class Slots:
+    """Rows with their slot (null-free columns ``by`` = ``key`` + place)."""
+
+    rows: DataFrame
+    key: list[str]
+    by: list[str]
+    order: list[str]
+
+    @property
+    def inside(self):
+        """The window over a slot's rows in order."""
+        return Window.partitionBy(*self.by).orderBy(*self.order)
+
+    @property
+    def earlier(self):
+        """The window over a key's slots in order."""
+        return (Window.partitionBy(*self.key) if self.key else Window).orderBy(*self.by[len(self.key):])
+
+
+def slotted(df: DataFrame, keys: list[str], order: list[str], width: int | None = None, time: bool = False) -> Slots:
+    """Give every row its slot."""
+    key = [f"_slot_k{i}" for i in range(len(keys))]
+    first = slot(df, order[0], width, time)
+    kinds = [df.schema[k].dataType for k in keys]
+    new = {n: _filled(F.col(k), t) for n, k, t in zip(key, keys, kinds)}
+    if keys:
+        key.append("_slot_null")
+        new["_slot_null"] = sum((F.shiftleft(F.col(k).isNull().cast("int"), i) for i, k in enumerate(keys)), F.lit(0))
+    place = df.select(first.alias("p")).schema["p"].dataType
+    new |= {"_slot_there": first.isNotNull().cast("int"), "_slot_at": _filled(first, place)}
+    rows = df.withColumns(new)
+    coarse = [*key, "_slot_there", "_slot_at"]
+
+    most = _setting(df, "slotRows", ROWS)
+    sampled = F.pmod(F.xxhash64(*keys, *order), F.lit(max(1, most // SAMPLES))) == 0
+    parts = F.ceil(F.size("s") / F.lit(SAMPLES)).cast("int")
+    bounds = F.array_distinct(F.transform(F.sequence(F.lit(1), parts - 1), lambda i: F.element_at("s", F.floor(i * F.size("s") / parts).cast("int") + 1)))
+    seen = (rows.where(sampled).groupBy(*coarse).agg(F.sort_array(F.collect_list(F.struct(*order))).alias("s")).where(F.size("s") >= 2 * SAMPLES)
+            .select(*[F.col(c).alias(f"_hot{c}") for c in coarse], bounds.alias("_slot_bounds")))
+    here = F.struct(*order)
+
+    def halve(a, _):
+        mid = F.shiftright(a["lo"] + a["hi"], 1)
+        right = F.element_at("_slot_bounds", mid + 1) <= here
+        return F.when(a["lo"] >= a["hi"], a).when(right, F.struct((mid + 1).alias("lo"), a["hi"].alias("hi"))).otherwise(F.struct(a["lo"].alias("lo"), mid.alias("hi")))
+
+    steps = F.sequence(F.lit(1), F.ceil(F.log2(F.size("_slot_bounds") + 1)).cast("int") + 1)
+    found = F.aggregate(steps, F.struct(F.lit(0).alias("lo"), F.size("_slot_bounds").alias("hi")), halve, lambda a: a["lo"])
+    match = [F.col(c) == F.col(f"_hot{c}") for c in coarse]
+    rows = rows.join(F.broadcast(seen), match, "left").withColumn("_slot_part", F.when(F.col("_slot_bounds").isNull(), 0).otherwise(found))
+    by = [*coarse, "_slot_part"]
+    return Slots(rows.select(*df.columns, *by), key, by, order)
+
+
+def keyed_scan(df: DataFrame, keys: list[str], order: list[str], aggs: list[Agg], width: int | None = None, time: bool = False) -> DataFrame:
     """Add one column per ``Agg``: its running value per key in ``order``.
 
     ``keys`` may be empty (one global order).  Every input row comes back with
-    its columns as they were; nothing is dropped, capped or sampled.
-    """
+    its columns as they were; nothing is dropped or capped.  ``time``: the first
+    order column is a whole number of microseconds."""
     types = {a.out: _out_type(a, df.schema) for a in aggs}
-    inside = Window.partitionBy(*keys, SLOT).orderBy(*order)
-    upto, before = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow), inside.rowsBetween(Window.unboundedPreceding, -1)
-    held = {a.out: (f"_scan_all_{a.out}", f"_scan_own_{a.out}", f"_scan_in_{a.out}") for a in aggs}
+    s = slotted(df, keys, order, width, time)
 
-    def over(a: Agg, frame) -> Column:
+    def total(a: Agg) -> Column:
         if a.op == "count":
-            return F.count(F.lit(1)).over(frame)
+            return F.count(F.lit(1))
         if a.op == "sum":
-            return F.coalesce(F.sum(F.col(a.col).cast(types[a.out])).over(frame), F.lit(0).cast(types[a.out]))
-        return (F.max if a.op == "max" else F.min)(a.col).over(frame)
-
-    columns = []
-    for a in aggs:
-        total, own, _ = held[a.out]
+            return F.coalesce(F.sum(F.col(a.col).cast(types[a.out])), F.lit(0).cast(types[a.out]))
         if a.op == "last":
-            columns += [F.col(a.col).alias(total), F.lag(a.col, 1).over(inside).alias(own), F.lag(F.lit(True), 1).over(inside).alias(own + "_there")]
-        else:
-            columns += [over(a, upto).alias(total)] + ([] if a.inclusive else [over(a, before).alias(own)])
-    rows = df.withColumn(SLOT, slot(df, order[0], width)).select("*", *columns, F.lead(F.lit(True)).over(inside).isNull().alias(ENDS))
+            return F.max_by(a.col, F.struct(*order))
+        return (F.max if a.op == "max" else F.min)(a.col)
 
-    earlier = (Window.partitionBy(*keys) if keys else Window).orderBy(SLOT)
-    so_far = earlier.rowsBetween(Window.unboundedPreceding, -1)
-    names = {k: f"_scan_key_{i}" for i, k in enumerate([*keys, SLOT])}
-    carried = []
-    for a in aggs:
-        total, _, into = held[a.out]
+    def add(a: Agg, window, column: str) -> Column:
+        """Over the totals of earlier slots."""
         if a.op in ("count", "sum"):
-            carried.append(F.coalesce(F.sum(total).over(so_far), F.lit(0).cast(types[a.out])).alias(into))
-        elif a.op == "last":
-            carried.append(F.lag(total, 1).over(earlier).alias(into))
-        else:
-            carried.append((F.max if a.op == "max" else F.min)(total).over(so_far).alias(into))
-    carry = rows.where(ENDS).select(*[F.col(k).alias(n) for k, n in names.items()], *carried)
-    on = [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()]
-    joined = rows.join(carry, on, "inner")
-
-    finals = []
-    for a in aggs:
-        total, own, into = held[a.out]
-        here = F.col(total if a.inclusive and a.op != "last" else own)
-        if a.op in ("count", "sum"):
-            e = here + F.col(into)
+            return F.coalesce(F.sum(column).over(window), F.lit(0).cast(types[a.out]))
+        return F.lag(column, 1).over(s.earlier) if a.op == "last" else (F.max if a.op == "max" else F.min)(column).over(window)
+
+    totals = s.rows.groupBy(*s.by).agg(*[total(a).alias(f"_scan_{i}") for i, a in enumerate(aggs)])
+    so_far = s.earlier.rowsBetween(Window.unboundedPreceding, -1)
+    carry = totals.select(*s.by, *[add(a, so_far, f"_scan_{i}").alias(f"_scan_in_{i}") for i, a in enumerate(aggs)])
+    inside, cols = s.inside, []
+    for i, a in enumerate(aggs):
+        frame = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow if a.inclusive else -1)
+        into = F.col(f"_scan_in_{i}")
+        if a.op == "count":
+            e = F.count(F.lit(1)).over(frame) + into
+        elif a.op == "sum":
+            e = F.coalesce(F.sum(F.col(a.col).cast(types[a.out])).over(frame), F.lit(0).cast(types[a.out])) + into
         elif a.op == "last":
-            e = F.when(F.col(own + "_there"), here).otherwise(F.col(into))
+            e = F.when(F.row_number().over(inside) == 1, into).otherwise(F.lag(a.col, 1).over(inside))
         else:
-            e = (F.greatest if a.op == "max" else F.least)(here, F.col(into))
-        finals.append(e.cast(types[a.out]).alias(a.out))
-    return joined.select(*[F.col(c) for c in df.columns if c not in types], *finals)
+            e = (F.greatest if a.op == "max" else F.least)((F.max if a.op == "max" else F.min)(a.col).over(frame), into)
+        cols.append(e.cast(types[a.out]).alias(a.out))
+    return s.rows.join(carry, s.by).select(*[F.col(c) for c in df.columns if c not in types], *cols)
 
 
 def session_scan(df: DataFrame, keys: list[str], t_col: str, end_col: str, tie: str,
-                 out: str = "session_start_us", width: int = HOUR_US) -> DataFrame:
+                 out: str = "session_start_us", width: int | None = None) -> DataFrame:
     """Session start (epoch micros) of every row.
 
     ``t_col`` / ``end_col`` are epoch-micro longs (row time, row time + gap).
     A row opens a session iff ``t > max(end of earlier rows of its key)``
-    (touching sessions merge, as ``session_window`` does): a running maximum of
-    ends, then a running maximum of opening times.  Rows without a time or an
-    end belong to no session.
+    (touching sessions merge, as ``session_window`` does).  Rows without a time or
+    an end belong to no session.
+
+    A slot is summed up by its largest end and the last time that opens a session
+    as far as the slot knows: times grow, so if any of its rows opens one after
+    what earlier slots carry in, that row does, and it is the last.
     """
     timed = F.col(t_col).isNotNull() & F.col(end_col).isNotNull()
-    d = df.withColumn("_sess_end", F.when(timed, F.col(end_col)))
-    d = keyed_scan(d, keys, [t_col, tie], [Agg("_sess_until", "max", "_sess_end", inclusive=False)], width)
-    opens = timed & (F.col("_sess_until").isNull() | (F.col(t_col) > F.col("_sess_until")))
-    d = d.withColumn("_sess_open", F.when(opens, F.col(t_col)))
-    d = keyed_scan(d, keys, [t_col, tie], [Agg("_sess_start", "max", "_sess_open")], width)
-    return d.select(*df.columns, F.when(timed, F.col("_sess_start")).alias(out))
-
-
-def pair_scan(df: DataFrame, keys: list[str], record: str, width: int = HOUR_US) -> DataFrame:
+    s = slotted(df, keys, [t_col, tie], width, time=True)
+    end, t = F.when(timed, F.col(end_col)), F.col(t_col)
+    before = F.max(end).over(s.inside.rowsBetween(Window.unboundedPreceding, -1))
+    own = s.rows.select(*s.by, end.alias("_e"), F.when(timed & (before.isNull() | (t > before)), t).alias("_o"))
+    totals = own.groupBy(*s.by).agg(F.max("_e").alias("_e"), F.max("_o").alias("_o"))
+    so_far = s.earlier.rowsBetween(Window.unboundedPreceding, -1)
+    carry = totals.withColumn("_sess_e", F.max("_e").over(so_far))
+    carry = carry.withColumn("_o", F.when(F.col("_sess_e").isNull() | (F.col("_o") > F.col("_sess_e")), F.col("_o")))
+    carry = carry.select(*s.by, "_sess_e", F.max("_o").over(so_far).alias("_sess_o"))
+    d = s.rows.join(carry, s.by).withColumn("_sess_until", F.greatest(before, F.col("_sess_e")))
+    opens = timed & (F.col("_sess_until").isNull() | (t > F.col("_sess_until")))
+    d = d.withColumn("_sess_start", F.max(F.when(opens, t)).over(s.inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return d.select(*df.columns, F.when(timed, F.greatest("_sess_start", "_sess_o")).alias(out))
+
+
+def pair_scan(df: DataFrame, keys: list[str], record: str, width: int | None = None) -> DataFrame:
     """First-come pairing over a tagged union with columns ``side`` (int 0/1),
     ``i`` (id), ``t_us`` (long arrival time) and ``record`` (any type).
 
@@ -167,19 +242,37 @@ def pair_scan(df: DataFrame, keys: list[str], record: str, width: int = HOUR_US)
     its key; the 2nd, 4th, ... rows of an island close a pair with their
     predecessor.  Adds ``closer`` and ``prev`` (the predecessor's record).
     Rows without an arrival time close nothing.
+
+    A slot is summed up by its number of rows, its first and last side and the last
+    place where an island starts inside it, from the order columns alone, and by
+    its last record, a partial aggregate.
     """
     order = ["t_us", "side", "i"]
-    timed = df.where(F.col("t_us").isNotNull())
-    d = keyed_scan(timed.withColumn("_pair_rec", F.struct(F.col("side").alias("s"), F.col(record).alias("r"))), keys, order,
-                   [Agg("_pair_n", "count"), Agg("_pair_prev", "last", "_pair_rec")], width)
-    opens = F.col("_pair_prev").isNull() | (F.col("_pair_prev.s") == F.col("side"))
-    d = keyed_scan(d.withColumn("_pair_open", F.when(opens, F.col("_pair_n"))), keys, order, [Agg("_pair_island", "max", "_pair_open")], width)
-    return d.select(*df.columns, (((F.col("_pair_n") - F.col("_pair_island")) % 2) == 1).alias("closer"), F.col("_pair_prev.r").alias("prev"))
+    s = slotted(df.where(F.col("t_us").isNotNull()), keys, order, width, time=True)
+    n, last = F.row_number().over(s.inside), F.lag("side", 1).over(s.inside)
+    own = s.rows.select(*s.by, "side", n.alias("_n"), last.alias("_l"))
+    totals = own.groupBy(*s.by).agg(F.count(F.lit(1)).alias("_n"), F.max(F.when(F.col("_n") == 1, F.col("side"))).alias("_first"), F.max_by("side", "_n").alias("_last"),
+                                    F.max(F.when(F.col("_l") == F.col("side"), F.col("_n"))).alias("_start"))
+    ends = s.rows.groupBy(*s.by).agg(F.max_by(F.struct(F.col(record).alias("r")), F.struct(*order)).alias("_rec"))
+    totals = totals.join(ends, s.by)
+    local = s.rows.withColumns({"_pair_n": n, "_pair_last": last, "_pair_prev": F.lag(F.struct(F.col(record).alias("r")), 1).over(s.inside)})
+    so_far = s.earlier.rowsBetween(Window.unboundedPreceding, -1)
+    carry = totals.withColumns({"_pair_off": F.coalesce(F.sum("_n").over(so_far), F.lit(0)), "_pair_side": F.lag("_last", 1).over(s.earlier), "_pair_rec": F.lag("_rec", 1).over(s.earlier)})
+    opens = F.col("_pair_side").isNull() | (F.col("_pair_side") == F.col("_first"))
+    carry = carry.withColumn("_start", F.coalesce(F.col("_pair_off") + F.col("_start"), F.when(opens, F.col("_pair_off") + 1)))
+    carry = carry.select(*s.by, "_pair_off", "_pair_side", "_pair_rec", F.max("_start").over(so_far).alias("_pair_island"))
+    d = local.join(carry, s.by)
+    first = F.col("_pair_n") == 1
+    before, at = F.when(first, F.col("_pair_side")).otherwise(F.col("_pair_last")), F.col("_pair_off") + F.col("_pair_n")
+    d = d.withColumns({"_pair_at": at, "_pair_open": F.when(before.isNull() | (before == F.col("side")), at)})
+    d = d.withColumn("_pair_open", F.greatest(F.max("_pair_open").over(s.inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)), F.col("_pair_island")))
+    prev = F.when(first, F.col("_pair_rec")).otherwise(F.col("_pair_prev"))["r"]
+    return d.select(*df.columns, (((F.col("_pair_at") - F.col("_pair_open")) % 2) == 1).alias("closer"), prev.alias("prev"))
 
 
 def running_window(df: DataFrame, keys: list[str], order: list[str], aggs: list[Agg]) -> DataFrame:
     """The plain form of ``keyed_scan``, one ordered window per key: what the
-    two-level scan is tested against."""
+    scan over slots is tested against."""
     w = Window.partitionBy(*keys).orderBy(*order) if keys else Window.orderBy(*order)
     cols = []
     for a in aggs:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from cabflow.functions.labels import segment_line, style_label
 from cabflow.functions.timecols import micros
-from cabflow.operators.scan import HOUR_US, Agg, keyed_scan
+from cabflow.operators.scan import Agg, keyed_scan
 from cabflow.operators.windows import sessionize
 
 
@@ -49,7 +49,7 @@ def stop_segments(df: DataFrame, key: str, ts: str, tie: str, is_stop: Column,
     """
     base = df.withColumns({"_stop": F.coalesce(is_stop, F.lit(False)).cast("int"),
                            "_t_us": micros(ts)})
-    s = keyed_scan(base, [key], ["_t_us", tie], [Agg("_seg", "sum", "_stop", inclusive=False)], width=HOUR_US)
+    s = keyed_scan(base, [key], ["_t_us", tie], [Agg("_seg", "sum", "_stop", inclusive=False)], time=True)
     moving = F.col("_stop") == 0
     return (s.groupBy(key, "_seg")
              .agg(F.max("_stop").alias("_closed"),

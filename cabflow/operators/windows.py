@@ -86,7 +86,7 @@ def window_contents(df: DataFrame, ts: str, size: str, keys: list[str], item: Co
                     order: list[str], out: str = "item") -> DataFrame:
     """The elements of every window as rows (window_start, keys, pos, item),
     ``pos`` from 1 in the given order: a window of any size stays rows, and no
-    task holds its list."""
+    task holds its list: a hot window is cut by its rows, as every scan is."""
     d = df.withColumns({"window_start": F.window(ts, size)["start"], out: item})
     return keyed_scan(d, ["window_start", *keys], order, [Agg("pos", "count")]).select("window_start", *keys, "pos", out)
 

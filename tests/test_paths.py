@@ -1,7 +1,10 @@
-"""The slot width of the two-level scan changes the layout, never the result."""
+"""The slots of the ordered scan change the layout, never the result."""
+import contextlib
 import datetime as dt
 import decimal
+import io
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -17,16 +20,30 @@ ORDERED = ["running_count", "running_max", "running_sum", "count_window_avg", "s
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
 @pytest.mark.parametrize("name", ORDERED)
 def test_slot_width_does_not_matter(spark, name):
-    def run(micros=None, numbers=None):
-        for k, v in (("cabflow.scan.slotMicros", micros), ("cabflow.scan.slotNumbers", numbers)):
-            if v:
-                spark.conf.set(k, str(v))
-        try:
+    def run(micros=None, numbers=None, rows=None):
+        with slots(spark, micros, numbers, rows):
             return sorted(map(tuple, ent.queries()[name](spark, SF).collect()), key=repr)
-        finally:
-            spark.conf.unset("cabflow.scan.slotMicros")
-            spark.conf.unset("cabflow.scan.slotNumbers")
-    assert run(60_000_000, 7) == run(10 ** 15, 10 ** 9) == run()
+    assert run(60_000_000, 7) == run(10 ** 15, 10 ** 9) == run() == run(10 ** 15, 10 ** 9, 20)
+
+
+@contextlib.contextmanager
+def slots(spark, micros=None, numbers=None, rows=None):
+    names = {"slotMicros": micros, "slotNumbers": numbers, "slotRows": rows}
+    for k, v in names.items():
+        if v:
+            spark.conf.set(f"cabflow.scan.{k}", str(v))
+    try:
+        yield
+    finally:
+        for k in names:
+            spark.conf.unset(f"cabflow.scan.{k}")
+
+
+def plan_of(df, mode="simple"):
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode)
+    return buf.getvalue()
 
 
 def test_carried_columns_keep_their_values(spark):
@@ -53,12 +70,64 @@ def test_building_a_scan_starts_no_job(spark):
 
 
 def test_global_order_is_single_only_over_slots(spark):
-    import contextlib
-    import io
-    df = spark.range(1000)
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        keyed_scan(df, [], ["id"], [Agg("m", "max", "id")], 10).explain()
-    plan = buf.getvalue()
+    plan = plan_of(keyed_scan(spark.range(1000), [], ["id"], [Agg("m", "max", "id")], 10))
     before = plan[plan.index("SinglePartition"):]
-    assert plan.count("SinglePartition") == 1 and "Filter" in before.split("Exchange")[0]  # only the last row of every slot
+    assert plan.count("SinglePartition") == 1 and "HashAggregate" in before.split("Exchange")[0]  # one row for every slot
+
+
+@pytest.fixture(scope="module")
+def hot(spark):
+    """A third of all rows of one key in one hour, most of them at one instant."""
+    rng, rows = random.Random(5), []
+    for i in range(6000):
+        k = "hot" if i % 3 == 0 else f"k{rng.randint(0, 40)}"
+        t = (7_200_000_000 if rng.random() < 0.7 else 7_200_000_000 + rng.randint(0, 3_000_000)) if k == "hot" else rng.randint(0, 10 ** 11)
+        rows.append((i, k, t, rng.choice([0, 1]), t + rng.choice([1, 500_000, 10 ** 9]), "p" * 20))
+    return spark.createDataFrame(rows, "id long, k string, t long, side int, e long, payload string").cache()
+
+
+def test_a_hot_hour_is_cut_by_its_rows(spark, hot):
+    from cabflow.operators.scan import slotted
+    with slots(spark, rows=100):
+        s = slotted(hot, ["k"], ["t", "id"], time=True)
+        sizes = [r["count"] for r in s.rows.where("k = 'hot'").groupBy(*s.by).count().collect()]
+    assert sum(sizes) == 2000 and len(sizes) >= 12 and max(sizes) < 400
+    # parts are ranges of (t, id)
+    ends = s.rows.where("k = 'hot'").groupBy("_slot_part").agg(F.min(F.struct("t", "id")).alias("a"), F.max(F.struct("t", "id")).alias("b")).orderBy("_slot_part").collect()
+    assert all(x.b < y.a for x, y in zip(ends, ends[1:]))
+
+
+def test_scans_over_cut_slots(spark, hot):
+    from pyspark.sql import Window
+    from cabflow.operators.joins import pair_first_come
+    from cabflow.operators.scan import session_scan
+    aggs = [Agg("n", "count"), Agg("m", "max", "e"), Agg("p", "last", "id"), Agg("s", "sum", "side", inclusive=False)]
+    w = Window.partitionBy("k").orderBy("t", "id")
+    until = F.max("e").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    opened = hot.withColumn("o", F.when(until.isNull() | (F.col("t") > until), F.col("t")))
+    want = opened.select("id", F.max("o").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("s"))
+
+    def pairs():
+        d = hot.withColumn("ts", F.timestamp_micros("t"))
+        return sorted((r.k, r.left_id, r.right_id) for r in pair_first_come(d.where("side = 0"), d.where("side = 1"), "k", "ts", "id").collect())
+    whole = pairs()
+    with slots(spark, rows=64):
+        for keys in (["k"], []):
+            a, b = keyed_scan(hot, keys, ["t", "id"], aggs, time=True), running_window(hot, keys, ["t", "id"], aggs)
+            assert a.count() == 6000 and a.select(b.columns).subtract(b).count() == 0
+        got = session_scan(hot, ["k"], "t", "e", "id", out="s").select("id", "s")
+        assert got.subtract(want).count() == 0 and got.count() == 6000
+        assert pairs() == whole and len(whole) > 500
+
+
+def test_rows_are_shuffled_once(spark, hot):
+    """One exchange holds the payload, whatever else a scan sums up."""
+    from cabflow.operators.scan import pair_scan, session_scan
+    hot = spark.createDataFrame(hot.limit(10).collect(), hot.schema)
+    two = keyed_scan(hot, ["k"], ["t", "id"], [Agg("n", "count"), Agg("m", "max", "e"), Agg("p", "last", "id")], time=True)
+    three = session_scan(hot, ["k"], "t", "e", "id")
+    rows = hot.select("k", F.col("t").alias("t_us"), F.col("id").alias("i"), "side", "payload")
+    four = pair_scan(rows, ["k"], "payload")
+    for df in (two, three, four):
+        moved = [x for x in plan_of(df, "formatted").split("\n\n") if ") Exchange" in x and "payload" in x.split("Arguments")[0] and "_slot_part" in x.split("Arguments")[1]]
+        assert len(moved) == 1, moved
