@@ -25,15 +25,25 @@ from cabflow.operators.scan import Agg, keyed_scan
 
 def with_watermark(df: DataFrame, ts: str, arrival: str | None, tie: str, delay_us: int,
                    advance_when: Column | None = None, out: str = "wm_us",
-                   keys: list[str] | None = None) -> DataFrame:
+                   keys: list[str] | None = None, emit_every: str | None = None) -> DataFrame:
     """Add the watermark (epoch micros) each row sees when it arrives.
 
     ``keys`` empty (default): one watermark over the whole stream; with keys,
     one per key (what the streaming sorter keeps in its state).  ``arrival``
     None: ``tie`` alone is the arrival order (such as ``seq`` of a line source).
+    ``emit_every``: a column that numbers the periods of arrival; the watermark
+    is then periodic, given out at the end of each, so that the rows of a period see
+    what earlier periods held (a stream's micro-batches, or a watermark interval).
     """
     t = micros(ts)
     src = F.when(advance_when, t) if advance_when is not None else t
+    if emit_every is not None:
+        by = [*(keys or []), emit_every]
+        periods = df.groupBy(*by).agg(F.max(src).alias("_wm_src"))
+        seen = keyed_scan(periods, list(keys or []), [emit_every], [Agg("_prev_max", "max", "_wm_src", inclusive=False)])
+        seen = seen.select(*[F.col(c).alias(f"_wm_by_{i}") for i, c in enumerate(by)], (F.col("_prev_max") - F.lit(delay_us)).alias(out))
+        on = [F.col(c).eqNullSafe(F.col(f"_wm_by_{i}")) for i, c in enumerate(by)]
+        return df.join(seen, on).select(*df.columns, out)
     base = df.withColumn("_wm_src", src)
     order = [tie]
     if arrival is not None:
@@ -45,9 +55,9 @@ def with_watermark(df: DataFrame, ts: str, arrival: str | None, tie: str, delay_
 
 def late_split(df: DataFrame, ts: str, arrival: str | None, tie: str, delay_us: int,
                advance_when: Column | None = None,
-               keys: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+               keys: list[str] | None = None, emit_every: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(on_time, late).  Together they are exactly the input rows."""
-    w = with_watermark(df, ts, arrival, tie, delay_us, advance_when, keys=keys)
+    w = with_watermark(df, ts, arrival, tie, delay_us, advance_when, keys=keys, emit_every=emit_every)
     is_late = F.coalesce(micros(ts) <= F.col("wm_us"), F.lit(False))
     flagged = w.withColumn("is_late", is_late)
     return flagged.where(~F.col("is_late")), flagged.where(F.col("is_late"))
@@ -74,7 +84,7 @@ def sort_by_event_time(on_time: DataFrame, keys: list[str], ts: str, tie: str,
 
 def window_late_split(df: DataFrame, ts: str, arrival: str, tie: str, size: str,
                       delay_us: int, allowed_lateness_us: int = 0,
-                      edge_us: int = 0) -> tuple[DataFrame, DataFrame]:
+                      edge_us: int = 0, emit_every: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Rows of a tumbling window whose end (+ allowed lateness) is already
     behind the watermark at arrival go to the side output
     (sideOutputLateData); others are kept with their ``window_start`` /
@@ -83,7 +93,7 @@ def window_late_split(df: DataFrame, ts: str, arrival: str, tie: str, size: str,
     same as counting every accepted row once.  A row is late at ``end <=
     watermark``; ``edge_us`` moves that edge (1000: ``end - 1 ms``, a window's
     last millisecond, as the source API counts)."""
-    w = with_watermark(df, ts, arrival, tie, delay_us)
+    w = with_watermark(df, ts, arrival, tie, delay_us, emit_every=emit_every)
     win = F.window(ts, size)
     flagged = (w.withColumn("_w", win)
                 .withColumn("window_start", F.col("_w.start"))
@@ -91,3 +101,25 @@ def window_late_split(df: DataFrame, ts: str, arrival: str, tie: str, size: str,
                 .withColumn("is_late", F.coalesce(micros("window_end") + F.lit(allowed_lateness_us - edge_us)
                                                   <= F.col("wm_us"), F.lit(False))))
     return flagged.where(~F.col("is_late")), flagged.where(F.col("is_late"))
+
+
+def window_firings(df: DataFrame, ts: str, arrival: str, tie: str, size: str, delay_us: int, allowed_lateness_us: int,
+                   keys: list[str], edge_us: int = 0, emit_every: str | None = None) -> DataFrame:
+    """Every firing of tumbling windows with allowed lateness: ``window_start``,
+    keys, ``firing`` (from 1) and ``n``, the rows counted so far.
+
+    A window fires when the watermark reaches its end, with the rows that came
+    before (at the latest when the input ends), and again for each row that
+    arrives within the allowance: firing numbers follow the arrival order.
+    """
+    kept, _ = window_late_split(df, ts, arrival, tie, size, delay_us, allowed_lateness_us, edge_us, emit_every)
+    by = ["window_start", *keys]
+    again = F.coalesce(micros("window_end") - F.lit(edge_us) <= F.col("wm_us"), F.lit(False))
+    rows = kept.select(*by, micros(arrival).alias("_arr_us"), F.col(tie).alias("_tie"), again.alias("_again"))
+    first = rows.groupBy(*by).agg(F.count_if(~F.col("_again")).alias("_first")).where("_first > 0")
+    later = keyed_scan(rows.where("_again"), by, ["_arr_us", "_tie"], [Agg("_nth", "count")], time=True)
+    named = first.select(*[F.col(c).alias(f"_w{i}") for i, c in enumerate(by)], F.col("_first"))
+    on = [F.col(c).eqNullSafe(F.col(f"_w{i}")) for i, c in enumerate(by)]
+    refired = later.join(named, on, "left").select(*by, (F.col("_nth") + F.col("_first").isNotNull().cast("int")).cast("int").alias("firing"),
+                                                   (F.coalesce("_first", F.lit(0)) + F.col("_nth")).alias("n"))
+    return first.select(*by, F.lit(1).alias("firing"), F.col("_first").alias("n")).unionByName(refired)

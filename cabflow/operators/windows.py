@@ -26,6 +26,31 @@ def time_window(df: DataFrame, ts: str, size: str, keys: list[str], aggs: dict[s
                       *keys, *aggs.keys()))
 
 
+def pane_windows(df: DataFrame, ts: str, size_us: int, slide_us: int, keys: list[str],
+                 aggs: dict[str, tuple[str, Column]]) -> DataFrame:
+    """Sliding windows by panes: a row is aggregated once, into the pane of its
+    slide, and panes are combined into the windows that hold them.
+
+    ``F.window`` copies every row ``size / slide`` times before it aggregates; here
+    only panes (at most one per key and slide) are copied.  ``aggs``: name -> (op,
+    column) with op count, sum, min or max.  ``size_us`` is a multiple of
+    ``slide_us``; rows without a time belong to no window."""
+    if size_us % slide_us or slide_us <= 0:
+        raise ValueError("the size must be a multiple of the slide")
+    unknown = {op for op, _ in aggs.values()} - {"count", "sum", "min", "max"}
+    if unknown:
+        raise ValueError(f"panes cannot be combined for: {', '.join(sorted(unknown))}")
+    made = {"count": F.count, "sum": F.sum, "min": F.min, "max": F.max}
+    joined = made | {"count": F.sum}
+    pane = F.floor(micros(ts) / F.lit(slide_us)).cast("long").alias("_pane")
+    panes = df.where(F.col(ts).isNotNull()).groupBy(*keys, pane).agg(*[made[op](c).alias(n) for n, (op, c) in aggs.items()])
+    first = F.col("_pane") - F.lit(size_us // slide_us - 1)
+    windows = panes.select(*keys, *aggs, F.explode(F.sequence(first, F.col("_pane"))).alias("_window"))
+    out = windows.groupBy(*keys, "_window").agg(*[joined[op](n).alias(n) for n, (op, _) in aggs.items()])
+    start = F.col("_window") * F.lit(slide_us)
+    return out.select(F.timestamp_micros(start).alias("window_start"), F.timestamp_micros(start + F.lit(size_us)).alias("window_end"), *keys, *aggs)
+
+
 def count_tumbling(df: DataFrame, keys: list[str], order: list[str], n: int,
                    aggs: list[Column]) -> DataFrame:
     """Tumbling count window of ``n`` rows per key (countWindow(n)).

@@ -17,7 +17,7 @@ from cabflow.functions.geo import grid_cell, in_bbox
 from cabflow.functions.labels import style_label
 from cabflow.functions.text import text_lines, tokenize
 from cabflow.functions.timecols import as_ntz, micros, whole_minutes
-from cabflow.operators import aggregates, events as ev, joins, keyed, rides, segments, windows
+from cabflow.operators import aggregates, events as ev, joins, keyed, rides, segments, useragg, windows
 from cabflow.operators.ingest import parse_car_events, parse_fares, parse_key_ts, parse_rides
 from cabflow.session import spread
 from cabflow.streaming import sinks
@@ -31,6 +31,7 @@ LATE_DELAY_US = HOUR_US            # out-of-order tolerance for the sorter
 WINDOW_LATE_DELAY_US = 10 * MINUTE_US
 WALLCLOCK_DELAY_US = 30 * MINUTE_US
 ALLOWED_LATENESS_US = 20 * MINUTE_US
+WATERMARK_PERIOD_US = 30 * MINUTE_US  # of arrival, for the periodic watermark
 SESSION_GAP_US = 12 * HOUR_US
 IDLE_GAP_US = 6 * HOUR_US
 MARKER_TYPE = "signup"
@@ -108,6 +109,11 @@ def q_running_concat(spark, d):
     return keyed.running_increments(e, "user_id", ORDER, "event_id").select("user_id", "event_id", "pos", "item")
 
 
+def q_concat_text(spark, d):
+    e = _events(spark, d, "user_id", "event_id", "ts")
+    return useragg.aggregate_by(e, ["user_id"], ORDER, "event_id", useragg.contains_digest())
+
+
 def q_count_window_avg(spark, d):
     e = _events(spark, d, "user_id", "event_id", "ts")
     return keyed.count_average(e, "user_id", ORDER, "event_id", COUNT_WINDOW)
@@ -145,6 +151,12 @@ def q_sliding_count(spark, d):
     return _type_counts(spark, d, "10 minutes", "5 minutes")
 
 
+def q_sliding_panes(spark, d):
+    e = _events(spark, d, "ts", "value").withColumn("cents", _cents())
+    w = windows.pane_windows(e, "ts", 24 * HOUR_US, MINUTE_US, [], {"n": ("count", F.lit(1)), "cents": ("sum", F.col("cents")), "most": ("max", F.col("cents"))})
+    return w.select(as_ntz("window_start").alias("window_start"), "n", "cents", "most")
+
+
 def q_tumbling_offset(spark, d):
     return _type_counts(spark, d, "1 hour", None, "15 minutes")
 
@@ -249,6 +261,18 @@ def q_late_window_allowed(spark, d):
                    .select(as_ntz("window_start").alias("window_start"), "event_type", "n"))
 
 
+def q_late_window_firings(spark, d):
+    f = ev.window_firings(_arrivals(spark, d, "event_type"), "ts", "arr", "event_id", "1 hour", WINDOW_LATE_DELAY_US,
+                          ALLOWED_LATENESS_US, ["event_type"])
+    return f.select(as_ntz("window_start").alias("window_start"), "event_type", "firing", "n")
+
+
+def q_late_periodic(spark, d):
+    a = _arrivals(spark, d).withColumn("period", F.floor(micros("arr") / F.lit(WATERMARK_PERIOD_US)))
+    _, late = ev.late_split(a, "ts", "arr", "event_id", LATE_DELAY_US, emit_every="period")
+    return late.select("event_id", "user_id", "ts", "arr")
+
+
 def q_late_window_side(spark, d):
     _, late = ev.window_late_split(_arrivals(spark, d, "event_type"), "ts", "arr", "event_id",
                                    "1 hour", WINDOW_LATE_DELAY_US)
@@ -480,11 +504,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "running_max": q_running_max,
     "running_sum": q_running_sum,
     "running_concat": q_running_concat,
+    "concat_text": q_concat_text,
     "count_window_avg": q_count_window_avg,
     "count_window_sum": q_count_window_sum,
     "count_accumulating": q_count_accumulating,
     "longest_per_key": q_longest_per_key,
     "sliding_count": q_sliding_count,
+    "sliding_panes": q_sliding_panes,
     "tumbling_offset": q_tumbling_offset,
     "sliding_offset": q_sliding_offset,
     "window_all": q_window_all,
@@ -499,6 +525,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "late_window": q_late_window,
     "late_window_side": q_late_window_side,
     "late_window_allowed": q_late_window_allowed,
+    "late_window_firings": q_late_window_firings,
+    "late_periodic": q_late_periodic,
     "late_wallclock": q_late_wallclock,
     "idle_count": q_idle_count,
     "pair_join": q_pair_join,

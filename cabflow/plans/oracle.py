@@ -8,7 +8,8 @@ it checks the distributed Spark plans rather than restating them.
 from __future__ import annotations
 
 from cabflow.plans.driver import (ALLOWED_LATENESS_US, COUNT_WINDOW, HOUR_US, IDLE_GAP_US, LATE_DELAY_US, MARKER_TYPE, MINUTE_US,
-                                  SESSION_GAP_US, WALLCLOCK_DELAY_US, WINDOW_LATE_DELAY_US)
+                                  SESSION_GAP_US, WALLCLOCK_DELAY_US, WATERMARK_PERIOD_US, WINDOW_LATE_DELAY_US)
+from cabflow.operators.useragg import BASE, MODULUS
 from cabflow.sources.tables import (ARRIVAL_MOD_MINUTES, ARRIVAL_MULT, COORD_STEP, END_LAT_MOD, END_LON_MOD,
                                     LAT_BASE, LAT_MOD, LON_BASE, LON_MOD)
 
@@ -155,6 +156,11 @@ ORACLE: dict[str, str] = {
         CAST(sum(event_id) OVER (PARTITION BY user_id {W_UE}) AS BIGINT) AS running_sum FROM events""",
     "running_concat": f"""SELECT user_id, event_id, count(*) OVER (PARTITION BY user_id {W_UE}) AS pos,
         CAST(event_id AS VARCHAR) AS item FROM events""",
+    "concat_text": f"""WITH t AS (SELECT user_id, count(*) AS n_items,
+            'contains:' || string_agg(CAST(event_id AS VARCHAR), ' and ' ORDER BY ts, event_id) AS text FROM events GROUP BY user_id)
+        SELECT user_id, n_items, CAST(strlen(text) AS BIGINT) AS n_bytes,
+            CAST(list_reduce(list_transform(string_split(text, ''), lambda c: CAST(ascii(c) AS BIGINT)),
+                             lambda h, b: (h * {BASE} + b) % {MODULUS}, CAST(0 AS BIGINT)) AS BIGINT) AS digest FROM t""",
     "count_window_avg": f"""WITH r AS (SELECT user_id, event_id,
         row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events)
         SELECT user_id, CAST((rn - 1) // {COUNT_WINDOW} AS BIGINT) AS bucket, avg(event_id) AS average FROM r
@@ -171,6 +177,11 @@ ORACLE: dict[str, str] = {
         max((epoch_us(l_shipdate) - epoch_us(o_orderdate)) // 60000000) AS max_minutes
         FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE l_shipdate >= o_orderdate GROUP BY o_custkey""",
     "sliding_count": _windows(10 * MINUTE_US, 5 * MINUTE_US, 0),
+    "sliding_panes": f"""
+        WITH p AS (SELECT epoch_us(ts) // {MINUTE_US} AS pane, {CENTS} AS cents FROM events),
+        w AS (SELECT pane - unnest(range({24 * 60})) AS w, cents FROM p)
+        SELECT make_timestamp(w * {MINUTE_US}) AS window_start, count(*) AS n, CAST(sum(cents) AS BIGINT) AS cents, max(cents) AS most
+        FROM w GROUP BY w""",
     "tumbling_offset": _windows(HOUR_US, HOUR_US, 15 * MINUTE_US),
     "sliding_offset": _windows(HOUR_US, 30 * MINUTE_US, 15 * MINUTE_US),
     "window_all": f"""SELECT date_trunc('hour', ts) AS window_start, count(*) AS n,
@@ -201,6 +212,18 @@ ORACLE: dict[str, str] = {
     "late_window": f"SELECT window_start, event_type, count(*) AS n FROM ({_late_window(False)}) GROUP BY 1, 2",
     "late_window_allowed": f"""SELECT window_start, event_type, count(*) AS n
         FROM ({_late_window(False, ALLOWED_LATENESS_US)}) GROUP BY 1, 2""",
+    "late_window_firings": f"""WITH w AS ({_late_window(False, ALLOWED_LATENESS_US)}),
+        f AS (SELECT *, coalesce(epoch_us(window_start) + {HOUR_US} <= wm, false) AS again FROM w),
+        c AS (SELECT window_start, event_type, again, count(*) FILTER (WHERE NOT again) OVER k AS first,
+                     row_number() OVER (PARTITION BY window_start, event_type ORDER BY again, arr, event_id) AS n
+              FROM f WINDOW k AS (PARTITION BY window_start, event_type))
+        SELECT window_start, event_type, 1 AS firing, first AS n FROM c GROUP BY ALL HAVING first > 0
+        UNION ALL SELECT window_start, event_type, CAST(n - first + CASE WHEN first > 0 THEN 1 ELSE 0 END AS INTEGER), n FROM c WHERE again""",
+    "late_periodic": f"""
+        WITH b AS (SELECT event_id, user_id, ts, {ARR} AS arr, epoch_us({ARR}) // {WATERMARK_PERIOD_US} AS period FROM events),
+        p AS (SELECT period, max(max(epoch_us(ts))) OVER (ORDER BY period ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+                     - {LATE_DELAY_US} AS wm FROM b GROUP BY period)
+        SELECT event_id, user_id, ts, arr FROM b JOIN p USING (period) WHERE epoch_us(ts) <= wm""",
     "late_window_side": f"SELECT event_id, event_type, window_start FROM ({_late_window(True)})",
     "late_wallclock": f"""
 WITH b AS (SELECT event_type, epoch_us(ts) AS t, epoch_us({ARR}) AS a FROM events),
