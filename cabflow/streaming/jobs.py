@@ -13,7 +13,7 @@ from __future__ import annotations
 import sys
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,8 +22,8 @@ from cabflow.functions.text import text_lines, tokenize
 from cabflow.operators import rides as ride_ops
 from cabflow.operators.ingest import parse_car_events, parse_fares, parse_rides
 from cabflow.session import prepare
-from cabflow.streaming import processors
-from cabflow.streaming.sinks import batched
+from cabflow.streaming import processors, timed
+from cabflow.streaming.sinks import batched, write_groups
 from cabflow.streaming.processors import (AVERAGE_SCHEMA, CONCAT_SCHEMA, IDLE_SCHEMA, PAIR_SCHEMA, SEGMENT_SCHEMA,
                                           SORTED_SCHEMA, SUM_SCHEMA, CountAverage, EventSorter, FirstComePairing,
                                           IdleCounter, RunningConcat, RunningSum, StopSegmenter,
@@ -126,6 +126,7 @@ def session_counts(events: DataFrame, ts: str, key: str, gap, delay: str = "10 s
 # Spark builds a processor in a process of its own, which has neither this
 # driver's path nor files shipped to executors: send the code itself.
 cloudpickle.register_pickle_by_value(processors)
+cloudpickle.register_pickle_by_value(timed)
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
@@ -261,7 +262,104 @@ def idle_counts(words: DataFrame, gap_ms: int = 5_000) -> DataFrame:
             .transformWithStateInPandas(IdleCounter(gap_ms), IDLE_SCHEMA, "update", "ProcessingTime"))
 
 
+# ------------------------------------------------- timers: silent keys included
+
+def sort_events_by_clock(cars: DataFrame, delay_ms: int = 30_000) -> DataFrame:
+    """Per-car event-time sort under the watermark of the whole stream: a car that
+    falls silent gets its rows when the others' time has passed.  Same columns as
+    ``sort_events``; late rows come out with kind 'late'."""
+    src, names = _seq(cars), [c for c in cars.columns if c != "seq"]
+    rows = src.select(F.col("carId").cast("string").alias("key"), F.col("carId").cast("string").alias("car"), F.col("id").cast("string").alias("id"),
+                      F.col("timestamp").alias("ts_ms"), _json(*names).alias("event"), _seq_text(src))
+    out = timed.job_clock(rows, "ts_ms", delay_ms).groupBy("key").transformWithStateInPandas(timed.JobSorter(), timed.SORTED, "append", "EventTime")
+    return out.select(F.col("car").alias("key"), "id", "ts_ms", "kind", _record("event", src, names).alias("event"))
+
+
+def stop_segments_by_clock(cars: DataFrame, delay_ms: int = 30_000, is_stop: Column | None = None) -> DataFrame:
+    """Stop segments under the watermark of the whole stream.  ``is_stop``: the stop
+    predicate over the input's columns (speed 0 if not given)."""
+    src = _seq(cars)
+    stop = F.coalesce(is_stop if is_stop is not None else F.col("speed") == 0, F.lit(False)).alias("stop")
+    rows = src.select(F.col("carId").cast("string").alias("key"), F.col("timestamp").alias("ts_ms"), _seq_text(src),
+                      F.col("speed").cast("float").alias("speed"), F.col("throttle").cast("float").alias("throttle"), stop)
+    return timed.job_clock(rows, "ts_ms", delay_ms).groupBy("key").transformWithStateInPandas(timed.JobSegmenter(), timed.SEGMENTS, "append", "EventTime")
+
+
+def window_firings(events: DataFrame, size_ms: int, delay_ms: int, allowed_ms: int = 0, edge_ms: int = 0) -> DataFrame:
+    """Tumbling counts per key: one row per firing with its number, late rows as a
+    side output.  Input: key, ts_ms, seq."""
+    src = _seq(events).select(F.col("key").cast("string").alias("key"), "ts_ms", _seq_text(events))
+    return timed.job_clock(src, "ts_ms", delay_ms).groupBy("key").transformWithStateInPandas(
+        timed.JobWindows(size_ms, allowed_ms, edge_ms), timed.WINDOWS, "append", "EventTime")
+
+
+def session_aggregate(events: DataFrame, gap_ms: int, delay_ms: int, agg) -> DataFrame:
+    """A ``useragg.UserAggregate`` per session; sessions that join are merged.
+    Input: key, ts_ms, value, seq."""
+    src = _seq(events).select(F.col("key").cast("string").alias("key"), "ts_ms", "value", _seq_text(events))
+    out = T.StructType.fromDDL(agg.result_schema)
+    schema = T.StructType([T.StructField("key", T.StringType()), T.StructField("session_start_ms", T.LongType()), T.StructField("session_end_ms", T.LongType()),
+                           *out.fields, T.StructField("late_ts_ms", T.LongType()), T.StructField("kind", T.StringType())])
+    proc = timed.JobSessions(gap_ms, agg.init, agg.add, agg.merge, agg.result, agg.acc_schema, out.names)
+    return timed.job_clock(src, "ts_ms", delay_ms).groupBy("key").transformWithStateInPandas(proc, schema, "append", "EventTime")
+
+
+def pairs_and_unmatched(rides: DataFrame, fares: DataFrame, ttl_ms: int, delay_ms: int = 0) -> DataFrame:
+    """Every ride and fare comes out once: in a pair, or alone as 'replaced' or
+    'expired' (``ttl_ms`` of event time without a partner).  Columns: key, kind and
+    the records as structs ``ride`` and ``fare``."""
+    sides = [(_seq(d), [c for c in d.columns if c != "seq"]) for d in (rides, fares)]
+    r, f = (d.select(F.col("rideId").cast("long").alias("key"), F.lit(side).alias("side"), F.unix_millis("startTime").alias("ts_ms"), _json(*names).alias("rec"), _seq_text(d))
+            for side, (d, names) in enumerate(sides))
+    out = timed.job_clock(r.unionByName(f), "ts_ms", delay_ms).groupBy("key").transformWithStateInPandas(timed.JobPairing(ttl_ms), timed.PAIRS, "append", "EventTime")
+    return out.select("key", "kind", _record("left_rec", rides, sides[0][1]).alias("ride"), _record("right_rec", fares, sides[1][1]).alias("fare"))
+
+
+def hourly_top(fares: DataFrame, n: int = 3, delay: str = "10 seconds") -> DataFrame:
+    """The ``n`` drivers with the largest tip sum of every hour, ranked: sums by
+    Spark's own windowed aggregate, then one bounded heap per window."""
+    prepare(fares.sparkSession)
+    per, _ = hourly_tips(fares, delay)
+    rows = per.select(F.unix_millis(F.col("w.end")).alias("end_ms"), F.col("driverId").cast("long").alias("id"), F.col("tips").cast("double").alias("value"))
+    top = rows.groupBy("end_ms").transformWithStateInPandas(timed.JobTop(n, 3_600_000), timed.TOP, "append", "EventTime")
+    return top.select(F.timestamp_millis("window_start_ms").alias("window_start"), "rank", F.col("id").alias("driverId"), F.col("value").alias("tips"))
+
+
+def sliding_word_counts(words: DataFrame, size_ms: int = 10_000, slide_ms: int = 5_000) -> DataFrame:
+    """Words per processing-time sliding window, from panes.  Input: word."""
+    prepare(words.sparkSession)
+    return (words.select(F.col("word").alias("key")).groupBy("key")
+            .transformWithStateInPandas(timed.PaneCounts(size_ms, slide_ms), timed.PANES, "update", "ProcessingTime"))
+
+
+def wallclock_counts(events: DataFrame, size_ms: int = 10_000, slide_ms: int = 5_000, delay_ms: int = 5_000, clock=None) -> DataFrame:
+    """Event-time sliding counts closed by the wall clock less ``delay_ms``, late
+    rows (of no window still open) as a side output.  Input: key, ts_ms, seq."""
+    src = _seq(events).select(F.col("key").cast("string").alias("key"), "ts_ms", _seq_text(events))
+    return src.groupBy("key").transformWithStateInPandas(timed.WallWindows(size_ms, slide_ms, delay_ms, clock), timed.WALL, "update", "ProcessingTime")
+
+
+def record_groups(df: DataFrame, record: Column, threshold: int = 20, shards: int = 1, flush_ms: int | None = None) -> DataFrame:
+    """Records in groups of exactly ``threshold``, buffered across micro-batches: shard,
+    group_no, pos, whole, record.  One shard keeps one buffer, as the reference's
+    single sink does; more shards are as many buffers side by side."""
+    src = _seq(df)
+    rows = src.select(F.pmod(F.xxhash64(_seq_text(src)), F.lit(shards)).cast("int").alias("shard"), record.cast("string").alias("record"), _seq_text(src))
+    mode = "None" if flush_ms is None else "ProcessingTime"
+    return rows.groupBy("shard").transformWithStateInPandas(timed.GroupBuffer(threshold, flush_ms), timed.GROUPS, "append" if flush_ms is None else "update", mode)
+
+
+def grouped_to_files(df: DataFrame, record: Column, path: str, checkpoint: str, threshold: int = 20, shards: int = 1,
+                     flush_ms: int | None = None, trigger: dict | None = None):
+    """``record_groups`` written by ``sinks.write_groups``; returns the started query."""
+    groups = record_groups(df, record, threshold, shards, flush_ms)
+    w = groups.writeStream.foreachBatch(lambda b, i: write_groups(b, path)).option("checkpointLocation", checkpoint)
+    return w.outputMode("append" if flush_ms is None else "update").trigger(**(trigger or DEFAULT_TRIGGER)).start()
+
+
 __all__ = ["start", "cleanse", "word_counts", "hourly_tips", "windowed_counts", "gap_sessions", "sort_events",
            "stop_segments", "pair_rides_fares", "rides_join_fares", "keyed_state", "idle_counts",
            "window_counts_with_late", "window_contents", "count_windows", "session_counts",
-           "rides_with_fares_to_files", "driving_segments_text", "ride_counts", "cell_driver_duration"]
+           "rides_with_fares_to_files", "driving_segments_text", "ride_counts", "cell_driver_duration",
+           "sort_events_by_clock", "stop_segments_by_clock", "window_firings", "session_aggregate", "pairs_and_unmatched",
+           "hourly_top", "sliding_word_counts", "wallclock_counts", "record_groups", "grouped_to_files"]

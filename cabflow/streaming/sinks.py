@@ -2,7 +2,9 @@
 
 * ``to_console`` / ``to_memory`` – print / in-memory table (tests);
 * ``to_kafka``   – ``(word,count)`` text values to a topic (connector jar needed);
-* ``batched``    – the reference's buffering sink: rows are written in files
+* ``write_groups`` – the reference's buffering sink: groups of exactly n records,
+  buffered across micro-batches and committed by their number;
+* ``batched``    – one folder per micro-batch: rows are written in files
   of at most ``threshold`` records.  ``foreachBatch`` gets the micro-batch id,
   and each batch overwrites its own folder, so a replayed batch after a
   failure rewrites the same files (idempotent) and no remainder is lost.
@@ -51,6 +53,16 @@ def batched(df: DataFrame, path: str, checkpoint: str, threshold: int | None = N
     return (w.trigger(**trigger) if trigger else w).start()
 
 
+def write_groups(batch: DataFrame, path: str) -> None:
+    """Write the groups of a micro-batch (``jobs.record_groups``) under the number
+    of the first group each shard gives off in it.  A batch that is run again
+    after a failure gives off the same numbers and replaces its own folders: no
+    group is lost and none is there twice."""
+    first = batch.groupBy(F.col("shard").alias("_s")).agg(F.min("group_no").alias("first_group"))
+    rows = batch.join(first, F.col("shard") == F.col("_s")).drop("_s")
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard", "first_group").parquet(path.rstrip("/"))
+
+
 # ------------------------------------------------------------ record formats
 # Field order, separators and names of the printed records.
 TIME_FMT = "yyyy-MM-dd HH:mm:ss"
