@@ -38,8 +38,6 @@ CHUNK = 20_000
 STRIP = 2_000
 # The letters of a word, as code points (A-Z are lower-cased).
 LETTERS = [*range(0x61, 0x7B), *range(0xC0, 0x100)]
-RUN = r"[^A-Za-zÀ-ÿ]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def noised_words(docs: DataFrame, least_length: int = 7, least_count: int = 2, one_in: int = 31, text: str = "text", ident: str = "doc_id") -> DataFrame:
@@ -48,15 +46,34 @@ def noised_words(docs: DataFrame, least_length: int = 7, least_count: int = 2, o
     Runs of letters, A-Z lower-cased; where ``one_in`` divides the crc32 of
     ``<id>:<run>``, the letter at that number modulo the length is deleted."""
     require(docs, text=text, ident=ident)
-    runs = F.filter(F.split(F.col(text), RUN), lambda r: F.length(r) >= least_length)
-    d = docs.select(F.coalesce(F.col(ident).cast("string"), F.lit("")).alias("i"), F.explode(runs).alias("r"))
-    d = d.select("i", F.when(F.length("r") == F.octet_length("r"), F.lower("r")).otherwise(F.translate("r", UPPER, LOWER)).alias("r"))
-    d = d.withColumn("h", F.crc32(F.concat("i", F.lit(":"), "r").cast("binary")))
-    at = (F.col("h") % F.length("r")).cast("int")
-    cut = F.concat(F.substring(F.col("r"), F.lit(1), at), F.substring(F.col("r"), at + 2, F.length("r")))
-    word = F.when(F.col("h") % one_in == 0, cut).otherwise(F.col("r"))
-    words = d.select(word.alias("word")).where(F.length("word") >= least_length)
-    return words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least_count)
+    prepare(docs.sparkSession)
+    d = docs.select(F.coalesce(F.col(ident).cast("string"), F.lit("")).alias("i"), F.col(text).alias("t")).where("t is not null")
+
+    def count(batches):
+        import re
+        import zlib
+        from collections import Counter
+
+        import pyarrow as pa
+        run = re.compile(f"[A-Za-zÀ-ÿ]{{{least_length},}}")
+        lower = str.maketrans({chr(c): chr(c + 32) for c in range(0x41, 0x5B)})
+        for batch in batches:
+            total = Counter()
+            for i, t in zip(batch.column("i").to_pylist(), batch.column("t").to_pylist()):
+                seed = zlib.crc32(f"{i}:".encode())
+                for r, n in Counter(run.findall(t)).items():
+                    r = r.lower() if r.isascii() else r.translate(lower)
+                    h = zlib.crc32(r.encode(), seed)
+                    if h % one_in == 0:
+                        at = h % len(r)
+                        r = r[:at] + r[at + 1:]
+                        if len(r) < least_length:
+                            continue
+                    total[r] += n
+            yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], ["word", "n"])
+
+    words = d.mapInArrow(count, "word string, n long")
+    return words.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= least_count)
 
 
 def letter_parts(words: DataFrame, parts: int = PARTS) -> list[int]:
@@ -103,34 +120,54 @@ def _counts(flat, offsets):
     return np.bincount(row * len(LETTERS) + flat, minlength=n * len(LETTERS)).reshape(n, len(LETTERS))
 
 
+def _grid(flat, offsets, longest: int = 64):
+    """The words up to ``longest`` letters as rows of a matrix, padded by 255, at
+    the left and at the right end; row 0 stands for the longer ones."""
+    import numpy as np
+    lengths = np.diff(offsets)
+    short = lengths <= longest
+    row = np.where(short, np.cumsum(short), 0)
+    width = int(lengths[short].max(initial=0)) + 1
+    out = []
+    for shift in (np.zeros(len(lengths), np.int64), width - lengths):
+        grid = np.full((int(short.sum()) + 1, width), 255, np.uint8)
+        at = np.repeat(row, lengths)
+        column = np.arange(len(flat)) - np.repeat(offsets[:-1] - shift, lengths)
+        grid[at[at > 0], column[at > 0]] = flat[at > 0]
+        out.append(grid)
+    return row, out
+
+
 def _one_edit(flat, offsets, a, b):
     """Which of the pairs (a[i], b[i]), b's word as long or one letter longer,
     are one edit apart."""
     import numpy as np
     la, lb = offsets[a + 1] - offsets[a], offsets[b + 1] - offsets[b]
+    row, (left, right) = _grid(flat, offsets)
     ok = np.zeros(len(a), bool)
-    for length in np.unique(la):
-        for extra in (0, 1):
-            of = np.flatnonzero((la == length) & (lb == length + extra))
-            step = max(1, 4_000_000 // max(1, int(length)))
-            for s in range(0, len(of), step):
-                w = of[s:s + step]
-                at = np.arange(length)
-                x = flat[offsets[a[w]][:, None] + at]
-                same = x == flat[offsets[b[w]][:, None] + at]
-                if not extra:
-                    ok[w] = (~same).sum(1) == 1
-                    continue
-                # an inserted letter: equal up to it, and equal after it
-                ahead = np.logical_and.accumulate(same, 1).sum(1)
-                tail = x == flat[offsets[b[w]][:, None] + at + 1]
-                behind = np.logical_and.accumulate(tail[:, ::-1], 1).sum(1)
-                ok[w] = ahead + behind >= length
+    for s in range(0, len(a), 100_000):
+        x, y, m, extra = row[a[s:s + 100_000]], row[b[s:s + 100_000]], la[s:s + 100_000], (lb > la)[s:s + 100_000]
+        here = ok[s:s + 100_000]
+        of = np.flatnonzero(~extra & (x > 0) & (y > 0))
+        here[of] = (left[x[of]] != left[y[of]]).sum(1) == 1
+        # an inserted letter: equal up to it, and equal after it
+        of = np.flatnonzero(extra & (x > 0) & (y > 0))
+        ahead = (left[x[of]] != left[y[of]]).argmax(1)
+        behind = (right[x[of]] != right[y[of]])[:, ::-1].argmax(1)
+        here[of] = ahead + behind >= m[of]
+    for i in np.flatnonzero((row[a] == 0) | (row[b] == 0)).tolist():  # very long words, one by one
+        x, y = (flat[offsets[j]:offsets[j + 1]] for j in (a[i], b[i]))
+        if len(x) == len(y):
+            ok[i] = (x != y).sum() == 1
+        else:
+            ahead, behind = np.append(x != y[:-1], True).argmax(), np.append((x != y[1:])[::-1], True).argmax()
+            ok[i] = ahead + behind >= len(x)
     return ok
 
 
 def _near_in_chunk(words, starts, side, cross, weights):
-    """Pairs of row numbers (shorter word first) that are near, block by block.
+    """Pairs of row numbers (shorter word first) whose vectors are as far apart as
+    one edit takes them, block by block.
 
     ``starts``: first row of each block and the end; rows of a block are in
     order of length.  ``cross``: the block is a cell of two different sides,
@@ -139,9 +176,12 @@ def _near_in_chunk(words, starts, side, cross, weights):
     flat, offsets = _letters(words)
     lengths = np.diff(offsets)
     counts = _counts(flat, offsets)
-    kind = np.float32 if lengths.max(initial=0) < 2_000 else np.float64
-    norms = (counts * counts).sum(1)
-    x, keys = counts.astype(kind), (counts.astype(np.uint64) @ weights)
+    kind = np.float32 if lengths.max(initial=0) < 2_000 else np.float64  # whole numbers and halves stay exact
+    half, ones = (counts * counts).sum(1, keepdims=True) / 2, np.ones((len(counts), 1))
+    used = counts.any(0)
+    # the product of a row of x and a row of y is minus half the squared distance
+    x, y = np.hstack([counts[:, used], -half, ones]).astype(kind), np.hstack([counts[:, used], ones, -half]).astype(kind)
+    keys = counts.astype(np.uint64) @ weights
     left, right, blocks = [], [], []
     for j, (s, e) in enumerate(zip(starts, starts[1:])):
         if e - s < 2:
@@ -157,10 +197,16 @@ def _near_in_chunk(words, starts, side, cross, weights):
         for p, q, r, t in spans:
             for u in range(r, t, STRIP):
                 v = min(u + STRIP, t)
-                far = norms[p:q, None] + norms[None, u:v] - 2 * (x[p:q] @ x[u:v].T)
-                a, b = np.nonzero(far <= 2)
+                g = x[p:q] @ y[u:v].T
+                at = np.flatnonzero(g >= -1)
+                at = at[g.ravel()[at] < 0]
+                if not len(at):
+                    continue
+                a, b = np.divmod(at, v - u)
                 a, b = a + p, b + u
-                good = (a < b) & (lengths[b] - lengths[a] <= 1)
+                # one replaced letter: distance two; one inserted: distance one
+                apart = -2 * g.ravel()[at]
+                good = (a < b) & (lengths[b] - lengths[a] == 2 - apart)
                 if cross[j]:
                     good &= side[a] != side[b]
                 if good.any():
@@ -185,18 +231,21 @@ def _pairs(weights):
             for c in name:
                 change[1:] |= c[1:] != c[:-1]
             starts = [0, *np.flatnonzero(change).tolist(), len(words)]
-            first = np.array(starts[:-1])
-            found = _near_in_chunk(words, starts, side, name[2][first] != name[3][first], weights)
+            lead = np.array(starts[:-1])
+            found = _near_in_chunk(words, starts, side, name[2][lead] != name[3][lead], weights)
             if found is None:
                 return
             a, b, j, keys, flat, offsets = found
-            k = name[0][first][j]
+            k = name[0][lead][j]
             # a pair may share several blocks: it counts in the first
-            earlier = (keys[a] == keys[b]) & (np.arange(keys.shape[1])[None, :] < k[:, None])
-            a, b = a[~earlier.any(1)], b[~earlier.any(1)]
+            first = np.ones(len(a), bool)
+            for m in range(1, keys.shape[1]):
+                of = np.flatnonzero(k == m)
+                first[of] = ~(keys[a[of], :m] == keys[b[of], :m]).any(1)
+            a, b = a[first], b[first]
             ok = _one_edit(flat, offsets, a, b)
-            w = np.array(words, object)
-            yield pa.RecordBatch.from_arrays([pa.array(w[a[ok]], pa.string()), pa.array(w[b[ok]], pa.string())], ["a", "b"])
+            w = t.column("word").combine_chunks()
+            yield pa.RecordBatch.from_arrays([w.take(pa.array(a[ok])), w.take(pa.array(b[ok]))], ["a", "b"])
 
         held, n = [], 0
         for batch in batches:
