@@ -517,7 +517,8 @@ class WallWindows(Timed):
                 self.counts.removeKey(k)
             else:
                 left.append(int(k[0]) + self.size + self.delay)
-        self.sleep(min(left) if left else None)
+        # never at the time of the timer that went off: Spark removes that one afterwards
+        self.sleep(max(min(left), timerValues.getCurrentProcessingTimeInMs() + 1) if left else None)
         if out:
             yield self._out(out)
 

@@ -245,22 +245,17 @@ def test_wallclock_windows_with_a_fixed_clock(spark):
     # the clock stands at 1,000,000: the watermark is 995,000, so windows that end up to there are closed
     rows = _live(spark, jobs.wallclock_counts(r.stream, 10_000, 5_000, 5_000, clock=lambda: now), "wall", lambda t: t.count() >= 2)
     assert sorted((x.late_ts_ms, x.kind) for x in rows) == [(970_000, "late"), (988_000, "late")]
-    later = _live(spark, jobs.wallclock_counts(r.stream, 10_000, 5_000, 5_000, clock=Ticking(now)), "wall2", lambda t: t.where("kind = 'window'").count() >= 2)
+    flag = os.path.join(tempfile.mkdtemp(prefix="cabflow-clock-"), "later")
+
+    def seen(t):
+        if t.count() >= 2:
+            open(flag, "w").close()
+        return t.where("kind = 'window'").count() >= 2
+    later = _live(spark, jobs.wallclock_counts(r.stream, 10_000, 5_000, 5_000, clock=lambda: now + 60_000 * os.path.exists(flag)), "wall2", seen)
     got = {(x.window_start_ms, x.n) for x in later if x.kind == "window"}
     assert got == {(990_000, 2), (995_000, 1)}
 
 
-class Ticking:
-    """The first looks see the rows come in, later ones a minute on."""
-
-    def __init__(self, now):
-        self.now, self.looks = now, 0
-
-    def __call__(self):
-        self.looks += 1
-        return self.now if self.looks == 1 else self.now + 60_000
-
-
 def test_groups_survive_a_restart(spark):
     """Stopped in the middle of a group; a batch whose commit is lost runs again."""
     src, out, ck = (tempfile.mkdtemp(prefix=f"cabflow-{x}-") for x in ("gs", "go", "gc"))
