@@ -48,7 +48,7 @@ def with_watermark(df: DataFrame, ts: str, arrival: str | None, tie: str, delay_
     order = [tie]
     if arrival is not None:
         base, order = base.withColumn("_arr_us", micros(arrival)), ["_arr_us", tie]
-    s = keyed_scan(base, list(keys or []), order, [Agg("_prev_max", "max", "_wm_src", inclusive=False)], time=arrival is not None)
+    s = keyed_scan(base, list(keys or []), order, [Agg("_prev_max", "max", "_wm_src", inclusive=False)])
     return (s.withColumn(out, F.col("_prev_max") - F.lit(delay_us))
              .drop("_wm_src", "_arr_us", "_prev_max"))
 
@@ -78,7 +78,7 @@ def sort_by_event_time(on_time: DataFrame, keys: list[str], ts: str, tie: str,
     (ts, tie) per key.  ``pos`` (1-based) makes that order part of the data.
     """
     base = on_time.withColumn("_t_us", micros(ts))
-    s = keyed_scan(base, keys, ["_t_us", tie], [Agg(out, "count")], time=True)
+    s = keyed_scan(base, keys, ["_t_us", tie], [Agg(out, "count")])
     return s.drop("_t_us")
 
 
@@ -117,7 +117,7 @@ def window_firings(df: DataFrame, ts: str, arrival: str, tie: str, size: str, de
     again = F.coalesce(micros("window_end") - F.lit(edge_us) <= F.col("wm_us"), F.lit(False))
     rows = kept.select(*by, micros(arrival).alias("_arr_us"), F.col(tie).alias("_tie"), again.alias("_again"))
     first = rows.groupBy(*by).agg(F.count_if(~F.col("_again")).alias("_first")).where("_first > 0")
-    later = keyed_scan(rows.where("_again"), by, ["_arr_us", "_tie"], [Agg("_nth", "count")], time=True)
+    later = keyed_scan(rows.where("_again"), by, ["_arr_us", "_tie"], [Agg("_nth", "count")])
     named = first.select(*[F.col(c).alias(f"_w{i}") for i, c in enumerate(by)], F.col("_first"))
     on = [F.col(c).eqNullSafe(F.col(f"_w{i}")) for i, c in enumerate(by)]
     refired = later.join(named, on, "left").select(*by, (F.col("_nth") + F.col("_first").isNotNull().cast("int")).cast("int").alias("firing"),

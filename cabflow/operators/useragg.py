@@ -74,7 +74,7 @@ def aggregate_by(df: DataFrame, keys: list[str], order: list[str], value: str, a
     prepare(df.sparkSession)
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     s = slotted(df.select(*dict.fromkeys([*keys, *order, value])), keys, order, width)
-    place = s.by[len(s.key):]
+    place = s.by[len(keys):]
     key_fields, k = [df.schema[c] for c in keys], len(keys)
 
     # The values of a slot, in order.

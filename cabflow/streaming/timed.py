@@ -587,7 +587,7 @@ def rest_sorted(spark: SparkSession, checkpoint: str) -> DataFrame:
     """Rows a stopped ``JobSorter`` holds, with their place among them: car, id, ts_ms, event, pos."""
     from cabflow.operators.scan import Agg, keyed_scan
     rows = held_rows(spark, checkpoint, "rows").select("list_element.*")
-    return keyed_scan(rows, ["car"], ["ts_ms", "seq"], [Agg("pos", "count")], time=True).drop("seq")
+    return keyed_scan(rows, ["car"], ["ts_ms", "seq"], [Agg("pos", "count")]).drop("seq")
 
 
 def rest_segments(spark: SparkSession, checkpoint: str) -> DataFrame:

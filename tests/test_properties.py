@@ -17,11 +17,11 @@ rows_st = st.lists(st.tuples(st.integers(0, 4), st.integers(0, 600), st.integers
                    min_size=1, max_size=120)
 
 
-@pytest.fixture(params=["3600000000", "60000000"])
+@pytest.fixture(params=["262144", "4"])
 def strategy(request, spark):
-    spark.conf.set("cabflow.scan.slotMicros", request.param)
+    spark.conf.set("cabflow.scan.slotRows", request.param)
     yield request.param
-    spark.conf.unset("cabflow.scan.slotMicros")
+    spark.conf.unset("cabflow.scan.slotRows")
 
 
 def _df(spark, rows):
