@@ -12,7 +12,7 @@
    improves (or the gap to the dual bound is below ``gap``).  Patterns are
    rounded down; the few pieces that remain (a bounded number) are
    packed by decreasing length.
-4. Pieces are ranked within their class (salted, then offset) and the n-th
+4. Pieces are numbered within their class (an ordered scan) and the n-th
    piece of a class goes to the sequence that holds the n-th place for it.
 
 Defined cases: null and empty texts are one end id; repeated rows are packed
@@ -24,17 +24,18 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cabflow.llm.common import prepare, require, stored
+from cabflow.llm.common import prepare, require, small_batches, stored
+from cabflow.operators.scan import Agg, keyed_scan
 
 LENGTH, END_ID, GRAIN, GAP, MAX_PIVOTS = 2048, 1, 16, 1e-3, 4000
-CACHE = 500_000
-SALTS = 64
+CACHE = 200_000
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary"
 # White space other than a single space or line end; text that the tokenizer reads as a special token.
 _ODD = re.compile(r"[^\S \n]|  | \n|\n[ \n]|^[ \n]|[ \n]\Z|<\|endoftext\|>")
@@ -42,45 +43,137 @@ _MAYBE_ODD = b"\t\r\x0b\x0c\x1c\x1d\x1e\x1f\xc2\xe1\xe2\xe3"
 
 
 class WordIds:
-    """Ids of texts as little-endian unsigned 32-bit numbers, by word."""
+    """Ids of texts, by word: a batch is split and its words numbered in Arrow,
+    words not met lately are tokenized, and ids are gathered with numpy offsets.
+
+    Words of letters below U+0250 whose vocabulary has its merges in the order of
+    their ids (checked when the file is read) are merged by ranks; all others go to
+    the tokenizer itself.  Two generations of at most ``CACHE`` words are kept."""
 
     def __init__(self, path: str):
         import os
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.words: dict[str, bytes] = {}
+        self.by_rank, self.line = rank_encoder(path)
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     @staticmethod
-    def splits(text: str) -> list[str] | None:
-        """The words of a text, or None if it must go to the tokenizer whole."""
+    def by_words(text: str) -> bool:
+        """Does the tokenizer cut this text before every single space and line end?"""
         if "  " in text or " \n" in text or "\n\n" in text or "\n " in text or text[0] in " \n" or text[-1] in " \n" or "<|" in text:
-            return None
+            return False
         raw = text.encode("utf-8", "surrogatepass")
-        if len(raw.translate(None, _MAYBE_ODD)) != len(raw) and _ODD.search(text):
-            return None
-        return text.replace("\n", " \n").split(" ")
+        return len(raw.translate(None, _MAYBE_ODD)) == len(raw) or not _ODD.search(text)
+
+    def words(self, words: list[str]) -> list[bytes]:
+        """Ids of words that a space (or their own line end) precedes."""
+        young, old, new = self.young, self.old, []
+        for w in words:
+            if w not in young:
+                b = old.get(w)
+                if b is None:
+                    new.append(w)
+                else:
+                    young[w] = b
+        fast = [w for w in new if w[0] != "\n" and (w.isascii() or max(w) < "\u0250")] if self.by_rank else []
+        young.update(zip(fast, self.ranked(fast)))
+        slow = [w for w in new if w not in young]
+        young.update(zip(slow, self.whole([w if w[0] == "\n" else " " + w for w in slow])))
+        out = list(map(young.__getitem__, words))
+        if len(young) > CACHE:
+            self.old, self.young = young, {}
+        return out
+
+    def ranked(self, words: list[str]) -> list[bytes]:
+        """Ids of the words in one call: a line end between two words is an id of
+        its own, which no word holds."""
+        if not words:
+            return []
+        ids = self.by_rank(" " + "\n ".join(words))
+        ends = [*np.flatnonzero(ids == self.line).tolist(), len(ids)]
+        if len(ends) != len(words):
+            return []
+        data = ids.astype("<u4").tobytes()
+        return [data[4 * x:4 * y] for x, y in zip([0, *(e + 1 for e in ends[:-1])], ends)]
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
-        parts = [self.splits(t) if t else None for t in texts]
-        if len(self.words) > CACHE:
-            self.words.clear()
-        missing = set().union(*(p[1:] for p in parts if p)).difference(self.words) if parts else set()
-        if missing:
-            new = list(missing)
-            self.words.update(zip(new, self.whole([w if w[0] == "\n" else " " + w for w in new])))
-        plain = [i for i, (t, p) in enumerate(zip(texts, parts)) if t and not p]
-        first = [i for i, p in enumerate(parts) if p]
-        out = [b""] * len(texts)
-        for i, b in zip(plain, self.whole([texts[i] for i in plain])):
-            out[i] = b
-        get = self.words.__getitem__
-        for i, b in zip(first, self.whole([parts[i][0] for i in first])):
-            out[i] = b + b"".join(map(get, parts[i][1:]))
-        return out
+        """Ids of each text as little-endian unsigned 32-bit numbers."""
+        flat, begin = self.encoded(texts, 0)
+        return [flat[x:y - 1].tobytes() for x, y in zip(begin.tolist(), [*begin[1:].tolist(), len(flat)])]
+
+    def encoded(self, texts: list[str | None], end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts, an end id after each, and where each text begins."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        kind = np.array([0 if not t else 1 if self.by_words(t) else 2 for t in texts], np.int8)
+        split, odd = np.flatnonzero(kind == 1), np.flatnonzero(kind == 2)
+        pool = [array("I", [end_id]).tobytes(), *self.whole([texts[i] for i in odd.tolist()])]
+        parts = np.ones(len(texts), np.int64)  # places of each text: words or the whole, then the end
+        parts[odd] = 2
+        if len(split):
+            lists = pc.split_pattern(pc.replace_substring(pa.array([texts[i] for i in split.tolist()], pa.large_string()), "\n", " \n"), " ")
+            starts = lists.offsets.to_numpy()
+            parts[split] = np.diff(starts) + 1
+            flat = lists.flatten()
+            first = pool_at = len(pool)
+            pool += self.whole(flat.take(pa.array(starts[:-1])).to_pylist())
+            pool_at = len(pool)
+            coded = flat.dictionary_encode()
+            codes = coded.indices.to_numpy().astype(np.int64) + pool_at
+            codes[starts[:-1]] = first + np.arange(len(split))
+            used = np.zeros(len(coded.dictionary), bool)
+            used[np.delete(codes, starts[:-1]) - pool_at] = True
+            at = np.flatnonzero(used)
+            place = np.cumsum(used) - 1
+            rest = np.ones(len(codes), bool)
+            rest[starts[:-1]] = False
+            codes[rest] = pool_at + place[codes[rest] - pool_at]
+            pool += self.words(coded.dictionary.take(pa.array(at)).to_pylist())
+        begin = np.cumsum(parts) - parts
+        order = np.zeros(int(parts.sum()), np.int64)
+        order[begin[odd]] = 1 + np.arange(len(odd))
+        if len(split):
+            inside = np.repeat(kind == 1, parts)
+            inside[begin + parts - 1] = False
+            order[inside] = codes
+        size = np.fromiter(map(len, pool), np.int64, len(pool)) // 4
+        source = np.cumsum(size) - size
+        length = size[order]
+        target = np.cumsum(length) - length
+        ids = np.frombuffer(b"".join(pool), "<u4")
+        out = ids[np.repeat(source[order] - target, length) + np.arange(int(length.sum()))]
+        return out, target[begin]
+
+
+def rank_encoder(path: str):
+    """A merge by ranks (tiktoken) of the vocabulary in ``path``, texts to arrays of
+    ids, and the id of a line end; (None, 0) where ids do not stand for the order of merges."""
+    import json
+
+    import tiktoken
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    model = spec["model"]
+    if model.get("type") != "BPE" or spec.get("normalizer") or (spec.get("pre_tokenizer") or {}).get("type") != "ByteLevel" or model.get("dropout"):
+        return None, 0
+    # Byte-level vocabularies write the bytes that do not print as letters from U+0100 on.
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    letter = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in shown)}
+    special = {t["content"] for t in spec.get("added_tokens", [])}
+    vocab = {k: v for k, v in model["vocab"].items() if k not in special}
+    merges = ["".join(m if isinstance(m, list) else m.split(" ")) for m in model["merges"]]
+    ordered = [vocab.get(m, -1) for m in merges]
+    if ordered != sorted(ordered) or ordered[0] < 256 or any(c not in letter for k in vocab for c in k):
+        return None, 0
+    ranks = {bytes(letter[c] for c in k): v for k, v in vocab.items()}
+    from public_tokenizers import PATTERN
+    encoding = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return lambda text: encoding.encode_to_numpy(text, disallowed_special=()), ranks[b"\n"]
 
 
 _WORD_IDS: dict[str, WordIds] = {}
@@ -104,16 +197,16 @@ def pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenize
         if path not in _WORD_IDS:
             _WORD_IDS[path] = WordIds(path)
         words = _WORD_IDS[path]
-        end, step = int(end_id).to_bytes(4, "little"), 4 * length
         for b in batches:
-            ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
-            for s in range(0, len(texts), 256):
+            docs, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
+            for s, e in small_batches(texts, 2_000_000):
+                ids, begin = words.encoded(texts[s:e], end_id)
+                data = memoryview(ids.tobytes())
                 rows = []
-                for d, data in zip(ids[s:s + 256], words.ids(texts[s:s + 256])):
-                    data += end
-                    for o in range(0, len(data), step):
-                        p = data[o:o + step]
-                        rows.append((d, o // 4, len(p) // 4, zlib.crc32(p), len(data) // 4, p if keep_ids else None))
+                for d, x, y in zip(docs[s:e], begin.tolist(), [*begin[1:].tolist(), len(ids)]):
+                    for o in range(x, y, length):
+                        p = data[4 * o:4 * min(o + length, y)]
+                        rows.append((d, o - x, len(p) // 4, zlib.crc32(p), y - x, bytes(p) if keep_ids else None))
                 cols = list(zip(*rows))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [pa.int64()] * 5 + [pa.binary()])],
                                                  names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"])
@@ -220,19 +313,14 @@ def pack(cut: DataFrame, length: int = LENGTH, grain: int = GRAIN, gap: float =
     spark = cut.sparkSession
     keep = cut.columns
     group = F.when(F.col("length") == length, F.lit(0)).otherwise(F.ceil(F.col("length") / grain)).cast("int")
-    # The salt spreads a class that holds most pieces; its value depends on the row alone.
-    d = cut.withColumn("class", group).withColumn("salt", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(SALTS)).cast("int"))
-    counts = d.groupBy("class", "salt").count().collect()  # at most (length / grain + 1) * SALTS rows
-    offsets, totals = [], {}
-    for r in sorted(counts, key=lambda r: (r["class"], r["salt"])):
-        offsets.append((r["class"], r["salt"], totals.get(r["class"], 0)))
-        totals[r["class"]] = totals.get(r["class"], 0) + r["count"]
-    full = totals.pop(0, 0)
+    d = cut.withColumn("class", group)
+    totals = {r["class"]: r["count"] for r in d.groupBy("class").count().collect()}  # at most length / grain + 1 rows
+    every, full = sum(totals.values()), totals.pop(0, 0)
     rows, n = places(totals, length // grain, gap)
-    rank = F.row_number().over(Window.partitionBy("class", "salt").orderBy("doc_id", "start", "ids_crc32")) - 1
-    starts = spark.createDataFrame(offsets, "class int, salt int, first long")
-    ranked = d.withColumn("in_salt", rank).join(F.broadcast(starts), ["class", "salt"]).withColumn("rank", F.col("in_salt") + F.col("first"))
-    # Bounded tables: offsets have SALTS rows a class; places a row per class and pattern, and one per piece of the bounded rest.
+    # A class may hold most pieces: an ordered scan numbers them, in at most about four slots for each partition.
+    width = max(4_096, every // (4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    ranked = keyed_scan(d, ["class"], ["doc_id", "start", "ids_crc32"], [Agg("rank", "count", inclusive=True)], width).withColumn("rank", F.col("rank") - 1)
+    # A bounded table: a row per class and pattern, and one per piece of the bounded rest.
     where = spark.createDataFrame([(0, 0, full, 1, n, 0)] + rows, "class int, from_rank long, to_rank long, per long, sequence long, place int")
     put = (ranked.join(F.broadcast(where.withColumnRenamed("class", "c")), (F.col("class") == F.col("c")) & (F.col("rank") >= F.col("from_rank")) & (F.col("rank") < F.col("to_rank")))
            .withColumn("sequence_id", F.col("sequence") + F.floor((F.col("rank") - F.col("from_rank")) / F.col("per"))))

@@ -9,7 +9,7 @@ import zlib
 import numpy as np
 import pytest
 
-from cabflow.llm import convtrie, spelling, substrings
+from cabflow.llm import convtrie, minhash, packing, spelling, substrings
 
 DOC = "doc_id long, text string, word string, n long, bucket int"
 CONV = "conv_id long, turn long, role string, text string, c long, depth long"
@@ -244,3 +244,49 @@ def test_trie_turnless_and_empty(spark):
     assert [tuple(r) for r in got] == [(c, 0, None, 1, 0, 1, 0, hashlib.sha256(str(c).encode()).hexdigest())]
     assert convtrie.conversation_trie(convs(spark, [(None, 0, "u", "x")])).count() == 0
     assert convtrie.conversation_trie(convs(spark, [(1, 0, "u", "x")]).where("conv_id > 1")).count() == 0
+
+
+# ------------------------------------------------------------------- packing
+
+def test_ranked_words_equal_the_tokenizer():
+    """Words merged by ranks, also of letters near U+0250, and the two generations of the cache."""
+    from tokenizers import Tokenizer
+    path = packing.default_tokenizer()
+    t, rng = Tokenizer.from_file(path), random.Random(6)
+    ids = packing.WordIds(path)
+    assert ids.by_rank is not None
+    old, packing.CACHE = packing.CACHE, 300
+    try:
+        for _ in range(12):
+            texts = [" ".join("".join(rng.choice("abcdeéñßſəɐɏ'.,12") for _ in range(rng.randint(1, 9))) for _ in range(rng.randint(1, 60))) for _ in range(40)]
+            texts += ["", None, "one", "\n" * 3, "漢字 🙂 x", "a\u00a0b c"]
+            for s, got in zip(texts, ids.ids(texts)):
+                assert np.frombuffer(got, "<u4").tolist() == t.encode(s or "", add_special_tokens=False).ids, repr(s)
+    finally:
+        packing.CACHE = old
+
+
+def test_packing_odd(spark):
+    """Nulls, empty and very long texts, repeated rows, null ids, clashing columns: an exact round trip."""
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(packing.default_tokenizer())
+    rows = [(1, None), (2, ""), (3, "word " * 9000 + "x" * 40_000), (4, "same text"), (4, "same text"), (None, "no id"), (5, " \n\t ")] + [(i, f"short text {i}") for i in range(10, 60)]
+    d = spark.createDataFrame([(i, x, 1, 2, "c", 3) for i, x in rows], "doc_id long, text string, sequence_id long, offset long, class string, rank long")
+    out = packing.pack_documents(d, keep_ids=True).collect()
+    want = collections.Counter()
+    for i, x in rows:
+        ids = t.encode(x or "", add_special_tokens=False).ids + [1]
+        for s in range(0, len(ids), 2048):
+            p = np.array(ids[s:s + 2048], "<u4").tobytes()
+            want[i, s, len(p) // 4, zlib.crc32(p), len(ids)] += 1
+    assert collections.Counter((r.doc_id, r.start, r.length, r.ids_crc32, r.doc_tokens) for r in out) == want
+    by = collections.defaultdict(list)
+    for r in out:
+        by[r.sequence_id].append((r.offset, r.length))
+    for places in by.values():
+        at = 0
+        for o, n in sorted(places):
+            assert o == at
+            at += n
+        assert at <= 2048
+    assert sorted(by) == list(range(len(by)))
