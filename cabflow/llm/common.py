@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cabflow.session import prepare
 from cabflow.sources.tables import table
 
-__all__ = ["prepare", "table", "stored", "shared_folder", "require", "small_batches", "blocked"]
+__all__ = ["prepare", "table", "stored", "discard", "shared_folder", "require", "small_batches", "blocked", "dealt"]
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -29,6 +29,17 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``stored`` that nothing will read again (what was made
+    from them is written itself)."""
+    for df in tables:
+        spark = df.sparkSession
+        for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            if "/cabflow-llm/" in name:
+                path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+                path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def require(df: DataFrame, **columns: str) -> None:
     """Raise ValueError if a column the caller named is missing."""
     missing = [c for c in columns.values() if c is not None and c not in df.columns]
@@ -70,6 +81,20 @@ def blocked(df: DataFrame, keys: list[str], row: str, rows_per_block: int) -> Da
              .drop("__n", "__b", "__o"))
 
 
+def dealt(df: DataFrame, keys: list[str], row: str, rows_per_block: int) -> DataFrame:
+    """``blocked`` for narrow rows of groups that all have several: only groups
+    above ``rows_per_block`` are looked up, so that no row moves by its group's key
+    before a hot group is cut (their table is written first: where it is small,
+    Spark broadcasts it)."""
+    hot = stored(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > rows_per_block))
+    sides = F.coalesce(F.ceil(F.col("__n") / F.lit(rows_per_block)), F.lit(1)).cast("int")
+    d = df.join(hot, keys, "left").withColumn("__b", sides)
+    d = d.withColumn("block", F.pmod(F.xxhash64(F.col(row)), F.col("__b")).cast("int"))
+    d = d.withColumn("__o", F.explode(F.sequence(F.lit(0), F.col("__b") - 1)))
+    return (d.withColumn("cell_i", F.least("block", "__o")).withColumn("cell_j", F.greatest("block", "__o"))
+             .drop("__n", "__b", "__o"))
+
+
 def map_groups(df: DataFrame, keys: list[str], fn, schema: str, then: list[str] | None = None) -> DataFrame:
     """Call ``fn(table)`` with the rows of each group as one pyarrow table
     (sorted by ``then``) and return the record batches it yields.
@@ -121,12 +146,15 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int =
     for _ in range(most_rounds):
         near = (e.join(labels.withColumnRenamed("id", "v"), "v").groupBy(F.col("u").alias("id")).agg(F.min("component").alias("near")))
         seen = stored(labels.join(near, "id"))
+        discard(labels)
         given = seen.groupBy(F.col("component").alias("id")).agg(F.min("near").alias("given"))
         step = stored(seen.join(given, "id", "left").select("id", F.col("component").alias("old"), F.least("component", "near", "given").alias("component")))
         up = step.select(F.col("id").alias("component"), F.col("component").alias("above"))
         new = stored(step.join(up, "component").select("id", "old", F.least("component", "above").alias("component")))
+        discard(seen, step)
         changed = new.where("component < old").limit(1).count()
         labels = new.drop("old")
         if not changed:
+            discard(e)
             return labels
     raise RuntimeError(f"components did not settle in {most_rounds} rounds")

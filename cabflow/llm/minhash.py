@@ -16,16 +16,16 @@ in all slots of a band are candidates.
 Linking, without all pairs of a group:
 
 1. Texts with the same words are one class from the start (a 128-bit key).
-2. Every class of a bucket is verified, on its shingles, against the bucket's
-   centre: the class whose buckets are the largest, which in a group of edited
-   copies is the text they were made from.  Verified links are joined to
-   components.
-3. In buckets that still hold several components, classes are dealt over cells of
-   bounded size.  Pairs of different components whose signatures agree in
-   ``LEAST_AGREE`` of the slots (5 standard deviations below the threshold) are
-   verified on their shingles inside the cell, in the first band the pair
-   shares; a link found joins two components at once, and only links leave a
-   cell, fewer than it has rows.
+2. Every class of a bucket is compared with the bucket's centre: the class whose
+   buckets are the largest, which in a group of edited copies is the text they
+   were made from.  Pairs whose signatures agree in ``LEAST_AGREE`` of the slots
+   (5 standard deviations below the threshold) are verified on their shingles.
+   Verified links are joined to components.
+3. In buckets that still hold several components, ids and signatures of classes are
+   dealt over cells of bounded size.  Classes with a partner of another component
+   that agrees as much send their shingles to the cell and are verified there, in the
+   first band the pair shares; a link found joins two components at once, and only
+   links leave a cell, fewer than it has rows.
 
 So a pair of classes that shares a bucket is verified or already in one
 component.  With ``BANDS`` bands of ``ROWS`` slots a pair at the threshold shares
@@ -46,12 +46,14 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cabflow.llm.common import blocked, components, map_groups, prepare, require, small_batches, stored
+from cabflow.llm.common import components, dealt, map_groups, prepare, require, small_batches, stored
 
 WORDS, THRESHOLD = 5, 0.8
-BANDS, ROWS = 24, 4
+BANDS, ROWS = 24, 4  # a band's key holds 16 bits of each of its 4 rows
 SLOTS = BANDS * ROWS
 LEAST_AGREE, CELL = 0.6, 512
+#: Characters whose words and shingles a task holds as arrays at once (a longer text is taken whole).
+SLICE = 250_000
 
 _M1, _M2, _GOLD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 _BASE = np.uint64(0x5851F42D4C957F2D)
@@ -81,8 +83,8 @@ def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     ends = np.nonzero(inside & np.concatenate([space[1:], [True]]))[0] + 1
     owner = np.searchsorted(np.cumsum(lengths), starts, "right")
     hashes = np.empty(len(starts), np.uint64)
-    # Powers restart every few megabytes, so that they come from one small table.
-    power, inverse = _powers(1 << 22)
+    # Powers restart every 65,536 bytes, so that they come from one small table.
+    power, inverse = _powers(1 << 16)
     step = len(power) - 1
     with np.errstate(over="ignore"):
         a = 0
@@ -172,15 +174,15 @@ def signatures(h: np.ndarray, weight: np.ndarray, owner: np.ndarray, texts: int,
     return winner.reshape(texts, slots)
 
 
-def band_keys(signature: np.ndarray, bands: int = BANDS) -> np.ndarray:
-    """One 64-bit number for the slots of each band."""
-    parts = signature.reshape(len(signature), bands, -1)
-    with np.errstate(over="ignore"):
-        key = np.arange(1, bands + 1, dtype=np.uint64)[None, :] * _GOLD
-        key = np.repeat(key, len(signature), 0)
-        for r in range(parts.shape[2]):
-            key = scramble(key * _M1 + parts[:, :, r])
-    return key
+def band_keys(signature: np.ndarray) -> np.ndarray:
+    """One 64-bit number for the slots of each band: 16 bits of each of its ``ROWS``
+    winners.  So the keys are the signature, too, see ``agreement``."""
+    return np.ascontiguousarray((signature & np.uint64(0xFFFF)).astype("<u2")).view("<i8")
+
+
+def agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Share of equal slots of signatures given as band keys, row by row."""
+    return (np.ascontiguousarray(a).view("<u2") == np.ascontiguousarray(b).view("<u2")).mean(-1)
 
 
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -203,27 +205,30 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     return float((1 / (above / x + below / y)).sum())
 
 
-_SIGNED = "doc_id long, k1 long, k2 long, bands array<long>, slots binary"
+_SIGNED = "doc_id long, k1 long, k2 long, bands array<long>"
+
+
+def _bands(column) -> np.ndarray:
+    """A column of band keys as a matrix."""
+    c = column.combine_chunks() if hasattr(column, "combine_chunks") else column
+    return c.flatten().to_numpy(zero_copy_only=False).reshape(len(c), -1)
 
 
 def signed(docs: DataFrame, doc_id: str, text: str, words: int = WORDS) -> DataFrame:
-    """doc_id, text key, band keys and 32-bit slots of every row; key 0, 0 for no words."""
+    """doc_id, text key and band keys of every row; key 0, 0 for no words."""
 
     def run(batches):
         import pyarrow as pa
         for b in batches:
             ids, texts = b.column(0), b.column(1).to_pylist()
-            for s, e in small_batches(texts, 1_000_000):
+            for s, e in small_batches(texts, SLICE):
                 h, w, owner, keys = shingles(texts[s:e], words)
-                sig = signatures(h, w, owner, e - s)
-                bands = band_keys(sig).astype(np.int64)
-                short = (sig & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+                bands = band_keys(signatures(h, w, owner, e - s))
                 k = keys.astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(s, e - s), pa.array(k[:, 0]), pa.array(k[:, 1]),
-                     pa.ListArray.from_arrays(pa.array(np.arange(0, bands.size + 1, bands.shape[1], dtype=np.int32)), pa.array(bands.ravel())),
-                     pa.array([r.tobytes() for r in short], pa.binary())],
-                    names=["doc_id", "k1", "k2", "bands", "slots"])
+                     pa.ListArray.from_arrays(pa.array(np.arange(0, bands.size + 1, bands.shape[1], dtype=np.int32)), pa.array(bands.ravel()))],
+                    names=["doc_id", "k1", "k2", "bands"])
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, _SIGNED)
 
@@ -244,35 +249,97 @@ def unpack_set(data) -> tuple[np.ndarray, np.ndarray]:
     return h.view("<u8").ravel(), np.ones(n, np.uint32) if raw[0] else np.frombuffer(raw[1 + 6 * n:].tobytes(), "<u4")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose shingle sets (rep, sh) are similar enough."""
-    sides = (pairs.join(sets.select(F.col("rep").alias("a"), F.col("sh").alias("sa")), "a")
-             .join(sets.select(F.col("rep").alias("b"), F.col("sh").alias("sb")), "b").select("a", "b", "sa", "sb"))
+def likely(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose signatures (rep, bands) agree in ``LEAST_AGREE``
+    of the slots: 192 bytes a text, before any shingle set moves."""
+    sides = (pairs.join(reps.select(F.col("rep").alias("a"), F.col("bands").alias("sa")), "a")
+             .join(reps.select(F.col("rep").alias("b"), F.col("bands").alias("sb")), "b").select("a", "b", "sa", "sb"))
 
     def run(batches):
         import pyarrow as pa
         for t in batches:
-            sets = zip(t.column("sa"), t.column("sb"))
-            keep = [i for i, (x, y) in enumerate(sets) if similarity(unpack_set(x.as_buffer()), unpack_set(y.as_buffer())) >= threshold]
-            yield t.select(["a", "b"]).take(pa.array(keep, pa.int64()))
+            if t.num_rows:
+                keep = np.flatnonzero(agreement(_bands(t.column("sa")), _bands(t.column("sb"))) >= LEAST_AGREE)
+                yield t.select(["a", "b"]).take(pa.array(keep))
 
     return sides.mapInArrow(run, "a long, b long")
 
 
-def shingle_sets(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """rep and its distinct shingles with counts, as packed binary."""
+def with_sets(rows: DataFrame, columns: list[str], words: int = WORDS) -> DataFrame:
+    """``columns`` of rows with a ``text``, and its distinct shingles with counts as
+    packed binary ``sh``."""
 
     def run(batches):
         import pyarrow as pa
         for b in batches:
             texts = b.column("text").to_pylist()
-            for s, e in small_batches(texts, 1_000_000):
+            for s, e in small_batches(texts, SLICE):
                 h, w, owner, _ = shingles(texts[s:e], words)
                 cuts = np.searchsorted(owner, np.arange(e - s + 1))
-                yield pa.RecordBatch.from_arrays([b.column("rep").slice(s, e - s), pa.array([pack_set(h[x:y], w[x:y]) for x, y in zip(cuts, cuts[1:])], pa.binary())],
-                                                 names=["rep", "sh"])
+                sets = pa.array([pack_set(h[x:y], w[x:y]) for x, y in zip(cuts, cuts[1:])], pa.binary())
+                yield pa.RecordBatch.from_arrays([*[b.column(c).slice(s, e - s) for c in columns], sets], names=[*columns, "sh"])
+
+    kinds = {f.name: f.dataType for f in rows.schema.fields}
+    schema = ", ".join(f"{c} {kinds[c].simpleString()}" for c in columns)
+    return rows.select(*columns, "text").mapInArrow(run, f"{schema}, sh binary")
 
-    return docs.mapInArrow(run, "rep long, sh binary")
+
+def verified(pairs: DataFrame, texts: DataFrame, threshold: float, words: int = WORDS) -> DataFrame:
+    """Those of ``pairs`` (centre a, b) whose texts (rep, text) are similar enough.
+
+    The members of a centre are dealt over cells of ``CELL``; a text's shingle set
+    travels once to each cell it is in, the centre's first."""
+    pairs = stored(pairs)
+    size = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
+    cell = F.pmod(F.xxhash64("b"), F.ceil(F.col("n") / F.lit(CELL)))
+    members = pairs.join(size, "a").select("a", cell.cast("int").alias("cell"), F.col("b").alias("rep"), F.lit(1).alias("role"))
+    centres = members.select("a", "cell").distinct().select("a", "cell", F.col("a").alias("rep"), F.lit(0).alias("role"))
+    placed = stored(members.unionByName(centres))
+    sets = with_sets(placed.join(texts, "rep"), ["a", "cell", "role", "rep"], words)
+
+    def compare(t):
+        import pyarrow as pa
+        # repeated rows of an id are one text here
+        rows = dict.fromkeys(zip(t.column("role").to_pylist(), t.column("rep").to_pylist(), t.column("sh").to_pylist()))
+        heads = [unpack_set(sh) for role, _, sh in rows if role == 0]
+        members = ((rep, unpack_set(sh)) for role, rep, sh in rows if role == 1)
+        near = [rep for rep, s in members if any(similarity(h, s) >= threshold for h in heads)]
+        if near:
+            yield pa.RecordBatch.from_arrays([pa.array([t.column("a")[0].as_py()] * len(near), pa.int64()), pa.array(near, pa.int64())], names=["a", "b"])
+
+    return map_groups(sets, ["a", "cell"], compare, "a long, b long", ["role"])
+
+
+def _pairs_of(t, keep):
+    """Rows x of a cell with the rows y that may link with them: of another
+    component, alike in ``LEAST_AGREE`` of the slots, this being the first band the
+    pair shares.  ``keep(x, y)`` is called for each x."""
+    n = t.num_rows
+    part, block = t.column("part").to_numpy().copy(), t.column("block").to_numpy()
+    bands = _bands(t.column("bands"))
+    i, j, band = (t.column(c)[0].as_py() for c in ("cell_i", "cell_j", "band"))
+    right = np.flatnonzero(block == j) if n > 1 else []
+    for x in np.flatnonzero(block == i) if n > 1 else []:
+        y = right[right > x] if i == j else right
+        y = y[part[y] != part[x]]
+        y = y[agreement(bands[y], np.broadcast_to(bands[x], bands[y].shape)) >= LEAST_AGREE]
+        y = y[~(bands[y, :band] == bands[x, :band]).any(1)]
+        if len(y):
+            keep(x, y, part)
+
+
+def _hopeful(t):
+    """Rows of a cell that have a partner to be verified with."""
+    import pyarrow as pa
+    found = np.zeros(t.num_rows, bool)
+
+    def keep(x, y, part):
+        found[x] = True
+        found[y] = True
+
+    _pairs_of(t, keep)
+    if found.any():
+        yield from t.take(pa.array(np.flatnonzero(found))).to_batches()
 
 
 def _linker(threshold: float):
@@ -280,26 +347,16 @@ def _linker(threshold: float):
 
     def cell(t):
         import pyarrow as pa
-        n = t.num_rows
-        if n < 2:
-            return
-        ids, part, block = (t.column(c).to_numpy() for c in ("rep", "part", "block"))
-        part = part.copy()
-        slots = np.frombuffer(b"".join(t.column("slots").to_pylist()), np.uint32).reshape(n, -1)
-        bands = t.column("bands").combine_chunks().flatten().to_numpy().reshape(n, -1)
+        ids, links = t.column("rep").to_numpy(), []
         sets = [unpack_set(v.as_buffer()) for v in t.column("sh").combine_chunks()]
-        i, j, band = (t.column(c)[0].as_py() for c in ("cell_i", "cell_j", "band"))
-        right = np.nonzero(block == j)[0]
-        links = []
-        for x in np.nonzero(block == i)[0]:
-            y = right[right > x] if i == j else right
-            y = y[part[y] != part[x]]
-            y = y[(slots[y] == slots[x]).mean(1) >= LEAST_AGREE]
-            y = y[~(bands[y, :band] == bands[x, :band]).any(1)]
+
+        def keep(x, y, part):
             for k in y:
                 if part[k] != part[x] and similarity(sets[x], sets[k]) >= threshold:
                     links.append((ids[x], ids[k]))
                     part[part == part[k]] = part[x]
+
+        _pairs_of(t, keep)
         if links:
             a, b = zip(*links)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
@@ -316,7 +373,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     some = every.where("doc_id is not null and not (k1 = 0 and k2 = 0)")
     firsts = some.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"))
     members = stored(some.select("doc_id", "k1", "k2").join(firsts, ["k1", "k2"]))
-    reps = some.join(firsts, ["k1", "k2"]).where("doc_id = rep").dropDuplicates(["k1", "k2"])
+    reps = stored(some.join(firsts, ["k1", "k2"]).where("doc_id = rep").dropDuplicates(["k1", "k2"]).select("rep", "bands"))
     bands = reps.select("rep", F.posexplode("bands").alias("band", "key"))
     shared = (bands.groupBy("band", "key").agg(F.min("rep").alias("least"), F.max("rep").alias("most"), F.count(F.lit(1)).alias("n")).where("least < most"))
     in_bucket = stored(bands.join(shared.select("band", "key", "n"), ["band", "key"]))
@@ -324,19 +381,19 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     weighed = in_bucket.join(weights, "rep")
     centres = (weighed.groupBy("band", "key").agg(F.max(F.struct("weight", (-F.col("rep")).alias("minus"))).alias("top"))
                .select("band", "key", (-F.col("top.minus")).alias("a")))
-    stars = stored(in_bucket.join(centres, ["band", "key"]).where("rep <> a").select("a", F.col("rep").alias("b")).distinct())
-    wanted = in_bucket.select("rep").distinct()
-    texts = docs.select(F.col(doc_id).cast("long").alias("rep"), F.col(text).cast("string").alias("text")).join(wanted, "rep", "left_semi")
-    sets = stored(shingle_sets(texts, words))
-    links = stored(verified(stars, sets, threshold))
+    stars = in_bucket.join(centres, ["band", "key"]).where("rep <> a").select("a", F.col("rep").alias("b")).distinct()
+    texts = docs.select(F.col(doc_id).cast("long").alias("rep"), F.col(text).cast("string").alias("text"))
+    links = stored(verified(likely(stars, reps), texts, threshold, words).distinct())
     first = components(links)
-    # Buckets that still hold several components.
+    # Buckets that still hold several components: ids and signatures first, sets only of texts that have a likely partner.
     tagged = in_bucket.select("band", "key", "rep").join(first.withColumnRenamed("id", "rep"), "rep", "left").withColumn("part", F.coalesce("component", "rep")).drop("component")
     open_ = tagged.groupBy("band", "key").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi").select("band", "key")
-    rest = (tagged.join(open_, ["band", "key"]).join(reps.select("rep", "slots", "bands"), "rep").join(sets.dropDuplicates(["rep"]), "rep"))
-    cells = blocked(rest, ["band", "key"], "rep", CELL)
+    rest = stored(tagged.join(open_, ["band", "key"]))
     keys = ["band", "key", "cell_i", "cell_j"]
-    again = stored(map_groups(cells.select(*keys, "block", "rep", "part", "slots", "bands", "sh"), keys, _linker(threshold), "a long, b long").distinct())
+    columns = [*keys, "block", "rep", "part", "bands"]
+    cells = dealt(rest, ["band", "key"], "rep", CELL).join(reps, "rep").select(*columns)
+    hopeful = stored(map_groups(cells, keys, _hopeful, "band int, key long, cell_i int, cell_j int, block int, rep long, part long, bands array<long>"))
+    again = stored(map_groups(with_sets(hopeful.join(texts, "rep"), columns, words), keys, _linker(threshold), "a long, b long").distinct())
     parts = components(links.unionByName(again))
     classes = members.select("doc_id", "rep").join(parts.withColumnRenamed("id", "rep"), "rep", "left")
     out = classes.select("doc_id", F.col("rep").alias("exact_id"), F.coalesce("component", "rep").alias("class_id"))

@@ -318,7 +318,7 @@ def pack(cut: DataFrame, length: int = LENGTH, grain: int = GRAIN, gap: float =
     every, full = sum(totals.values()), totals.pop(0, 0)
     rows, n = places(totals, length // grain, gap)
     # A class may hold most pieces: an ordered scan numbers them, in at most about four slots for each partition.
-    width = max(4_096, every // (4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    width = max(256, every // (4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
     ranked = keyed_scan(d, ["class"], ["doc_id", "start", "ids_crc32"], [Agg("rank", "count", inclusive=True)], width).withColumn("rank", F.col("rank") - 1)
     # A bounded table: a row per class and pattern, and one per piece of the bounded rest.
     where = spark.createDataFrame([(0, 0, full, 1, n, 0)] + rows, "class int, from_rank long, to_rank long, per long, sequence long, place int")
