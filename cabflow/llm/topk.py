@@ -7,16 +7,16 @@ of it, plus the least any unread component can give) and an upper bound (plus
 the value at which its unread lists stand).  A candidate whose upper bound is
 below the k-th lower bound cannot qualify; reading stops when at most
 ``RESOLVE`` candidates are left or the lists are read, and only those get
-their final scores.  All numbers are whole and below 2**53, so bounds and
-scores are exact in double precision.
+their final scores.  All numbers are whole; where a product could pass 2**52, the
+lists are read whole in Python's own whole numbers, so scores are exact always.
 
 Scale: candidates and queries are dealt by hash over a grid of cells of
 about ``CANDIDATES`` x ``QUERIES`` rows, each one task's bounded work; a cell
 sends k rows a query, which a ranking with a map-side limit merges.
 
 Defined cases: a vector that is null, or holds a null or non-finite
-component, or one whose floor(256 x) is beyond +-2**27, takes no part, as does
-a null id; vectors of unequal length are compared as if the shorter ended in
+component, or one whose floor(256 x) is not a long, takes no part, as does
+a null id; a score beyond a long is the largest or smallest long; vectors of unequal length are compared as if the shorter ended in
 zeros; a row given twice counts once, and of several vectors with one id the
 best scoring counts; rows with the query's id are never its result; ties go
 to the smaller id; empty tables give an empty result; only the named columns
@@ -32,21 +32,25 @@ from pyspark.sql.window import Window
 
 from cabflow.llm.common import map_groups, require, stored
 
-SCALE, LIMIT = 256, 2 ** 27
+SCALE, LIMIT = 256, 2.0 ** 63  # a whole component is a long
 CANDIDATES, QUERIES, RESOLVE = 4096, 512, 64
-DEPTHS = (0.125, 0.5, 1.0)
+#: Shares of the lists read before the bounds are compared.  With 64 even components
+#: they part candidates from about four fifths on (README), so rounds are there.
+DEPTHS = (0.8, 0.85, 0.9, 0.95, 1.0)
+LONG = 2 ** 63 - 1
 _CELL = "query_id long, vec_id long, score long"
 
 
 def quantised(embedding: str):
     """Whole components, or null for a vector that takes no part."""
-    whole = F.transform(F.col(embedding), lambda x: F.floor(x.cast("double") * SCALE).cast("long"))
-    bad = F.exists(F.col(embedding), lambda x: x.isNull() | F.isnan(x.cast("double")) | (F.abs(x.cast("double")) * SCALE >= LIMIT))
-    return F.when(~bad, whole)
+    out = lambda x: x.isNull() | F.isnan(x.cast("double")) | (F.abs(x.cast("double")) * SCALE >= LIMIT)
+    whole = F.transform(F.col(embedding), lambda x: F.when(~out(x), F.floor(x.cast("double") * SCALE).cast("long")))
+    return F.when(~F.exists(F.col(embedding), out), whole)
 
 
-def nra(X: np.ndarray, ids: np.ndarray, Q: np.ndarray, query_ids: np.ndarray, k: int):
-    """(query index, candidate index, score) of the k best of every query."""
+def nra(X: np.ndarray, ids: np.ndarray, Q: np.ndarray, query_ids: np.ndarray, k: int, read_to: dict | None = None):
+    """(query index, candidate index, score) of the k best of every query.
+    ``read_to`` takes the share of the lists that each query read."""
     n, dims = X.shape
     exact = float(np.abs(X).max(initial=0)) * float(np.abs(Q).max(initial=0)) * dims < 2.0 ** 52
     X = X.astype(float if exact else object)
@@ -73,8 +77,8 @@ def nra(X: np.ndarray, ids: np.ndarray, Q: np.ndarray, query_ids: np.ndarray, k:
             known = both[open_] @ seen.T
             high = known + both[open_] @ np.where(read, 0, at).T
             low = known + both[open_] @ np.where(read, 0, least).T
-        low = np.where(own[open_], -np.inf, low).astype(float) if exact else np.where(own[open_], -2 ** 70, low)
-        if n > k:
+        low = np.where(own[open_], -np.inf, low).astype(float) if exact else np.where(own[open_], -2 ** 200, low)
+        if n > k:  # the k-th best lower bound
             bar = np.sort(low, 1)[:, n - k] if not exact else np.partition(low, n - k, 1)[:, n - k]
         else:
             bar = low.min(1)
@@ -82,10 +86,12 @@ def nra(X: np.ndarray, ids: np.ndarray, Q: np.ndarray, query_ids: np.ndarray, k:
         done = (alive.sum(1) <= max(RESOLVE, k)) | (depth == n)
         for i in np.nonzero(done)[0]:
             q = open_[i]
+            if read_to is not None:
+                read_to[int(q)] = share
             c = np.nonzero(alive[i])[0]
             score = X[c] @ Q[q]
             best = sorted(zip((-score).tolist(), ids[c].tolist(), c.tolist()))[:k]
-            out += [(q, j, int(-s)) for s, _, j in best]
+            out += [(q, j, max(-LONG - 1, min(LONG, int(-s)))) for s, _, j in best]
         open_ = open_[~done]
         if not len(open_):
             break
