@@ -12,10 +12,14 @@ so the verdict of a host does not depend on how many others link to the same
 place.  A host is blocked if its distrust is at least ``threshold`` and more
 than its trust.
 
+(A personalised PageRank on the reversed links, from blocked seeds, was tried for
+distrust: what reaches a linker is divided by the number of linkers, so a farm
+of more than about seven hosts that link to one blocked place escaped it.)
+
 Scale: pages are reduced to host edges with counts before any iteration; a
 hot host is one row of the host table.  Every round joins the edge
 table with the scores and sums by host; every fifth round is written to the
-shared folder and compared with the one before.  Rules are a short
+shared folder and compared with the one before, until the scores stand still.  Rules are a short
 configured list and become one expression.
 
 Defined cases: a null url or one without ``://`` has empty host and path, fits no
@@ -29,7 +33,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cabflow.llm.common import require, stored
+from cabflow.llm.common import discard, require, stored
 
 # Fixed values: (verdict, host, path prefix).
 RULES = (
@@ -39,7 +43,9 @@ RULES = (
     ("block", "net", "/es/"),
     ("block", "net", "/fr/"),
 )
-DAMPING, ROUNDS, CHECK_EVERY, TOLERANCE, THRESHOLD = 0.85, 40, 5, 1e-7, 0.5
+DAMPING, CHECK_EVERY, TOLERANCE, THRESHOLD = 0.85, 5, 1e-7, 0.5
+#: No graph needs so many: what is still on its way after n rounds is below DAMPING ** n.
+MOST_ROUNDS = 400
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LINK = r"""(?i)(?:href|src)\s*=\s*["']?\s*(?:https?:)?//([^/?#\s"'<>]+)"""
 
@@ -67,8 +73,9 @@ def host_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
             .where("src <> '' and src <> dst").groupBy("src", "dst").agg(F.count(F.lit(1)).alias("links")))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
-    """Personalised PageRank for several seed sets at once.
+def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE, rounds: int = MOST_ROUNDS) -> DataFrame:
+    """Personalised PageRank for several seed sets at once, iterated until the
+    scores move by less than ``tolerance`` in all; RuntimeError after ``rounds``.
 
     ``edges``: kind, src, dst, links; ``seeds``: kind, host, seed (sums to 1
     per kind).  What a host without outgoing links holds returns to the
@@ -81,7 +88,7 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, roun
     ends = out.select("kind", F.col("src").alias("host"), F.lit(False).alias("end"))
     nodes = stored(hosts.join(seeds, ["kind", "host"], "left").join(ends, ["kind", "host"], "left")
                    .select("kind", "host", F.coalesce("seed", F.lit(0.0)).alias("seed"), F.coalesce("end", F.lit(True)).alias("end")))
-    now = nodes.withColumn("score", F.col("seed"))
+    now, written, moved = nodes.withColumn("score", F.col("seed")), None, None
     for r in range(1, rounds + 1):
         flow = (now.select("kind", F.col("host").alias("src"), "score").join(weights, ["kind", "src"])
                 .groupBy("kind", F.col("dst").alias("host")).agg(F.sum(F.col("score") * F.col("w")).alias("inflow")))
@@ -89,19 +96,22 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, roun
         new = F.lit(1 - damping) * F.col("seed") + F.lit(damping) * (F.coalesce("inflow", F.lit(0.0)) + F.col("lost") * F.col("seed"))
         now = (now.withColumnRenamed("score", "before").join(flow, ["kind", "host"], "left").join(F.broadcast(lost), "kind")  # lost: one row per kind
                .select("kind", "host", "seed", "end", "before", new.alias("score")))
-        if r % CHECK_EVERY == 0 or r == rounds:
-            now = stored(now)
+        if r % CHECK_EVERY == 0:
+            last, now = written, stored(now)
             moved = now.agg(F.sum(F.abs(F.col("score") - F.col("before")))).first()[0] or 0.0
-            now = now.drop("before")
-            if moved < TOLERANCE:
-                break
+            written, now = now, now.drop("before")
+            if last is not None:
+                discard(last)
+            if moved < tolerance:
+                return now.select("kind", "host", "score")
         else:
             now = now.drop("before")
-    return now.select("kind", "host", "score")
+    raise RuntimeError(f"scores still move by {moved} after {rounds} rounds")
 
 
-def reach(links: DataFrame, own: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
-    """Share of random walks from each host that come to a marked page.
+def reach(links: DataFrame, own: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE, rounds: int = MOST_ROUNDS) -> DataFrame:
+    """Share of random walks from each host that come to a marked page, iterated
+    until no score moves by ``tolerance``; RuntimeError after ``rounds``.
 
     ``links``: src, dst, links; ``own``: host and its share of marked pages.  A
     walk that is not on a marked page goes on over a link of the host with
@@ -110,21 +120,23 @@ def reach(links: DataFrame, own: DataFrame, damping: float = DAMPING, rounds: in
     """
     out = links.groupBy("src").agg(F.sum("links").alias("all"))
     weights = stored(links.join(out, "src").select("src", "dst", (F.col("links") / F.col("all")).alias("w")))
-    now = own.select("host", "own", F.col("own").cast("double").alias("score"))
+    now, written, moved = own.select("host", "own", F.col("own").cast("double").alias("score")), None, None
     for r in range(1, rounds + 1):
         flow = (weights.join(now.select(F.col("host").alias("dst"), "score"), "dst")
                 .groupBy(F.col("src").alias("host")).agg(F.sum(F.col("score") * F.col("w")).alias("flow")))
         new = F.col("own") + (1 - F.col("own")) * F.lit(damping) * F.coalesce("flow", F.lit(0.0))
         now = now.withColumnRenamed("score", "before").join(flow, "host", "left").select("host", "own", "before", new.alias("score"))
-        if r % CHECK_EVERY == 0 or r == rounds:
-            now = stored(now)
+        if r % CHECK_EVERY == 0:
+            last, now = written, stored(now)
             moved = now.agg(F.max(F.abs(F.col("score") - F.col("before")))).first()[0] or 0.0
-            now = now.drop("before")
-            if moved < TOLERANCE:
-                break
+            written, now = now, now.drop("before")
+            if last is not None:
+                discard(last)
+            if moved < tolerance:
+                return now.select("host", "score")
         else:
             now = now.drop("before")
-    return now.select("host", "score")
+    raise RuntimeError(f"scores still move by {moved} after {rounds} rounds")
 
 
 def filter_urls(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", rules=RULES,
@@ -141,7 +153,8 @@ def filter_urls(pages: DataFrame, page_id: str = "page_id", url: str = "url", ht
     links = stored(host_edges(pages, url, html))
     allowed = hosts.agg(F.sum("allowed")).first()[0] or 0
     seeds = hosts.where("allowed > 0").select(F.lit("trust").alias("kind"), "host", (F.col("allowed") / F.lit(max(allowed, 1))).alias("seed"))
-    trust = propagate(links.select(F.lit("trust").alias("kind"), "src", "dst", "links"), seeds).select("host", F.col("score").alias("trust"))
+    # Scores are compared after a factor of all allowed pages.
+    trust = propagate(links.select(F.lit("trust").alias("kind"), "src", "dst", "links"), seeds, tolerance=min(TOLERANCE, 1e-3 / max(allowed, 1))).select("host", F.col("score").alias("trust"))
     distrust = reach(links, hosts.select("host", (F.col("blocked") / F.col("pages")).alias("own"))).select("host", F.col("score").alias("distrust"))
     rate = F.greatest(F.coalesce("trust", F.lit(0.0)) * F.lit(float(allowed)), F.col("allowed").cast("double")) / F.col("pages")
     ruled = stored(hosts.join(trust, "host", "left").join(distrust, "host", "left").select("host", rate.alias("trust"), "distrust"))
