@@ -364,7 +364,7 @@ def find_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
         as_rows = lambda spans: [{"start": s, "end": e, "kind": k} for s, e, k in spans]
         for b in batches:
             ids, texts = b.column(0), b.column(1).to_pylist()
-            for s, e in small_batches(texts, 1_000_000):
+            for s, e in small_batches(texts, 250_000):
                 rows = all_spans(texts[s:e], shared.value)
                 yield pa.RecordBatch.from_arrays([ids.slice(s, e - s), pa.array([as_rows(r[0]) for r in rows], kind), pa.array([as_rows(r[1]) for r in rows], kind)],
                                                  names=["doc_id", "base", "spans"])
@@ -391,7 +391,7 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     def run(batches):
         import pyarrow as pa
         for b in batches:
-            for s, e in small_batches(b.column(at).to_pylist(), 1_000_000):
+            for s, e in small_batches(b.column(at).to_pylist(), 250_000):
                 part = b.slice(s, e - s)
                 texts = part.column(at).to_pylist()
                 new = [None if t is None else replaced(t, spans) for t, (_, spans) in zip(texts, all_spans(texts, shared.value))]
