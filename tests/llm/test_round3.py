@@ -9,7 +9,7 @@ import zlib
 import numpy as np
 import pytest
 
-from cabflow.llm import convtrie, minhash, packing, spelling, substrings
+from cabflow.llm import convtrie, langid, packing, spelling, substrings, topk, urlfilter
 
 DOC = "doc_id long, text string, word string, n long, bucket int"
 CONV = "conv_id long, turn long, role string, text string, c long, depth long"
@@ -290,3 +290,136 @@ def test_packing_odd(spark):
             at += n
         assert at <= 2048
     assert sorted(by) == list(range(len(by)))
+
+
+# ---------------------------------------------------------------- language ID
+
+def brute_fusion(rows, model):
+    """(language, probability, accepted) of rows (text, declared, host), one by one."""
+    names, table, limits = model
+    n, pool, seen = len(names), np.exp(table).mean(1), []
+    for text, declared, host in rows:
+        grams, _, letters = langid.trigrams([text])
+        if not letters[0]:
+            seen.append(None)
+            continue
+        score = np.array([sum(float(table[g, k]) for g in grams) for k in range(n)])
+        k = int(score.argmax())
+        mean = sum(np.log((np.exp(table[g, k]) + pool[g]) / 2) for g in grams) / len(grams)
+        ok = bool(langid.reaches(np.array([mean]), np.array([len(grams)]), limits[[k]])[0])
+        fit = langid.TEMPER * (score - score.max())
+        p = np.exp(fit) / np.exp(fit).sum()
+        seen.append((fit, p if ok else np.zeros(n), ok))
+    part = lambda h: (None, None) if h is None or "." not in h else (h.split(".")[-1], ".".join(h.split(".")[-2:]))
+    total = lambda pick: sum((s[1] for r, s in zip(rows, seen) if s and pick(r)), np.zeros(n))
+    drawn = lambda c, up: (c + langid.KAPPA * up) / (c.sum() + langid.KAPPA)
+    prior = (total(lambda r: True) + 1) / (total(lambda r: True).sum() + n)
+    kinds = len({r[1] for r, s in zip(rows, seen) if s and r[1] is not None})
+    said = total(lambda r: r[1] is not None)
+    out = []
+    for r, s in zip(rows, seen):
+        if s is None:
+            out.append((None, None, False))
+            continue
+        fit, own, ok = s
+        chain = prior
+        if r[2] is not None:
+            suffix, domain = part(r[2])
+            up = prior
+            if domain:
+                up = drawn(total(lambda x: part(x[2])[0] == suffix), up)
+                up = drawn(total(lambda x: part(x[2])[1] == domain), up)
+            chain = drawn(np.maximum(total(lambda x: x[2] == r[2]) - own, 0), up)
+        share = (total(lambda x: x[1] == r[1]) + 1) / (said + kinds + 1) if r[1] is not None else np.ones(n)
+        post = np.exp(fit) * chain * share
+        post /= post.sum()
+        k = int(post.argmax())
+        out.append((names[k], float(post[k]), bool(ok and post[k] >= langid.ACCEPT)))
+    return out
+
+
+def test_fusion_against_brute_force(spark):
+    """Texts, declarations and hosts that disagree, nulls, names that clash."""
+    rng, words = random.Random(12), {"aa": "kala mito suna peko", "bb": "grunt blick spratz drell", "cc": "oui eau ceau lieu"}
+    say = lambda k, n: " ".join(rng.choice(words[k].split()) for _ in range(n))
+    model = langid.fit(spark.createDataFrame([(say(k, 12), k) for k in words for _ in range(40)], "t string, l string"), "t", "l")
+    rows = [(say(rng.choice("aa bb cc".split()), rng.randint(1, 3)) if rng.random() < 0.8 else rng.choice(["zzz", "", None, "12", "漢字", say("aa", 2) + " " + say("bb", 2)]),
+             rng.choice([None, "aa", "bb", "xx"]), rng.choice([None, "", "h", "a.b.aa", "c.b.aa", "d.cc", "e.f.cc"])) for _ in range(120)]
+    df = spark.createDataFrame([(i, t, d, h, "p", 1.5, "s") for i, (t, d, h) in enumerate(rows)], "id long, text string, declared string, host string, p string, probability double, fit string")
+    out = langid.identify(df, model)
+    assert out.columns == ["id", "p", "fit", "language", "probability", "accepted"]
+    for r, (language, probability, accepted) in zip(out.orderBy("id").collect(), brute_fusion(rows, model)):
+        assert r.language == language and r.accepted == accepted and (probability is None) == (r.probability is None)
+        assert probability is None or abs(r.probability - probability) < 1e-9
+    assert {r.accepted for r in out.collect()} == {True, False}
+
+
+def test_many_languages_cost_in_proportion(spark):
+    """A row with 256 languages at most 64 times one with 4."""
+    import time
+    rng = np.random.default_rng(1)
+    rows = spark.range(3000).selectExpr("id", "concat('wort ', id, ' text') as text", "'d' as declared", "concat('h', id % 7, '.org') as host").repartition(4)
+
+    def seconds(n):
+        names = [f"l{i:03d}" for i in range(n)]
+        table = np.log(rng.random((langid.BUCKETS, n)) + 0.1).astype(np.float32)
+        model = names, table - np.log(np.exp(table).sum(0)), np.tile([-12.0, 5.0], (n, 1))
+        t = time.time()
+        assert langid.identify(rows, model).where("language is not null").count() == 3000
+        return time.time() - t
+    seconds(4)
+    assert seconds(256) < 64 * seconds(4)
+
+
+# ---------------------------------------------------------------------- top k
+
+def test_bounds_stop_reading():
+    """Queries on even vectors end before the lists do, and the scores are right."""
+    rng = np.random.default_rng(5)
+    X = np.floor(256 * rng.normal(size=(2000, 64)) / 8).astype(int)
+    ids, read = np.arange(2000), {}
+    got = topk.nra(X, ids, X[:40], ids[:40], 5, read)
+    for q in range(40):
+        want = sorted((-int(X[j] @ X[q]), j) for j in range(2000) if j != q)[:5]
+        assert sorted((-s, j) for i, j, s in got if i == q) == want
+    assert len(read) == 40 and max(read.values()) <= 0.95
+
+
+def test_large_finite_components_take_part(spark):
+    rows = [(0, [2.0 ** 30, 1.0]), (1, [1.0, 1.0]), (2, [-(2.0 ** 40), 0.0]), (3, [3e18, 0.0]), (50, [1.0, 0.5])]
+    v = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    top = topk.top_k(v, v.where("vec_id % 50 = 0"), k=3).collect()
+    got = {q: [(r.vec_id, r.score) for r in sorted(top, key=lambda r: r["rank"]) if r.query_id == q] for q in (0, 50)}
+    assert got[0] == [(1, 2 ** 46 + 65536), (50, 2 ** 46 + 128 * 256), (2, -(2 ** 63))]
+    assert got[50] == [(0, 2 ** 46 + 128 * 256), (1, 65536 + 128 * 256), (2, -(2 ** 56))]
+
+
+# ----------------------------------------------------------------- URL filter
+
+def test_scores_against_dense_iteration(spark):
+    """A random graph and a chain of 90 hosts, iterated to the end."""
+    rng = random.Random(2)
+    links = {(f"h{rng.randint(0, 40)}", f"h{rng.randint(0, 40)}"): rng.randint(1, 5) for _ in range(150)}
+    links |= {(f"c{i}", f"c{i + 1}"): 1 for i in range(90)} | {("h3", "c0"): 9, ("c90", "h5"): 1}
+    links = {k: n for k, n in links.items() if k[0] != k[1]}
+    hosts = sorted({h for k in links for h in k})
+    at, n = {h: i for i, h in enumerate(hosts)}, len(hosts)
+    W = np.zeros((n, n))
+    for (a, b), k in links.items():
+        W[at[a], at[b]] = k
+    out = W.sum(1, keepdims=True)
+    W = np.divide(W, out, where=out > 0, out=np.zeros_like(W))
+    seed = np.zeros(n)
+    seed[[at["h1"], at["h3"]]] = 0.25, 0.75
+    own = np.array([{"h5": 1.0, "h7": 0.4}.get(h, 0.0) for h in hosts])
+    x, y = seed.copy(), own.copy()
+    for _ in range(2000):
+        x = 0.15 * seed + 0.85 * (x @ W + x[out[:, 0] == 0].sum() * seed)
+        y = own + (1 - own) * 0.85 * (W @ y)
+    e = spark.createDataFrame([(a, b, k) for (a, b), k in links.items()], "src string, dst string, links long")
+    got = urlfilter.propagate(e.selectExpr("'t' as kind", "*"), spark.createDataFrame([("t", "h1", 0.25), ("t", "h3", 0.75)], "kind string, host string, seed double"), tolerance=1e-8)
+    assert all(abs(r.score - x[at[r.host]]) < 1e-7 for r in got.collect()) and got.count() == n
+    got = urlfilter.reach(e, spark.createDataFrame([(h, float(v)) for h, v in zip(hosts, own)], "host string, own double"), tolerance=1e-8)
+    assert all(abs(r.score - y[at[r.host]]) < 1e-7 for r in got.collect()) and got.count() == n
+    with pytest.raises(RuntimeError):
+        urlfilter.reach(e, spark.createDataFrame([(h, float(v)) for h, v in zip(hosts, own)], "host string, own double"), rounds=5)
