@@ -41,7 +41,7 @@ from pyspark.sql import types as T
 
 ROWS = 262_144
 #: Sampled rows behind every boundary.
-SAMPLES = 16
+SAMPLES = 4
 PART = "_slot"
 
 
