@@ -23,7 +23,7 @@ Linking, without all pairs of a group:
    Verified links are joined to components.
 3. In buckets that still hold several components, ids and signatures of classes are
    dealt over cells of bounded size.  Classes with a partner of another component
-   that agrees as much send their shingles to the cell and are verified there, in the
+   that agrees as much send their shingles to the cell, too, and are verified there, in the
    first band the pair shares; a link found joins two components at once, and only
    links leave a cell, fewer than it has rows.
 
@@ -284,18 +284,23 @@ def with_sets(rows: DataFrame, columns: list[str], words: int = WORDS) -> DataFr
     return rows.select(*columns, "text").mapInArrow(run, f"{schema}, sh binary")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, threshold: float, words: int = WORDS) -> DataFrame:
-    """Those of ``pairs`` (centre a, b) whose texts (rep, text) are similar enough.
+def sets_of(wanted: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """rep and ``sh`` of the texts (rep, text) whose rep is ``wanted``.  The ids are
+    written first: where they are few, Spark broadcasts them and no text moves."""
+    ids = stored(wanted.select("rep").distinct())
+    return stored(with_sets(texts.join(ids, "rep"), ["rep"], words))
 
-    The members of a centre are dealt over cells of ``CELL``; a text's shingle set
-    travels once to each cell it is in, the centre's first."""
-    pairs = stored(pairs)
+
+def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Those of ``pairs`` (centre a, b) whose shingle sets (rep, sh) are similar enough.
+
+    The members of a centre are dealt over cells of ``CELL``; a text's set travels
+    once to each cell it is in, the centre's first."""
     size = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
     cell = F.pmod(F.xxhash64("b"), F.ceil(F.col("n") / F.lit(CELL)))
     members = pairs.join(size, "a").select("a", cell.cast("int").alias("cell"), F.col("b").alias("rep"), F.lit(1).alias("role"))
     centres = members.select("a", "cell").distinct().select("a", "cell", F.col("a").alias("rep"), F.lit(0).alias("role"))
     placed = stored(members.unionByName(centres))
-    sets = with_sets(placed.join(texts, "rep"), ["a", "cell", "role", "rep"], words)
 
     def compare(t):
         import pyarrow as pa
@@ -307,7 +312,7 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float, words: int =
         if near:
             yield pa.RecordBatch.from_arrays([pa.array([t.column("a")[0].as_py()] * len(near), pa.int64()), pa.array(near, pa.int64())], names=["a", "b"])
 
-    return map_groups(sets, ["a", "cell"], compare, "a long, b long", ["role"])
+    return map_groups(placed.join(sets, "rep").select("a", "cell", "role", "rep", "sh"), ["a", "cell"], compare, "a long, b long", ["role"])
 
 
 def _pairs_of(t, keep):
@@ -383,7 +388,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                .select("band", "key", (-F.col("top.minus")).alias("a")))
     stars = in_bucket.join(centres, ["band", "key"]).where("rep <> a").select("a", F.col("rep").alias("b")).distinct()
     texts = docs.select(F.col(doc_id).cast("long").alias("rep"), F.col(text).cast("string").alias("text"))
-    links = stored(verified(likely(stars, reps), texts, threshold, words).distinct())
+    pairs = stored(likely(stars, reps))
+    sets = sets_of(pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))), texts, words)
+    links = stored(verified(pairs, sets, threshold).distinct())
     first = components(links)
     # Buckets that still hold several components: ids and signatures first, sets only of texts that have a likely partner.
     tagged = in_bucket.select("band", "key", "rep").join(first.withColumnRenamed("id", "rep"), "rep", "left").withColumn("part", F.coalesce("component", "rep")).drop("component")
@@ -393,7 +400,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     columns = [*keys, "block", "rep", "part", "bands"]
     cells = dealt(rest, ["band", "key"], "rep", CELL).join(reps, "rep").select(*columns)
     hopeful = stored(map_groups(cells, keys, _hopeful, "band int, key long, cell_i int, cell_j int, block int, rep long, part long, bands array<long>"))
-    again = stored(map_groups(with_sets(hopeful.join(texts, "rep"), columns, words), keys, _linker(threshold), "a long, b long").distinct())
+    more = sets_of(hopeful.join(sets, "rep", "left_anti"), texts, words)
+    asked = hopeful.join(sets.unionByName(more), "rep").select(*columns, "sh")
+    again = stored(map_groups(asked, keys, _linker(threshold), "a long, b long").distinct())
     parts = components(links.unionByName(again))
     classes = members.select("doc_id", "rep").join(parts.withColumnRenamed("id", "rep"), "rep", "left")
     out = classes.select("doc_id", F.col("rep").alias("exact_id"), F.coalesce("component", "rep").alias("class_id"))
