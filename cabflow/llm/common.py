@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cabflow.session import prepare
 from cabflow.sources.tables import table
 
-__all__ = ["prepare", "table", "stored", "discard", "shared_folder", "require", "small_batches", "blocked", "dealt"]
+__all__ = ["prepare", "table", "stored", "discard", "shared_folder", "require", "small_batches", "blocked", "dealt", "frugal"]
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -81,6 +81,33 @@ def blocked(df: DataFrame, keys: list[str], row: str, rows_per_block: int) -> Da
              .drop("__n", "__b", "__o"))
 
 
+def frugal(run):
+    """A ``mapInArrow`` function whose task gives its free memory back when it
+    ends: Spark keeps Python workers for later stages, and what the allocators hold
+    of an earlier one would count against them."""
+
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return wrapped
+
+
+def release() -> None:
+    """Return unused memory of this Python worker to the system, where it can be."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc
+    if trim is not None:
+        trim(0)
+
+
 def dealt(df: DataFrame, keys: list[str], row: str, rows_per_block: int) -> DataFrame:
     """``blocked`` for narrow rows of groups that all have several: only groups
     above ``rows_per_block`` are looked up, so that no row moves by its group's key

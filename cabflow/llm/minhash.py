@@ -46,7 +46,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cabflow.llm.common import components, dealt, map_groups, prepare, require, small_batches, stored
+from cabflow.llm.common import components, dealt, frugal, map_groups, prepare, require, small_batches, stored
 
 WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS = 24, 4  # a band's key holds 16 bits of each of its 4 rows
@@ -230,7 +230,7 @@ def signed(docs: DataFrame, doc_id: str, text: str, words: int = WORDS) -> DataF
                      pa.ListArray.from_arrays(pa.array(np.arange(0, bands.size + 1, bands.shape[1], dtype=np.int32)), pa.array(bands.ravel()))],
                     names=["doc_id", "k1", "k2", "bands"])
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, _SIGNED)
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(frugal(run), _SIGNED)
 
 
 def pack_set(h: np.ndarray, w: np.ndarray) -> bytes:
@@ -281,7 +281,7 @@ def with_sets(rows: DataFrame, columns: list[str], words: int = WORDS) -> DataFr
 
     kinds = {f.name: f.dataType for f in rows.schema.fields}
     schema = ", ".join(f"{c} {kinds[c].simpleString()}" for c in columns)
-    return rows.select(*columns, "text").mapInArrow(run, f"{schema}, sh binary")
+    return rows.select(*columns, "text").mapInArrow(frugal(run), f"{schema}, sh binary")
 
 
 def sets_of(wanted: DataFrame, texts: DataFrame, words: int) -> DataFrame:

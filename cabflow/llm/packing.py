@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cabflow.llm.common import prepare, require, small_batches, stored
+from cabflow.llm.common import frugal, prepare, require, small_batches, stored
 from cabflow.operators.scan import Agg, keyed_scan
 
 LENGTH, END_ID, GRAIN, GAP, MAX_PIVOTS = 2048, 1, 16, 1e-3, 4000
@@ -211,7 +211,7 @@ def pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenize
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [pa.int64()] * 5 + [pa.binary()])],
                                                  names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"])
 
-    out = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, _PIECES)
+    out = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(frugal(run), _PIECES)
     return out if keep_ids else out.drop("ids")
 
 

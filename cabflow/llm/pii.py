@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cabflow.llm.common import prepare, require, small_batches
+from cabflow.llm.common import frugal, prepare, require, small_batches
 from cabflow.llm.minhash import scramble
 
 KINDS = ("email", "ip", "card", "phone", "id")  # order of equal starts
@@ -369,7 +369,7 @@ def find_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
                 yield pa.RecordBatch.from_arrays([ids.slice(s, e - s), pa.array([as_rows(r[0]) for r in rows], kind), pa.array([as_rows(r[1]) for r in rows], kind)],
                                                  names=["doc_id", "base", "spans"])
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, _SPANS)
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(frugal(run), _SPANS)
 
 
 def digest(found: DataFrame) -> DataFrame:
@@ -401,7 +401,7 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
                     cols[count] = pa.array([None if t is None else len(t) for t in new], part.schema.field(count).type)
                 yield pa.RecordBatch.from_arrays(cols, names=list(part.schema.names))
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(frugal(run), schema)
 
 
 def replaced(text: str, spans: list[tuple[int, int, str]]) -> str:
