@@ -31,11 +31,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cabflow.llm.common import frugal, prepare, require, small_batches, stored
+from cabflow.llm.common import frugal, prepare, release, require, stored
 from cabflow.operators.scan import Agg, keyed_scan
 
 LENGTH, END_ID, GRAIN, GAP, MAX_PIVOTS = 2048, 1, 16, 1e-3, 4000
-CACHE = 200_000
+CACHE = 100_000
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary"
 # White space other than a single space or line end; text that the tokenizer reads as a special token.
 _ODD = re.compile(r"[^\S \n]|  | \n|\n[ \n]|^[ \n]|[ \n]\Z|<\|endoftext\|>")
@@ -179,6 +179,13 @@ def rank_encoder(path: str):
 _WORD_IDS: dict[str, WordIds] = {}
 
 
+def runs(sizes: np.ndarray, most: float):
+    """Slices of rows with about ``most`` bytes each (a larger row by itself)."""
+    part = np.floor(np.cumsum(sizes) / most)
+    cuts = [0, *(1 + np.flatnonzero(np.diff(part))).tolist(), len(sizes)]
+    return [(s, e) for s, e in zip(cuts, cuts[1:]) if e > s]
+
+
 def default_tokenizer() -> str:
     import public_tokenizers
     return public_tokenizers.path("byte_bpe_50k.json")
@@ -194,16 +201,19 @@ def pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenize
 
     def run(batches):
         import pyarrow as pa
+        import pyarrow.compute as pc
         if path not in _WORD_IDS:
             _WORD_IDS[path] = WordIds(path)
+            release()
         words = _WORD_IDS[path]
         for b in batches:
-            docs, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
-            for s, e in small_batches(texts, 2_000_000):
-                ids, begin = words.encoded(texts[s:e], end_id)
+            lengths = pc.binary_length(b.column(1)).to_numpy(zero_copy_only=False)
+            for s, e in runs(np.nan_to_num(lengths), 2_000_000):
+                part = b.slice(s, e - s)
+                ids, begin = words.encoded(part.column(1).to_pylist(), end_id)
                 data = memoryview(ids.tobytes())
                 rows = []
-                for d, x, y in zip(docs[s:e], begin.tolist(), [*begin[1:].tolist(), len(ids)]):
+                for d, x, y in zip(part.column(0).to_pylist(), begin.tolist(), [*begin[1:].tolist(), len(ids)]):
                     for o in range(x, y, length):
                         p = data[4 * o:4 * min(o + length, y)]
                         rows.append((d, o - x, len(p) // 4, zlib.crc32(p), y - x, bytes(p) if keep_ids else None))
