@@ -13,8 +13,7 @@ Four kinds of evidence on the language of a text are multiplied:
   with the strength of ``KAPPA`` rows.  A row's own share is taken out of its
   host's count first.
 
-The trigram model is fitted on about ``SAMPLE`` distinct labelled texts of each language
-(all of a rarer one; chosen by hash); everything else covers all rows.  The
+The trigram model is fitted on all distinct labelled texts of each language.  The
 ``LANGUAGES`` with most texts have a model each, the rest share one and come out as
 ``OTHER``; a label whose texts have no trigram has none.
 
@@ -22,14 +21,16 @@ Known languages alone leave no place for a text in none of them, so a text is
 also rejected if it fits worse than half-way between its language's own texts
 and chance.  The fit is the mean log-likelihood a trigram under the language
 mixed with all known ones, so that a text in several of them stays; the
-language's own texts stand at the ``LOW`` share of about ``CHECKED`` of these texts, each scored
-as if its own trigrams were not in the model; chance is a trigram drawn evenly
-from all buckets.  Texts shorter than the language's median get more room, down to chance.
+language's own texts stand at the ``LOW`` share of all of them (its rank right to a
+ten-thousandth), each scored as if its own trigrams were not in the model; chance is
+a trigram drawn evenly from all buckets.  Texts shorter than the language's median get more room, down to chance.
 A row is accepted if its text has letters, fits, and its best language reaches
 ``ACCEPT``; a text that does not fit does not speak for its host, suffix or declaration.
 ``probability`` is among the known languages, also for a rejected row.
 
-Scale: one pass over the texts gives a narrow table (id, posterior, declared
+Scale: texts are read three times (to count trigrams, to score them for the floors,
+to identify) and do not move, but for one copy of each that comes several times with
+its label.  The last pass gives a narrow table (id, posterior, declared
 value, host) that is written once; the counts are hash aggregates and go back
 by equi-joins on host and suffix without a forced broadcast, so a host with a
 third of all rows is split by Spark's skew join.
@@ -50,9 +51,9 @@ from pyspark.sql import functions as F
 from cabflow.llm.common import frugal, prepare, small_batches, stored
 from cabflow.llm.urlfilter import host_and_path
 
-BUCKETS, SAMPLE, LANGUAGES, OTHER = 1 << 16, 5_000, 256, "other"
+BUCKETS, LANGUAGES, OTHER = 1 << 16, 256, "other"
 TEMPER, ALPHA, KAPPA, ACCEPT = 0.25, 0.5, 20.0, 0.5
-CHECKED, LOW, CHANCE = 1_000, 0.02, -float(np.log(BUCKETS))
+LOW, CHANCE = 0.02, -float(np.log(BUCKETS))
 _MULTIPLIER = np.uint32(2654435761)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -90,12 +91,14 @@ def trigrams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarra
 Model = tuple[list[str], np.ndarray, np.ndarray]
 
 
-def fit(labelled: DataFrame, text: str, language: str, sample: int = SAMPLE) -> Model:
+def fit(labelled: DataFrame, text: str, language: str, sample: int | None = None) -> Model:
     """Languages, log-likelihood table (BUCKETS, languages) and floors (see
-    ``floors``) from about ``sample`` distinct texts a language.  The counts
-    that reach the driver are bounded by the languages, at most ``LANGUAGES`` and ``OTHER``."""
+    ``floors``) from all distinct texts of a language (from about ``sample``, chosen by
+    hash, if the caller asks for that).  The counts that reach the driver are bounded
+    by the languages, at most ``LANGUAGES`` and ``OTHER``."""
     rows = labelled.where(F.col(language).isNotNull() & F.col(text).isNotNull()).select(F.col(text).cast("string").alias("t"), F.col(language).cast("string").alias("l"))
-    by = stored(rows.select("l", F.xxhash64("t").alias("h")).distinct().groupBy("l").count())
+    times = stored(rows.groupBy("l", F.xxhash64("t").alias("h")).agg(F.count(F.lit(1)).alias("n")))
+    by = stored(times.groupBy("l").count())
     sizes = {r["l"]: r["count"] for r in by.orderBy(F.desc("count"), "l").limit(LANGUAGES).collect()}
     own = F.col("l").isin(list(sizes))
     rest = by.where(~own).agg(F.sum("count")).first()[0]
@@ -104,59 +107,68 @@ def fit(labelled: DataFrame, text: str, language: str, sample: int = SAMPLE) ->
     names = sorted(sizes)
     if not names:
         return [], np.zeros((BUCKETS, 0), np.float32), np.zeros((0, 2))
-    grain = 1 << 30
-    within = lambda most: F.pmod("h", F.lit(grain)) < F.create_map(*[F.lit(x) for k in names for x in (k, int(grain * min(1.0, most / sizes[k])))])[F.col("l")]
-    chosen = stored(rows.select("t", F.when(own, F.col("l")).otherwise(OTHER).alias("l"), F.xxhash64("t").alias("h")).where(within(sample)).dropDuplicates(["l", "h"]))
+    called = F.when(own, F.col("l")).otherwise(OTHER).alias("l")
+    texts = rows.select("t", called, F.xxhash64("t").alias("h"))
+    if sample is not None:
+        grain = 1 << 30
+        texts = texts.where(F.pmod("h", F.lit(grain)) < F.create_map(*[F.lit(x) for k in names for x in (k, int(grain * min(1.0, sample / sizes[k])))])[F.col("l")])
+    # Every row counts; of a text that comes n times, n - 1 are taken off again, so only such texts are looked up.
+    often = stored(times.select(called, "h", "n").groupBy("l", "h").agg(F.sum("n").alias("n")).where("n > 1"))
+    again = texts.join(often, ["l", "h"]).dropDuplicates(["l", "h"]).select("t", "l", (1 - F.col("n")).alias("times"))
 
     def count(batches):
         import pyarrow as pa
         table, places = np.zeros(BUCKETS * len(names), np.int64), {x: k for k, x in enumerate(names)}
         for b in batches:
             texts, at = b.column(0).to_pylist(), np.array([places[x] for x in b.column(1).to_pylist()], np.int64)
+            times = b.column(2).to_numpy()
             for s, e in small_batches(texts, 250_000):
                 grams, doc, _ = trigrams(texts[s:e])
-                cells, n = np.unique(grams * len(names) + at[s:e][doc], return_counts=True)
-                table[cells] += n
+                np.add.at(table, grams * len(names) + at[s:e][doc], times[s:e][doc])
         some = np.nonzero(table)[0]
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(table[some], pa.int64())], names=["cell", "n"])
 
     counts = np.zeros(BUCKETS * len(names))
-    for r in chosen.select("t", "l").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toLocalIterator():
-        counts[r["cell"]] = r["n"]
+    every = texts.select("t", "l", F.lit(1).cast("long").alias("times")).unionByName(again)
+    for r in every.mapInArrow(frugal(count), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toLocalIterator():
+        counts[r["cell"]] = max(r["n"], 0)
     counts = counts.reshape(BUCKETS, len(names))
     trained = counts.sum(0) > 0
     names, counts = [x for x, y in zip(names, trained) if y], counts[:, trained]
-    limits = floors(chosen.where(within(CHECKED) & F.col("l").isin(names)), names, counts)
+    limits = floors(texts.where(F.col("l").isin(names)), names, counts)
     counts = counts + ALPHA
     return names, np.log(counts / counts.sum(0)).astype(np.float32), limits
 
 
 def floors(rows: DataFrame, names: list[str], counts: np.ndarray) -> np.ndarray:
     """(languages, 2): fit of the worse of each language's own texts and their
-    usual length in trigrams, from labelled rows (t, l) that are in
-    ``counts``; each is scored without its own trigrams."""
+    usual length in trigrams, from labelled rows (t, l, and h, a hash of t) whose distinct
+    texts are in ``counts``; each is scored without its own trigrams and speaks once."""
     totals = counts.sum(0)
     shared = rows.sparkSession.sparkContext.broadcast((counts.astype(np.float32), ((counts + ALPHA) / (totals + ALPHA * BUCKETS)).mean(1)))
 
     def score(batches):
         import pyarrow as pa
         table, pool = shared.value
-        at = {x: k for k, x in enumerate(names)}
+        places = {x: k for k, x in enumerate(names)}
         for b in batches:
-            out = []
-            for t, l in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                grams, own = np.unique(trigrams([t])[0], return_counts=True)
-                k, n = at[l], own.sum()
-                if n:
-                    with_it = (table[grams, k] + ALPHA) / (totals[k] + ALPHA * BUCKETS)
-                    without = (np.maximum(table[grams, k] - own, 0) + ALPHA) / (max(totals[k] - n, 0) + ALPHA * BUCKETS)
-                    out.append((k, float((own * np.log((without + pool[grams] + (without - with_it) / len(names)) / 2)).sum() / n), int(n)))
-            k, mean, n = zip(*out) if out else ((), (), ())
-            yield pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), pa.array(mean, pa.float64()), pa.array(n, pa.int64())], names=["k", "mean", "n"])
+            texts, at = b.column(0).to_pylist(), np.array([places[x] for x in b.column(1).to_pylist()], np.int32)
+            for s, e in small_batches(texts, 250_000):
+                grams, doc, _ = trigrams(texts[s:e])
+                cell, own = np.unique(doc.astype(np.int64) * BUCKETS + grams, return_counts=True)
+                doc, grams = cell // BUCKETS, cell % BUCKETS
+                k, n = at[s:e][doc], np.bincount(doc, own, e - s)
+                seen = table[grams, k].astype(np.float64)
+                with_it = (seen + ALPHA) / (totals[k] + ALPHA * BUCKETS)
+                without = (np.maximum(seen - own, 0) + ALPHA) / (np.maximum(totals[k] - n[doc], 0) + ALPHA * BUCKETS)
+                mean = np.bincount(doc, own * np.log((without + pool[grams] + (without - with_it) / len(names)) / 2), e - s)
+                some = np.flatnonzero(n)
+                yield pa.RecordBatch.from_arrays([pa.array(at[s:e][some], pa.int32()), b.column(2).slice(s, e - s).take(pa.array(some)), pa.array(mean[some] / n[some], pa.float64()),
+                                                  pa.array(n[some].astype(np.int64), pa.int64())], names=["k", "h", "mean", "n"])
 
     limits = np.tile([CHANCE, 1.0], (len(names), 1))
-    by = (rows.select("t", "l").mapInArrow(score, "k int, mean double, n long").groupBy("k")
-          .agg(F.percentile_approx("mean", LOW).alias("edge"), F.percentile_approx("n", 0.5).alias("n")))
+    by = (rows.select("t", "l", "h").mapInArrow(frugal(score), "k int, h long, mean double, n long").groupBy("k", "h").agg(F.min("mean").alias("mean"), F.min("n").alias("n"))
+          .groupBy("k").agg(F.percentile_approx("mean", LOW).alias("edge"), F.percentile_approx("n", 0.5).alias("n")))
     for r in by.collect():  # one row a language
         limits[r["k"]] = max(r["edge"], CHANCE), r["n"]
     return limits

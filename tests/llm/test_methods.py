@@ -384,3 +384,34 @@ def test_evidence_is_fused(spark):
     got = {r.id: r.language for r in langid.identify(spark.createDataFrame([(200 + i if k >= 60 else i, t, d, h) for k, (i, t, d, h) in enumerate(rows)],
                                                                           "id long, text string, declared string, host string"), model).collect()}
     assert (got[201], got[202], got[203]) == ("aa", "bb", "aa")
+
+
+def test_language_model_is_fitted_on_every_distinct_text(spark):
+    """More texts than the 5,000 a language that were once chosen: counts and floors cover each of them once, copies and rare labels too."""
+    rng = random.Random(31)
+    say = lambda letters: " ".join("".join(rng.choice(letters) for _ in range(5)) for _ in range(4))
+    texts = [(say("abcdefgh"), "aa") for _ in range(6_000)] + [(say("ghijklmn"), "bb") for _ in range(1_500)]
+    rows = texts + texts[:40] * 3 + texts[-1:] * 200 + [(texts[0][0], "bb"), (None, "aa"), ("abc", None), ("", "bb")]
+    names, table, limits = langid.fit(spark.createDataFrame(rows, "text string, lang string").repartition(5), "text", "lang")
+    distinct = {r for r in rows if None not in r}
+    counts = np.zeros((langid.BUCKETS, 2))
+    for t, x in distinct:
+        np.add.at(counts[:, names.index(x)], langid.trigrams([t])[0], 1)
+    smooth = counts + langid.ALPHA
+    assert names == ["aa", "bb"] and np.allclose(table, np.log(smooth / smooth.sum(0)), atol=1e-5)
+    chances = smooth / smooth.sum(0)
+    fits = {x: [] for x in names}
+    for t, x in distinct:
+        grams = langid.trigrams([t])[0]
+        if len(grams):
+            k = names.index(x)
+            rest = counts[:, k].copy()
+            np.add.at(rest, grams, -1)
+            rest = (rest + langid.ALPHA) / (rest.sum() + langid.ALPHA * langid.BUCKETS)
+            others = chances[grams, 1 - k]
+            fits[x].append((np.log((rest[grams] + (rest[grams] + others) / 2) / 2).mean(), len(grams)))
+    for k, x in enumerate(names):
+        ordered = sorted(f for f, _ in fits[x])
+        place = langid.LOW * len(ordered)
+        assert ordered[int(place * 0.98) - 1] <= limits[k][0] <= ordered[int(place * 1.02) + 1]
+        assert limits[k][1] == np.median([n for _, n in fits[x]])
