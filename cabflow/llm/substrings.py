@@ -11,15 +11,16 @@ that covers it also starts in a document with a smaller id.
 2. Equal super-k-mers of one task are settled on the spot: all but those of the
    smallest document lose these words whatever other tasks hold, so only one
    string travels, and a passage of a third of all documents reaches its bucket
-   once for each slice of texts.  What a slice sends to one bucket is one
-   compressed value.
+   once for each slice of texts.  What a few slices send to one bucket is one
+   compressed value (``HOLD``).
 3. A bucket sorts its windows by a hash of their words and compares equal
    neighbours word by word; the smallest document of each distinct window
    decides.  Buckets are made by the size of the input, ``BUCKET`` characters
    each.  A bucket ``HEAVY`` times the mean (a frequent line in very many
    different contexts) gives its windows to a plain aggregate by window instead,
    which Spark combines before the shuffle and splits where it is skewed.
-4. Spans of a document are merged and joined back to its text.
+4. Spans of a document are merged and joined back to its text, which moves
+   compressed.
 
 Defined cases: null and empty texts have no words; texts shorter than a window
 lose nothing.  A document without an id loses nothing and takes nothing from
@@ -45,6 +46,8 @@ BUCKET = 16_000_000
 HEAVY = 4
 #: Bytes of text a task works on at once (a longer text is cut, windows kept whole).
 SLICE = 2_000_000
+#: Characters of packed strings a task gathers before it compresses them by bucket.
+HOLD = 24_000_000
 #: Most windows of one super-k-mer (a text that repeats one word has no change of minimiser).
 RUN = 64
 
@@ -160,23 +163,42 @@ def _super_kmers(part):
     return packed.tobytes(), ws[first], ws[stop] - 1, least[first], whole, long, text[first], base[text[first]] + first - own[text[first]]
 
 
+def _packer():
+    """Compression of one value: its length, then zstd."""
+    import pyarrow as pa
+    codec = pa.Codec("zstd", compression_level=3)
+    return lambda raw: len(raw).to_bytes(8, "little") + codec.compress(raw, asbytes=True)
+
+
+def _unpacked(body) -> bytes:
+    import pyarrow as pa
+    n = int.from_bytes(body[:8], "little")
+    return pa.Codec("zstd").decompress(body[8:], n, asbytes=True) if n else b""
+
+
+def _planes(a) -> bytes:
+    """An array as the bytes of its steps, all lowest bytes first: small steps leave planes of zeros."""
+    import numpy as np
+    return np.diff(a, prepend=0).astype(np.int64).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
 def _cut(buckets: int):
     """Texts to super-k-mers: rows (bucket, size, body), bodies compressed; spans
     that are settled on the spot go as bodies of size 0."""
     def run(batches):
         import numpy as np
         import pyarrow as pa
-        codec = pa.Codec("zstd")
+        pack = _packer()
 
         def row(b, size, arrays, texts=b""):
             head = np.array([len(a) for a in arrays] + [len(texts)], np.int64).tobytes()
-            body = head + b"".join(np.ascontiguousarray(a).tobytes() for a in arrays) + texts
-            return b, size, np.int64(len(body)).tobytes() + codec.compress(body, asbytes=True)
+            return b, size, pack(head + b"".join(map(_planes, arrays)) + texts)
 
-        def emit(part):
+        def emit(part, held):
+            """Rows to send now; what goes to buckets is added to ``held``."""
             made = _super_kmers(part)
             if made is None:
-                return []
+                return [], 0
             packed, lo, hi, least, whole, long, text, start = made
             doc, key = np.array([p[0] for p in part], np.int64)[text], np.array([p[1] for p in part], np.int64)[text]
             order = np.lexsort((doc, whole, least))
@@ -201,31 +223,50 @@ def _cut(buckets: int):
             by = np.lexsort((string, to))
             order, string, to = order[by], string[by], to[by]
             edge = np.flatnonzero(np.append(True, to[1:] != to[:-1]))
+            more = 0
             for s, e in zip(edge.tolist(), np.append(edge[1:], len(to)).tolist()):
                 names, at = np.unique(string[s:e], return_inverse=True)
                 texts = b"\n".join(packed[a:b] for a, b in zip(lo[names].tolist(), hi[names].tolist()))
                 o = order[s:e]
-                out.append(row(int(to[s]), len(texts), [at, doc[o], key[o], start[o]], texts))
-            return out
-
+                held.setdefault(int(to[s]), []).append((len(names), [at, doc[o], key[o], start[o]], texts))
+                more += len(texts)
+            return out, more
+
+        def joined(b, parts):
+            """What several slices send to bucket ``b`` as one row."""
+            first = np.cumsum([0] + [n for n, _, _ in parts]).tolist()
+            at, *rest = zip(*(arrays for _, arrays, _ in parts))
+            texts = b"\n".join(t for _, _, t in parts)
+            return row(b, len(texts), [np.concatenate([a + f for a, f in zip(at, first)]), *map(np.concatenate, rest)], texts)
+
+        def sent(out):
+            b, size, body = zip(*out)
+            return pa.RecordBatch.from_arrays([pa.array(b, pa.int32()), pa.array(size, pa.int64()), pa.array(body, pa.binary())], ["bucket", "size", "body"])
+
+        held, size = {}, 0
         for batch in batches:
             rows = zip(*(batch.column(c).to_pylist() for c in ("doc_id", "tkey", "text")))
             for part in _parts(rows):
-                out = emit(part)
+                out, more = emit(part, held)
                 if out:
-                    b, size, body = zip(*out)
-                    yield pa.RecordBatch.from_arrays([pa.array(b, pa.int32()), pa.array(size, pa.int64()), pa.array(body, pa.binary())], ["bucket", "size", "body"])
+                    yield sent(out)
+                size += more
+                if size >= HOLD:
+                    yield sent([joined(*x) for x in held.items()])
+                    held, size = {}, 0
+        if held:
+            yield sent([joined(*x) for x in held.items()])
     return run
 
 
 def _body(body, arrays: int):
     import numpy as np
-    import pyarrow as pa
-    flat = pa.Codec("zstd").decompress(body[8:], int(np.frombuffer(body[:8], np.int64)[0]), asbytes=True)
+    flat = _unpacked(body)
     sizes = np.frombuffer(flat, np.int64, arrays + 1)
     out, at = [], 8 * (arrays + 1)
     for n in sizes[:-1].tolist():
-        out.append(np.frombuffer(flat, np.int64, n, at))
+        steps = np.frombuffer(flat, np.uint8, 8 * n, at).reshape(8, n).T
+        out.append(np.cumsum(np.ascontiguousarray(steps).view(np.int64).ravel()))
         at += 8 * n
     return out, flat[at:]
 
@@ -393,6 +434,14 @@ def repeated_spans(docs: DataFrame, text: str = "text", ident: str = "doc_id") -
     return light.unionByName(late.select("doc_id", "tkey", "start", (F.col("start") + WINDOW).alias("stop")))
 
 
+def _packed_texts(batches):
+    import pyarrow as pa
+    pack = _packer()
+    for batch in batches:
+        texts = [None if t is None else pack(t) for t in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tkey"), pa.array(texts, pa.binary())], ["doc_id", "tkey", "text"])
+
+
 def _digest(batches):
     import hashlib
     import re
@@ -402,7 +451,7 @@ def _digest(batches):
     for batch in batches:
         out = []
         for doc, text, spans in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "spans"))):
-            words = word.findall(text or "")
+            words = word.findall(_unpacked(text).decode()) if text is not None else []
             kept, at = [], 0
             for s in spans or ():
                 kept += words[at:s["start"]] if s["start"] > at else []
@@ -418,7 +467,8 @@ def remove_repeats(docs: DataFrame, text: str = "text", ident: str = "doc_id") -
     that stay joined by one space."""
     spans = repeated_spans(docs, text, ident)
     per = spans.groupBy("doc_id", "tkey").agg(F.sort_array(F.collect_set(F.struct("start", "stop"))).alias("spans"))
-    d = docs.select(F.col(ident).cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("tkey"), F.col(text).alias("text"))
+    d = docs.select(F.col(ident).cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("tkey"), F.col(text).cast("string").cast("binary").alias("text"))
+    d = d.mapInArrow(_packed_texts, "doc_id long, tkey long, text binary")
     return d.join(per, ["doc_id", "tkey"], "left").select("doc_id", "text", "spans").mapInArrow(_digest, "doc_id long, n_words long, n_removed long, text string")
 
 

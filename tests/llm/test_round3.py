@@ -9,7 +9,7 @@ import zlib
 import numpy as np
 import pytest
 
-from cabflow.llm import convtrie, langid, packing, spelling, substrings, topk, urlfilter
+from cabflow.llm import common, convtrie, langid, packing, spelling, substrings, topk, urlfilter
 
 DOC = "doc_id long, text string, word string, n long, bucket int"
 CONV = "conv_id long, turn long, role string, text string, c long, depth long"
@@ -423,3 +423,45 @@ def test_scores_against_dense_iteration(spark):
     assert all(abs(r.score - y[at[r.host]]) < 1e-7 for r in got.collect()) and got.count() == n
     with pytest.raises(RuntimeError):
         urlfilter.reach(e, spark.createDataFrame([(h, float(v)) for h, v in zip(hosts, own)], "host string, own double"), rounds=5)
+
+
+def test_substrings_send_one_value_a_bucket_for_several_slices(spark):
+    """What several slices send to a bucket is one value: bodies decode to their places and strings, and are smaller than slice by slice."""
+    import pyarrow as pa
+    rng = random.Random(5)
+    vocabulary = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 9))) for _ in range(3_000)]
+    texts = [" ".join(rng.choices(vocabulary, k=300)) for _ in range(120)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(120), pa.int64()), pa.array([rng.getrandbits(63) - (1 << 62) for _ in texts], pa.int64()), pa.array(texts)], ["doc_id", "tkey", "text"])
+    keys = dict(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+    sizes = {}
+    for slice_bytes in (20_000, 2_000_000):
+        was, substrings.SLICE = substrings.SLICE, slice_bytes
+        try:
+            sent = list(substrings._cut(16)([batch]))
+        finally:
+            substrings.SLICE = was
+        rows = [r for b in sent for r in b.to_pylist()]
+        assert sorted(r["bucket"] for r in rows) == sorted({r["bucket"] for r in rows})  # one value a bucket
+        windows = set()
+        for r in rows:
+            (at, doc, key, start), text = substrings._body(r["body"], 4)
+            lines = text.decode().split("\n")
+            assert r["size"] == len(text)
+            for i, d, k, s in zip(at.tolist(), doc.tolist(), key.tolist(), start.tolist()):
+                words = lines[i].split(" ")
+                assert k == keys[d] and words == texts[d].split(" ")[s:s + len(words)]
+                windows |= {(d, s + j) for j in range(len(words) - substrings.WINDOW + 1)}
+        assert windows == {(d, j) for d in range(120) for j in range(300 - substrings.WINDOW + 1)}
+        sizes[slice_bytes] = sum(len(r["body"]) for r in rows)
+    assert sizes[20_000] < 1.1 * sizes[2_000_000]
+
+
+def test_substrings_texts_move_compressed(spark):
+    """Null, empty and odd texts come back whole from the packed form."""
+    rows = [(1, None), (2, ""), (3, "a\tb\x00 é 文 " * 40), (4, " "), (None, "x y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(substrings.remove_repeats(df).collect(), key=str)
+    want = [(d, len(w), 0, " ".join(w)) for d, t in rows for w in [re.findall(r"[^\x20\x09-\x0D]+", t or "")]]
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+    plan = df.sparkSession._jvm.PythonSQLUtils.explainString(substrings.remove_repeats(df)._jdf.queryExecution(), "simple")
+    assert "_packed_texts" in plan
