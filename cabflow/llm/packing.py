@@ -35,7 +35,9 @@ from cabflow.llm.common import frugal, prepare, release, require, stored
 from cabflow.operators.scan import Agg, keyed_scan
 
 LENGTH, END_ID, GRAIN, GAP, MAX_PIVOTS = 2048, 1, 16, 1e-3, 4000
-CACHE = 100_000
+CACHE = 50_000
+#: Bytes of text a Python worker works on at once.
+SLICE = 500_000
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary"
 # White space other than a single space or line end; text that the tokenizer reads as a special token.
 _ODD = re.compile(r"[^\S \n]|  | \n|\n[ \n]|^[ \n]|[ \n]\Z|<\|endoftext\|>")
@@ -200,15 +202,21 @@ def pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenize
     path = tokenizer or default_tokenizer()
 
     def run(batches):
-        import pyarrow as pa
-        import pyarrow.compute as pc
         if path not in _WORD_IDS:
             _WORD_IDS[path] = WordIds(path)
             release()
         words = _WORD_IDS[path]
+        try:
+            yield from cut(words, batches)
+        finally:
+            words.young, words.old = {}, {}  # the worker stays for other stages
+
+    def cut(words, batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
         for b in batches:
             lengths = pc.binary_length(b.column(1)).to_numpy(zero_copy_only=False)
-            for s, e in runs(np.nan_to_num(lengths), 2_000_000):
+            for s, e in runs(np.nan_to_num(lengths), SLICE):
                 part = b.slice(s, e - s)
                 ids, begin = words.encoded(part.column(1).to_pylist(), end_id)
                 data = memoryview(ids.tobytes())

@@ -33,6 +33,9 @@ DEFAULTS = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
+#: Most bytes of an Arrow batch that goes to a Python worker.
+ARROW_BYTES = "4m"
+
 
 def submitted() -> dict[str, str]:
     """Settings the user gave before the session exists: those of the submit
@@ -160,7 +163,16 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Rows go to Python workers about ``ARROW_BYTES`` at once, unless the session
+    says otherwise: by number alone (10,000) long texts fill workers and JVM."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, ARROW_BYTES)
+
+
 def prepare(spark: SparkSession) -> str:
-    """Checkpoint folder + package shipped to executors; returns the folder."""
+    """Checkpoint folder, size of Arrow batches and package shipped to executors; returns the folder."""
     ship_package(spark)
+    bound_batches(spark)
     return ensure_checkpoint_dir(spark)

@@ -465,3 +465,54 @@ def test_substrings_texts_move_compressed(spark):
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
     plan = df.sparkSession._jvm.PythonSQLUtils.explainString(substrings.remove_repeats(df)._jdf.queryExecution(), "simple")
     assert "_packed_texts" in plan
+
+
+def test_long_texts_reach_workers_in_small_batches(spark):
+    """Arrow batches are bounded by bytes, so long texts come few at once and narrow rows still 10,000; a session's own limit stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+    def sizes(batches):
+        import pyarrow as pa
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], ["n"])
+
+    biggest = lambda t: max(r.n for r in spark.range(8_000).selectExpr("id", t).coalesce(1).mapInArrow(sizes, "n long").collect())
+    try:
+        spark.conf.unset(key)
+        common.prepare(spark)
+        assert biggest("repeat('x', 2000) t") < 2_500 and biggest("'x' t") == 8_000
+        spark.conf.set(key, "1m")
+        common.prepare(spark)
+        assert spark.conf.get(key) == "1m"
+    finally:
+        spark.conf.unset(key)
+
+
+def test_packing_leaves_no_words_in_the_worker():
+    """The words of a task go when it ends, as its worker stays for other stages; the tokenizer stays."""
+    import pyarrow as pa
+    path = packing.default_tokenizer()
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2], pa.int64()), pa.array(["a few words here", "and more of them"])], ["doc_id", "text"])
+
+    class Docs:
+        """Takes the place of a table: keeps the function that tasks run."""
+        columns, sparkSession = ["doc_id", "text"], None
+
+        def select(self, *_):
+            return self
+
+        def drop(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):
+            self.run = run
+            return self
+
+    was, packing.prepare = packing.prepare, lambda _: None
+    column, packing.F = packing.F, type("F", (), {"col": staticmethod(lambda _: type("C", (), {"cast": lambda s, _: s, "alias": lambda s, _: s})())})
+    try:
+        out = [r for b in packing.pieces(Docs()).run([batch]) for r in b.to_pylist()]
+    finally:
+        packing.prepare, packing.F = was, column
+    assert [r["length"] for r in out] == [len(x) // 4 + 1 for x in packing.WordIds(path).ids(batch.column(1).to_pylist())]
+    assert not packing._WORD_IDS[path].young and not packing._WORD_IDS[path].old
