@@ -1,9 +1,10 @@
 """Packing documents into fixed-length sequences by cutting-stock column generation.
 
 1. One pass over the texts: token ids (plus an end id) of every document, cut
-   into pieces of ``length`` tokens and a shorter last piece.  Ids of distinct
-   words are kept per Python worker, as the tokenizer's own pre-tokenizer
-   always cuts before a space or line end that stands alone.
+   into pieces of ``length`` tokens and a shorter last piece.  Texts of Latin
+   letters are merged by ranks, whole; of others the ids of distinct words are kept
+   per Python worker, as the tokenizer's own pre-tokenizer always cuts before a
+   space or line end that stands alone.
 2. A full piece is a sequence of its own.  The shorter ones are counted by
    length class (multiples of ``grain`` tokens, rounded up): a histogram of at most
    ``length / grain`` numbers, whatever the input.
@@ -41,16 +42,23 @@ SLICE = 500_000
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary"
 # White space other than a single space or line end; text that the tokenizer reads as a special token.
 _ODD = re.compile(r"[^\S \n]|  | \n|\n[ \n]|^[ \n]|[ \n]\Z|<\|endoftext\|>")
+# Characters not known to split alike in every Unicode table: none below U+0250, nor general punctuation or currency signs.
+_OTHER = re.compile("[^\x00-\u024f\u2010-\u2027\u2030-\u205e\u20a0-\u20cf]")
+# ``public_tokenizers.PATTERN``, letters first (no two alternatives but the first of "'" and of white space begin alike),
+# and all that looks nowhere ahead in one group, which needs no backtracking.
+_SPLIT = r"(?: ?\p{L}+|'(?:[sdmt]|ll|ve|re)| ?\p{N}+| ?[^\s\p{L}\p{N}]+)|\s+(?!\S)|\s+"
 _MAYBE_ODD = b"\t\r\x0b\x0c\x1c\x1d\x1e\x1f\xc2\xe1\xe2\xe3"
 
 
 class WordIds:
-    """Ids of texts, by word: a batch is split and its words numbered in Arrow,
-    words not met lately are tokenized, and ids are gathered with numpy offsets.
+    """Ids of texts.  Where a vocabulary has its merges in the order of their ids
+    (checked when the file is read), texts without characters of ``_OTHER`` are merged
+    by ranks, each in one call.
 
-    Words of letters below U+0250 whose vocabulary has its merges in the order of
-    their ids (checked when the file is read) are merged by ranks; all others go to
-    the tokenizer itself.  Two generations of at most ``CACHE`` words are kept."""
+    All others go by word: a batch is split and its words numbered in Arrow,
+    words not met lately are tokenized, and ids are gathered with numpy offsets.
+    Words of letters below U+0250 are merged by ranks, the rest by the tokenizer
+    itself.  Two generations of at most ``CACHE`` words are kept."""
 
     def __init__(self, path: str):
         import os
@@ -108,8 +116,31 @@ class WordIds:
         flat, begin = self.encoded(texts, 0)
         return [flat[x:y - 1].tobytes() for x, y in zip(begin.tolist(), [*begin[1:].tolist(), len(flat)])]
 
+    def at_once(self, text: str | None) -> np.ndarray | None:
+        """Ids of a whole text, merged by ranks; None where it must go by word."""
+        if not text:
+            return np.zeros(0, "<u4")
+        if not self.by_rank or "<|" in text or not (text.isascii() or not _OTHER.search(text)):
+            return None
+        try:
+            return self.by_rank(text)
+        except ValueError:  # more white space in a row than its pattern can go back over
+            return None
+
     def encoded(self, texts: list[str | None], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, an end id after each, and where each text begins."""
+        ids, end = list(map(self.at_once, texts)), np.array([end_id], "<u4")
+        rest = [i for i, x in enumerate(ids) if x is None]
+        if rest:
+            flat, begin = self.gathered([texts[i] for i in rest], end_id)
+            for i, x, y in zip(rest, begin.tolist(), [*begin[1:].tolist(), len(flat)]):
+                ids[i] = flat[x:y - 1]
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) + 1
+        out = np.concatenate([np.zeros(0, "<u4"), *(part for x in ids for part in (x, end))])
+        return out.astype("<u4", copy=False), np.cumsum(size) - size
+
+    def gathered(self, texts: list[str | None], end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """``encoded`` by word."""
         import pyarrow as pa
         import pyarrow.compute as pc
         kind = np.array([0 if not t else 1 if self.by_words(t) else 2 for t in texts], np.int8)
@@ -173,8 +204,7 @@ def rank_encoder(path: str):
     if ordered != sorted(ordered) or ordered[0] < 256 or any(c not in letter for k in vocab for c in k):
         return None, 0
     ranks = {bytes(letter[c] for c in k): v for k, v in vocab.items()}
-    from public_tokenizers import PATTERN
-    encoding = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    encoding = tiktoken.Encoding("ranks", pat_str=_SPLIT, mergeable_ranks=ranks, special_tokens={})
     return lambda text: encoding.encode_to_numpy(text, disallowed_special=()), ranks[b"\n"]
 
 

@@ -266,6 +266,31 @@ def test_ranked_words_equal_the_tokenizer():
         packing.CACHE = old
 
 
+def test_latin_texts_are_merged_whole():
+    """Texts of Latin letters are not cut into words of a cache nor given to the slower tokenizer, whatever their
+    white space, and their ids are the tokenizer's; texts with other letters between them keep their place."""
+    from tokenizers import Tokenizer
+    path = packing.default_tokenizer()
+    t, rng = Tokenizer.from_file(path), random.Random(8)
+    ids = packing.WordIds(path)
+    points = [*range(0x250), *range(0x2010, 0x2028), *range(0x2030, 0x205f), *range(0x20a0, 0x20d0)]
+    latin = [f"a{x}b 1{x}2 .{x}. {x} {x}{x}\n{x} x  {x}y{x}" for x in map(chr, points)]
+    latin += ["".join(rng.choice("ab  \n\t\r\u00a0'’s'll—éß,.12½") for _ in range(rng.randint(1, 60))) for _ in range(3000)]
+    latin += ["", None, "two  spaces\n\nand a paragraph ", "don't we'll I'M", "x" * 70_000, "a" + " \n" * 40_000 + "b"]
+    want = {s: t.encode(s or "", add_special_tokens=False).ids for s in latin}
+    whole, slow = ids.whole, []
+    ids.whole = lambda texts: slow.extend(texts) or whole(texts)
+    for s, got in zip(latin, ids.ids(latin)):
+        assert np.frombuffer(got, "<u4").tolist() == want[s], repr(s)
+    assert not slow and not ids.young
+    mixed = ["plain", "漢字 of  two", None, "don't", "<|endoftext|> x", "привет мир", "", "a b\n\nc", "w" + " " * 1_200_000 + "w"]
+    flat, begin = ids.encoded(mixed, 1)
+    for s, x, y in zip(mixed, begin.tolist(), [*begin[1:].tolist(), len(flat)]):
+        assert flat[x:y].tolist() == t.encode(s or "", add_special_tokens=False).ids + [1], repr(s)[:60]
+    flat, begin = ids.encoded([], 1)
+    assert len(flat) == len(begin) == 0
+
+
 def test_packing_odd(spark):
     """Nulls, empty and very long texts, repeated rows, null ids, clashing columns: an exact round trip."""
     from tokenizers import Tokenizer
